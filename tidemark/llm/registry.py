@@ -1,16 +1,23 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
-from tidemark.llm import chat, line_dedup, mixing, sharding
+from tidemark.llm import byte_bpe, chat, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_tree
 
 QUERIES = {
+    "op1_ngram_join": ngram_join.op1_ngram_join,
     "op2_sharding": sharding.op2_sharding,
     "op3_chat": chat.op3_chat,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_quality_classifier": quality_classifier.op5_quality_classifier,
+    "op6_quality_rules": quality_rules.op6_quality_rules,
+    "op7_suffix_tree": suffix_tree.op7_suffix_tree,
     "op8_mixing": mixing.op8_mixing,
+    "op9_exact_topk": exact_topk.op9_exact_topk,
+    "op10_byte_bpe": byte_bpe.op10_byte_bpe,
 }
 
 ORACLE_SQL = {
     "op3_chat": chat.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
     "op8_mixing": mixing.OP8_SQL,
+    "op9_exact_topk": exact_topk.OP9_SQL,
 }
