@@ -26,12 +26,13 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import table
 
@@ -173,11 +174,11 @@ def pieces_of(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def encode(docs: DataFrame, ranks: bytes, pattern: str, keep_ids: bool = True) -> DataFrame:
-    """docs without its text but with n_tokens, ids_sha256, decoded_sha256 and, if wanted, the ids and the decoded bytes."""
+def encode(docs: DataFrame, ranks: bytes, pattern: str, keep: Sequence[str] = ("ids", "decoded")) -> DataFrame:
+    """docs without its text but with n_tokens, ids_sha256, decoded_sha256 and, as kept, the ids and the decoded bytes."""
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
-    new = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * keep_ids]
-    own = [c for c in docs.columns if c != "text" and c not in new]
+    kinds = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()} | {k: {"ids": T.ArrayType(T.IntegerType()), "decoded": T.BinaryType()}[k] for k in keep}
+    own = [c for c in docs.columns if c != "text" and c not in kinds]
 
     def encoded(batches):
         bpe = encoder(*shared.value)
@@ -185,15 +186,19 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, keep_ids: bool = True) -
             at = 0
             for texts in pieces_of([t or "" for t in batch.column("text").to_pylist()]):
                 found = list(bpe.encode(texts))
-                columns = [pa.array([len(i) for i, _ in found], pa.int64()), pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i, _ in found], pa.string()), pa.array([hashlib.sha256(d).hexdigest() for _, d in found], pa.string())]
-                if keep_ids:
-                    columns += [pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32())), pa.array([d for _, d in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*[batch.column(c)[at : at + len(texts)] for c in own], *columns], names=[*own, *new])
+                columns = {
+                    "n_tokens": pa.array([len(i) for i, _ in found], pa.int64()),
+                    "ids_sha256": pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i, _ in found], pa.string()),
+                    "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for _, d in found], pa.string()),
+                }
+                if "ids" in keep:
+                    columns["ids"] = pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32()))
+                if "decoded" in keep:
+                    columns["decoded"] = pa.array([d for _, d in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([*[batch.column(c)[at : at + len(texts)] for c in own], *[columns[c] for c in kinds]], names=[*own, *kinds])
                 at += len(texts)
 
-    schema = docs.select(*own).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
-    if keep_ids:
-        schema = schema.add("ids", "array<int>").add("decoded", "binary")
+    schema = T.StructType([*docs.select(*own).schema.fields, *[T.StructField(c, kind) for c, kind in kinds.items()]])
     return docs.select(*own, "text").mapInArrow(encoded, schema)
 
 
@@ -207,4 +212,4 @@ def public_vocabulary(name: str = VOCABULARY) -> tuple[bytes, str]:
 
 def op10_byte_bpe(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), "text")
-    return encode(docs, *public_vocabulary(), keep_ids=False)
+    return encode(docs, *public_vocabulary(), keep=())

@@ -107,24 +107,34 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     return runs.withColumn("_long", long_enough).filter("_long").select(*KEY, "raw").distinct()
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
-    """docs with the repeated lines out of text, and n_lines, n_removed: lines before, lines deleted.
-
-    A document whose lines all go keeps its row with an empty text.
-    """
-    clash = {"n_lines", "n_removed"} & set(docs.columns)
-    gone = repeated_lines(docs, min_lines, min_words, window).groupBy(*KEY).agg(F.collect_list("raw").alias("_gone"))
-    out = with_key(docs.drop(*clash)).join(gone, KEY, "left")
+def rebuilt(docs: DataFrame, **options) -> DataFrame:
+    """docs with the repeated lines out of text, and _n_lines, _n_removed."""
+    gone = repeated_lines(docs, **options).groupBy(*KEY).agg(F.collect_list("raw").alias("_gone"))
+    out = with_key(docs).join(gone, KEY, "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
     return (
         out.withColumn("_lines", lines)
         .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")))
-        .withColumns({"n_lines": F.size("_lines").cast("long"), "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
-        .drop(*KEY, "_gone", "_lines")
+        .withColumns({"_n_lines": F.size("_lines").cast("long"), "_n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
+        .select(*docs.columns, "_n_lines", "_n_removed")
     )
 
 
+def dedup_lines(docs: DataFrame, **options) -> DataFrame:
+    """docs with the repeated lines out of text, and n_lines, n_removed: lines before, lines deleted.
+
+    A document whose lines all go keeps its row with an empty text. Columns of
+    those two names in docs are replaced.
+    """
+    return rebuilt(docs.drop("n_lines", "n_removed"), **options).withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+
+
+def without_repeats(docs: DataFrame, **options) -> DataFrame:
+    """docs with the repeated lines out of text, without the documents of which nothing but blanks is left; columns as in docs."""
+    return rebuilt(docs, **options).filter(F.expr("_n_removed = 0") | (word_count(F.col("text")) > 0)).select(*docs.columns)
+
+
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))

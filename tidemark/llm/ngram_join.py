@@ -294,5 +294,11 @@ def jaccard_components(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int
     return sized.join(of_class, (F.col("sid") == F.col("_sid")) & (F.col("n") > 0), "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("sid").alias("set_id"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """docs with the document of smallest doc_id of each component only; repeated rows once; columns as in docs."""
+    first = jaccard_components(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
+    return docs.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("_first")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
 def op1_ngram_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

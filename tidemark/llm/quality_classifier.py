@@ -165,28 +165,37 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_pass
     return fit(np.concatenate(each), np.concatenate([[0], np.cumsum([len(b) for b in each])]), bags["y"].to_numpy())
 
 
+def batch_scores(batch: pa.RecordBatch, model: dict[str, np.ndarray] | float) -> tuple[np.ndarray, np.ndarray]:
+    """Score and number of passages of each row."""
+    score, passages = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+    for at, to, x, first in batch_features(batch):
+        score[at:to] = model if isinstance(model, float) else forward(model, x, first)["score"]
+        passages[at:to] = np.diff(first)
+    return score, passages
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted and n_passages for every document."""
-    return with_scores(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), learn(docs, labels), threshold).select("doc_id", held_out().alias("held_out"), "score", "predicted", "n_passages")
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
+
+    def scored(batches):
+        for batch in batches:
+            score, passages = batch_scores(batch, shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array(passages)], names=["doc_id", "score", "n_passages"])
 
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scored, "doc_id long, score double, n_passages long")
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "n_passages")
 
-def with_scores(docs: DataFrame, model: dict[str, np.ndarray] | float, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without its text but with score, predicted and n_passages; in the pipeline docs keeps the text too."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = [c for c in docs.columns if c not in ("score", "predicted", "n_passages")]
 
-    def scored(batches):
-        p = shared.value
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that the classifier accepts, unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
+
+    def kept(batches):
         for batch in batches:
-            score, passages = [], []
-            for at, to, x, first in batch_features(batch):
-                score.append(np.full(to - at, p) if isinstance(p, float) else forward(p, x, first)["score"])
-                passages.append(np.diff(first))
-            if score:
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], pa.array(np.concatenate(score)), pa.array(np.concatenate(passages))], names=[*own, "score", "n_passages"])
+            yield batch.filter(pa.array(batch_scores(batch, shared.value)[0] >= threshold))
 
-    schema = docs.select(*own).schema.add("score", "double").add("n_passages", "long")
-    return docs.select(*own).mapInArrow(scored, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return docs.mapInArrow(kept, docs.schema)
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:
