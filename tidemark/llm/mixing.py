@@ -53,7 +53,7 @@ def source_plan(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share_percen
         .withColumn("level", (F.col("wanted") - F.coalesce(F.sum("cap").over(lighter), F.lit(0))) / (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(lighter), F.lit(0))))
         .withColumn("is_capped", F.col("cap") / F.col("weight") < F.col("level"))
     )
-    final_level = F.min(F.when(~F.col("is_capped"), F.col("level"))).over(everything)
+    final_level = F.max(F.when(~F.col("is_capped"), F.col("level"))).over(everything)
     target = F.when(F.col("is_capped"), F.col("cap").cast("double")).otherwise(final_level * F.col("weight"))
     return (
         levelled.withColumn("target", F.least(target, F.col("cap").cast("double")))
@@ -105,7 +105,7 @@ per_source AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM size
 weighed AS (SELECT *, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS BIGINT) AS weight, source_size * 2 AS cap FROM per_source),
 levelled AS (SELECT *, (CAST(sum(source_size) OVER () * 150 AS DOUBLE) / 100.0 - coalesce(sum(cap) OVER lighter, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER lighter, 0)) AS level
   FROM weighed WINDOW lighter AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-plan AS (SELECT source, source_size, least(CASE WHEN cap / weight < level THEN CAST(cap AS DOUBLE) ELSE min(CASE WHEN NOT cap / weight < level THEN level END) OVER () * weight END, CAST(cap AS DOUBLE)) AS target FROM levelled),
+plan AS (SELECT source, source_size, least(CASE WHEN cap / weight < level THEN CAST(cap AS DOUBLE) ELSE max(CASE WHEN NOT cap / weight < level THEN level END) OVER () * weight END, CAST(cap AS DOUBLE)) AS target FROM levelled),
 rated AS (SELECT *, CASE WHEN source_size = 0 THEN 0.0 ELSE target / CAST(source_size AS DOUBLE) END AS rate FROM plan),
 mixed AS (SELECT s.*, r.source_size, r.target, CAST(floor(r.rate) AS BIGINT)
     + CASE WHEN CAST('0x' || substr(md5('mix:' || coalesce(CAST(s.doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) < (r.rate - floor(r.rate)) * 4503599627370496.0 THEN 1 ELSE 0 END AS n_copies

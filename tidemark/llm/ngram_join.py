@@ -117,7 +117,7 @@ def cell_of(h: np.ndarray, salt: np.ndarray) -> np.ndarray:
     return np.where(salt == 0, h, mix(h + salt * np.uint64(0xD1B54A32D192ED03)))
 
 
-def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], cell: int = CELL) -> DataFrame:
     """cell, sid and place (size << 32 | position) of every prefix shingle of every distinct set."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -143,7 +143,7 @@ def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.nda
                 h = np.concatenate([rare[:length], last[common]])
                 salt = np.zeros(len(h), np.uint64)
                 if len(common):
-                    salt[len(h) - len(common) :] = np.uint64(sid) % (times[common] // CELL + 1).astype(np.uint64)
+                    salt[len(h) - len(common) :] = np.uint64(sid) % (times[common] // cell + 1).astype(np.uint64)
                 cells.append(cell_of(h, salt))
                 ids.append(np.full(len(h), sid, np.int64))
                 places.append((n << 32) + np.arange(len(h), dtype=np.int64))
@@ -157,13 +157,13 @@ def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.nda
     return docs.select("text").mapInArrow(entries, "cell long, sid long, place long")
 
 
-def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, np.ndarray], cell: int = CELL) -> DataFrame:
     """The entries of lists with two sets or more, each with its pivot's sid and place; h names the list across its cells."""
     hashes, times = frequent
-    hot = times >= CELL
+    hot = times >= cell
     names, cells = [], []
     for h, t in zip(hashes[hot], times[hot]):
-        own = np.full(t // CELL + 1, h, np.uint64)
+        own = np.full(t // cell + 1, h, np.uint64)
         names.append(own)
         cells.append(cell_of(own, np.arange(len(own), dtype=np.uint64)))
     split = (signed(np.concatenate(cells)), signed(np.concatenate(names))) if names else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -173,19 +173,19 @@ def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, n
     def with_pivots(batches):
         split_cells, split_names = shared.value
         held = None  # the first entry of a list of which no second has come
-        cell = sid = pivot = pivot_place = None  # of the entry before
+        list_id = sid = pivot = pivot_place = None  # of the entry before
         for batch in batches:
             c, s, p = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("cell", "sid", "place"))
             if held is not None:
                 c, s, p = (np.concatenate([[h], x]) for h, x in zip(held, (c, s, p)))
             if not len(c):
                 continue
-            goes_on = held is None and cell is not None
+            goes_on = held is None and list_id is not None
             new = np.ones(len(c), bool)
             new[1:] = c[1:] != c[:-1]
             again = np.zeros(len(c), bool)
             again[1:] = ~new[1:] & (s[1:] == s[:-1])
-            if goes_on and c[0] == cell:
+            if goes_on and c[0] == list_id:
                 new[0], again[0] = False, s[0] == sid
             c, s, p, new = c[~again], s[~again], p[~again], new[~again]
             held = None
@@ -212,7 +212,7 @@ def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, n
             name = c.copy()
             if is_split.any():
                 name[is_split] = split_names[np.searchsorted(split_cells, c[is_split])]
-            cell, sid, pivot, pivot_place = c[-1], s[-1], piv[-1], piv_place[-1]
+            list_id, sid, pivot, pivot_place = c[-1], s[-1], piv[-1], piv_place[-1]
             yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (name, s, p, piv, piv_place)] + [pa.array(is_split[out])], names=["h", "sid", "place", "pivot", "pivot_place", "split"])
 
     return entries.repartition("cell").sortWithinPartitions("cell", "place", "sid").mapInArrow(with_pivots, "h long, sid long, place long, pivot long, pivot_place long, split boolean")
@@ -259,14 +259,14 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, perc
     return materialise(both.select("a", "b", (100 * common >= percent * (F.size("_a") + F.size("_b") - common)).alias("links")), "verified")
 
 
-def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, cell: int = CELL) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with n and sid; classes with sid and rep; node and label of each sid that links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     facts = materialise(set_facts(docs, k), "set-facts")
     sized = facts.filter("n IS NOT NULL").select("doc_id", "n", "sid")
     classes = materialise(sized.filter("n > 0").groupBy("sid").agg(F.min(F.coalesce("doc_id", F.lit(MAX_LONG))).alias("rep")), "classes")
     often = frequent_shingles(facts, frequent)
-    lists = materialise(shared_lists(prefix_entries(docs, k, percent, often), percent, often), "lists")
+    lists = materialise(shared_lists(prefix_entries(docs, k, percent, often, cell), percent, often, cell), "lists")
 
     stars = lists.filter((F.col("sid") != F.col("pivot")) & bounds("place", "pivot_place", percent)).select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
     pivots = lists.filter("split").select("h", F.col("pivot").alias("sid"), F.col("pivot_place").alias("place")).distinct()
@@ -285,9 +285,9 @@ def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PER
     return sized, classes, (near if second.filter("links").isEmpty() else components(links))
 
 
-def jaccard_components(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
+def jaccard_components(docs: DataFrame, **options) -> DataFrame:
     """A row per document: doc_id, n_shingles, set_id and component_id."""
-    sized, classes, labels = link_classes(docs, k, percent, frequent)
+    sized, classes, labels = link_classes(docs, **options)
     named = classes.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "rep", F.coalesce("label", "sid").alias("label"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_class = materialise(named.join(smallest, "label").select(F.col("sid").alias("_sid"), F.nullif("component_id", F.lit(MAX_LONG)).alias("component_id")), "class-components")
