@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from tidemark.plans import ledgers  # noqa: F401  enters its queries
+from tidemark.plans.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
