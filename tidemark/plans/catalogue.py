@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import ledgers  # noqa: F401  enters its queries
+from tidemark.plans import analytics, ledgers  # noqa: F401  they enter their queries
 from tidemark.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
