@@ -92,8 +92,13 @@ def append_changes(observed: DataFrame, spec: LedgerSpec, order: Sequence[str])
     by_order = Window.partitionBy(*spec.key).orderBy(*order)
     payload = F.struct(*spec.payload)
     changed = observed.withColumn("_same", F.lag(payload).over(by_order).eqNullSafe(payload) & (F.row_number().over(by_order) > 1)).filter(~F.col("_same")).drop("_same")
-    sequence = F.row_number().over(by_order)
-    return changed.withColumn("sequence", sequence).withColumn("supersedes", F.when(F.col("sequence") > 1, F.col("sequence") - 1))
+    return number_versions(changed, spec.key, order)
+
+
+def number_versions(versions: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """versions with sequence and supersedes."""
+    sequence = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return versions.withColumn("sequence", sequence).withColumn("supersedes", F.when(F.col("sequence") > 1, F.col("sequence") - 1))
 
 
 def changes_against(current: DataFrame, observed: DataFrame, spec: LedgerSpec) -> DataFrame:
