@@ -12,17 +12,17 @@ Equal sets are one class and enter once. The steps:
 2. A second pass emits each distinct set's prefix: the first
    n - ceil(0.75 n) + 1 shingles in that order, with position and size. Two
    sets that link share one at which the positional bound holds.
-3. The index lists, sorted by size and position, are read as a stream. The
-   first set of each size range of a list is its pivot; the other sets are
-   candidates of the pivot only, and blocks of positions that the bound
-   excludes are skipped. Very frequent shingles have their list split over
-   several cells, whose pivots meet in turn.
+3. The index lists, sorted by size and set id, are read as a stream. The first
+   set of each size range of a list is its pivot; the other sets are candidates
+   of the pivot only, and those at positions that the bound excludes are
+   skipped. Very frequent shingles have their list split over several cells,
+   whose pivots meet in turn.
 4. Candidate pairs are verified with whole sets. A set that links with its
    pivot is highly similar to it and takes over its answers: it belongs to the
    pivot's component, and a list that lies in one component is finished.
-5. For the other lists, pairs of sets in different components that pass the
-   size and position bounds and were not verified before, are verified, so no
-   link that could join two components is lost.
+5. The other lists are tried with other pivots, ``TURNS`` times; then all pairs
+   of their sets that are in different components still, pass the size and
+   position bounds and were not verified before, are verified, so no link that could join two components is lost.
 6. Components of the links are spread to classes and to documents.
 
 Scale: texts are read three times and tokenised in Arrow batches; only prefix
@@ -53,12 +53,14 @@ from tidemark.llm.tokens import Words, chunks, mix, shingle_sets, signed
 WORDS_PER_SHINGLE = 5
 PERCENT = 75
 #: Upper bound on the shingles that the order puts last, and so on that broadcast.
-FREQUENT = 1 << 18
+FREQUENT = 1 << 20
 #: Shingles counted together before their counts are handed on.
 COUNT_WINDOW = 4_000_000
 #: A list expected to be longer is split over cells of about this many sets.
 CELL = 20_000
 FILTER_BITS = 1 << 23
+#: Times that lists in several components are tried with so many other pivots before all their pairs are.
+TURNS, PIVOTS = 3, 6
 
 
 def set_id(s: np.ndarray) -> int:
@@ -215,7 +217,7 @@ def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, n
             list_id, sid, pivot, pivot_place = c[-1], s[-1], piv[-1], piv_place[-1]
             yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (name, s, p, piv, piv_place)] + [pa.array(is_split[out])], names=["h", "sid", "place", "pivot", "pivot_place", "split"])
 
-    return entries.repartition("cell").sortWithinPartitions("cell", "place", "sid").mapInArrow(with_pivots, "h long, sid long, place long, pivot long, pivot_place long, split boolean")
+    return entries.repartition("cell").sortWithinPartitions("cell", F.shiftright("place", 32), "sid").mapInArrow(with_pivots, "h long, sid long, place long, pivot long, pivot_place long, split boolean")
 
 
 def bounds(a: str, b: str, percent: int) -> Column:
@@ -245,20 +247,55 @@ def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -
             values = signed(np.concatenate([s for _, s in found])) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([ids, pa.array([x for x, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(values))], names=["rep", "sid", "shingles"])
 
-    found = docs.select("doc_id", "text").mapInArrow(sets, "rep long, sid long, shingles array<long>")
-    return found.join(chosen, ["sid", "rep"]).dropDuplicates(["sid"]).select("sid", "shingles")
+    return docs.select("doc_id", "text").mapInArrow(sets, "rep long, sid long, shingles array<long>").dropDuplicates(["sid"]).select("sid", "shingles")
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """a, b and whether they link, for each candidate pair(a, b)."""
-    pairs = materialise(pairs, "candidates")
-    sets = materialise(whole_sets(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), k), "sets")
+    sets = whole_sets(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), k)
     left, right = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("_a")), sets.select(F.col("sid").alias("b"), F.col("shingles").alias("_b"))
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("_a", "_b"))
     return materialise(both.select("a", "b", (100 * common >= percent * (F.size("_a") + F.size("_b") - common)).alias("links")), "verified")
 
 
+def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """h, sid, place and label of the lists that hold sets of several components, and more than the two that were compared already."""
+    placed = lists.select("h", "sid", "place").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    several = placed.groupBy("h").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter("_lo <> _hi AND _n > 2").select("h")
+    return materialise(placed.join(several, "h"), "open-lists")
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def other_stars(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Pairs of each list's pivots of this turn with the list's sets in other components.
+
+    In the first turn the pivots are the sets with the largest shares of their
+    size in open lists, the ones most like the others; later they follow hashes
+    of the set ids. Either order is the same in all lists, so that lists of one
+    group have mostly the same few pivots.
+    """
+    if turn == 0:
+        common = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("_common"))
+        lists = lists.join(common, "sid")
+        orders = [-F.col("_common") / F.shiftright("place", 32), *[F.floor(-50 * F.col("_common") / F.shiftright("place", 32)) for _ in range(PIVOTS - 1)]]
+    else:
+        orders = [F.lit(0)] * PIVOTS
+    places = [F.min(F.struct(o.alias("order"), F.xxhash64("sid", F.lit(turn * PIVOTS + i)).alias("hash"), "sid", "place", "label")) for i, o in enumerate(orders)]
+    pivots = lists.groupBy("h").agg(F.array_distinct(F.transform(F.array(*places), lambda p: F.struct(p["sid"].alias("sid"), p["place"].alias("place"), p["label"].alias("label")))).alias("p"))
+    pivots = pivots.select("h", F.inline("p")).select("h", F.col("sid").alias("a"), F.col("place").alias("a_place"), F.col("label").alias("a_label"))
+    return ordered(lists.join(pivots, "h").filter((F.col("a_label") != F.col("label")) & bounds("a_place", "place", percent)).select("a", F.col("sid").alias("b")))
+
+
+def all_across(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of one list that are in different components still and pass the bounds."""
+    side = lambda x: lists.select("h", F.col("sid").alias(x), F.col("place").alias(f"{x}_place"), F.col("label").alias(f"{x}_label"))
+    return side("a").join(side("b"), "h").filter((F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & bounds("a_place", "b_place", percent)).select("a", "b").distinct()
+
+
 def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, cell: int = CELL) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with n and sid; classes with sid and rep; node and label of each sid that links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -272,17 +309,21 @@ def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PER
     pivots = lists.filter("split").select("h", F.col("pivot").alias("sid"), F.col("pivot_place").alias("place")).distinct()
     top = pivots.groupBy("h").agg(F.min(F.struct("place", "sid")).alias("top"))
     over_cells = pivots.join(top, "h").filter("sid <> top.sid").select("h", "sid", "place", F.col("top.sid").alias("pivot"), F.col("top.place").alias("pivot_place")).filter(bounds("place", "pivot_place", percent)).select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
-    first = verified(docs, classes, stars.union(over_cells).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), k, percent)
-    near = components(first.filter("links"))
-
-    placed = lists.join(near.withColumnRenamed("node", "sid"), "sid", "left").select("h", "sid", "place", F.coalesce("label", "sid").alias("label"))
-    open_lists = placed.groupBy("h").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter("_lo <> _hi AND _n > 2").select("h")
-    rest = materialise(placed.join(open_lists, "h"), "open-lists")
-    left, right = rest.select("h", F.col("sid").alias("a"), F.col("place").alias("a_place"), F.col("label").alias("a_label")), rest.select("h", F.col("sid").alias("b"), F.col("place").alias("b_place"), F.col("label").alias("b_label"))
-    across = left.join(right, "h").filter((F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & bounds("a_place", "b_place", percent)).select("a", "b").distinct()
-    second = verified(docs, classes, across.join(first, ["a", "b"], "left_anti"), k, percent)
-    links = first.filter("links").union(second.filter("links"))
-    return sized, classes, (near if second.filter("links").isEmpty() else components(links))
+    known = verified(docs, classes, materialise(ordered(stars.union(over_cells)), "candidates"), k, percent)
+    labels = components(known.filter("links"))
+    rest = open_lists(lists, labels)
+    for turn in range(TURNS + 1):
+        pairs = other_stars(rest, turn, percent) if turn < TURNS else all_across(rest, percent)
+        pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "candidates")
+        if pairs.isEmpty():
+            continue
+        more = verified(docs, classes, pairs, k, percent)
+        known = known.union(more)
+        if not more.filter("links").isEmpty():
+            labels = components(known.filter("links"))
+            if turn < TURNS:
+                rest = open_lists(rest, labels)
+    return sized, classes, labels
 
 
 def jaccard_components(docs: DataFrame, **options) -> DataFrame:
