@@ -160,7 +160,7 @@ def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.nda
 
 
 def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, np.ndarray], cell: int = CELL) -> DataFrame:
-    """The entries of lists with two sets or more, each with its pivot's sid and place; h names the list across its cells."""
+    """The entries of lists with two sets or more, each with its pivot's sid and place; h names the list across its cells, two tells that it has no third set."""
     hashes, times = frequent
     hot = times >= cell
     names, cells = [], []
@@ -205,8 +205,11 @@ def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, n
                 first[over[leading]] = True
             piv, piv_place = np.where(at >= 0, s[at], pivot if pivot is not None else 0), np.where(at >= 0, p[at], pivot_place if pivot_place is not None else 0)
             starts = np.flatnonzero(new)
-            lone = np.zeros(len(c), bool)
-            lone[starts] = np.append(starts[1:], len(c)) - starts == 1
+            length = np.append(starts[1:], len(c)) - starts
+            lone, two = np.zeros(len(c), bool), np.zeros(len(c), bool)
+            lone[starts] = length == 1
+            whole = starts[:-1][length[:-1] == 2]  # the last list may go on
+            two[whole] = two[whole + 1] = True
             is_split = np.isin(c, split_cells)
             if lone[-1] and not is_split[-1]:
                 held = (c[-1], s[-1], p[-1])
@@ -215,9 +218,9 @@ def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, n
             if is_split.any():
                 name[is_split] = split_names[np.searchsorted(split_cells, c[is_split])]
             list_id, sid, pivot, pivot_place = c[-1], s[-1], piv[-1], piv_place[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (name, s, p, piv, piv_place)] + [pa.array(is_split[out])], names=["h", "sid", "place", "pivot", "pivot_place", "split"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (name, s, p, piv, piv_place, is_split, two & ~is_split)], names=["h", "sid", "place", "pivot", "pivot_place", "split", "two"])
 
-    return entries.repartition("cell").sortWithinPartitions("cell", F.shiftright("place", 32), "sid").mapInArrow(with_pivots, "h long, sid long, place long, pivot long, pivot_place long, split boolean")
+    return entries.repartition("cell").sortWithinPartitions("cell", F.shiftright("place", 32), "sid").mapInArrow(with_pivots, "h long, sid long, place long, pivot long, pivot_place long, split boolean, two boolean")
 
 
 def bounds(a: str, b: str, percent: int) -> Column:
@@ -270,6 +273,23 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def first_stars(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of a pivot and a set of its lists that may link.
+
+    Of the shingles common to two sets, those in both prefixes are in lists that
+    the two share: lists where a is b's pivot are counted by the pair, others
+    are at most the lists of a with another pivot or with several cells. The
+    rest lie behind the prefix of one of the two.
+    """
+    foreign = lists.filter((F.col("sid") != F.col("pivot")) | F.col("split")).groupBy(F.col("sid").alias("a")).agg(F.count(F.lit(1)).alias("_foreign"))
+    pairs = lists.filter(F.col("sid") != F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("sid").alias("b"))
+    size = lambda place: F.max(F.shiftright(place, 32))
+    met = pairs.agg(F.count(F.lit(1)).alias("_common"), F.max(bounds("place", "pivot_place", percent)).alias("_may"), size("pivot_place").alias("_n"), size("place").alias("_m")).filter("_may")
+    behind = F.ceil(F.lit(percent) * F.greatest("_n", "_m") / F.lit(100)) - 1
+    most = F.col("_common") + F.coalesce("_foreign", F.lit(0)) + behind
+    return met.join(foreign, "a", "left").filter((100 + percent) * most >= percent * (F.col("_n") + F.col("_m"))).select("a", "b")
+
+
 def other_stars(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each list's pivots of this turn with the list's sets in other components.
 
@@ -305,13 +325,13 @@ def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PER
     often = frequent_shingles(facts, frequent)
     lists = materialise(shared_lists(prefix_entries(docs, k, percent, often, cell), percent, often, cell), "lists")
 
-    stars = lists.filter((F.col("sid") != F.col("pivot")) & bounds("place", "pivot_place", percent)).select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
+    stars = first_stars(lists, percent)
     pivots = lists.filter("split").select("h", F.col("pivot").alias("sid"), F.col("pivot_place").alias("place")).distinct()
     top = pivots.groupBy("h").agg(F.min(F.struct("place", "sid")).alias("top"))
     over_cells = pivots.join(top, "h").filter("sid <> top.sid").select("h", "sid", "place", F.col("top.sid").alias("pivot"), F.col("top.place").alias("pivot_place")).filter(bounds("place", "pivot_place", percent)).select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
     known = verified(docs, classes, materialise(ordered(stars.union(over_cells)), "candidates"), k, percent)
     labels = components(known.filter("links"))
-    rest = open_lists(lists, labels)
+    rest = open_lists(lists.filter("NOT two"), labels)
     for turn in range(TURNS + 1):
         pairs = other_stars(rest, turn, percent) if turn < TURNS else all_across(rest, percent)
         pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "candidates")
