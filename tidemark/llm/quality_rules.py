@@ -32,7 +32,7 @@ from tidemark.llm.tokens import IN_WORD, Words, chain, chunks
 
 BUCKETS = 1 << 16
 PRIOR = 1.0
-THRESHOLD = -0.2
+THRESHOLD = -0.1
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BROADCAST_IDS = 1_000_000
