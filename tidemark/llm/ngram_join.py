@@ -20,7 +20,7 @@ Equal sets are one class and enter once. The steps:
 4. Candidate pairs are verified with whole sets. A set that links with its
    pivot is highly similar to it and takes over its answers: it belongs to the
    pivot's component, and a list that lies in one component is finished.
-5. The other lists are tried with other pivots, ``TURNS`` times; then all pairs
+5. The other lists are tried with other pivots, in the turns of ``PIVOTS``; then all pairs
    of their sets that are in different components still, pass the size and
    position bounds and were not verified before, are verified, so no link that could join two components is lost.
 6. Components of the links are spread to classes and to documents.
@@ -59,8 +59,8 @@ COUNT_WINDOW = 4_000_000
 #: A list expected to be longer is split over cells of about this many sets.
 CELL = 20_000
 FILTER_BITS = 1 << 23
-#: Times that lists in several components are tried with so many other pivots before all their pairs are.
-TURNS, PIVOTS = 3, 6
+#: How many other pivots lists in several components are tried with, turn by turn, before all their pairs are.
+PIVOTS = (1, 3, 6)
 
 
 def set_id(s: np.ndarray) -> int:
@@ -293,18 +293,18 @@ def first_stars(lists: DataFrame, percent: int) -> DataFrame:
 def other_stars(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     """Pairs of each list's pivots of this turn with the list's sets in other components.
 
-    In the first turn the pivots are the sets with the largest shares of their
-    size in open lists, the ones most like the others; later they follow hashes
-    of the set ids. Either order is the same in all lists, so that lists of one
-    group have mostly the same few pivots.
+    In the first turn the pivot is the set with the largest share of its size in
+    open lists, the one most like the others; later pivots follow hashes of the
+    set ids. Either order is the same in all lists, so that lists of one group
+    have mostly the same few pivots.
     """
     if turn == 0:
         common = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("_common"))
         lists = lists.join(common, "sid")
-        orders = [-F.col("_common") / F.shiftright("place", 32), *[F.floor(-50 * F.col("_common") / F.shiftright("place", 32)) for _ in range(PIVOTS - 1)]]
+        orders = [-F.col("_common") / F.shiftright("place", 32)]
     else:
-        orders = [F.lit(0)] * PIVOTS
-    places = [F.min(F.struct(o.alias("order"), F.xxhash64("sid", F.lit(turn * PIVOTS + i)).alias("hash"), "sid", "place", "label")) for i, o in enumerate(orders)]
+        orders = [F.lit(0)] * PIVOTS[turn]
+    places = [F.min(F.struct(o.alias("order"), F.xxhash64("sid", F.lit(sum(PIVOTS[:turn]) + i)).alias("hash"), "sid", "place", "label")) for i, o in enumerate(orders)]
     pivots = lists.groupBy("h").agg(F.array_distinct(F.transform(F.array(*places), lambda p: F.struct(p["sid"].alias("sid"), p["place"].alias("place"), p["label"].alias("label")))).alias("p"))
     pivots = pivots.select("h", F.inline("p")).select("h", F.col("sid").alias("a"), F.col("place").alias("a_place"), F.col("label").alias("a_label"))
     return ordered(lists.join(pivots, "h").filter((F.col("a_label") != F.col("label")) & bounds("a_place", "place", percent)).select("a", F.col("sid").alias("b")))
@@ -332,8 +332,8 @@ def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PER
     known = verified(docs, classes, materialise(ordered(stars.union(over_cells)), "candidates"), k, percent)
     labels = components(known.filter("links"))
     rest = open_lists(lists.filter("NOT two"), labels)
-    for turn in range(TURNS + 1):
-        pairs = other_stars(rest, turn, percent) if turn < TURNS else all_across(rest, percent)
+    for turn in range(len(PIVOTS) + 1):
+        pairs = other_stars(rest, turn, percent) if turn < len(PIVOTS) else all_across(rest, percent)
         pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "candidates")
         if pairs.isEmpty():
             continue
@@ -341,7 +341,7 @@ def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PER
         known = known.union(more)
         if not more.filter("links").isEmpty():
             labels = components(known.filter("links"))
-            if turn < TURNS:
+            if turn < len(PIVOTS):
                 rest = open_lists(rest, labels)
     return sized, classes, labels
 
