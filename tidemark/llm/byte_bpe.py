@@ -10,8 +10,10 @@ are those of its words in order.
 
 Scale: one narrow pass over the texts; nothing is shuffled. The merge table
 (about twice the vocabulary) is built in each Python worker from the rank
-file, whose bytes are broadcast. Words are kept with their ids between batches,
-at most ``CACHE`` of them, so a word that a task meets often is merged once.
+file, whose bytes are broadcast. Words are kept with their ids between batches
+in two generations of about ``CACHE``, the older of which goes when the younger
+is full, so a word that a worker meets often is merged once. Texts are taken in
+pieces of a megabyte, cut between documents.
 
 Defined cases: a null text is empty and has no ids; any characters, special
 tokens' names included, are ordinary text; a word that is itself in the
@@ -35,12 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import table
+from tidemark.llm.tokens import chunks
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE = 400_000
-#: Words in one recursive query, and texts' bytes taken together.
-QUERY_WORDS = 40_000
-PIECE_BYTES = 6 << 20
+#: Words of a generation of the cache; two are kept.
+CACHE = 100_000
+#: Words in one recursive query.
+QUERY_WORDS = 30_000
 LONG_WORD = 200
 
 MERGE_SQL = """
@@ -80,8 +83,9 @@ class Encoder:
         self.tokens = {i: t for t, i in self.ranks.items()}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.words = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[np.ndarray, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+        self.cache: dict[str, tuple[bytes, bytes]] = {}  # ids as little-endian 32 bits, decoded bytes
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], rank) for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         left, right, merged = (pa.array(x, pa.int32()) for x in zip(*merges))
         self.db.register("_merges", pa.table({"left_token": left, "right_token": right, "merged": merged}))
@@ -89,8 +93,8 @@ class Encoder:
         self.db.execute("CREATE TABLE merges AS FROM _merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM _vocabulary")
 
-    def contract(self, words: list[bytes]) -> Iterator[tuple[np.ndarray, bytes]]:
-        """ids and decoded bytes of each of the words, none of them empty."""
+    def contract(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """ids (as their bytes) and decoded bytes of each of the words, none of them empty."""
         lengths = np.array([len(w) for w in words])
         first = np.cumsum(lengths) - lengths
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
@@ -98,9 +102,9 @@ class Encoder:
         self.db.register("start_tokens", pa.table({"word": word, "pos": pos, "token": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]}))
         found = self.db.sql(MERGE_SQL).to_arrow_table().combine_chunks()
         ids = found["ids"].chunk(0) if isinstance(found["ids"], pa.ChunkedArray) else found["ids"]
-        at, flat = ids.offsets.to_numpy(), ids.values.to_numpy().astype(np.uint32)
+        at, flat = (4 * ids.offsets.to_numpy().astype(np.int64)).tolist(), ids.values.to_numpy().astype("<u4").tobytes()
         for a, b, decoded in zip(at, at[1:], found["decoded"].to_pylist()):
-            yield flat[a:b].copy(), bytes.fromhex(decoded)
+            yield flat[a:b], bytes.fromhex(decoded)
 
     def contract_long(self, word: bytes) -> np.ndarray:
         """The same contraction for one very long word: the leftmost pair of the least rank, from a heap."""
@@ -127,28 +131,30 @@ class Encoder:
         """Bring words into the cache that are not in it."""
         todo: list[tuple[str, bytes]] = []
         for w in words:
+            if (known := self.older.get(w)) is not None:
+                self.cache[w] = known
+                continue
             raw = w.encode()
             if (own := self.ranks.get(raw)) is not None:
-                self.cache[w] = (np.array([own], np.uint32), self.tokens[own])
+                self.cache[w] = (own.to_bytes(4, "little"), self.tokens[own])
             elif len(raw) > LONG_WORD:
                 ids = self.contract_long(raw)
-                self.cache[w] = (ids, b"".join(self.tokens[i] for i in ids.tolist()))
+                self.cache[w] = (ids.astype("<u4").tobytes(), b"".join(self.tokens[i] for i in ids.tolist()))
             else:
                 todo.append((w, raw))
         for k in range(0, len(todo), QUERY_WORDS):
             part = todo[k : k + QUERY_WORDS]
             self.cache.update(zip([w for w, _ in part], self.contract([raw for _, raw in part])))
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, bytes]]:
-        """ids and decoded bytes of each text."""
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
+        """ids (as their bytes) and decoded bytes of each text."""
         if len(self.cache) > CACHE:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         cut = [self.words(t) for t in texts]
         self.learn([w for w in dict.fromkeys(w for words in cut for w in words) if w not in self.cache])
-        none = np.zeros(0, np.uint32)
         for words in cut:
             pieces = [self.cache[w] for w in words]
-            yield (np.concatenate([ids for ids, _ in pieces]) if pieces else none), b"".join([decoded for _, decoded in pieces])
+            yield b"".join([ids for ids, _ in pieces]), b"".join([decoded for _, decoded in pieces])
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -162,18 +168,6 @@ def encoder(lines: bytes, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def pieces_of(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= PIECE_BYTES:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def encode(docs: DataFrame, ranks: bytes, pattern: str, keep: Sequence[str] = ("ids", "decoded")) -> DataFrame:
     """docs without its text but with n_tokens, ids_sha256, decoded_sha256 and, as kept, the ids and the decoded bytes."""
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
@@ -183,20 +177,18 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, keep: Sequence[str] = ("
     def encoded(batches):
         bpe = encoder(*shared.value)
         for batch in batches:
-            at = 0
-            for texts in pieces_of([t or "" for t in batch.column("text").to_pylist()]):
-                found = list(bpe.encode(texts))
+            for at, to, _, _ in chunks(batch.column("text")):
+                found = list(bpe.encode([t or "" for t in batch.column("text")[at:to].to_pylist()]))
                 columns = {
-                    "n_tokens": pa.array([len(i) for i, _ in found], pa.int64()),
-                    "ids_sha256": pa.array([hashlib.sha256(i.astype("<u4").tobytes()).hexdigest() for i, _ in found], pa.string()),
+                    "n_tokens": pa.array([len(i) // 4 for i, _ in found], pa.int64()),
+                    "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i, _ in found], pa.string()),
                     "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for _, d in found], pa.string()),
                 }
                 if "ids" in keep:
-                    columns["ids"] = pa.array([i.astype(np.int32) for i, _ in found], pa.list_(pa.int32()))
+                    columns["ids"] = pa.array([np.frombuffer(i, "<i4") for i, _ in found], pa.list_(pa.int32()))
                 if "decoded" in keep:
                     columns["decoded"] = pa.array([d for _, d in found], pa.binary())
-                yield pa.RecordBatch.from_arrays([*[batch.column(c)[at : at + len(texts)] for c in own], *[columns[c] for c in kinds]], names=[*own, *kinds])
-                at += len(texts)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c)[at:to] for c in own], *[columns[c] for c in kinds]], names=[*own, *kinds])
 
     schema = T.StructType([*docs.select(*own).schema.fields, *[T.StructField(c, kind) for c, kind in kinds.items()]])
     return docs.select(*own, "text").mapInArrow(encoded, schema)

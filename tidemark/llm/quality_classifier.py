@@ -90,8 +90,8 @@ def passage_features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return x, first
 
 
-def batch_features(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    for at, to, data, offsets in chunks(batch.column("text")):
+def batch_features(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    for at, to, data, offsets in chunks(texts):
         yield at, to, *passage_features(Words(data, offsets))
 
 
@@ -152,7 +152,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_pass
     def features(batches):
         for batch in batches:
             y = batch.column("y").to_numpy(zero_copy_only=False)
-            for at, to, x, first in batch_features(batch):
+            for at, to, x, first in batch_features(batch.column("text")):
                 rows = [x[a:b].astype(np.float32).tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at:to], pa.array(y[at:to]), pa.array(rows, pa.binary()), pa.array(np.diff(first))], names=["doc_id", "y", "x", "n"])
 
@@ -165,10 +165,10 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_pass
     return fit(np.concatenate(each), np.concatenate([[0], np.cumsum([len(b) for b in each])]), bags["y"].to_numpy())
 
 
-def batch_scores(batch: pa.RecordBatch, model: dict[str, np.ndarray] | float) -> tuple[np.ndarray, np.ndarray]:
+def batch_scores(texts: pa.Array, model: dict[str, np.ndarray] | float) -> tuple[np.ndarray, np.ndarray]:
     """Score and number of passages of each row."""
-    score, passages = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-    for at, to, x, first in batch_features(batch):
+    score, passages = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    for at, to, x, first in batch_features(texts):
         score[at:to] = model if isinstance(model, float) else forward(model, x, first)["score"]
         passages[at:to] = np.diff(first)
     return score, passages
@@ -180,7 +180,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
     def scored(batches):
         for batch in batches:
-            score, passages = batch_scores(batch, shared.value)
+            score, passages = batch_scores(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array(passages)], names=["doc_id", "score", "n_passages"])
 
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scored, "doc_id long, score double, n_passages long")
@@ -188,14 +188,14 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that the classifier accepts, unchanged."""
+    """The rows of docs that the classifier accepts, unchanged; only texts go to Python and only scores come back."""
     shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels))
 
-    def kept(batches):
-        for batch in batches:
-            yield batch.filter(pa.array(batch_scores(batch, shared.value)[0] >= threshold))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(batch_scores(texts, shared.value)[0])
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.filter(score("text") >= threshold)
 
 
 def op5_quality_classifier(spark, sf_dir: str) -> DataFrame:

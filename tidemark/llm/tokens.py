@@ -14,7 +14,7 @@ _BYTES = np.arange(256)
 IN_WORD = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES).astype(np.uint8)
 #: Text is handled in pieces of about so many bytes, cut between documents.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Words beyond this many bytes are hashed one by one.
 LONG_WORD = 1024
 
