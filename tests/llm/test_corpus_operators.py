@@ -273,6 +273,49 @@ def test_suffix_tree_states_sum_to_one(spark):
         assert (root * 10**gain).sum() + unseen * 10**left == pytest.approx(1)
 
 
+def test_suffix_tree_equals_the_rule_by_hand(spark, monkeypatch):
+    rng = random.Random(8)
+    filler = [f"w{i}" for i in range(9000)]
+    rows = [(i, " ".join([*rng.choices(filler, k=500), rng.choice(["to be or not", "let be or else"]), *["rare pair"] * (i < 16)])) for i in range(400)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    tokens = {i: [*words_of(t), None] for i, t in rows}
+    c = Counter(w for i in tokens if not held(i) for w in tokens[i])
+    total, types = sum(c.values()), len(c)
+    root = lambda w: (c[w] + 0.1) / (total + 0.1 * (types + 1))
+    states = {}
+
+    def gain(context, word):
+        """log10 of a word's share over that in the root, in the longest kept suffix of context."""
+        if not context:
+            return 0.0
+        if context not in states:
+            return gain(context[1:], word)
+        own, left = states[context]
+        return own[word] if word in own else gain(context[1:], word) + left
+
+    for depth in range(1, suffix_tree.DEPTH + 1):
+        follow = {}
+        for i, ts in tokens.items():
+            for k in range(depth, len(ts)) if not held(i) else ():
+                follow.setdefault(tuple(ts[k - depth : k]), Counter())[ts[k]] += 1
+        for context, after in follow.items():
+            of, own = after.total(), {w: n for w, n in after.items() if n >= 2}
+            if of >= 10 and own:
+                parent = {w: root(w) * 10 ** gain(context[1:], w) for w in own}
+                share = {w: (n + 5 * parent[w]) / (of + 5) for w, n in own.items()}
+                if max(abs(math.log(share[w] / parent[w])) for w in own) >= math.log(1.5):
+                    left = math.log10(max(1 - sum(share.values()), 1e-9) / max(1 - sum(parent.values()), 1e-9))
+                    states[context] = ({w: math.log10(share[w] / root(w)) for w in own}, left)
+    assert total * 1e-4 > c[words_of("rare")[0]] >= 10  # by a share of all tokens this context would be none
+    assert tuple(words_of("rare")) in states and any(len(s) > 2 for s in states)
+    want = {i: sum(math.log10(root(w)) + gain(tuple(ts[max(0, k - suffix_tree.DEPTH) : k]), w) for k, w in enumerate(ts)) for i, ts in tokens.items()}
+    for head in (suffix_tree.HEAD, 50):
+        monkeypatch.setattr(suffix_tree, "HEAD", head)
+        monkeypatch.setattr(suffix_tree, "EFFECTS", head)
+        got = {r.doc_id: r.score for r in suffix_tree.score_documents(frame(spark, rows).repartition(3)).collect()}
+        assert got == {i: pytest.approx(x, abs=1e-6) for i, x in want.items()}
+
+
 def test_mixing_targets_and_copies(spark):
     rows = [(i, "w " * (i % 7), f"s{i % 3}") for i in range(900)] + [(1000 + i, "w w", "s9") for i in range(4)] + [(5000, None, "s0"), (5001, " ", None), (None, "a b c", None), (7, "w " * 4, "s1")]
     docs = frame(spark, rows)

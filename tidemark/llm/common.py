@@ -54,8 +54,8 @@ def in_range(dividend: Column, divisor: int) -> Column:
     return F.pmod(dividend, F.lit(divisor)).cast("int")
 
 
-def most_frequent(counts: DataFrame, key: str, times: str, bound: int):
-    """The keys with the largest counts as an Arrow table of at most bound rows.
+def most_frequent(counts: DataFrame, key: str, times: str, bound: int, *more: str):
+    """The keys with the largest counts, and more columns of them, as an Arrow table of at most bound rows.
 
     A histogram of the counts, in steps of a quarter of a power of two, gives the
     least count; so nothing is sorted, and a step that would not fit is left out whole.
@@ -66,4 +66,4 @@ def most_frequent(counts: DataFrame, key: str, times: str, bound: int):
         if total + n > bound:
             break
         least, total = at, total + n
-    return counts.filter(F.lit(False) if least is None else level >= least).select(key, times).toArrow()
+    return counts.filter(F.lit(False) if least is None else level >= least).select(key, times, *more).toArrow()

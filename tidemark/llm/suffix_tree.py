@@ -1,21 +1,30 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 Tokens are lower-cased words and one end for each text. The root is the
-add-0.1 unigram distribution. Contexts of one and two words are candidates if
-they come before at least ``MIN_CONTEXT`` of the training tokens, and are kept
-as states if some next token passes the divergence test: its share after the
-context is at least ``MIN_NEXT`` and differs from its share after the shorter
-context by a factor of ``RATIO`` or more. A state gives its likely next tokens
-a share smoothed towards the shorter context's, and leaves the rest of its mass
-to that context's distribution, so that every state sums to one. A token is
-scored in the state of the longest suffix of its history that was kept.
-
-Scale: token counts cover all training texts, pre-aggregated for each task and
-summed by one shuffle on the word's hash. There are at most 1 / MIN_CONTEXT
-contexts of each length and 1 / MIN_NEXT explicit next tokens for each, so what
-is collected of them and broadcast is bounded; the counts of the ``HEAD`` most
-frequent words are broadcast too, and all other words' counts reach the texts
-by a join on the word. Neither vocabulary nor scores pass through the driver.
+add-0.1 unigram distribution. Contexts of one to ``DEPTH`` words are candidates
+if they occur ``MIN_COUNT`` times or more, whatever the number of tokens, and
+are kept as states if some next token passes the divergence test: it follows
+``MIN_FOLLOW`` times or more and its smoothed share differs from that after the
+shorter context by a factor of ``RATIO`` or more. A state gives each such next
+token a share smoothed towards the shorter context's, and leaves the rest of
+its mass to that context's distribution, so that every state sums to one. A
+token is scored in the state of the longest suffix of its history that was kept.
+
+A score is a sum of effects: each state on the way to the longest multiplies
+the share of the token by what it leaves to the shorter context, and if the
+token is one of its own, by a further factor. So the model is a table with an
+effect for each state and for each of its next tokens, and a text's score is
+the sum of the effects that its names meet.
+
+Scale: all counts are pre-aggregated for each task and summed by one shuffle.
+Contexts, states and effects are Spark tables and grow with the input; their
+counts nest (a longer context and next token occur at most as often as the
+shorter), so totals and shorter shares are joined from the tables of the length
+before. A bitmap of ``BITS`` bits of the candidates' names, broadcast, spares
+the shuffle what can't be one; what it lets through by chance is joined away.
+The ``HEAD`` most frequent words and ``EFFECTS`` effects are broadcast, all others reach
+the texts by a join. Neither vocabulary nor states nor scores pass through the
+driver.
 
 Defined cases: a null text is empty and has its end as only token; a null
 doc_id counts as an empty text in the fold and is so held out; repeated rows
@@ -25,23 +34,30 @@ N = V = 0; an empty table gives no rows; other columns are not used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, most_frequent, table
 from tidemark.llm.tokens import Words, chunks, mix, signed
 
 ADD = 0.1
-MIN_CONTEXT = 1e-4
-MIN_NEXT = 0.01
+MIN_COUNT = 10
+MIN_FOLLOW = 2
 RATIO = 1.5
 SMOOTH = 5.0
-DEPTH = 2
+#: The longest contexts; further lengths cost a pass over the texts each.
+DEPTH = 4
 #: Upper bound on the words whose counts are broadcast.
 HEAD = 1 << 18
+#: Upper bound on the effects that are broadcast.
+EFFECTS = 1 << 20
+#: Bits of the broadcast bitmaps of names; a power of two.
+BITS = 1 << 26
 FOLDS = 10
 #: Tokens counted together before their counts are handed on.
 COUNT_WINDOW = 2_000_000
@@ -72,11 +88,16 @@ def after(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * np.uint64(3) + _STEP ^ word)
 
 
+def own(context: np.ndarray) -> np.ndarray:
+    """The name of a state's effect on all next tokens; a next token's own effect has the name of context and token."""
+    return mix(context ^ _STEP)
+
+
 class Pool:
-    """Counts of hashes, handed on when enough have come together."""
+    """Counts of rows whose first column names them, handed on when enough have come together."""
 
-    def __init__(self):
-        self.parts, self.size = [], 0
+    def __init__(self, *names: str):
+        self.names, self.parts, self.size = names, [], 0
 
     def add(self, *columns: np.ndarray) -> bool:
         self.parts.append(columns)
@@ -85,18 +106,16 @@ class Pool:
 
     def flush(self) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*self.parts)]
-        key = columns[0] if len(columns) == 1 else after(*columns)
-        _, at, n = np.unique(key, return_index=True, return_counts=True)
+        _, at, n = np.unique(columns[0], return_index=True, return_counts=True)
         self.parts, self.size = [], 0
-        names = ["word"] if len(columns) == 1 else ["context", "word"]
-        return pa.RecordBatch.from_arrays([*[pa.array(signed(c[at])) for c in columns], pa.array(n)], names=[*names, "n"])
+        return pa.RecordBatch.from_arrays([*[pa.array(signed(c[at])) for c in columns], pa.array(n)], names=[*self.names, "n"])
 
 
 def word_counts(training: DataFrame) -> DataFrame:
     """word (hash) and c over all training texts."""
 
     def counted(batches):
-        pool = Pool()
+        pool = Pool("word")
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column("text")):
                 if pool.add(token_stream(data, offsets)[0]):
@@ -107,34 +126,89 @@ def word_counts(training: DataFrame) -> DataFrame:
     return training.mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def contexts_of(tokens: np.ndarray, place: np.ndarray, depth: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For tokens that have depth words before them: their place in the stream and the context's name, if it is among the known (sorted)."""
+class Bitmap:
+    """Names that may be in a column: all that are, and others by chance."""
+
+    def __init__(self, names: DataFrame, column: str):
+        slot = F.col(column).bitwiseAND(F.lit(BITS - 1))
+        found = names.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({column} & 63L AS INT))")).alias("bits")).toArrow()
+        self.bits = np.zeros(BITS >> 6, np.uint64)
+        self.bits[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+
+    def has(self, names: np.ndarray) -> np.ndarray:
+        slot = names & np.uint64(BITS - 1)
+        return (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+def contexts_of(tokens: np.ndarray, place: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For tokens that have depth words before them: their place in the stream, the context's name, and that of the context without its first word with the token (the token alone at depth 1)."""
     at = np.flatnonzero(place >= depth)
-    name = tokens[at - depth]
-    for k in range(depth - 1, 0, -1):
-        name = after(name, tokens[at - k])
-    if not len(known):
-        return at[:0], name[:0]
-    there = known[np.minimum(np.searchsorted(known, name), len(known) - 1)] == name
-    return at[there], name[there]
+    name, short = tokens[at - depth], None
+    for k in range(depth - 1, -1, -1):
+        token = tokens[at - k]
+        short = token if short is None else after(short, token)
+        if k:
+            name = after(name, token)
+    return at, name, short
 
 
-def next_counts(training: DataFrame, depth: int, contexts: np.ndarray) -> DataFrame:
-    """context, word and n: how often each word follows each of the contexts."""
-    shared = training.sparkSession.sparkContext.broadcast(contexts)
+def next_counts(training: DataFrame, depth: int, candidates: DataFrame) -> DataFrame:
+    """pair, context, short and n: how often (MIN_FOLLOW or more) a token follows a context; pair and short name both together, short without the context's first word."""
+    shared = training.sparkSession.sparkContext.broadcast(Bitmap(candidates, "name"))
 
     def counted(batches):
-        pool = Pool()
+        pool = Pool("pair", "context", "short")
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column("text")):
                 tokens, _, place = token_stream(data, offsets)
-                at, name = contexts_of(tokens, place, depth, shared.value)
-                if pool.add(name, tokens[at]):
+                at, name, short = contexts_of(tokens, place, depth)
+                may = shared.value.has(name)
+                name = name[may]
+                if pool.add(after(name, tokens[at[may]]), name, short[may]):
                     yield pool.flush()
         if pool.size:
             yield pool.flush()
 
-    return training.mapInArrow(counted, "context long, word long, n long").groupBy("context", "word").agg(F.sum("n").alias("n"))
+    rows = training.mapInArrow(counted, "pair long, context long, short long, n long")
+    return rows.groupBy("pair", "context", "short").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_FOLLOW)
+
+
+def lengths(training: DataFrame, counts: DataFrame, total: int, types: int, depth: int, with_root: bool = False) -> list[DataFrame]:
+    """A table for each length: the next tokens of its candidates (pair, context, n), their share, that in the shorter context (and in the root), whether the context is kept, and log10 of what it leaves of the other tokens' shares."""
+    root = (F.col("c") + ADD) / (total + ADD * (types + 1))
+    end = int(signed(np.array([END]))[0])
+    candidates = counts.filter((F.col("c") >= MIN_COUNT) & (F.col("word") != end)).select(F.col("word").alias("name"), F.col("c").alias("of"))
+    shorter = counts.select(F.col("word").alias("short"), root.alias("parent"), *[root.alias("root")][: int(with_root)])
+    out = []
+    for d in range(1, depth + 1):
+        if candidates.isEmpty():
+            break
+        # contexts last: their join and the sums over each share one shuffle
+        rows = next_counts(training, d, candidates).join(shorter, "short").drop("short").join(candidates.withColumnRenamed("name", "context"), "context")
+        rows = rows.withColumn("share", (F.col("n") + SMOOTH * F.col("parent")) / (F.col("of") + SMOOTH)).drop("of")
+        whole = Window.partitionBy("context")
+        left = F.log10(F.greatest(1 - F.sum("share").over(whole), F.lit(1e-9)) / F.greatest(1 - F.sum("parent").over(whole), F.lit(1e-9)))
+        kept = F.max(F.abs(F.ln(F.col("share") / F.col("parent")))).over(whole) >= float(np.log(RATIO))
+        out.append(materialise(rows.withColumns({"left": left, "kept": kept}), f"length-{d}"))
+        candidates = out[-1].filter(F.col("n") >= MIN_COUNT).select(F.col("pair").alias("name"), F.col("n").alias("of"))
+        shorter = out[-1].select(F.col("pair").alias("short"), F.when(F.col("kept"), F.col("share")).otherwise(F.col("parent")).alias("parent"), *["root"][: int(with_root)])
+    return out
+
+
+def effects(tables: list[DataFrame]) -> DataFrame | None:
+    """name, n and effect (log10 of a factor) of all kept states and of their own next tokens."""
+    if not tables:
+        return None
+    kept = reduce(DataFrame.unionAll, [t.filter("kept") for t in tables])
+
+    def named(batches):
+        for batch in batches:
+            context = batch.column("context").to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(own(context))), batch.column("n"), batch.column("effect")], names=["name", "n", "effect"])
+
+    states = kept.groupBy("context").agg(F.sum("n").alias("n"), F.first("left").alias("effect"))
+    tokens = kept.select(F.col("pair").alias("name"), "n", (F.log10(F.col("share") / F.col("parent")) - F.col("left")).alias("effect"))
+    return states.mapInArrow(named, "name long, n long, effect double").unionAll(tokens)
 
 
 class States:
@@ -155,50 +229,44 @@ class States:
         return np.where(self.keys[at] == key, self.gain[at], out)
 
 
-def stream_gains(tree: list[States], tokens: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """log10 of each token's share in its state over its share in the root."""
-    out = np.zeros(len(tokens))
-    for depth, states in enumerate(tree, 1):
-        at, name = contexts_of(tokens, place, depth, states.names)
-        out[at] = states.gains(name, tokens[at], out[at])
+def grow(training: DataFrame, counts: DataFrame, total: int, types: int, depth: int = 2) -> list[States]:
+    """The kept states of the first lengths, collected: to look into the model of a small corpus; scoring doesn't use it."""
+    out = []
+    for rows in lengths(training, counts, total, types, depth, with_root=True):
+        found = rows.filter("kept").select("context", "left", "pair", F.log10(F.col("share") / F.col("root")).alias("gain")).toArrow()
+        context, key = (found[x].to_numpy().view(np.uint64) for x in ("context", "pair"))
+        names, at = np.unique(context, return_index=True)
+        order = np.argsort(key)
+        out.append(States(names, found["left"].to_numpy()[at], key[order], found["gain"].to_numpy()[order]))
     return out
 
 
-def grow(training: DataFrame, counts: DataFrame, total: int, types: int) -> list[States]:
-    """The kept states by length; counts holds word and c."""
-    tree: list[States] = []
-    end, root_total, least = int(signed(np.array([END]))[0]), total + ADD * (types + 1), max(2.0, MIN_CONTEXT * total)
-    unsigned = lambda found, *names: [found[x].to_numpy().view(np.uint64) for x in names]
-    contexts = unsigned(counts.filter((F.col("c") >= least) & (F.col("word") != end)).select("word").toArrow(), "word")[0]
-    suffix = np.zeros(len(contexts), np.uint64)  # the name of each context without its first word
+def names_of(tokens: np.ndarray, doc: np.ndarray, place: np.ndarray, model: Bitmap) -> tuple[np.ndarray, np.ndarray]:
+    """The names of effects that may apply to the tokens, and the document of each."""
+    names, owner = [tokens[:0]], [doc[:0]]
     for depth in range(1, DEPTH + 1):
-        order = np.argsort(contexts)
-        contexts, suffix = contexts[order], suffix[order]
-        if not len(contexts):
-            break
-        follows = materialise(next_counts(training, depth, contexts), f"next-{depth}")
-        sums = follows.groupBy("context").agg(F.sum("n").alias("total"))
-        likely = follows.join(F.broadcast(sums), "context").filter(F.col("n") >= F.col("total") * MIN_NEXT)
-        found = counts.join(F.broadcast(likely), "word").orderBy("context", "word").toArrow()
-        context, word = unsigned(found, "context", "word")
-        n, of, c = (found[x].to_numpy().astype(float) for x in ("n", "total", "c"))
-        root, shorter = (c + ADD) / root_total, np.zeros(len(word))
-        for states in tree[-1:]:
-            shorter = states.gains(suffix[np.searchsorted(contexts, context)], word, shorter)
-        parent = root * 10**shorter
-        share = (n + SMOOTH * parent) / (of + SMOOTH)
-        names, inverse = np.unique(context, return_inverse=True)
-        kept = np.zeros(len(names), bool)
-        kept[inverse[np.abs(np.log(share / parent)) >= np.log(RATIO)]] = True
-        own = kept[inverse]
-        taken, replaced = (np.bincount(inverse[own], weights=x[own], minlength=len(names))[kept] for x in (share, parent))
-        key = after(context[own], word[own])
-        order = np.argsort(key)
-        tree.append(States(names[kept], np.log10(np.maximum(1 - taken, 1e-9) / np.maximum(1 - replaced, 1e-9)), key[order], np.log10(share[own] / root[own])[order]))
-        often = follows.filter((F.col("n") >= least) & (F.col("word") != end)).select("context", "word").toArrow()
-        context, word = unsigned(often, "context", "word")
-        contexts, suffix = after(context, word), word
-    return tree
+        at, context, _ = contexts_of(tokens, place, depth)
+        for name in (own(context), after(context, tokens[at])):
+            may = model.has(name)
+            names.append(name[may])
+            owner.append(doc[at[may]])
+    return np.concatenate(names), np.concatenate(owner)
+
+
+def looked_up(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands in sorted_keys, and whether it does."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return at, sorted_keys[at] == keys
+
+
+def tallied(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys of each owner, the owner, and how often each occurs."""
+    sort = np.lexsort((keys, owner))
+    keys, owner = keys[sort], owner[sort]
+    new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]))
+    return keys[new], owner[new], np.diff(np.append(new, len(keys)))
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -207,48 +275,51 @@ def score_documents(docs: DataFrame) -> DataFrame:
     training = docs.filter("NOT held_out").select("text")
     counts = materialise(word_counts(training), "word-counts")
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    tree = grow(training, counts, total, types)
-    head = most_frequent(counts, "word", "c", HEAD)
-    order = np.argsort(head["word"].to_numpy().view(np.uint64))
-    shared = docs.sparkSession.sparkContext.broadcast((head["word"].to_numpy().view(np.uint64)[order], head["c"].to_numpy()[order], tree))
+    model = effects(lengths(training, counts, total, types, DEPTH))
+    if model is None:
+        model = docs.sparkSession.createDataFrame([], "name long, n long, effect double")
+    model = materialise(model, "effects")
+    by_name = lambda found, *names: [found[x].to_numpy()[np.argsort(found[names[0]].to_numpy().view(np.uint64))] for x in names]
+    words = by_name(most_frequent(counts, "word", "c", HEAD), "word", "c")
+    frequent = by_name(most_frequent(model, "name", "n", EFFECTS, "effect"), "name", "effect")
+    shared = docs.sparkSession.sparkContext.broadcast((words[0].view(np.uint64), words[1], frequent[0].view(np.uint64), frequent[1], Bitmap(model, "name")))
     norm = total + ADD * (types + 1)
 
     def scored(batches):
-        words, c, states = shared.value
+        words, c, names, effect, bitmap = shared.value
         log_share = np.log10((c + ADD) / norm)
         part, row = TaskContext.get().partitionId() << 40, 0
         for batch in batches:
             for at, to, data, offsets in chunks(batch.column("text")):
                 tokens, doc, place = token_stream(data, offsets)
                 n = to - at
-                found = np.minimum(np.searchsorted(words, tokens), max(0, len(words) - 1))
-                is_head = words[found] == tokens if len(words) else np.zeros(len(tokens), bool)
+                found, is_head = looked_up(tokens, words)
                 base = np.bincount(doc[is_head], weights=log_share[found[is_head]], minlength=n)
-                gain = np.bincount(doc, weights=stream_gains(states, tokens, place), minlength=n)
+                name, of = names_of(tokens, doc, place, bitmap)
+                met, is_frequent = looked_up(name, names)
+                gain = np.bincount(of[is_frequent], weights=effect[met[is_frequent]], minlength=n)
                 uid = part + row + np.arange(n, dtype=np.int64)
                 row += n
-                facts = [pa.array(uid), batch.column("doc_id")[at:to], batch.column("held_out")[at:to], pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_head], minlength=n)), pa.array(base), pa.array(gain), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
+                facts = [pa.array(uid), batch.column("doc_id")[at:to], batch.column("held_out")[at:to], pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_head], minlength=n)), pa.array(base), pa.array(gain), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
                 yield pa.RecordBatch.from_arrays(facts, names=NAMES)
-                tail, owner = tokens[~is_head], doc[~is_head]
-                if len(tail):
-                    sort = np.lexsort((tail, owner))
-                    tail, owner = tail[sort], owner[sort]
-                    new = np.flatnonzero(np.concatenate([[True], (tail[1:] != tail[:-1]) | (owner[1:] != owner[:-1])]))
-                    times = np.diff(np.append(new, len(tail)))
-                    none = pa.nulls(len(new), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(uid[owner[new]]), none, pa.nulls(len(new), pa.bool_()), none, none, pa.nulls(len(new), pa.float64()), pa.nulls(len(new), pa.float64()), pa.array(signed(tail[new])), pa.array(times)], names=NAMES)
-
-    rows = materialise(docs.mapInArrow(scored, "uid long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, gain double, word long, times long"), "scored")
-    facts, tail = rows.filter("word IS NULL"), rows.filter("word IS NOT NULL").select("uid", "word", "times")
-    looked = tail.join(counts, "word", "left").groupBy(F.col("uid").alias("_uid")).agg(
+                for k, (tail, owner) in enumerate([(tokens[~is_head], doc[~is_head]), (name[~is_frequent], of[~is_frequent])]):
+                    if len(tail):
+                        tail, owner, times = tallied(tail, owner)
+                        none, no_sum, m = pa.nulls(len(tail), pa.int64()), pa.nulls(len(tail), pa.float64()), pa.array(signed(tail))
+                        yield pa.RecordBatch.from_arrays([pa.array(uid[owner]), none, pa.nulls(len(tail), pa.bool_()), none, none, no_sum, no_sum, *([none, m] if k else [m, none]), pa.array(times)], names=NAMES)
+
+    rows = materialise(docs.mapInArrow(scored, "uid long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, gain double, word long, name long, times long"), "scored")
+    facts = rows.filter("times IS NULL")
+    looked = rows.filter("word IS NOT NULL").select("uid", "word", "times").join(counts, "word", "left").groupBy(F.col("uid").alias("_uid")).agg(
         F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + ADD) / norm)).alias("_base"), F.sum(F.when(F.col("c").isNotNull(), F.col("times"))).alias("_known")
     )
-    whole = facts.join(looked, F.col("uid") == F.col("_uid"), "left")
+    gained = rows.filter("name IS NOT NULL").select("uid", "name", "times").join(model.select("name", "effect"), "name").groupBy(F.col("uid").alias("_of")).agg(F.sum(F.col("times") * F.col("effect")).alias("_gain"))
+    whole = facts.join(looked, F.col("uid") == F.col("_uid"), "left").join(gained, F.col("uid") == F.col("_of"), "left")
     base = F.col("base") + F.coalesce("_base", F.lit(0.0))
-    return whole.select("doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+    return whole.select("doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain") + F.coalesce("_gain", F.lit(0.0))).alias("score"))
 
 
-NAMES = ["uid", "doc_id", "held_out", "n_tokens", "n_head", "base", "gain", "word", "times"]
+NAMES = ["uid", "doc_id", "held_out", "n_tokens", "n_head", "base", "gain", "word", "name", "times"]
 
 
 def op7_suffix_tree(spark, sf_dir: str) -> DataFrame:
