@@ -178,6 +178,23 @@ def test_line_dedup_deletes_later_runs_and_nothing_else(spark):
     assert {x.strip() for _, t in rows for x in (t or "").split("\n")} <= survivors | {""}
 
 
+def test_line_dedup_finds_every_run_of_the_least_size(spark):
+    rng = random.Random(9)
+    line = lambda n: prose(rng, n) + f" {rng.random()}"
+    shapes = [(5, 5, 5), (29, 29), (10, 48), (48, 10), (60,), (60, 5), (5, 60), (5, 60, 5), (24, 24), (5, 5)]
+    rows, want = [], {}
+    for i in range(20 * len(shapes)):
+        shape = shapes[i % len(shapes)]
+        run = [line(n) for n in shape]
+        words, longest = sum(len(x.split()) for x in run), max(run, key=lambda x: len(x.split()))
+        # a long line comes alone before, so that the first place of its gram isn't that of the run
+        alone = len(longest.split()) >= 50
+        rows += [(10 * i, "\n".join([line(6), longest, line(6)] if alone else [line(6)]))]
+        rows += [(10 * i + k, "\n".join([line(6), line(6), *run, line(6), line(6)])) for k in (1, 2)]
+        want |= {10 * i: 0, 10 * i + 1: int(alone), 10 * i + 2: len(run) if len(run) > 2 or words >= 50 else 0}
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(frame(spark, rows)).collect()} == want
+
+
 def test_line_dedup_repeated_rows_get_one_result(spark):
     text = "\n".join(f"line {i} of it" for i in range(4))
     got = line_dedup.dedup_lines(frame(spark, [(1, text), (2, text), (2, text), (None, text)])).collect()

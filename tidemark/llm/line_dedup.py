@@ -1,20 +1,28 @@
-"""Line deduplication by winnowing over line hashes, with DataFrame functions only.
-
-The lines of a text that hold a word, trimmed, are its positions. A gram starts
+"""Line deduplication over hashes of line runs, with DataFrame functions only.
+
+The lines of a text that hold a word, trimmed, are its positions. A run of them
+counts if it has ``min_lines`` lines or ``min_words`` words, and is deleted
+wherever it equals a run at an earlier place, in the order of doc_id (nulls
+last), text hash and line. It is enough to look at the grams: the runs that
+count but would not without their last line, or not without their first. Any
+run that counts is covered by the grams in it, and each gram of a later run is
+also in the earlier one. So every gram but its first occurrence in the corpus
+is deleted, no gram is left out, and a deleted line's words stay at an earlier
+place.
+
+``op4_line_dedup`` alone follows its SQL, which winnows: there a gram starts
 at a position and runs until it has ``min_lines`` lines or ``min_words`` words.
 A gram of one line of that many words is always a fingerprint; of the others,
 the smallest hash of each window of ``window`` consecutive grams is one (the
 rightmost of equals). So a repeated line of ``min_words`` words, and a repeated
-run that holds ``window`` whole grams, always has a fingerprint.
-
-Every fingerprint is joined to its first position in the corpus, in the order
-of doc_id (nulls last), text hash and line. Each pair of documents and shift
+run that holds ``window`` whole grams, always has a fingerprint; others may not.
+Every fingerprint is joined to its first position in the corpus. Each pair of documents and shift
 that meet so is compared line by line both ways, and each maximal run of equal
 lines with at least ``min_lines`` lines or ``min_words`` words is deleted from
-the later place. A deleted line's words therefore stay at an earlier place.
+the later place.
 
-Scale: everything is keyed by hashes of lines; a fingerprint is matched with
-its first position only, so a group of n copies gives n - 1 matches and never
+Scale: everything is keyed by hashes of lines; a gram is matched with its first
+position only, so a group of n copies gives n - 1 matches and never
 n squared. First positions come from a partial aggregation, and the equi-joins
 on them are ones whose large partitions adaptive execution splits. The text is
 shuffled once, to rebuild the changed documents.
@@ -86,8 +94,8 @@ def fingerprints(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     return grams.withColumn("_chosen", chosen | alone | (F.col("words") >= min_words)).filter("_chosen").select(*KEY, "pos", "gram")
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
-    """Key and raw line number of every line to delete."""
+def winnowed_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
+    """Key and raw line number of the lines that the winnowing rule deletes."""
     lines = materialise(line_rows(docs), "lines")
     prints = fingerprints(lines, min_lines, min_words, window)
     first = prints.groupBy("gram").agg(F.min(F.struct(*KEY, "pos")).alias("src"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", "src")
@@ -107,9 +115,31 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     return runs.withColumn("_long", long_enough).filter("_long").select(*KEY, "raw").distinct()
 
 
-def rebuilt(docs: DataFrame, **options) -> DataFrame:
-    """docs with the repeated lines out of text, and _n_lines, _n_removed."""
-    gone = repeated_lines(docs, **options).groupBy(*KEY).agg(F.collect_list("raw").alias("_gone"))
+def grams(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """Key, first raw line number, raw line numbers and hash of every gram."""
+    doc = Window.partitionBy(*KEY).orderBy("raw")
+    ahead = {f"_{name}{i}": F.lead(name, i).over(doc) for i in range(min_lines) for name in ("words", "line_hash", "raw")}
+    found, total = [], F.lit(0)
+    for i in range(min_lines):
+        shorter, total = total, total + F.col(f"_words{i}")
+        counts = F.col(f"_words{i}").isNotNull() if i + 1 == min_lines else total >= min_words
+        least = (shorter < min_words) | (total - F.col("_words0") < min_words)
+        run = F.struct(F.array(*[F.col(f"_raw{j}") for j in range(i + 1)]).alias("raws"), hash60(F.concat_ws(",", *[F.col(f"_line_hash{j}").cast("string") for j in range(i + 1)])).alias("gram"))
+        found.append(F.when(counts & least, run))
+    return lines.withColumns(ahead).select(*KEY, "raw", F.explode(F.array_compact(F.array(*found))).alias("_run")).select(*KEY, "raw", "_run.raws", "_run.gram")
+
+
+def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """Key and raw line number of every line to delete."""
+    found = materialise(grams(line_rows(docs), min_lines, min_words), "grams")
+    first = found.groupBy("gram").agg(F.min(F.struct(*KEY, "raw")).alias("src"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", "src")
+    later = found.join(first, "gram").filter(F.struct(*KEY, "raw") > F.col("src"))
+    return later.select(*KEY, F.explode("raws").alias("raw")).distinct()
+
+
+def rebuilt(docs: DataFrame, rule=repeated_lines, **options) -> DataFrame:
+    """docs with the lines that the rule finds out of text, and _n_lines, _n_removed."""
+    gone = rule(docs, **options).groupBy(*KEY).agg(F.collect_list("raw").alias("_gone"))
     out = with_key(docs).join(gone, KEY, "left")
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
@@ -135,9 +165,17 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     return rebuilt(docs, **options).filter(F.expr("_n_removed = 0") | (word_count(F.col("text")) > 0)).select(*docs.columns)
 
 
-def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
+def deduplicated(spark, sf_dir: str, rule) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+    return dedup_lines(docs, rule=rule).select("doc_id", "n_lines", "n_removed", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"))
+
+
+def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
+    return deduplicated(spark, sf_dir, winnowed_repeats)
+
+
+def op4_line_dedup_all_runs(spark, sf_dir: str) -> DataFrame:
+    return deduplicated(spark, sf_dir, repeated_lines)
 
 
 _GAP = r"[\x20\x09-\x0D]+"
@@ -160,3 +198,11 @@ gone AS (SELECT ord, text_id, list(DISTINCT raw) AS raws FROM sized_runs WHERE n
 cleaned AS (SELECT k.doc_id, len(string_split(coalesce(k.text, ''), chr(10))) AS n_lines, coalesce(len(g.raws), 0) AS n_removed,
   CASE WHEN g.raws IS NULL THEN k.text ELSE array_to_string(list_filter(string_split(k.text, chr(10)), lambda x, i: NOT list_contains(g.raws, i - 1)), chr(10)) END AS text FROM keyed k LEFT JOIN gone g ON k.ord = g.ord AND k.text_id = g.text_id)"""
 OP4_SQL = "WITH " + LINES_SQL.format(docs="documents") + " SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, md5(coalesce(text, '')) AS text_md5 FROM cleaned"
+
+#: All runs of up to three lines that count, not only the grams.
+ALL_RUNS_SQL = LINES_SQL[: LINES_SQL.index("measured AS")] + """stretches AS (SELECT ord, text_id, pos, 1 AS size, [line_hash] AS content FROM looked WHERE words >= 50 UNION ALL SELECT ord, text_id, pos, 2, [line_hash, h1] FROM looked WHERE words + w1 >= 50 UNION ALL SELECT ord, text_id, pos, 3, [line_hash, h1, h2] FROM looked WHERE w2 IS NOT NULL),
+firsts AS (SELECT content, min((ord, text_id, pos)) AS src FROM stretches GROUP BY content HAVING count(*) > 1),
+later AS (SELECT r.ord, r.text_id, r.pos, r.size FROM stretches r JOIN firsts f USING (content) WHERE (r.ord, r.text_id, r.pos) > f.src),
+gone AS (SELECT l.ord, l.text_id, list(DISTINCT l.raw) AS raws FROM later x JOIN lines l ON l.ord = x.ord AND l.text_id = x.text_id AND l.pos >= x.pos AND l.pos < x.pos + x.size GROUP BY l.ord, l.text_id),
+""" + LINES_SQL[LINES_SQL.index("cleaned AS") :]
+OP4_ALL_RUNS_SQL = OP4_SQL.replace(LINES_SQL.format(docs="documents"), ALL_RUNS_SQL.format(docs="documents"))

@@ -7,6 +7,7 @@ QUERIES = {
     "op2_sharding": sharding.op2_sharding,
     "op3_chat": chat.op3_chat,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op4_line_dedup_all_runs": line_dedup.op4_line_dedup_all_runs,
     "op5_quality_classifier": quality_classifier.op5_quality_classifier,
     "op6_quality_rules": quality_rules.op6_quality_rules,
     "op7_suffix_tree": suffix_tree.op7_suffix_tree,
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_chat": chat.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
+    "op4_line_dedup_all_runs": line_dedup.OP4_ALL_RUNS_SQL,
     "op8_mixing": mixing.OP8_SQL,
     "op9_exact_topk": exact_topk.OP9_SQL,
 }
