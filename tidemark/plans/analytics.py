@@ -9,7 +9,7 @@ from tidemark.operators import ledger as L
 from tidemark.operators import series as S
 from tidemark.plans import bindings as B
 from tidemark.plans.ledgers import DAY, SPEC, seen_sql
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLE_SQL, query
 
 TYPES = ["click", "error", "purchase", "signup", "view"]
 WIDE = B.SERIES + ", wide AS (SELECT period_start, " + ", ".join(f"max(value) FILTER (WHERE series_id = '{t}') AS {t}" for t in TYPES) + " FROM series GROUP BY 1)"
@@ -24,11 +24,20 @@ def rounded(df, *columns, places=6):
     return df.withColumns({c: F.round(F.col(c), places) for c in columns})
 
 
+def _with_part(spark, sf_dir, lines):
+    part = B.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
+    return J.join_dimension(lines.select("l_orderkey", "l_linenumber", "l_partkey"), part, ["l_partkey"])
+
+
 @query("C1_join_dimension_inner", "SELECT l_orderkey, l_linenumber, l_partkey, p_brand, p_type FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity > 45")
 def dimension(spark, sf_dir):
-    part = B.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
-    lines = B.read(spark, sf_dir, "lineitem").filter("l_quantity > 45").select("l_orderkey", "l_linenumber", "l_partkey")
-    return J.join_dimension(lines, part, ["l_partkey"])
+    """The lines of large quantities, as its SQL has it."""
+    return _with_part(spark, sf_dir, B.read(spark, sf_dir, "lineitem").filter("l_quantity > 45"))
+
+
+@query("C1_join_dimension_inner_all", ORACLE_SQL["C1_join_dimension_inner"].replace(" WHERE l_quantity > 45", ""))
+def dimension_all(spark, sf_dir):
+    return _with_part(spark, sf_dir, B.read(spark, sf_dir, "lineitem"))
 
 
 @query("C2_identifier_resolve", f"WITH {B.INTERVALS}, i2 AS (SELECT * FROM intervals UNION ALL SELECT symbol, target + 1, priority, valid_from, valid_through FROM intervals WHERE symbol % 7 = 0), probes AS (SELECT o_orderkey AS probe, o_custkey AS symbol, CAST(o_orderdate AS DATE) - 40 AS d FROM orders), m AS (SELECT probe, count(i.symbol) AS n, min(target) AS target FROM probes p LEFT JOIN i2 i ON i.symbol = p.symbol AND i.valid_from <= d AND (i.valid_through IS NULL OR i.valid_through >= d) GROUP BY 1) SELECT probe, CASE n WHEN 0 THEN 'unknown' WHEN 1 THEN 'resolved' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN target END AS target FROM m")

@@ -9,7 +9,7 @@ from tidemark.functions import scalars
 from tidemark.functions.temporal import CALENDAR_DATE_INCLUSIVE, COMPLETED_DATE, Temporal, bucket_end, bucket_start, cutoff, effective_on, month_bounds, parse_temporal, pit_visible, pit_warning
 from tidemark.operators import ledger as L
 from tidemark.plans import bindings as B
-from tidemark.plans.registry import query
+from tidemark.plans.registry import ORACLE_SQL, query
 
 DAY, MOMENT = "1998-06-15", "1998-06-15T10:00:00Z"
 SPEC = L.LedgerSpec(key=("key",), rank=("seq",), payload=("value",), state="state")
@@ -314,15 +314,25 @@ def universe_apply(spark, sf_dir):
     return L.apply_universe(current.withColumn("valid_through", none), snapshot.withColumn("valid_through", none), complete=True)
 
 
-@query("L9_weekly_fundamental_append", f"WITH {OBSERVED}, w AS (SELECT metric AS series_id, date_trunc('week', known_on) AS period, band, state, known_on, key, seq FROM observed WHERE subject % 10 = 0), m AS (SELECT *, lag(band) OVER o IS NOT DISTINCT FROM band OR lag(state) OVER o IS NOT DISTINCT FROM state AS same, lag(seq) OVER o AS before FROM w WINDOW o AS (PARTITION BY series_id, period ORDER BY known_on, key, seq)) SELECT series_id, CAST(period AS DATE) AS period, count(*) AS versions FROM m WHERE NOT (same AND before IS NOT NULL) GROUP BY 1, 2")
-def weekly_append(spark, sf_dir):
+def _weekly_versions(observations):
     """A version is unchanged if its digest or its value equals the one before."""
-    rows = observed(spark, sf_dir).filter("subject % 10 = 0").select(F.col("metric").alias("series_id"), F.trunc("known_on", "week").alias("period"), "band", "state", "known_on", "key", "seq")
+    rows = observations.select(F.col("metric").alias("series_id"), F.trunc("known_on", "week").alias("period"), "band", "state", "known_on", "key", "seq")
     order = Window.partitionBy("series_id", "period").orderBy("known_on", "key", "seq")
     same = (F.lag("band").over(order).eqNullSafe(F.col("band")) | F.lag("state").over(order).eqNullSafe(F.col("state"))) & F.lag("seq").over(order).isNotNull()
     return rows.withColumn("_same", same).filter("NOT _same").groupBy("series_id", "period").agg(F.count(F.lit(1)).alias("versions"))
 
 
+@query("L9_weekly_fundamental_append", f"WITH {OBSERVED}, w AS (SELECT metric AS series_id, date_trunc('week', known_on) AS period, band, state, known_on, key, seq FROM observed WHERE subject % 10 = 0), m AS (SELECT *, lag(band) OVER o IS NOT DISTINCT FROM band OR lag(state) OVER o IS NOT DISTINCT FROM state AS same, lag(seq) OVER o AS before FROM w WINDOW o AS (PARTITION BY series_id, period ORDER BY known_on, key, seq)) SELECT series_id, CAST(period AS DATE) AS period, count(*) AS versions FROM m WHERE NOT (same AND before IS NOT NULL) GROUP BY 1, 2")
+def weekly_append(spark, sf_dir):
+    """A tenth of the subjects, as its SQL has it."""
+    return _weekly_versions(observed(spark, sf_dir).filter("subject % 10 = 0"))
+
+
+@query("L9_weekly_fundamental_append_all", ORACLE_SQL["L9_weekly_fundamental_append"].replace(" WHERE subject % 10 = 0", ""))
+def weekly_append_all(spark, sf_dir):
+    return _weekly_versions(observed(spark, sf_dir))
+
+
 @query("L11_fundamental_derive", f"WITH {B.OBS}, facts AS (SELECT suppkey AS issuer, p_type AS concept, p_size % 3 AS unit, CAST(date_trunc('quarter', available_date) AS DATE) AS period, available_date, key, seq, value FROM obs JOIN part ON p_partkey = partkey), mapping AS (SELECT DISTINCT p_type AS concept, p_size % 3 AS unit, lower(p_type) || '_' || (p_size % 3) AS metric FROM part WHERE p_type <> 'PROMO' AND p_size % 3 < 2), m AS (SELECT f.*, g.metric FROM facts f JOIN mapping g ON f.concept = g.concept AND f.unit = g.unit) SELECT issuer, metric, period, count(*) AS versions, arg_max(value, (available_date, key, seq)) AS value FROM m GROUP BY 1, 2, 3")
 def fundamental_derive(spark, sf_dir):
     """Raw facts to canonical metrics by the mapping; the last version of each metric and period."""
