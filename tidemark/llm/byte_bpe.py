@@ -1,19 +1,18 @@
 """Byte-level BPE encoding and decoding by recursive DuckDB queries inside tasks.
 
-The texts of an Arrow batch are cut into words by the tokenizer's pattern; the
-words that are new to the task go to a DuckDB query as rows of word, position
-and byte token. Each turn of its recursion joins neighbours with the merge
-table, takes every word's leftmost pair of the least rank and contracts it,
-until no word has a pair left. An ordered aggregation over the token positions
-joins the tokens' bytes back and so decodes each word; a text's ids and bytes
-are those of its words in order.
+Texts are cut into words by the tokenizer's pattern; the words that are new to
+the task go to a DuckDB query as rows of word, position and byte token. Each
+turn of its recursion joins neighbours with the merge table, takes every word's
+leftmost pair of the least rank and contracts it, until no word has a pair
+left. An ordered aggregation over the token positions joins the tokens' bytes
+back and so decodes each word; a text's ids and bytes are those of its words in
+order.
 
 Scale: one narrow pass over the texts; nothing is shuffled. The merge table
 (about twice the vocabulary) is built in each Python worker from the rank
-file, whose bytes are broadcast. Words are kept with their ids between batches
-in two generations of about ``CACHE``, the older of which goes when the younger
-is full, so a word that a worker meets often is merged once. Texts are taken in
-pieces of a megabyte, cut between documents.
+file, whose bytes are broadcast. Texts wait, at most ``HELD_BYTES`` of them,
+until ``QUERY_WORDS`` new words have come together; a word is kept with its ids
+and merged once, until the kept words take more than ``CACHE_BYTES``.
 
 Defined cases: a null text is empty and has no ids; any characters, special
 tokens' names included, are ordinary text; a word that is itself in the
@@ -28,7 +27,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator, Sequence
+from collections import deque
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +41,15 @@ from tidemark.llm.common import table
 from tidemark.llm.tokens import chunks
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Words of a generation of the cache; two are kept.
-CACHE = 100_000
+#: About so many bytes of memory for the words that a worker knows.
+CACHE_BYTES = 96 << 20
+#: Bytes of text that wait for new words to come together.
+HELD_BYTES = 4 << 20
 #: Words in one recursive query.
 QUERY_WORDS = 30_000
-LONG_WORD = 200
+LONG_WORD = 2000
+#: A recursive query keeps the rows of all its turns, about half the sum of its words' squared lengths.
+QUERY_SQUARES = 8_000_000
 
 MERGE_SQL = """
 WITH RECURSIVE state(word, pos, next_pos, token, next_token, turn) AS (
@@ -72,6 +77,14 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines()) if token}
 
 
+class Numbers(dict):
+    """Words by number; a new word gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Encoder:
     """Words to ids and back, in one Python worker."""
 
@@ -83,9 +96,8 @@ class Encoder:
         self.tokens = {i: t for t, i in self.ranks.items()}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.words = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[bytes, bytes]] = {}  # ids as little-endian 32 bits, decoded bytes
-        self.older: dict[str, tuple[bytes, bytes]] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB"})
+        self.forget()
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "150MB", "temp_directory": ""})
         merges = [(self.ranks[t[:i]], self.ranks[t[i:]], rank) for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         left, right, merged = (pa.array(x, pa.int32()) for x in zip(*merges))
         self.db.register("_merges", pa.table({"left_token": left, "right_token": right, "merged": merged}))
@@ -93,18 +105,30 @@ class Encoder:
         self.db.execute("CREATE TABLE merges AS FROM _merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM _vocabulary")
 
-    def contract(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    def forget(self) -> None:
+        self.numbers = Numbers()
+        self.ids: list[bytes] = []  # of each word by number, as little-endian 32 bits
+        self.decoded: list[bytes] = []
+        self.kept_bytes = 0
+
+    def contract(self, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """ids (as their bytes) and decoded bytes of each of the words, none of them empty."""
-        lengths = np.array([len(w) for w in words])
+        whole = np.array([self.ranks.get(w, -1) for w in words], np.int32)
+        data = [b"\0" if r >= 0 else w for w, r in zip(words, whole.tolist())]
+        lengths = np.array([len(d) for d in data])
         first = np.cumsum(lengths) - lengths
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         pos = (np.arange(lengths.sum()) - np.repeat(first, lengths)).astype(np.int32)
-        self.db.register("start_tokens", pa.table({"word": word, "pos": pos, "token": self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]}))
+        token = self.byte_ids[np.frombuffer(b"".join(data), np.uint8)]
+        token[first[whole >= 0]] = whole[whole >= 0]
+        self.db.register("start_tokens", pa.table({"word": word, "pos": pos, "token": token}))
         found = self.db.sql(MERGE_SQL).to_arrow_table().combine_chunks()
         ids = found["ids"].chunk(0) if isinstance(found["ids"], pa.ChunkedArray) else found["ids"]
         at, flat = (4 * ids.offsets.to_numpy().astype(np.int64)).tolist(), ids.values.to_numpy().astype("<u4").tobytes()
-        for a, b, decoded in zip(at, at[1:], found["decoded"].to_pylist()):
-            yield flat[a:b], bytes.fromhex(decoded)
+        decoded = found["decoded"].to_pylist()
+        ends = np.cumsum([len(d) // 2 for d in decoded]).tolist()
+        raw = bytes.fromhex("".join(decoded))
+        return [flat[a:b] for a, b in zip(at, at[1:])], [raw[a:b] for a, b in zip([0, *ends], ends)]
 
     def contract_long(self, word: bytes) -> np.ndarray:
         """The same contraction for one very long word: the leftmost pair of the least rank, from a heap."""
@@ -127,34 +151,52 @@ class Encoder:
                 heapq.heappush(heap, (r, j, to))
         return np.array([t for t, a in zip(token, alive) if a], np.uint32)
 
-    def learn(self, words: list[str]) -> None:
-        """Bring words into the cache that are not in it."""
-        todo: list[tuple[str, bytes]] = []
+    def contract_mixed(self, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """As contract, for words of which some are very long."""
+        short = [w for w in words if len(w) <= LONG_WORD]
+        found = zip(*self.contract(short)) if short else iter(())
+        out = []
         for w in words:
-            if (known := self.older.get(w)) is not None:
-                self.cache[w] = known
-                continue
-            raw = w.encode()
-            if (own := self.ranks.get(raw)) is not None:
-                self.cache[w] = (own.to_bytes(4, "little"), self.tokens[own])
-            elif len(raw) > LONG_WORD:
-                ids = self.contract_long(raw)
-                self.cache[w] = (ids.astype("<u4").tobytes(), b"".join(self.tokens[i] for i in ids.tolist()))
+            if len(w) <= LONG_WORD:
+                out.append(next(found))
             else:
-                todo.append((w, raw))
-        for k in range(0, len(todo), QUERY_WORDS):
-            part = todo[k : k + QUERY_WORDS]
-            self.cache.update(zip([w for w, _ in part], self.contract([raw for _, raw in part])))
-
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """ids (as their bytes) and decoded bytes of each text."""
-        if len(self.cache) > CACHE:
-            self.older, self.cache = self.cache, {}
-        cut = [self.words(t) for t in texts]
-        self.learn([w for w in dict.fromkeys(w for words in cut for w in words) if w not in self.cache])
-        for words in cut:
-            pieces = [self.cache[w] for w in words]
-            yield b"".join([ids for ids, _ in pieces]), b"".join([decoded for _, decoded in pieces])
+                merged = self.contract_long(w)
+                out.append((merged.astype("<u4").tobytes(), b"".join([self.tokens[i] for i in merged.tolist()])))
+        return [i for i, _ in out], [d for _, d in out]
+
+    def learn(self, words: list[str]) -> None:
+        """ids and decoded bytes of the words with the next numbers."""
+        raw = [w.encode() for w in words]
+        squares = np.cumsum([min(len(w), LONG_WORD) ** 2 for w in raw])
+        start = 0
+        while start < len(raw):
+            before = squares[start - 1] if start else 0
+            end = min(start + QUERY_WORDS, max(start + 1, int(np.searchsorted(squares, before + QUERY_SQUARES, "right"))))
+            part, start = raw[start:end], end
+            ids, decoded = self.contract(part) if max(map(len, part)) <= LONG_WORD else self.contract_mixed(part)
+            self.ids += ids
+            self.decoded += decoded
+            self.kept_bytes += sum(map(len, ids)) + 2 * sum(map(len, part)) + 250 * len(part)
+
+    def encode(self, pieces: Iterable[list[str]]) -> Iterator[list[tuple[bytes, bytes]]]:
+        """For each piece, a list of texts, the ids (as their bytes) and decoded bytes of each text; pieces wait until enough new words have come together."""
+        held: list[list[list[int]]] = []
+        waiting = 0
+
+        def handed_on():
+            self.learn(list(islice(self.numbers, len(self.ids), None)))
+            for piece in held:
+                yield [(b"".join(map(self.ids.__getitem__, numbers)), b"".join(map(self.decoded.__getitem__, numbers))) for numbers in piece]
+            if self.kept_bytes > CACHE_BYTES:
+                self.forget()
+
+        for texts in pieces:
+            held.append([list(map(self.numbers.__getitem__, self.words(t))) for t in texts])
+            waiting += sum(map(len, texts))
+            if len(self.numbers) - len(self.ids) >= QUERY_WORDS or waiting >= HELD_BYTES:
+                yield from handed_on()
+                held, waiting = [], 0
+        yield from handed_on()
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -175,20 +217,25 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, keep: Sequence[str] = ("
     own = [c for c in docs.columns if c != "text" and c not in kinds]
 
     def encoded(batches):
-        bpe = encoder(*shared.value)
-        for batch in batches:
-            for at, to, _, _ in chunks(batch.column("text")):
-                found = list(bpe.encode([t or "" for t in batch.column("text")[at:to].to_pylist()]))
-                columns = {
-                    "n_tokens": pa.array([len(i) // 4 for i, _ in found], pa.int64()),
-                    "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i, _ in found], pa.string()),
-                    "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for _, d in found], pa.string()),
-                }
-                if "ids" in keep:
-                    columns["ids"] = pa.array([np.frombuffer(i, "<i4") for i, _ in found], pa.list_(pa.int32()))
-                if "decoded" in keep:
-                    columns["decoded"] = pa.array([d for _, d in found], pa.binary())
-                yield pa.RecordBatch.from_arrays([*[batch.column(c)[at:to] for c in own], *[columns[c] for c in kinds]], names=[*own, *kinds])
+        waiting: deque[pa.RecordBatch] = deque()
+
+        def pieces():
+            for batch in batches:
+                for at, to, _, _ in chunks(batch.column("text")):
+                    waiting.append(batch.slice(at, to - at).select(own))
+                    yield [t or "" for t in batch.column("text")[at:to].to_pylist()]
+
+        for found in encoder(*shared.value).encode(pieces()):
+            columns = {
+                "n_tokens": pa.array([len(i) // 4 for i, _ in found], pa.int64()),
+                "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i, _ in found], pa.string()),
+                "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for _, d in found], pa.string()),
+            }
+            if "ids" in keep:
+                columns["ids"] = pa.array([np.frombuffer(i, "<i4") for i, _ in found], pa.list_(pa.int32()))
+            if "decoded" in keep:
+                columns["decoded"] = pa.array([d for _, d in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*waiting.popleft().columns, *[columns[c] for c in kinds]], names=[*own, *kinds])
 
     schema = T.StructType([*docs.select(*own).schema.fields, *[T.StructField(c, kind) for c, kind in kinds.items()]])
     return docs.select(*own, "text").mapInArrow(encoded, schema)
