@@ -5,11 +5,13 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from tidemark.llm import byte_bpe, chat, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_tree
+from tidemark.llm.common import shared_dir
 from tidemark.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size string, score string, n_lines string, n_removed string, shard string, n_tokens string, target string"
@@ -72,6 +74,43 @@ def test_ngram_join_equals_all_pairs(spark, options):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
+def test_ngram_join_tells_sets_of_one_id_apart(spark, monkeypatch):
+    whole = ngram_join.set_id
+    monkeypatch.setattr(ngram_join, "set_id", lambda s: whole(s) % 11)
+    rows = near_copies()
+    got = ngram_join.link_classes(frame(spark, rows))[0]
+    assert got.filter("n > 0").select("sid").distinct().count() == len({frozenset(shingles(t)) for _, t in rows} - {frozenset()})
+
+
+def test_ngram_join_of_graded_copies_equals_all_pairs(spark):
+    """Sets of many sizes around one another, so that lists hold several size ranges and lists of two."""
+    rng, rows = random.Random(8), []
+    for base in range(4):
+        words = [f"b{base}w{i}" for i in range(90)]
+        for i in range(40):
+            a, n = rng.randrange(0, 25), rng.randrange(45, 90)
+            rows.append((len(rows), " ".join(words[a : a + n] + [f"own{len(rows)}x{j}" for j in range(rng.randrange(0, 14))])))
+    got = {r.doc_id: r.component_id for r in ngram_join.jaccard_components(frame(spark, rows)).collect()}
+    assert got == {r[0]: c for r, c in zip(rows, linked(rows))}
+
+
+def test_ngram_join_leaves_no_table_of_a_turn(spark):
+    folder = Path(shared_dir(spark).removeprefix("file://")) / "tidemark"
+    names = lambda: Counter(p.name.rsplit("-", 1)[0] for p in folder.iterdir())
+    folder.mkdir(exist_ok=True)
+    before = names()
+    ngram_join.jaccard_components(frame(spark, near_copies())).count()
+    assert set(names() - before) == {"set-facts", "classes", "class-components"}
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    class Session:
+        conf = {"spark.master": "yarn"}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
 def test_ngram_join_keeps_one_of_each(spark):
     rows = near_copies()
     kept = ngram_join.one_of_each(frame(spark, rows))
@@ -403,7 +442,7 @@ def test_byte_bpe_equals_the_library_and_round_trips(spark):
     lines, pattern = byte_bpe.public_vocabulary()
     library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=byte_bpe.read_ranks(lines), special_tokens={})
     rng = random.Random(10)
-    texts = ["", None, " ", "Hello,  world!\n\n\t it's <|endoftext|> 12345 naïve Straße 日本語 🙂🙂", "a" * 5000, "ab" * 130 + "ß" * 200, " " * 3000, "\x00\x07", prose(rng, 3000)]
+    texts = ["", None, " ", "Hello,  world!\n\n\t it's <|endoftext|> 12345 naïve Straße 日本語 🙂🙂", "a" * 5000, "ab" * 130 + "ß" * 200, "x" + "qz" * 1400, prose(rng, 40).replace(" ", "") * 30, " " * 3000, "\x00\x07", prose(rng, 3000)]
     texts += ["".join(rng.choice("abcdeé ñ.!\n1") for _ in range(rng.randrange(1, 80))) for _ in range(200)]
     docs = frame(spark, [(i, t) for i, t in enumerate(texts)] + [(None, "x y"), (4, "again")])
     out = byte_bpe.encode(docs, lines, pattern)

@@ -13,6 +13,10 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 MAX_LONG = 2**63 - 1
 
 
+#: The temporary folder of each local application without a shared one.
+_own: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -20,12 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a temporary one is set.
+    Only where the session names none and runs on one machine (tests) a
+    temporary one is set; a cluster without it is refused.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="tidemark-")
+            spark.sparkContext.setCheckpointDir(_own[app])
+        found = _own[app]
     return found.rstrip("/")
 
 
@@ -34,7 +45,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialised tables that no one reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def word_count(text: Column) -> Column:

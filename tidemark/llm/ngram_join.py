@@ -20,9 +20,11 @@ Equal sets are one class and enter once. The steps:
 4. Candidate pairs are verified with whole sets. A set that links with its
    pivot is highly similar to it and takes over its answers: it belongs to the
    pivot's component, and a list that lies in one component is finished.
-5. The other lists are tried with other pivots, in the turns of ``PIVOTS``; then all pairs
-   of their sets that are in different components still, pass the size and
-   position bounds and were not verified before, are verified, so no link that could join two components is lost.
+5. The lists that hold several components still are tried with one more pivot,
+   the set most like the others; then the pairs of their sets in different
+   components that pass the size and position bounds in some list, and share
+   enough prefix shingles, are verified, so no link that could join two
+   components is lost.
 6. Components of the links are spread to classes and to documents.
 
 Scale: texts are read three times and tokenised in Arrow batches; only prefix
@@ -46,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import MAX_LONG, materialise, most_frequent, table
+from tidemark.llm.common import MAX_LONG, materialise, most_frequent, release, table
 from tidemark.llm.components import components
 from tidemark.llm.tokens import Words, chunks, mix, shingle_sets, signed
 
@@ -59,8 +61,6 @@ COUNT_WINDOW = 4_000_000
 #: A list expected to be longer is split over cells of about this many sets.
 CELL = 20_000
 FILTER_BITS = 1 << 23
-#: How many other pivots lists in several components are tried with, turn by turn, before all their pairs are.
-PIVOTS = (1, 3, 6)
 
 
 def set_id(s: np.ndarray) -> int:
@@ -69,6 +69,17 @@ def set_id(s: np.ndarray) -> int:
     return int(mix(np.array([folded % 2**64], np.uint64))[0]) >> 1
 
 
+def check_id(s: np.ndarray) -> int:
+    """64 other bits of a set of shingles."""
+    return int(signed(mix(s + np.uint64(0xD1B54A32D192ED03)).sum(dtype=np.uint64, keepdims=True))[0])
+
+
+def name_of(s: np.ndarray, clashes: dict[int, dict[int, int]]) -> int:
+    """The set's id; of sets with equal ids all but one have another."""
+    sid = set_id(s)
+    return clashes[sid].get(check_id(s), sid) if sid in clashes else sid
+
+
 def batch_sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, set) for each row of a batch with a text column."""
     for at, _, data, offsets in chunks(batch.column("text")):
@@ -78,7 +89,7 @@ def batch_sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]
 
 
 def set_facts(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n and sid of each document, and in rows without n a shingle with its count among a window of distinct sets."""
+    """doc_id, n, sid and a check of each document, and in rows without n a shingle with its count among a window of distinct sets."""
 
     def facts(batches):
         pool, pooled, seen = [], 0, set()
@@ -86,12 +97,12 @@ def set_facts(docs: DataFrame, k: int) -> DataFrame:
         def counted():
             every, n = np.unique(np.concatenate(pool), return_counts=True)
             often = n > 1
-            return pa.RecordBatch.from_arrays([pa.nulls(often.sum(), pa.int64()), pa.nulls(often.sum(), pa.int32()), pa.array(signed(every[often])), pa.array(n[often].astype(np.int32))], names=["doc_id", "n", "sid", "times"])
+            return pa.RecordBatch.from_arrays([pa.nulls(often.sum(), pa.int64()), pa.nulls(often.sum(), pa.int32()), pa.array(signed(every[often])), pa.nulls(often.sum(), pa.int64()), pa.array(n[often].astype(np.int32))], names=["doc_id", "n", "sid", "check", "times"])
 
         for batch in batches:
-            sizes, ids = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int64)
+            sizes, ids, checks = np.zeros(batch.num_rows, np.int32), np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             for row, s in batch_sets(batch, k):
-                sizes[row], ids[row] = len(s), (sid := set_id(s))
+                sizes[row], ids[row], checks[row] = len(s), (sid := set_id(s)), check_id(s)
                 if sid not in seen:
                     seen.add(sid)
                     pool.append(s)
@@ -99,39 +110,58 @@ def set_facts(docs: DataFrame, k: int) -> DataFrame:
                     if pooled >= COUNT_WINDOW:
                         yield counted()
                         pool, pooled, seen = [], 0, set()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(ids), pa.nulls(batch.num_rows, pa.int32())], names=["doc_id", "n", "sid", "times"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(ids), pa.array(checks), pa.nulls(batch.num_rows, pa.int32())], names=["doc_id", "n", "sid", "check", "times"])
         if pool:
             yield counted()
 
-    return docs.mapInArrow(facts, "doc_id long, n int, sid long, times int")
+    return docs.mapInArrow(facts, "doc_id long, n int, sid long, check long, times int")
+
+
+def clashing(sized: DataFrame) -> dict[int, dict[int, int]]:
+    """Of different sets with one id, the further ones' new ids by id and check.
+
+    Of N sets some N * N / 2^64 pairs clash: none at 10^9, five at 10^10.
+    """
+    several = sized.groupBy("sid").agg(F.min("check").alias("_first"), F.max("check").alias("_last")).filter("_first <> _last")
+    further = sized.join(several, "sid").filter("check <> _first").select("sid", "check").distinct()
+    out: dict[int, dict[int, int]] = {}
+    for sid, check in further.collect():
+        out.setdefault(sid, {})[check] = int(mix(np.array([check], np.int64).view(np.uint64))[0]) >> 1
+    return out
 
 
 def frequent_shingles(facts: DataFrame, bound: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (sorted, unsigned) and counts of the most frequent shingles, at most bound of them."""
     counts = materialise(facts.filter("n IS NULL").groupBy(F.col("sid").alias("h")).agg(F.sum("times").alias("times")), "shingle-counts")
     found = most_frequent(counts, "h", "times", bound)
+    release(counts)
     hashes, times = found["h"].to_numpy().view(np.uint64), found["times"].to_numpy()
     order = np.argsort(hashes)
     return hashes[order], times[order]
 
 
-def cell_of(h: np.ndarray, salt: np.ndarray) -> np.ndarray:
-    return np.where(salt == 0, h, mix(h + salt * np.uint64(0xD1B54A32D192ED03)))
-
+def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], clashes: dict, cell: int = CELL) -> DataFrame:
+    """h, salt, sid and place (size << 32 | position) of every prefix shingle of every distinct set.
 
-def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], cell: int = CELL) -> DataFrame:
-    """cell, sid and place (size << 32 | position) of every prefix shingle of every distinct set."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    salt is the cell of a list that is split, -1 where it isn't.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((*frequent, clashes))
 
     def entries(batches):
-        last, times = shared.value
+        last, times, clashes = shared.value
         rank = np.empty(len(last), np.int64)
         rank[np.lexsort((last, times))] = np.arange(len(last))
         seen: set[int] = set()
+        names = ["h", "salt", "sid", "place"]
+
+        def handed_on(*columns):
+            h, salt, ids, places = (np.concatenate(c) for c in columns)
+            return pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(salt), pa.array(ids), pa.array(places)], names=names)
+
         for batch in batches:
-            cells, ids, places, held = [], [], [], 0
+            hashes, salts, ids, places, held = [], [], [], [], 0
             for _, s in batch_sets(batch, k):
-                sid, n = set_id(s), len(s)
+                sid, n = name_of(s, clashes), len(s)
                 if not n or sid in seen:
                     continue
                 if len(seen) > 500_000:
@@ -143,53 +173,44 @@ def prefix_entries(docs: DataFrame, k: int, percent: int, frequent: tuple[np.nda
                 rare, common = s[~is_last], at[is_last]
                 common = common[np.argsort(rank[common])][: max(0, length - len(rare))]
                 h = np.concatenate([rare[:length], last[common]])
-                salt = np.zeros(len(h), np.uint64)
+                salt = np.full(len(h), -1, np.int32)
                 if len(common):
-                    salt[len(h) - len(common) :] = np.uint64(sid) % (times[common] // cell + 1).astype(np.uint64)
-                cells.append(cell_of(h, salt))
+                    cells = times[common] // cell + 1
+                    salt[len(h) - len(common) :] = np.where(cells > 1, sid % cells, -1)
+                hashes.append(h)
+                salts.append(salt)
                 ids.append(np.full(len(h), sid, np.int64))
                 places.append((n << 32) + np.arange(len(h), dtype=np.int64))
                 held += len(h)
                 if held > 500_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(cells))), pa.array(np.concatenate(ids)), pa.array(np.concatenate(places))], names=["cell", "sid", "place"])
-                    cells, ids, places, held = [], [], [], 0
+                    yield handed_on(hashes, salts, ids, places)
+                    hashes, salts, ids, places, held = [], [], [], [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(cells))), pa.array(np.concatenate(ids)), pa.array(np.concatenate(places))], names=["cell", "sid", "place"])
+                yield handed_on(hashes, salts, ids, places)
 
-    return docs.select("text").mapInArrow(entries, "cell long, sid long, place long")
+    return docs.select("text").mapInArrow(entries, "h long, salt int, sid long, place long")
 
 
-def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, np.ndarray], cell: int = CELL) -> DataFrame:
-    """The entries of lists with two sets or more, each with its pivot's sid and place; h names the list across its cells, two tells that it has no third set."""
-    hashes, times = frequent
-    hot = times >= cell
-    names, cells = [], []
-    for h, t in zip(hashes[hot], times[hot]):
-        own = np.full(t // cell + 1, h, np.uint64)
-        names.append(own)
-        cells.append(cell_of(own, np.arange(len(own), dtype=np.uint64)))
-    split = (signed(np.concatenate(cells)), signed(np.concatenate(names))) if names else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    order = np.argsort(split[0])
-    shared = entries.sparkSession.sparkContext.broadcast((split[0][order], split[1][order]))
+def shared_lists(entries: DataFrame, percent: int) -> DataFrame:
+    """The entries of lists with two sets or more, each with its pivot's sid and place; split tells that the list has several cells, leads that the set is the first of a whole list and so its size range the first, two that the list has no third set."""
 
     def with_pivots(batches):
-        split_cells, split_names = shared.value
         held = None  # the first entry of a list of which no second has come
         list_id = sid = pivot = pivot_place = None  # of the entry before
         for batch in batches:
-            c, s, p = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("cell", "sid", "place"))
+            c, z, s, p = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("h", "salt", "sid", "place"))
             if held is not None:
-                c, s, p = (np.concatenate([[h], x]) for h, x in zip(held, (c, s, p)))
+                c, z, s, p = (np.concatenate([np.array([h], x.dtype), x]) for h, x in zip(held, (c, z, s, p)))
             if not len(c):
                 continue
             goes_on = held is None and list_id is not None
             new = np.ones(len(c), bool)
-            new[1:] = c[1:] != c[:-1]
+            new[1:] = (c[1:] != c[:-1]) | (z[1:] != z[:-1])
             again = np.zeros(len(c), bool)
             again[1:] = ~new[1:] & (s[1:] == s[:-1])
-            if goes_on and c[0] == list_id:
+            if goes_on and (c[0], z[0]) == list_id:
                 new[0], again[0] = False, s[0] == sid
-            c, s, p, new = c[~again], s[~again], p[~again], new[~again]
+            c, z, s, p, new = c[~again], z[~again], s[~again], p[~again], new[~again]
             held = None
             if not len(c):
                 continue
@@ -210,17 +231,14 @@ def shared_lists(entries: DataFrame, percent: int, frequent: tuple[np.ndarray, n
             lone[starts] = length == 1
             whole = starts[:-1][length[:-1] == 2]  # the last list may go on
             two[whole] = two[whole + 1] = True
-            is_split = np.isin(c, split_cells)
+            is_split = z >= 0
             if lone[-1] and not is_split[-1]:
-                held = (c[-1], s[-1], p[-1])
+                held = (c[-1], z[-1], s[-1], p[-1])
             out = ~lone | is_split
-            name = c.copy()
-            if is_split.any():
-                name[is_split] = split_names[np.searchsorted(split_cells, c[is_split])]
-            list_id, sid, pivot, pivot_place = c[-1], s[-1], piv[-1], piv_place[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (name, s, p, piv, piv_place, is_split, two & ~is_split)], names=["h", "sid", "place", "pivot", "pivot_place", "split", "two"])
+            list_id, sid, pivot, pivot_place = (c[-1], z[-1]), s[-1], piv[-1], piv_place[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (c, s, p, piv, piv_place, is_split, new & ~is_split, two & ~is_split)], names=["h", "sid", "place", "pivot", "pivot_place", "split", "leads", "two"])
 
-    return entries.repartition("cell").sortWithinPartitions("cell", F.shiftright("place", 32), "sid").mapInArrow(with_pivots, "h long, sid long, place long, pivot long, pivot_place long, split boolean, two boolean")
+    return entries.repartition("h", "salt").sortWithinPartitions("h", "salt", F.shiftright("place", 32), "sid").mapInArrow(with_pivots, "h long, sid long, place long, pivot long, pivot_place long, split boolean, leads boolean, two boolean")
 
 
 def bounds(a: str, b: str, percent: int) -> Column:
@@ -230,22 +248,21 @@ def bounds(a: str, b: str, percent: int) -> Column:
     return (percent * n <= 100 * m) & (percent * m <= 100 * n) & ((100 + percent) * rest >= percent * (n + m))
 
 
-def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """sid and shingles of the wanted sids, from the text of each class's smallest doc_id."""
-    spark = docs.sparkSession
-    chosen = materialise(wanted.join(classes, "sid").select("sid", "rep"), "wanted-sets")
+def whole_sets(docs: DataFrame, chosen: DataFrame, k: int, clashes: dict) -> DataFrame:
+    """sid and shingles of the chosen sids, from the text of each class's smallest doc_id, rep."""
     words = chosen.groupBy((F.pmod("rep", F.lit(FILTER_BITS)) / 64).cast("int").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(pmod(rep, 64) AS INT))")).alias("bits")).toArrow()
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     bits[words["w"].to_numpy()] = words["bits"].to_numpy()
-    shared = spark.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast((bits, clashes))
 
     def sets(batches):
+        bits, clashes = shared.value
         for batch in batches:
             ids = batch.column("doc_id").fill_null(MAX_LONG).to_numpy()
             slot = (ids % FILTER_BITS).astype(np.int64)
-            batch = batch.filter(pa.array((shared.value[slot >> 6] >> (slot & 63) & 1).astype(bool)))
+            batch = batch.filter(pa.array((bits[slot >> 6] >> (slot & 63) & 1).astype(bool)))
             ids = batch.column("doc_id").fill_null(MAX_LONG)
-            found = [(set_id(s), s) for _, s in batch_sets(batch, k)]
+            found = [(name_of(s, clashes), s) for _, s in batch_sets(batch, k)]
             lengths = np.concatenate([[0], np.cumsum([len(s) for _, s in found])]).astype(np.int32)
             values = signed(np.concatenate([s for _, s in found])) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([ids, pa.array([x for x, _ in found], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(values))], names=["rep", "sid", "shingles"])
@@ -253,18 +270,21 @@ def whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, k: int) -
     return docs.select("doc_id", "text").mapInArrow(sets, "rep long, sid long, shingles array<long>").dropDuplicates(["sid"]).select("sid", "shingles")
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int, clashes: dict) -> DataFrame:
     """a, b and whether they link, for each candidate pair(a, b)."""
-    sets = whole_sets(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), k)
+    chosen = materialise(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(classes, "sid").select("sid", "rep"), "wanted-sets")
+    sets = whole_sets(docs, chosen, k, clashes)
     left, right = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("_a")), sets.select(F.col("sid").alias("b"), F.col("shingles").alias("_b"))
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("_a", "_b"))
-    return materialise(both.select("a", "b", (100 * common >= percent * (F.size("_a") + F.size("_b") - common)).alias("links")), "verified")
+    out = materialise(both.select("a", "b", (100 * common >= percent * (F.size("_a") + F.size("_b") - common)).alias("links")), "verified")
+    release(chosen, pairs)
+    return out
 
 
 def open_lists(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """h, sid, place and label of the lists that hold sets of several components, and more than the two that were compared already."""
-    placed = lists.select("h", "sid", "place").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    placed = lists.select("h", "sid", "place").join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid")).repartition("h")
     several = placed.groupBy("h").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count(F.lit(1)).alias("_n")).filter("_lo <> _hi AND _n > 2").select("h")
     return materialise(placed.join(several, "h"), "open-lists")
 
@@ -273,76 +293,97 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def met_pairs(met: DataFrame, percent: int) -> DataFrame:
+    """The pairs a, b of met(a, a_place, b, b_place), a row for each list in which the two met: in how many (common), their sizes, and whether the bounds hold in one of them (near)."""
+    size = lambda place: F.max(F.shiftright(place, 32))
+    return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.max(bounds("a_place", "b_place", percent)).alias("near"), size("a_place").alias("n"), size("b_place").alias("m"))
+
+
+def enough(common: Column, percent: int) -> Column:
+    """Whether sets of n and m shingles, of which so many at most are in both prefixes, may link; other common shingles lie behind the prefix of one of the two."""
+    behind = F.ceil(F.lit(percent) * F.greatest("n", "m") / F.lit(100)) - 1
+    return (100 + percent) * (common + behind) >= percent * (F.col("n") + F.col("m"))
+
+
 def first_stars(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b of a pivot and a set of its lists that may link.
+    """Pairs a, b of a pivot and a set of its lists that may link, by the common prefix shingles of those lists and all lists in which a leads nobody.
 
-    Of the shingles common to two sets, those in both prefixes are in lists that
-    the two share: lists where a is b's pivot are counted by the pair, others
-    are at most the lists of a with another pivot or with several cells. The
-    rest lie behind the prefix of one of the two.
+    A pair that is not near may have its first common shingle in a list in which
+    the two did not meet. It is doubtful: not compared now but kept, as later
+    steps don't see the lists of two sets, which count into its common.
     """
-    foreign = lists.filter((F.col("sid") != F.col("pivot")) | F.col("split")).groupBy(F.col("sid").alias("a")).agg(F.count(F.lit(1)).alias("_foreign"))
-    pairs = lists.filter(F.col("sid") != F.col("pivot")).groupBy(F.col("pivot").alias("a"), F.col("sid").alias("b"))
-    size = lambda place: F.max(F.shiftright(place, 32))
-    met = pairs.agg(F.count(F.lit(1)).alias("_common"), F.max(bounds("place", "pivot_place", percent)).alias("_may"), size("pivot_place").alias("_n"), size("place").alias("_m")).filter("_may")
-    behind = F.ceil(F.lit(percent) * F.greatest("_n", "_m") / F.lit(100)) - 1
-    most = F.col("_common") + F.coalesce("_foreign", F.lit(0)) + behind
-    return met.join(foreign, "a", "left").filter((100 + percent) * most >= percent * (F.col("_n") + F.col("_m"))).select("a", "b")
+    unmet = lists.filter("NOT leads").groupBy(F.col("sid").alias("a")).agg(F.count(F.lit(1)).alias("_unmet"))
+    met = lists.filter(F.col("sid") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("pivot_place").alias("a_place"), F.col("sid").alias("b"), F.col("place").alias("b_place"))
+    more = F.coalesce("_unmet", F.lit(0))
+    return met_pairs(met, percent).join(unmet, "a", "left").filter(enough(F.col("common") + more, percent) & (F.col("near") | (more > 0))).select("a", "b", "common", (~F.col("near")).alias("doubtful"))
 
 
-def other_stars(lists: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of each list's pivots of this turn with the list's sets in other components.
+def later_stars(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each open list's pivot with the list's sets in other components.
 
-    In the first turn the pivot is the set with the largest share of its size in
-    open lists, the one most like the others; later pivots follow hashes of the
-    set ids. Either order is the same in all lists, so that lists of one group
-    have mostly the same few pivots.
+    The pivot is the set with the largest share of its size in open lists, the
+    one most like the others, in one order for all lists: so the lists of one
+    group have mostly the same pivot.
     """
-    if turn == 0:
-        common = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("_common"))
-        lists = lists.join(common, "sid")
-        orders = [-F.col("_common") / F.shiftright("place", 32)]
-    else:
-        orders = [F.lit(0)] * PIVOTS[turn]
-    places = [F.min(F.struct(o.alias("order"), F.xxhash64("sid", F.lit(sum(PIVOTS[:turn]) + i)).alias("hash"), "sid", "place", "label")) for i, o in enumerate(orders)]
-    pivots = lists.groupBy("h").agg(F.array_distinct(F.transform(F.array(*places), lambda p: F.struct(p["sid"].alias("sid"), p["place"].alias("place"), p["label"].alias("label")))).alias("p"))
-    pivots = pivots.select("h", F.inline("p")).select("h", F.col("sid").alias("a"), F.col("place").alias("a_place"), F.col("label").alias("a_label"))
-    return ordered(lists.join(pivots, "h").filter((F.col("a_label") != F.col("label")) & bounds("a_place", "place", percent)).select("a", F.col("sid").alias("b")))
+    common = lists.groupBy("sid").agg(F.count(F.lit(1)).alias("_lists"))
+    ranked = lists.join(common, "sid").withColumn("_order", -F.col("_lists") / F.shiftright("place", 32))
+    pivots = ranked.groupBy("h").agg(F.min(F.struct("_order", "sid", "place", "label")).alias("p")).select("h", F.col("p.sid").alias("a"), F.col("p.place").alias("a_place"), F.col("p.label").alias("a_label"))
+    led = pivots.groupBy("a").agg(F.count(F.lit(1)).alias("_led"))
+    unmet = common.withColumnRenamed("sid", "a").join(led, "a").select("a", (F.col("_lists") - F.col("_led")).alias("_unmet"))
+    met = lists.select("h", F.col("sid").alias("b"), F.col("place").alias("b_place"), "label").join(pivots, "h").filter(F.col("a_label") != F.col("label")).select("a", "a_place", "b", "b_place")
+    return met_pairs(met, percent).join(unmet, "a").filter(F.col("near") & enough(F.col("common") + F.col("_unmet"), percent)).select("a", "b")
 
 
 def all_across(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of one list that are in different components still and pass the bounds."""
+    """Pairs of sets of one list that are in different components still and pass the bounds there.
+
+    The join's condition has the bounds, so pairs that only share a passage are
+    never made: where it is frequent it stands late in their order.
+    """
     side = lambda x: lists.select("h", F.col("sid").alias(x), F.col("place").alias(f"{x}_place"), F.col("label").alias(f"{x}_label"))
-    return side("a").join(side("b"), "h").filter((F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & bounds("a_place", "b_place", percent)).select("a", "b").distinct()
+    return side("a").join(side("b"), "h").filter((F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & bounds("a_place", "b_place", percent)).select("a", "b")
+
+
+def sharing_enough(pairs: DataFrame, lists: DataFrame, doubtful: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs a, b those that may link by how many lists they share; doubtful(a, b, common) has what to add for lists of two."""
+    side = lambda x: lists.select("h", F.col("sid").alias(x), F.shiftright("place", 32).alias({"a": "n", "b": "m"}[x]))
+    shared = pairs.join(side("a"), "a").join(side("b"), ["b", "h"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.max("n").alias("n"), F.max("m").alias("m"))
+    return shared.join(doubtful.withColumnRenamed("common", "_more"), ["a", "b"], "left").filter(enough(F.col("common") + F.coalesce("_more", F.lit(0)), percent)).select("a", "b")
 
 
 def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, cell: int = CELL) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with n and sid; classes with sid and rep; node and label of each sid that links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     facts = materialise(set_facts(docs, k), "set-facts")
-    sized = facts.filter("n IS NOT NULL").select("doc_id", "n", "sid")
+    sized = facts.filter("n IS NOT NULL").select("doc_id", "n", "sid", "check")
+    clashes = clashing(sized)
+    if clashes:
+        renamed = docs.sparkSession.createDataFrame([(sid, check, new) for sid, of in clashes.items() for check, new in of.items()], "sid long, check long, _new long")
+        sized = sized.join(renamed, ["sid", "check"], "left").withColumn("sid", F.coalesce("_new", "sid"))
     classes = materialise(sized.filter("n > 0").groupBy("sid").agg(F.min(F.coalesce("doc_id", F.lit(MAX_LONG))).alias("rep")), "classes")
     often = frequent_shingles(facts, frequent)
-    lists = materialise(shared_lists(prefix_entries(docs, k, percent, often, cell), percent, often, cell), "lists")
+    lists = materialise(shared_lists(prefix_entries(docs, k, percent, often, clashes, cell), percent), "lists")
 
-    stars = first_stars(lists, percent)
+    stars = materialise(first_stars(lists, percent), "stars")
     pivots = lists.filter("split").select("h", F.col("pivot").alias("sid"), F.col("pivot_place").alias("place")).distinct()
     top = pivots.groupBy("h").agg(F.min(F.struct("place", "sid")).alias("top"))
     over_cells = pivots.join(top, "h").filter("sid <> top.sid").select("h", "sid", "place", F.col("top.sid").alias("pivot"), F.col("top.place").alias("pivot_place")).filter(bounds("place", "pivot_place", percent)).select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
-    known = verified(docs, classes, materialise(ordered(stars.union(over_cells)), "candidates"), k, percent)
+    doubtful = stars.filter("doubtful").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("common").alias("common"))
+    known = verified(docs, classes, materialise(ordered(stars.filter("NOT doubtful").select("a", "b").union(over_cells)), "candidates"), k, percent, clashes)
     labels = components(known.filter("links"))
     rest = open_lists(lists.filter("NOT two"), labels)
-    for turn in range(len(PIVOTS) + 1):
-        pairs = other_stars(rest, turn, percent) if turn < len(PIVOTS) else all_across(rest, percent)
-        pairs = materialise(pairs.join(known, ["a", "b"], "left_anti"), "candidates")
-        if pairs.isEmpty():
-            continue
-        more = verified(docs, classes, pairs, k, percent)
+    done = [stars, lists, known]
+    for last in (False, True):
+        pairs = all_across(rest, percent) if last else later_stars(rest, percent)
+        pairs = ordered(pairs).join(known, ["a", "b"], "left_anti")
+        pairs = materialise(sharing_enough(pairs, rest, doubtful, percent) if last else pairs, "candidates")
+        more = verified(docs, classes, pairs, k, percent, clashes)
         known = known.union(more)
+        done += [more, rest]
         if not more.filter("links").isEmpty():
             labels = components(known.filter("links"))
-            if turn < len(PIVOTS):
-                rest = open_lists(rest, labels)
+            rest = rest if last else open_lists(rest, labels)
+    release(*done)
     return sized, classes, labels
 
 

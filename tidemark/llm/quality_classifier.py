@@ -97,8 +97,13 @@ def batch_features(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.n
 
 def forward(p: dict[str, np.ndarray], x: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
     """Encodings, attention and scores of documents whose passages are the rows of x."""
+    return attend(p, (x - p["mean"]) / p["scale"], first)
+
+
+def attend(p: dict[str, np.ndarray], inputs: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
+    """As forward, with standardised features."""
     start, per_doc = first[:-1], np.diff(first)
-    h = np.tanh(((x - p["mean"]) / p["scale"]) @ p["W"] + p["b"])
+    h = np.tanh(inputs @ p["W"] + p["b"])
     gate_t, gate_s = np.tanh(h @ p["V"]), 1 / (1 + np.exp(-(h @ p["U"])))
     raw = (gate_t * gate_s) @ p["w"]
     e = np.exp(raw - np.repeat(np.maximum.reduceat(raw, start), per_doc))
@@ -113,13 +118,15 @@ def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray
         return float(y.mean()) if len(y) else 1.0
     rng = np.random.default_rng(SEED)
     draw = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
-    x = x.astype(np.float64)
-    fixed = {"mean": x.mean(0), "scale": x.std(0) + 0.02}
+    inputs = x.astype(np.float64)
+    fixed = {"mean": inputs.mean(0), "scale": inputs.std(0) + 0.02}
+    inputs -= fixed["mean"]
+    inputs /= fixed["scale"]
     p = {"W": draw(FEATURES, ENCODING), "b": np.zeros(ENCODING), "V": draw(ENCODING, ATTENTION), "U": draw(ENCODING, ATTENTION), "w": draw(ATTENTION), "c": draw(ENCODING), "d": np.zeros(1)}
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
-    start, per_doc, inputs = first[:-1], np.diff(first), (x - fixed["mean"]) / fixed["scale"]
+    start, per_doc = first[:-1], np.diff(first)
     for step in range(1, EPOCHS + 1):
-        f = forward(p | fixed, x, first)
+        f = attend(p, inputs, first)
         dlogit = (f["score"] - y) / len(y)
         g = {"c": f["z"].T @ dlogit, "d": np.array([dlogit.sum()])}
         dz = np.repeat(dlogit[:, None] * p["c"], per_doc, axis=0)
@@ -159,10 +166,12 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_pass
     bags = materialise(chosen.mapInArrow(features, "doc_id long, y double, x binary, n long"), "bags")
     within = bags.select("doc_id", "n").withColumn("_sum", F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))).filter(F.col("_sum") <= fit_passages).select("doc_id")
     bags = bags.join(F.broadcast(within), "doc_id", "left_semi").orderBy("doc_id").toArrow()
-    each = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in bags["x"].to_pylist()]
-    if not each:
+    if not bags.num_rows:
         return 1.0
-    return fit(np.concatenate(each), np.concatenate([[0], np.cumsum([len(b) for b in each])]), bags["y"].to_numpy())
+    x = np.frombuffer(b"".join(bags["x"].to_pylist()), np.float32).reshape(-1, FEATURES)
+    first, y = np.concatenate([[0], np.cumsum(bags["n"].to_numpy())]), bags["y"].to_numpy()
+    del bags
+    return fit(x, first, y)
 
 
 def batch_scores(texts: pa.Array, model: dict[str, np.ndarray] | float) -> tuple[np.ndarray, np.ndarray]:
