@@ -9,8 +9,8 @@ back and so decodes each word; a text's ids and bytes are those of its words in
 order.
 
 Scale: one narrow pass over the texts; nothing is shuffled. The merge table
-(about twice the vocabulary) is built in each Python worker from the rank
-file, whose bytes are broadcast. Texts wait, at most ``HELD_BYTES`` of them,
+(about twice the vocabulary) is built by each task from the rank file, whose
+bytes are broadcast, and goes with the task. Texts wait, at most ``HELD_BYTES`` of them,
 until ``QUERY_WORDS`` new words have come together; a word is kept with its ids
 and merged once, until the kept words take more than ``CACHE_BYTES``.
 
@@ -29,6 +29,7 @@ import hashlib
 import heapq
 from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import closing
 from itertools import islice
 
 import numpy as np
@@ -42,7 +43,7 @@ from tidemark.llm.tokens import chunks
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: About so many bytes of memory for the words that a worker knows.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 64 << 20
 #: Bytes of text that wait for new words to come together.
 HELD_BYTES = 4 << 20
 #: Words in one recursive query.
@@ -86,7 +87,7 @@ class Numbers(dict):
 
 
 class Encoder:
-    """Words to ids and back, in one Python worker."""
+    """Words to ids and back, in one task."""
 
     def __init__(self, lines: bytes, pattern: str):
         import duckdb
@@ -105,6 +106,10 @@ class Encoder:
         self.db.execute("CREATE TABLE merges AS FROM _merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM _vocabulary")
 
+    def close(self) -> None:
+        self.forget()
+        self.db.close()
+
     def forget(self) -> None:
         self.numbers = Numbers()
         self.ids: list[bytes] = []  # of each word by number, as little-endian 32 bits
@@ -199,17 +204,6 @@ class Encoder:
         yield from handed_on()
 
 
-_encoders: dict[tuple[str, str], Encoder] = {}
-
-
-def encoder(lines: bytes, pattern: str) -> Encoder:
-    """One encoder for each vocabulary, kept while the worker lives."""
-    key = (hashlib.sha256(lines).hexdigest(), pattern)
-    if key not in _encoders:
-        _encoders[key] = Encoder(lines, pattern)
-    return _encoders[key]
-
-
 def encode(docs: DataFrame, ranks: bytes, pattern: str, keep: Sequence[str] = ("ids", "decoded")) -> DataFrame:
     """docs without its text but with n_tokens, ids_sha256, decoded_sha256 and, as kept, the ids and the decoded bytes."""
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
@@ -225,7 +219,12 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, keep: Sequence[str] = ("
                     waiting.append(batch.slice(at, to - at).select(own))
                     yield [t or "" for t in batch.column("text")[at:to].to_pylist()]
 
-        for found in encoder(*shared.value).encode(pieces()):
+        # a worker outlives its task: the encoder, with its tables and words, doesn't
+        with closing(Encoder(*shared.value)) as bpe:
+            yield from columns_of(bpe.encode(pieces()), waiting)
+
+    def columns_of(results, waiting):
+        for found in results:
             columns = {
                 "n_tokens": pa.array([len(i) // 4 for i, _ in found], pa.int64()),
                 "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i, _ in found], pa.string()),
