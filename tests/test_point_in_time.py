@@ -46,9 +46,11 @@ def test_visibility(spark, stored, at, policy, included, warning):
 
 def test_visible_rows_are_those_the_rule_lets_through(spark):
     """The bound for the scan hides nothing that is visible, whatever the offset."""
-    times = ["2024-03-06T01:00:00+14:00", "2024-03-05T11:00:00-12:00", "2024-03-04", "2024-03-05", "2024-03-07", "x"]
-    rows = versions(spark, [(str(i), 1, 1.0, "active", t) for i, t in enumerate(times)])
-    for at in ("2024-03-05T12:00:00Z", "2024-03-05"):
+    offsets = [f"{h:+03d}:00" for h in range(-12, 15)]
+    times = ["2024-03-06T01:00:00+14:00", "2024-03-05T11:00:00-12:00", "2024-03-07T00:30:00+14:00", "2024-03-04", "2024-03-05", "2024-03-06", "2024-03-07", "x"]
+    times += [f"2024-03-0{d}T{t}{o}" for d in range(4, 8) for t in ("00:30:00", "23:30:00") for o in offsets]
+    rows = versions(spark, [(str(i), 1, 1.0, "active", t) for i, t in enumerate(times)]).cache()
+    for at in ("2024-03-05T12:00:00Z", "2024-03-05", *[f"2024-03-05T23:00:00{o}" for o in offsets[::2]], "2024-03-06T00:10:00+14:00"):
         for policy in (COMPLETED_DATE, CALENDAR_DATE_INCLUSIVE):
             want = {r.k for r in rows.filter(pit_visible(SPEC.availability(), cutoff(at), policy)).collect()}
             assert {r.k for r in ledger.visible(rows, SPEC, at, policy).collect()} == want
@@ -116,7 +118,61 @@ def test_ols_statuses(spark):
     got = {r.g: r for r in series.ols(spark.createDataFrame(rows, "g string, a double, b double, y double"), ["g"], "y", ["a", "b"]).collect()}
     assert got["exact"].status == "singular_design" and got["few"].status == "insufficient_degrees_of_freedom"
     assert got["two"].coefficients == pytest.approx([1, 1, 2]) and got["two"].r_squared == pytest.approx(1)
-    assert got["flat"].status == "constant_target" and got["flat"].r_squared is None
+    assert (got["flat"].status, got["flat"].warning, got["flat"].r_squared) == ("established", "constant_target", None)
+    assert got["flat"].coefficients == pytest.approx([5, 0, 0])
+    line = spark.createDataFrame([("g", float(i), 3.0 * i) for i in range(1, 4)] + [("h", 1.0, 1.0)], "g string, a double, y double")
+    through = {r.g: r for r in series.ols(line, ["g"], "y", ["a"], intercept=False).collect()}
+    assert through["g"].coefficients == pytest.approx([3.0]) and through["g"].r_squared == pytest.approx(1)
+    assert through["h"].status == "insufficient_degrees_of_freedom"
+
+
+def test_rolling_windows_are_of_raw_rows(spark):
+    rows = [("s", 1, 1.0, 1.0), ("s", 2, 2.0, None), ("s", 3, 3.0, 3.0), ("s", 4, 3.0, 5.0), ("s", 5, 3.0, 9.0), ("s", 6, 4.0, 2.0)]
+    df = spark.createDataFrame(rows, "k string, t int, x double, y double")
+    got = [(r.t, r.sample_size, r.status) for r in series.rolling_regression(df, 3, ["k"], ["t"]).orderBy("t").collect()]
+    assert got == [(3, 2, "insufficient_degrees_of_freedom"), (4, 2, "insufficient_degrees_of_freedom"), (5, 3, "singular_design"), (6, 3, "established")]
+
+
+def test_digests_of_different_rows_differ(spark):
+    df = spark.createDataFrame([(1, "a", None, "b"), (2, "a", "b", None), (3, "a|b", "", ""), (4, "a", "b|", "")], "k int, x string, y string, z string")
+    parts = [F.col(c) for c in "xyz"]
+    assert quality.semantic_identity(df, ["k"], parts).select("identity").distinct().count() == 4
+    assert quality.table_digest(df, parts, ["k"]).select("digest").distinct().count() == 4
+    ids = {r.k: r.i for r in df.select("k", scalars.stable_id("p", *parts).alias("i")).collect()}
+    assert ids[1] is None and ids[3] != ids[4]
+    maps = spark.range(1).select(scalars.dimensions_digest(F.expr("map('a', '1;b=2')")).alias("m"), scalars.dimensions_digest(F.expr("map('a', '1', 'b', '2')")).alias("n"), scalars.dimensions_digest(F.expr("map('a', '1', 'b', null)")).alias("o"), scalars.dimensions_digest(F.expr("map('a', '1')")).alias("p"), scalars.dimensions_digest(F.expr("map('b', '2', 'a', '1')")).alias("q")).first()
+    assert len({*maps}) == 4 and maps.n == maps.q
+    assert spark.range(1).select(scalars.json_canonical({"b": F.lit(None).cast("int"), "a": F.lit(1)}).alias("j")).first().j == '{"a":1,"b":null}'
+
+
+def test_families_compare_their_own_fields(spark):
+    at = datetime.datetime(2024, 1, 5, 9)
+    curve = spark.createDataFrame([("p", "d", "v", 1, 1.0, None, "active", at, 1), ("p", "d", "v", 1, 1.0, None, "active", at, 2), ("p", "d", "v", 1, None, "holiday", "active", at, 3)], "provider string, curve_date string, variant string, tenor int, value double, reason string, state string, captured_at timestamp, t int")
+    assert [(r.t, r.available_precision, r.available_at) for r in ledger.append_curve(curve, ["t"]).orderBy("t").collect()] == [(1, "datetime", at), (3, "datetime", at)]
+    actions = spark.createDataFrame([("e", "p", "dividend", 1.0, "USD", 1, 2, "active", 1), ("e", "p", "dividend", 1.0, "USD", 1, 3, "active", 2), ("e", "p", "dividend", 2.0, "USD", 1, 3, "active", 3)], "event string, provider string, kind string, cash_amount double, currency string, split_from int, split_to int, state string, t int")
+    assert [(r.t, r.split_to) for r in ledger.append_actions(actions, ["t"]).orderBy("t").collect()] == [(1, None), (3, None)]
+    seen = spark.createDataFrame([("s", 1, "x", 1), ("s", 1, "y", 2), ("s", 2, "y", 3), ("s", 2, "x", 4), ("s", 3, "z", 5)], "k string, value int, content string, t int")
+    kept = ledger.append_corrections(seen, ["k"], ["t"], ["value", "content"]).orderBy("t").collect()
+    assert [(r.t, r.sequence, r.supersedes) for r in kept] == [(1, 1, None), (3, 2, 1), (5, 3, 2)]
+
+
+def test_partial_snapshots_omit_nothing(spark):
+    current = spark.createDataFrame([("u", "a", "active", 1), ("u", "b", "active", 1), ("v", "a", "active", 1)], "universe string, member string, state string, sequence int")
+    snapshot = spark.createDataFrame([("u", "a", True), ("v", "z", False)], "universe string, member string, whole boolean")
+    gone = ledger.tombstone_omissions(current, snapshot, ["universe", "member"], snapshot, ["universe"], "whole").collect()
+    assert [(r.universe, r.member, r.sequence) for r in gone] == [("u", "b", 2)]
+
+
+def test_datetimes_have_a_t_and_an_offset_with_colon(spark):
+    for text in ("2024-03-05 10:00:00+01:00", "2024-03-05T10:00:00+0100", "2024-03-05T10:00:00"):
+        assert spark.range(1).select(parse_temporal(F.lit(text)).precision.alias("p")).first().p is None
+
+
+def test_one_row_of_an_identity_is_the_same_in_every_order(spark):
+    rows = [("i", 3), ("i", 1), ("i", 2)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "id string, v int")
+        assert [tuple(r) for r in ledger.replay_gate(df, df.limit(0), ["id"]).collect()] == [("i", 1)]
 
 
 def test_correlation_without_variance_is_not_established(spark):

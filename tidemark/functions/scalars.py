@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 
 
 def stable_id(prefix: str, *parts: Column) -> Column:
-    """prefix_ and the first 32 hex digits of sha256 over the parts, joined by NUL."""
-    return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(F.concat_ws("\0", *parts), 256), 1, 32))
+    """prefix_ and the first 32 hex digits of sha256 over the parts, joined by NUL; null if a part is null or holds a NUL."""
+    plain = [F.when(~p.cast("string").contains("\0"), p.cast("string")) for p in parts]
+    joined = F.concat(*[x for p in plain for x in (F.lit("\0"), p)][1:])
+    return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(joined, 256), 1, 32))
+
+
+def fields_text(*columns: Column) -> Column:
+    """One text for a row of fields, different for different rows: each field after its length, N for a null."""
+    return F.concat(*[F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("N")) for c in columns])
 
 
 def decimal_canonical(value: Column) -> Column:
@@ -21,14 +28,13 @@ def decimal_canonical(value: Column) -> Column:
 
 
 def json_canonical(fields: dict[str, Column]) -> Column:
-    """A JSON object with sorted keys; null fields are left out."""
-    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]))
+    """A JSON object with sorted keys; null fields are null in it."""
+    return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
 
 
 def dimensions_digest(dimensions: Column) -> Column:
-    """sha256 of a map's entries in key order: the key to join and group maps by."""
-    entries = F.array_sort(F.transform(F.map_entries(dimensions), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
-    return F.sha2(F.array_join(entries, ";"), 256)
+    """sha256 of a map as a JSON object in key order, null values included: the key to join and group maps by."""
+    return F.sha2(F.to_json(F.map_from_entries(F.array_sort(F.map_entries(dimensions))), {"ignoreNullFields": "false"}), 256)
 
 
 def simple_ratio(later: Column, base: Column) -> Column:

@@ -6,6 +6,7 @@ A temporal is stored as three columns: its precision ('date', 'datetime',
 
 from __future__ import annotations
 
+import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -16,7 +17,7 @@ CALENDAR_DATE_INCLUSIVE = "calendar_date_inclusive"
 SAME_DAY_WARNING = "date_only_same_day_intraday_safety_not_established"
 
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
-_DATETIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})$"
+_DATETIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})$"
 
 
 class Temporal(NamedTuple):
@@ -41,6 +42,13 @@ def cutoff(value: str) -> Temporal:
     return parse_temporal(F.lit(value))
 
 
+def latest_written_date(value: str) -> datetime.date:
+    """No time that is visible at the cutoff was written with a later date, whatever its offset: offsets stay below a day."""
+    if len(value) == 10:
+        return datetime.date.fromisoformat(value)
+    return datetime.datetime.fromisoformat(value).astimezone(datetime.timezone.utc).date() + datetime.timedelta(1)
+
+
 def pit_visible(available: Temporal, at: Temporal, policy: str = COMPLETED_DATE) -> Column:
     """Whether a time is at or before the cutoff.
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.temporal import COMPLETED_DATE, Temporal, cutoff, effective_on, pit_visible, pit_warning
+from tidemark.functions.temporal import COMPLETED_DATE, Temporal, cutoff, effective_on, latest_written_date, pit_visible, pit_warning
 
 OMITTED = "source_omitted_from_complete_authoritative_snapshot"
 
@@ -40,7 +40,7 @@ def visible(ledger: DataFrame, spec: LedgerSpec, at: str | None, policy: str = C
     if at is None:
         return ledger.withColumn("pit_warning", F.lit(None).cast("string"))
     moment = cutoff(at)
-    near = F.col(spec.available[1]) <= F.date_add(F.lit(at[:10]).cast("date"), 1)
+    near = F.col(spec.available[1]) <= F.lit(latest_written_date(at)).cast("date")
     return ledger.filter(near & pit_visible(spec.availability(), moment, policy)).withColumn("pit_warning", pit_warning(spec.availability(), moment, policy))
 
 
@@ -80,8 +80,81 @@ def vintage_trail(ledger: DataFrame, spec: LedgerSpec, value: str, flag: str, at
 
 
 def replay_gate(batches: DataFrame, log: DataFrame, identity: Sequence[str]) -> DataFrame:
-    """The batches whose identity hasn't succeeded before, each once."""
-    return batches.dropDuplicates(list(identity)).join(log.select(*identity).distinct(), list(identity), "left_anti")
+    """The batches whose identity hasn't succeeded before, each once: the least of its rows, so that reruns agree."""
+    return least_of_each(batches, identity).join(log.select(*identity).distinct(), list(identity), "left_anti")
+
+
+def least_of_each(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row for each key, the least in the order of the other columns."""
+    others = [c for c in rows.columns if c not in key]
+    if not others:
+        return rows.distinct()
+    return rows.groupBy(*key).agg(F.min(F.struct(*others)).alias("_least")).select(*key, "_least.*").select(*rows.columns)
+
+
+def available_from(rows: DataFrame, instant: str) -> DataFrame:
+    """rows that are available from an instant of their own, whatever availability they had: a curve from its capture, a calendar event from its time."""
+    at = F.col(instant)
+    return rows.withColumns({"available_precision": F.when(at.isNotNull(), "datetime").otherwise("unknown"), "available_date": at.cast("date"), "available_at": at})
+
+
+def append_curve(observed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Versions of curve points, for each provider, date, variant and tenor: value, reason and state are compared, and a point is available from its capture."""
+    spec = LedgerSpec(key=("provider", "curve_date", "variant", "tenor"), rank=tuple(order), payload=("value", "reason", "state"))
+    return available_from(append_changes(observed, spec, order), "captured_at")
+
+
+def append_calendar(observed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Versions of calendar events: actual, consensus, previous and unit are compared, and a version is available from the event's time."""
+    spec = LedgerSpec(key=("event",), rank=tuple(order), payload=("actual", "consensus", "previous", "unit"))
+    return available_from(append_changes(observed, spec, order), "event_at")
+
+
+def append_actions(observed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Versions of corporate actions, for each event and provider.
+
+    A dividend's payload is its cash amount and currency, a split's the two
+    numbers of its ratio; the fields of the other kind are null and not compared.
+    """
+    dividend = F.col("kind") == "dividend"
+    own = {c: F.when(dividend, F.col(c)) for c in ("cash_amount", "currency")} | {c: F.when(~dividend, F.col(c)) for c in ("split_from", "split_to")}
+    spec = LedgerSpec(key=("event", "provider"), rank=tuple(order), payload=("kind", *own, "state"))
+    return append_changes(observed.withColumns(own), spec, order)
+
+
+def append_expectations(observed: DataFrame, family: str, order: Sequence[str]) -> DataFrame:
+    """Versions of what is expected of issuers: consensus of a metric and period, an earnings event, or guidance for a period."""
+    key, payload = {
+        "consensus": (("issuer", "metric", "period"), ("value", "analysts", "unit", "state")),
+        "earnings_event": (("issuer", "event"), ("event_date", "session", "status", "state")),
+        "guidance": (("issuer", "metric", "target"), ("low", "high", "unit", "state")),
+    }[family]
+    return append_changes(observed, LedgerSpec(key=key, rank=tuple(order), payload=payload), order)
+
+
+def append_corrections(observed: DataFrame, key: Sequence[str], order: Sequence[str], alike: Sequence[str]) -> DataFrame:
+    """The observations that differ from the current version in every column of alike; equality in one of them is no change.
+
+    Since such a likeness isn't transitive, each is compared with the version
+    that is current then, not with the observation before it. A partition's
+    keys are read as a sorted stream; only the current version is held.
+    """
+
+    def kept(batches):
+        current = None
+        for part in batches:
+            flags = []
+            keys, values = part[list(key)].astype(object).values.tolist(), part[[f"_like_{i}" for i in range(len(alike))]].values.tolist()
+            for k, v in zip(keys, values):
+                same = current is not None and current[0] == k and any(a == b for a, b in zip(current[1], v))
+                flags.append(not same)
+                if not same:
+                    current = (k, v)
+            yield part[flags]
+
+    likes = {f"_like_{i}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for i, c in enumerate(alike)}
+    rows = observed.withColumns(likes).repartition(*key).sortWithinPartitions(*key, *order)
+    return number_versions(rows.mapInPandas(kept, rows.schema).drop(*likes), key, order)
 
 
 def append_changes(observed: DataFrame, spec: LedgerSpec, order: Sequence[str]) -> DataFrame:
@@ -108,10 +181,11 @@ def changes_against(current: DataFrame, observed: DataFrame, spec: LedgerSpec) -
     return joined.filter(F.col("supersedes").isNull() | ~F.col("_was").eqNullSafe(F.struct(*spec.payload))).drop("_was").withColumn("sequence", F.coalesce("supersedes", F.lit(0)) + 1)
 
 
-def tombstone_omissions(current: DataFrame, snapshot: DataFrame, key: Sequence[str], scope: DataFrame, scope_key: Sequence[str], complete: bool) -> DataFrame:
-    """A tombstone for each active key in scope that a complete snapshot omits; none for a partial one."""
-    active = current.filter("state = 'active'").join(scope.select(*scope_key).distinct(), list(scope_key), "left_semi")
-    gone = active.join(snapshot.select(*key).distinct(), list(key), "left_anti").filter(F.lit(complete))
+def tombstone_omissions(current: DataFrame, snapshot: DataFrame, key: Sequence[str], scope: DataFrame, scope_key: Sequence[str], complete: str) -> DataFrame:
+    """A tombstone for each active key that a complete snapshot omits; complete names the column of scope that tells which snapshots are, others omit nothing."""
+    whole = scope.groupBy(*scope_key).agg(F.bool_and(F.coalesce(complete, F.lit(False))).alias("_whole")).filter("_whole")
+    active = current.filter("state = 'active'").join(whole, list(scope_key), "left_semi")
+    gone = active.join(snapshot.select(*key).distinct(), list(key), "left_anti")
     return gone.select(*key, F.lit("tombstone").alias("state"), F.lit(OMITTED).alias("state_reason"), (F.col("sequence") + 1).alias("sequence"), F.col("sequence").alias("supersedes"))
 
 
@@ -138,7 +212,7 @@ def apply_universe(current: DataFrame, snapshot: DataFrame, complete: bool) -> D
 
 def first_seen(dimension: DataFrame, rows: DataFrame, key: Sequence[str], immutable: Sequence[str]) -> DataFrame:
     """For each key of rows: 'new', 'known' or 'conflict', the last if an immutable column differs from the dimension's."""
-    own = rows.dropDuplicates([*key, *immutable])
+    own = least_of_each(rows, [*key, *immutable])
     known = dimension.select(*key, F.struct(*immutable).alias("_known"))
     status = F.when(F.col("_known").isNull(), "new").when(F.col("_known").eqNullSafe(F.struct(*immutable)), "known").otherwise("conflict")
     return own.join(known, list(key), "left").withColumn("status", status).drop("_known")

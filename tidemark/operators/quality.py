@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import fields_text
+
 
 def check_rows(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """rows with rejected, the names of the rules that each row breaks (a rule that gives null is broken)."""
@@ -52,8 +54,7 @@ def result_rows(violations: DataFrame, total: DataFrame, rules: Sequence[str], s
 
 def row_hash(columns: Sequence[Column]) -> Column:
     """60 bits of md5 over the columns' texts; nulls differ from empty texts."""
-    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("\\N")) for c in columns])
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.conv(F.substring(F.md5(fields_text(*columns).cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
 def table_digest(rows: DataFrame, columns: Sequence[Column], key: Sequence[str] = ()) -> DataFrame:
@@ -63,7 +64,7 @@ def table_digest(rows: DataFrame, columns: Sequence[Column], key: Sequence[str]
 
 def semantic_identity(rows: DataFrame, batch: Sequence[str], columns: Sequence[Column]) -> DataFrame:
     """sha256 of a batch's rows in canonical order, volatile columns left out; for batches of a task's size."""
-    return rows.groupBy(*batch).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws("|", *columns))), "\n"), 256).alias("identity"))
+    return rows.groupBy(*batch).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(fields_text(*columns))), "\n"), 256).alias("identity"))
 
 
 def page_faults(pages: DataFrame, batch: Sequence[str]) -> DataFrame:

@@ -73,12 +73,19 @@ def returns(series: DataFrame, horizon: int, log: bool = False, forward: bool =
 
 
 def rolling_regression(pairs: DataFrame, n: int, key: Sequence[str], order: Sequence[str], y: str = "y", x: str = "x") -> DataFrame:
-    """Least squares of y on x over each window of n rows, from sums over the window."""
+    """Least squares of y on x over each window of n rows, N - n + 1 estimates for N rows.
+
+    A window is of rows as they come; those that lack a value are left out
+    inside it, so that an estimate may rest on fewer, or have none: status tells.
+    """
     w = Window.partitionBy(*key).orderBy(*order).rowsBetween(-(n - 1), 0)
-    out = pairs.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    cov, var = F.covar_pop(y, x).over(w), F.var_pop(x).over(w)
-    out = out.withColumns({"_n": F.count(F.lit(1)).over(w), "slope": F.try_divide(cov, var), "_my": F.avg(y).over(w), "_mx": F.avg(x).over(w)})
-    return out.filter(F.col("_n") == n).select(*key, *order, "slope", (F.col("_my") - F.col("slope") * F.col("_mx")).alias("intercept"))
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    out = pairs.withColumns({"_x": F.when(both, F.col(x)), "_y": F.when(both, F.col(y))})
+    out = out.withColumns({"_rows": F.count(F.lit(1)).over(w), "sample_size": F.count("_x").over(w), "_cov": F.covar_pop("_y", "_x").over(w), "_var": F.var_pop("_x").over(w), "_my": F.avg("_y").over(w), "_mx": F.avg("_x").over(w)})
+    status = F.when(F.col("sample_size") <= 2, "insufficient_degrees_of_freedom").when(F.col("_var") == 0, "singular_design").otherwise("established")
+    slope = F.when(status == "established", F.try_divide("_cov", "_var"))
+    out = out.filter(F.col("_rows") == n).withColumns({"status": status, "slope": slope})
+    return out.select(*key, *order, "sample_size", "status", "slope", (F.col("_my") - F.col("slope") * F.col("_mx")).alias("intercept"))
 
 
 def first_differences(series: DataFrame) -> DataFrame:
@@ -116,11 +123,13 @@ def correlation(pairs: DataFrame, key: Sequence[str], x: str = "x", y: str = "y"
     return out.select(*key, "pairs", "excluded", value.alias("correlation"), F.when(value.isNull(), "not_established").otherwise("established").alias("status"))
 
 
-def ols(rows: DataFrame, key: Sequence[str], y: str, xs: Sequence[str]) -> DataFrame:
-    """Least squares with intercept for each group, over complete rows.
+def ols(rows: DataFrame, key: Sequence[str], y: str, xs: Sequence[str], intercept: bool = True) -> DataFrame:
+    """Least squares for each group, over complete rows; coefficients begin with the intercept, if there is one.
 
     One aggregation gives each group's means and centred products; only those
-    few numbers of each group go to a solve of the normal equations.
+    few numbers of each group go to a solve of the normal equations. R squared
+    is over the centred target, with or without intercept; a constant target
+    has none, and a warning.
     """
     complete = rows.dropna(subset=[y, *xs])
     names = [y, *xs]
@@ -133,21 +142,23 @@ def ols(rows: DataFrame, key: Sequence[str], y: str, xs: Sequence[str]) -> DataF
             out = []
             for r in part.to_dict("records"):
                 c = np.array([[r[f"c_{min(i, j)}_{max(i, j)}"] for j in range(p + 1)] for i in range(p + 1)], float)
-                status, beta, rss, r2 = "established", None, None, None
-                if r["n"] <= p + 1:
+                m = np.array([r[f"m_{i}"] for i in range(p + 1)], float)
+                gram = c if intercept else c + np.outer(m, m)
+                status, warning, beta, rss, r2 = "established", None, None, None, None
+                if r["n"] <= p + int(intercept):
                     status = "insufficient_degrees_of_freedom"
-                elif np.linalg.cond(c[1:, 1:]) > 1e12:
+                elif np.linalg.cond(gram[1:, 1:]) > 1e12:
                     status = "singular_design"
                 else:
-                    beta = np.linalg.solve(c[1:, 1:], c[1:, 0])
-                    rss = max(0.0, float(r["n"] * (c[0, 0] - beta @ c[1:, 0])))
+                    beta = np.linalg.solve(gram[1:, 1:], gram[1:, 0])
+                    rss = max(0.0, float(r["n"] * (gram[0, 0] - beta @ gram[1:, 0])))
                     tss = r["n"] * c[0, 0]
-                    status, r2 = ("constant_target", None) if tss == 0 else (status, 1 - rss / tss)
-                    beta = [r["m_0"] - float(beta @ [r[f"m_{i}"] for i in range(1, p + 1)]), *beta.tolist()]
-                out.append({**{k: r[k] for k in key}, "n": r["n"], "status": status, "coefficients": beta, "rss": rss, "r_squared": r2})
-            yield pd.DataFrame(out, columns=[*key, "n", "status", "coefficients", "rss", "r_squared"])
+                    warning, r2 = ("constant_target", None) if tss == 0 else (None, 1 - rss / tss)
+                    beta = [m[0] - float(beta @ m[1:])] * int(intercept) + beta.tolist()
+                out.append({**{k: r[k] for k in key}, "n": r["n"], "status": status, "warning": warning, "coefficients": beta, "rss": rss, "r_squared": r2})
+            yield pd.DataFrame(out, columns=[*key, "n", "status", "warning", "coefficients", "rss", "r_squared"])
 
-    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in sums.select(*key).schema.fields], "n long", "status string", "coefficients array<double>", "rss double", "r_squared double"])
+    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in sums.select(*key).schema.fields], "n long", "status string", "warning string", "coefficients array<double>", "rss double", "r_squared double"])
     return sums.mapInPandas(solve, schema)
 
 

@@ -166,12 +166,6 @@ for _log in (False, True):
             return rounded(S.returns(B.event_series(spark, sf_dir), 2, log, forward), "return")
 
 
-@query("W3_rolling_regression", f"WITH {WIDE}, p AS (SELECT *, row_number() OVER (ORDER BY period_start) AS i FROM wide WHERE view IS NOT NULL AND click IS NOT NULL) SELECT b.period_start, round(regr_slope(a.click, a.view), 5) AS slope, round(regr_intercept(a.click, a.view), 3) AS intercept FROM p b JOIN p a ON a.i BETWEEN b.i - 9 AND b.i GROUP BY b.period_start, b.i HAVING count(*) = 10")
-def rolling(spark, sf_dir):
-    pairs = wide(spark, sf_dir).select(F.lit(1).alias("pair"), "period_start", F.col("click").alias("y"), F.col("view").alias("x"))
-    return S.rolling_regression(pairs, 10, ["pair"], ["period_start"]).select("period_start", F.round("slope", 5).alias("slope"), F.round("intercept", 3).alias("intercept"))
-
-
 @query("W4_first_difference_stats", f"WITH {B.SERIES}, full_series AS (SELECT series_id, period_start, raw AS value FROM summed UNION ALL SELECT series_id || '*', period_start, value FROM series), d AS (SELECT *, value - lag(value) OVER (PARTITION BY series_id ORDER BY period_start) AS d FROM full_series) SELECT series_id, count(*) AS n, CASE WHEN count(value) < count(*) THEN 'missing_values' ELSE 'established' END AS status, CASE WHEN count(value) = count(*) THEN round(avg(d), 6) END AS difference_mean, CASE WHEN count(value) = count(*) THEN round(var_samp(d), 3) END AS difference_variance FROM d GROUP BY 1")
 def differences(spark, sf_dir):
     gaps = B.event_series(spark, sf_dir).withColumn("series_id", F.concat("series_id", F.lit("*")))
@@ -217,6 +211,13 @@ def pairs(spark, sf_dir):
     return a.join(b, "period_start").filter("a < b")
 
 
+@query("W3_rolling_regression", f"WITH {_PAIRS}, p AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY period_start) AS i FROM pairs), w AS (SELECT l.a, l.b, l.period_start, regr_count(r.y, r.x) AS sample_size, regr_sxx(r.y, r.x) AS sxx, regr_slope(r.y, r.x) AS s, regr_intercept(r.y, r.x) AS c FROM p l JOIN p r ON r.a = l.a AND r.b = l.b AND r.i BETWEEN l.i - 3 AND l.i GROUP BY l.a, l.b, l.period_start, l.i HAVING count(*) = 4) SELECT a, b, period_start, CAST(sample_size AS BIGINT) AS sample_size, CASE WHEN sample_size <= 2 THEN 'insufficient_degrees_of_freedom' WHEN sxx = 0 THEN 'singular_design' ELSE 'established' END AS status, CASE WHEN sample_size > 2 AND sxx > 0 THEN round(s, 4) END AS slope, CASE WHEN sample_size > 2 AND sxx > 0 THEN round(c, 2) END AS intercept FROM w")
+def rolling(spark, sf_dir):
+    """Windows of four days for each pair of series; days without a value leave some windows with too few."""
+    out = S.rolling_regression(pairs(spark, sf_dir), 4, ["a", "b"], ["period_start"])
+    return rounded(rounded(out, "slope", places=4), "intercept", places=2)
+
+
 _CORR = f"WITH {_PAIRS} SELECT a, b, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS pairs, count(*) FILTER (WHERE x IS NULL OR y IS NULL) AS excluded, round(corr(x, y), 6) AS correlation, CASE WHEN corr(x, y) IS NULL THEN 'not_established' ELSE 'established' END AS status FROM pairs GROUP BY 1, 2"
 
 
@@ -242,6 +243,12 @@ def ols(spark, sf_dir):
     return out.select("a", "b", "n", "status", F.round(F.get("coefficients", F.lit(0)), 4).alias("intercept"), F.round(F.get("coefficients", F.lit(1)), 6).alias("slope"), F.round("rss", 2).alias("rss"), F.round("r_squared", 6).alias("r_squared"))
 
 
+@query("X2_ols_without_intercept", f"WITH {_PAIRS}, g AS (SELECT a, b, count(*) AS n, sum(x * y) AS sxy, sum(x * x) AS sxx, sum(y * y) AS syy, var_pop(y) * count(*) AS tss FROM pairs WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2) SELECT a, b, n, 'established' AS status, round(sxy / sxx, 6) AS slope, round(1 - (syy - sxy * sxy / sxx) / tss, 5) AS r_squared FROM g")
+def ols_without_intercept(spark, sf_dir):
+    out = S.ols(pairs(spark, sf_dir), ["a", "b"], "y", ["x"], intercept=False)
+    return out.select("a", "b", "n", "status", F.round(F.get("coefficients", F.lit(0)), 6).alias("slope"), F.round("r_squared", 5).alias("r_squared"))
+
+
 @query("X3_forecast_evaluate", f"WITH {B.SERIES}, f AS (SELECT series_id, value AS actual, lag(value) OVER (PARTITION BY series_id ORDER BY period_start) AS p FROM series) SELECT series_id, count(p - actual) AS pairs, round(avg(p - actual), 6) AS me, round(avg(abs(p - actual)), 6) AS mae, round(sqrt(avg((p - actual) * (p - actual))), 6) AS rmse, 'established' AS status FROM f GROUP BY 1")
 def forecast(spark, sf_dir):
     rows = B.event_series(spark, sf_dir).select("series_id", F.col("value").alias("actual"), F.lag("value").over(S.by_period()).alias("prediction"))

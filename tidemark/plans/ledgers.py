@@ -130,6 +130,21 @@ def ledger_as_of(spark, sf_dir):
     return L.ledger_select(B.obs_ledger(spark, sf_dir), SPEC, DAY).select("key", "seq", "value", "available_date")
 
 
+_WRITTEN = "CAST(available_at + CASE partkey % 3 WHEN 0 THEN INTERVAL 14 HOUR WHEN 1 THEN -INTERVAL 12 HOUR ELSE INTERVAL 0 HOUR END AS DATE)"
+
+
+@query(
+    "A6_ledger_as_of_offsets",
+    f"WITH {B.OBS}, w AS (SELECT * REPLACE (CASE WHEN available_precision = 'date' THEN available_date ELSE {_WRITTEN} END AS available_date) FROM obs) SELECT key, seq, value, available_date FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS rn FROM w WHERE CASE WHEN available_precision = 'date' THEN available_date < DATE '1998-06-15' ELSE available_at <= TIMESTAMP '1998-06-16 11:00:00' END) t WHERE rn = 1 AND state = 'active'",
+)
+def ledger_as_of_offsets(spark, sf_dir):
+    """Instants written with offsets of +14, -12 and 0 hours, at a cutoff of -12: dates as written differ by two days."""
+    hours = F.when(F.col("partkey") % 3 == 0, 14).when(F.col("partkey") % 3 == 1, -12).otherwise(0)
+    written = (F.col("available_at") + F.make_interval(hours=hours)).cast("date")
+    rows = B.obs_ledger(spark, sf_dir).withColumn("available_date", F.when(F.col("available_precision") == "date", F.col("available_date")).otherwise(written))
+    return L.ledger_select(rows, SPEC, "1998-06-15T23:00:00-12:00").select("key", "seq", "value", "available_date")
+
+
 @query("A7_issuer_as_of", "SELECT c_custkey AS issuer, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS entity_state, count(*) AS versions, c_name AS legal_name FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_orderdate <= DATE '1998-06-15' GROUP BY 1, 4")
 def issuer_as_of(spark, sf_dir):
     """Issuers with the state of their last version at the cutoff."""
@@ -259,13 +274,69 @@ def _append(name, key, payload, payload_sql=None):
 
 _append("L2_ledger_append_changes", ("subject", "metric"), ("band",))
 _append("L6_classification_append", ("subject",), ("state",))
-_append("L7_treasury_curve_append", ("metric", "subject"), ("band", "state"))
-_append("L8_calendar_event_append", ("metric", "subject"), ("state",))
 _append("L10_sec_fact_append", ("subject", "metric", "state"), ("band",))
-_append("L13_action_append", ("subject", "state"), ("band", "metric"))
-_append("L14_consensus_append", ("metric", "state", "subject"), ("band",))
 _append("L17_issuer_version_append", ("subject",), ("band", "state"))
 
+ORDER = ("available_date", "key", "seq")
+
+
+def _own_append(name, append, key, payload, columns, instant=None):
+    """A family's append; columns has its input columns as SQL and as Spark expressions over the ledger of lines."""
+    made = ", ".join(f"{sql} AS {c}" for c, (sql, _) in columns.items())
+    same = " AND ".join(f"lag({p}) OVER w IS NOT DISTINCT FROM {p}" for p in payload)
+    known = f", CAST({instant} AS DATE) AS available_date, {instant} AS available_at" if instant else ""
+    sql = f"WITH {B.OBS}, f AS (SELECT {made}, available_date AS known_on, key, seq FROM obs), marked AS (SELECT *, {same} AND lag(seq) OVER w IS NOT NULL AS same FROM f WINDOW w AS (PARTITION BY {', '.join(key)} ORDER BY known_on, key, seq)), kept AS (SELECT *, row_number() OVER (PARTITION BY {', '.join(key)} ORDER BY known_on, key, seq) AS sequence FROM marked WHERE NOT same) SELECT {', '.join([*key, *payload])}, sequence, CASE WHEN sequence > 1 THEN sequence - 1 END AS supersedes{known} FROM kept"
+
+    @query(name, sql)
+    def run(spark, sf_dir):
+        rows = B.obs_ledger(spark, sf_dir).select(*[F.expr(spark_sql).alias(c) for c, (_, spark_sql) in columns.items()], F.col("available_date").alias("known_on"), "key", "seq")
+        out = append(rows, ("known_on", "key", "seq")).select(*key, *payload, "sequence", "supersedes", *["available_date", "available_at"][: 2 * bool(instant)])
+        return out.withColumn("available_at", F.col("available_at").cast("timestamp_ntz")) if instant else out
+
+    return run
+
+
+def _both(sql):
+    return sql, sql
+
+
+_own_append(
+    "L7_treasury_curve_append", L.append_curve, ("provider", "curve_date", "variant", "tenor"), ("value", "reason", "state"),
+    {
+        "provider": _both("suppkey % 2"), "curve_date": ("CAST(date_trunc('week', available_date) AS DATE)", "CAST(date_trunc('week', available_date) AS DATE)"), "variant": _both("line % 2"), "tenor": _both("partkey % 10"),
+        "value": _both("CASE WHEN quantity >= 5 THEN CAST(quantity AS INT) % 4 END"), "reason": _both("CASE WHEN quantity < 5 THEN 'not_quoted' END"), "state": _both("state"), "captured_at": _both("available_at"),
+    },
+    "captured_at",
+)
+_own_append(
+    "L8_calendar_event_append", L.append_calendar, ("event",), ("actual", "consensus", "previous", "unit"),
+    {
+        "event": _both("partkey"), "actual": _both("CASE WHEN state = 'active' THEN CAST(quantity AS INT) % 5 END"), "consensus": _both("line % 3"), "previous": _both("suppkey % 2"),
+        "unit": _both("CASE WHEN line > 3 THEN 'percent' ELSE 'index' END"), "event_at": _both("available_at"),
+    },
+    "event_at",
+)
+_own_append(
+    "L13_action_append", L.append_actions, ("event", "provider"), ("kind", "cash_amount", "currency", "split_from", "split_to", "state"),
+    {
+        "event": _both("partkey"), "provider": _both("line % 2"), "kind": _both("CASE WHEN partkey % 3 = 0 THEN 'split' ELSE 'dividend' END"), "state": _both("state"),
+        "cash_amount": ("CASE WHEN partkey % 3 <> 0 THEN suppkey % 4 END", "suppkey % 4"), "currency": ("CASE WHEN partkey % 3 <> 0 THEN 'USD' END", "'USD'"),
+        "split_from": ("CASE WHEN partkey % 3 = 0 THEN 1 END", "1"), "split_to": ("CASE WHEN partkey % 3 = 0 THEN suppkey % 3 + 2 END", "suppkey % 3 + 2"),
+    },
+)
+_own_append(
+    "L14_consensus_append", lambda rows, order: L.append_expectations(rows, "consensus", order), ("issuer", "metric", "period"), ("value", "analysts", "unit", "state"),
+    {"issuer": _both("suppkey"), "metric": _both("partkey % 10"), "period": _both("year(available_date)"), "value": _both("CAST(quantity AS INT) % 3"), "analysts": _both("line % 2"), "unit": _both("'USD'"), "state": _both("state")},
+)
+_own_append(
+    "L14_earnings_event_append", lambda rows, order: L.append_expectations(rows, "earnings_event", order), ("issuer", "event"), ("event_date", "session", "status", "state"),
+    {"issuer": _both("suppkey"), "event": _both("partkey % 20"), "event_date": _both("CAST(date_trunc('year', available_date) AS DATE)"), "session": _both("CASE WHEN line % 2 = 0 THEN 'open' ELSE 'close' END"), "status": _both("CASE WHEN quantity > 40 THEN 'confirmed' ELSE 'expected' END"), "state": _both("state")},
+)
+_own_append(
+    "L14_guidance_append", lambda rows, order: L.append_expectations(rows, "guidance", order), ("issuer", "metric", "target"), ("low", "high", "unit", "state"),
+    {"issuer": _both("suppkey"), "metric": _both("partkey % 5"), "target": _both("year(available_date)"), "low": _both("CAST(quantity AS INT) % 2"), "high": _both("CAST(quantity AS INT) % 2 + line % 3"), "unit": _both("'USD'"), "state": _both("state")},
+)
+
 
 @query("L1_replay_gate", "SELECT o_custkey AS dataset, o_orderstatus AS identity, count(*) AS batches FROM orders o WHERE NOT EXISTS (SELECT 1 FROM orders l WHERE l.o_orderdate < DATE '1997-01-01' AND l.o_custkey = o.o_custkey AND l.o_orderstatus = o.o_orderstatus) GROUP BY 1, 2 HAVING count(*) > 0")
 def replay_gate(spark, sf_dir):
@@ -295,14 +366,17 @@ _MEMBERS_SQL = B.MEMBERS + ", cur AS (SELECT universe, member, count(*) AS seque
 @query("L4_tombstone_omissions", f"WITH {_MEMBERS_SQL} SELECT universe, member, 'tombstone' AS state, '{L.OMITTED}' AS state_reason, sequence + 1 AS sequence, sequence AS supersedes FROM cur c WHERE state = 'active' AND universe IN (SELECT universe FROM snap) AND NOT EXISTS (SELECT 1 FROM snap s WHERE s.universe = c.universe AND s.member = c.member)")
 def tombstones(spark, sf_dir):
     current, snapshot = _members(spark, sf_dir, "1998-03-01")
-    return L.tombstone_omissions(current, snapshot, ["universe", "member"], snapshot, ["universe"], complete=True)
+    return L.tombstone_omissions(current, snapshot, ["universe", "member"], snapshot.withColumn("whole", F.lit(True)), ["universe"], "whole")
 
 
-@query("L4_tombstones_of_partial", "SELECT CAST(0 AS BIGINT) AS tombstones")
-def no_tombstones(spark, sf_dir):
-    """A partial snapshot tombstones nothing."""
+@query("L4_tombstones_of_partial", f"WITH {_MEMBERS_SQL} SELECT c.universe, count(*) FILTER (WHERE c.universe NOT IN ('1-URGENT', '5-LOW')) AS tombstones FROM cur c WHERE state = 'active' AND universe IN (SELECT universe FROM snap) AND NOT EXISTS (SELECT 1 FROM snap s WHERE s.universe = c.universe AND s.member = c.member) GROUP BY 1")
+def partial_tombstones(spark, sf_dir):
+    """Snapshots of five universes, of which two are partial: those tombstone nothing."""
     current, snapshot = _members(spark, sf_dir, "1998-03-01")
-    return L.tombstone_omissions(current, snapshot, ["universe", "member"], snapshot, ["universe"], complete=False).agg(F.count(F.lit(1)).alias("tombstones"))
+    scope = snapshot.withColumn("whole", ~F.col("universe").isin("1-URGENT", "5-LOW"))
+    gone = L.tombstone_omissions(current, snapshot, ["universe", "member"], scope, ["universe"], "whole").groupBy("universe").agg(F.count(F.lit(1)).alias("n"))
+    every = L.tombstone_omissions(current, snapshot, ["universe", "member"], scope.withColumn("whole", F.lit(True)), ["universe"], "whole").select("universe").distinct()
+    return every.join(gone, "universe", "left").select("universe", F.coalesce("n", F.lit(0)).alias("tombstones"))
 
 
 @query("L5_universe_apply_snapshot", f"WITH {_MEMBERS_SQL}, n AS (SELECT universe, member, CASE WHEN member % 2 = 0 THEN DATE '1998-03-01' ELSE (SELECT c.valid_from FROM cur c WHERE c.universe = s.universe AND c.member = s.member) END AS valid_from FROM snap s) SELECT coalesce(c.universe, n.universe) AS universe, coalesce(c.member, n.member) AS member, CASE WHEN n.member IS NULL AND c.state = 'active' THEN 'tombstone' WHEN n.member IS NULL THEN 'unchanged' WHEN c.state IS NULL THEN 'active' WHEN c.state = 'tombstone' THEN 'restored' WHEN n.valid_from IS NOT DISTINCT FROM c.valid_from THEN 'membership' ELSE 'conflict' END AS action, CASE WHEN n.member IS NULL THEN c.valid_from ELSE n.valid_from END AS valid_from, CAST(NULL AS DATE) AS valid_through FROM cur c FULL OUTER JOIN n ON c.universe = n.universe AND c.member = n.member")
@@ -333,6 +407,16 @@ def weekly_append_all(spark, sf_dir):
     return _weekly_versions(observed(spark, sf_dir))
 
 
+@query(
+    "L9_weekly_fundamental_corrections",
+    f"WITH RECURSIVE {B.OBS}, w AS (SELECT partkey AS series_id, CAST(date_trunc('month', available_date) AS DATE) AS period, CAST(quantity AS INT) % 3 AS value, md5(state || '|' || suppkey % 2) AS content, row_number() OVER (PARTITION BY partkey, date_trunc('month', available_date) ORDER BY available_date, key, seq) AS i FROM obs), f AS (SELECT *, TRUE AS kept FROM w WHERE i = 1 UNION ALL SELECT w.series_id, w.period, CASE WHEN w.value = f.value OR w.content = f.content THEN f.value ELSE w.value END, CASE WHEN w.value = f.value OR w.content = f.content THEN f.content ELSE w.content END, w.i, NOT (w.value = f.value OR w.content = f.content) FROM f JOIN w ON w.series_id = f.series_id AND w.period = f.period AND w.i = f.i + 1) SELECT series_id, period, value, content, row_number() OVER (PARTITION BY series_id, period ORDER BY i) AS sequence FROM f WHERE kept",
+)
+def weekly_corrections(spark, sf_dir):
+    """A correction differs from the current version in its content and in its value."""
+    rows = B.obs_ledger(spark, sf_dir).select(F.col("partkey").alias("series_id"), F.trunc("available_date", "month").alias("period"), F.expr("CAST(quantity AS INT) % 3").alias("value"), F.md5(F.concat_ws("|", "state", F.col("suppkey") % 2).cast("binary")).alias("content"), *ORDER)
+    return L.append_corrections(rows, ["series_id", "period"], ORDER, ["value", "content"]).select("series_id", "period", "value", "content", "sequence")
+
+
 @query("L11_fundamental_derive", f"WITH {B.OBS}, facts AS (SELECT suppkey AS issuer, p_type AS concept, p_size % 3 AS unit, CAST(date_trunc('quarter', available_date) AS DATE) AS period, available_date, key, seq, value FROM obs JOIN part ON p_partkey = partkey), mapping AS (SELECT DISTINCT p_type AS concept, p_size % 3 AS unit, lower(p_type) || '_' || (p_size % 3) AS metric FROM part WHERE p_type <> 'PROMO' AND p_size % 3 < 2), m AS (SELECT f.*, g.metric FROM facts f JOIN mapping g ON f.concept = g.concept AND f.unit = g.unit) SELECT issuer, metric, period, count(*) AS versions, arg_max(value, (available_date, key, seq)) AS value FROM m GROUP BY 1, 2, 3")
 def fundamental_derive(spark, sf_dir):
     """Raw facts to canonical metrics by the mapping; the last version of each metric and period."""
@@ -434,7 +518,7 @@ def ohlc(spark, sf_dir):
     return B.bars(spark, sf_dir).agg(F.count(F.lit(1)).alias("bars"), F.count_if(scalars.ohlc_consistent(*map(F.col, ("open", "high", "low", "close")))).alias("consistent"))
 
 
-@query("F11_dimensions_digest", "SELECT p_partkey, sha256('brand=' || p_brand || ';type=' || p_type) AS digest FROM part")
+@query("F11_dimensions_digest", """SELECT p_partkey, sha256('{"brand":"' || p_brand || '","type":"' || p_type || '"}') AS digest FROM part""")
 def digests(spark, sf_dir):
     return B.read(spark, sf_dir, "part").select("p_partkey", scalars.dimensions_digest(F.create_map(F.lit("type"), "p_type", F.lit("brand"), "p_brand")).alias("digest"))
 

@@ -150,13 +150,13 @@ def export_manifest(spark, sf_dir):
 # Digests and surfaces.
 
 
-@query("G6_table_digest", r"SELECT o_orderstatus AS part, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(o_orderkey || '|' || o_custkey || '|' || coalesce(o_orderpriority, '\N')), 1, 15) AS BIGINT)::HUGEINT) AS VARCHAR) AS digest FROM orders GROUP BY 1")
+@query("G6_table_digest", r"SELECT o_orderstatus AS part, count(*) AS n, CAST(sum(CAST('0x' || substr(md5(length(o_orderkey::VARCHAR) || ':' || o_orderkey || length(o_custkey::VARCHAR) || ':' || o_custkey || coalesce(length(o_orderpriority) || ':' || o_orderpriority, 'N')), 1, 15) AS BIGINT)::HUGEINT) AS VARCHAR) AS digest FROM orders GROUP BY 1")
 def table_digest(spark, sf_dir):
     rows = B.read(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "part")
     return Q.table_digest(rows, [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderpriority")], ["part"])
 
 
-@query("G7_semantic_identity", "WITH r AS (SELECT o_custkey AS batch, o_orderstatus || '|' || o_orderpriority AS line FROM orders) SELECT batch, sha256(string_agg(line, chr(10) ORDER BY line)) AS identity FROM r GROUP BY 1")
+@query("G7_semantic_identity", "WITH r AS (SELECT o_custkey AS batch, length(o_orderstatus) || ':' || o_orderstatus || length(o_orderpriority) || ':' || o_orderpriority AS line FROM orders) SELECT batch, sha256(string_agg(line, chr(10) ORDER BY line)) AS identity FROM r GROUP BY 1")
 def identity(spark, sf_dir):
     return Q.semantic_identity(B.read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "batch"), ["batch"], [F.col("o_orderstatus"), F.col("o_orderpriority")])
 

@@ -8,10 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: The temporary folder of each local application without a shared one.
+_own: dict[str, str] = {}
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; a temporary folder only where the session names none."""
+    """A new path under ``spark.checkpoint.dir``; on one machine, where the session names none, in a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        found = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tidemark-"))
     return f"{found.rstrip('/')}/tidemark/{name}-{uuid.uuid4().hex}"
