@@ -22,8 +22,9 @@ Equal sets are one class and enter once. The steps:
    pivot's component, and a list that lies in one component is finished.
 5. The lists that hold several components still are tried with one more pivot,
    the set most like the others; then the pairs of their sets in different
-   components that pass the size and position bounds in some list are verified,
-   so no link that could join two components is lost.
+   components that pass the size and position bounds in some list, and share
+   enough prefix shingles, are verified, so no link that could join two
+   components is lost.
 6. Components of the links are spread to classes and to documents.
 
 Scale: texts are read three times and tokenised in Arrow batches; only prefix
@@ -307,13 +308,14 @@ def enough(common: Column, percent: int) -> Column:
 def first_stars(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b of a pivot and a set of its lists that may link, by the common prefix shingles of those lists and all lists in which a leads nobody.
 
-    A pair that isn't near in a list where the two met may have its first common
-    shingle in another list, which has more than two sets; all_across has it.
+    A pair that isn't near may have its first common shingle in a list in which
+    the two did not meet. It is doubtful: not compared now but kept, as later
+    steps don't see the lists of two sets, which count into its common.
     """
     unmet = lists.filter("NOT leads").groupBy(F.col("sid").alias("a")).agg(F.count(F.lit(1)).alias("_unmet"))
     met = lists.filter(F.col("sid") != F.col("pivot")).select(F.col("pivot").alias("a"), F.col("pivot_place").alias("a_place"), F.col("sid").alias("b"), F.col("place").alias("b_place"))
     more = F.coalesce("_unmet", F.lit(0))
-    return met_pairs(met, percent).join(unmet, "a", "left").filter(F.col("near") & enough(F.col("common") + more, percent)).select("a", "b")
+    return met_pairs(met, percent).join(unmet, "a", "left").filter(enough(F.col("common") + more, percent) & (F.col("near") | (more > 0))).select("a", "b", "common", (~F.col("near")).alias("doubtful"))
 
 
 def later_stars(lists: DataFrame, percent: int) -> DataFrame:
@@ -342,6 +344,17 @@ def all_across(lists: DataFrame, percent: int) -> DataFrame:
     return side("a").join(side("b"), "h").filter((F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & bounds("a_place", "b_place", percent)).select("a", "b")
 
 
+def sharing_enough(pairs: DataFrame, lists: DataFrame, doubtful: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs a, b those that may link by how many open lists they share; doubtful(a, b, common) has what to add for lists of two.
+
+    A set's open lists are at most its prefix, so each pair meets in one row.
+    """
+    held = lists.groupBy("sid").agg(F.collect_list("h").alias("_lists"), F.max(F.shiftright("place", 32)).alias("_size"))
+    side = lambda x, n: held.select(F.col("sid").alias(x), F.col("_lists").alias(f"_{x}"), F.col("_size").alias(n))
+    both = pairs.join(side("b", "m"), "b").join(side("a", "n"), "a").withColumn("common", F.size(F.array_intersect("_a", "_b"))).select("a", "b", "n", "m", "common")
+    return both.join(doubtful.withColumnRenamed("common", "_more"), ["a", "b"], "left").filter(enough(F.col("common") + F.coalesce("_more", F.lit(0)), percent)).select("a", "b")
+
+
 def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT, cell: int = CELL) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with n and sid; classes with sid and rep; node and label of each sid that links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -358,13 +371,16 @@ def link_classes(docs: DataFrame, k: int = WORDS_PER_SHINGLE, percent: int = PER
     pivots = lists.filter("split").select("h", F.col("pivot").alias("sid"), F.col("pivot_place").alias("place")).distinct()
     top = pivots.groupBy("h").agg(F.min(F.struct("place", "sid")).alias("top"))
     over_cells = pivots.join(top, "h").filter("sid <> top.sid").select("h", "sid", "place", F.col("top.sid").alias("pivot"), F.col("top.place").alias("pivot_place")).filter(bounds("place", "pivot_place", percent)).select(F.col("pivot").alias("a"), F.col("sid").alias("b"))
-    known = verified(docs, classes, materialise(ordered(first_stars(lists, percent).union(over_cells)), "candidates"), k, percent, clashes)
+    stars = materialise(first_stars(lists, percent), "stars")
+    doubtful = stars.filter("doubtful").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("common").alias("common"))
+    known = verified(docs, classes, materialise(ordered(stars.filter("NOT doubtful").select("a", "b").union(over_cells)), "candidates"), k, percent, clashes)
     labels = components(known.filter("links"))
     rest = open_lists(lists.filter("NOT two"), labels)
-    done = [lists, known]
+    done = [stars, lists, known]
     for last in (False, True):
         pairs = all_across(rest, percent) if last else later_stars(rest, percent)
-        pairs = materialise(ordered(pairs).join(known, ["a", "b"], "left_anti"), "candidates")
+        pairs = ordered(pairs).join(known, ["a", "b"], "left_anti")
+        pairs = materialise(sharing_enough(pairs, rest, doubtful, percent) if last else pairs, "candidates")
         more = verified(docs, classes, pairs, k, percent, clashes)
         known = known.union(more)
         done += [more, rest]
