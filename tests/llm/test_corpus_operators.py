@@ -424,6 +424,21 @@ def test_topk_equals_brute_force(spark):
     assert exact_topk.top_k(frame_.limit(0)).collect() == []
 
 
+def test_topk_asks_equal_rows_once_and_vectors_of_one_id_each(spark):
+    rng = np.random.default_rng(4)
+    v = {i: rng.normal(size=6).tolist() for i in range(40)}
+    other = rng.normal(size=6).tolist()
+    rows = [(i, x) for i, x in v.items()] + [(20, v[20]), (0, other)]
+    got = exact_topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5).collect()
+    ints = lambda x: [math.floor(64 * c) for c in x]
+
+    def best(query, x):
+        scores = sorted((-sum(a * b for a, b in zip(ints(x), ints(y))), i) for i, y in rows if i != query)[:5]
+        return [(query, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+
+    assert Counter(tuple(r) for r in got) == Counter(best(20, v[20]) + best(0, v[0]) + best(0, other))
+
+
 def test_topk_stops_only_on_proof():
     rng = np.random.default_rng(9)
     v = rng.integers(-60, 60, (3000, 16))

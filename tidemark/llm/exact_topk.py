@@ -16,6 +16,7 @@ and a window over them gives the k best of all blocks.
 
 Defined cases: rows without id, with a null vector, or with a null or
 non-finite component take no part; rows with the query's own id are its own;
+equal rows are one query, and different vectors of one id a query each;
 vectors of unequal length are compared as if filled with zeros; other ties go
 to the smaller vec_id, then to any of equal rows; fewer candidates than k are
 all returned; an empty table gives no rows; other columns are not used.
@@ -84,7 +85,7 @@ def best_of_block(ids: np.ndarray, v: np.ndarray, index, query_ids: np.ndarray,
 def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of every row whose id is divisible by query_step."""
     whole = materialise(scaled(vectors), "vectors")
-    queries = whole.filter(F.pmod("vec_id", F.lit(query_step)) == 0)
+    queries = whole.filter(F.pmod("vec_id", F.lit(query_step)) == 0).distinct().withColumn("query_key", F.xxhash64("v"))
     n, n_queries = whole.count(), queries.count()
     blocks, query_blocks = max(1, -(-n // VECTOR_BLOCK)), max(1, -(-n_queries // QUERY_BLOCK))
     all_of = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
@@ -92,19 +93,20 @@ def top_k(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP) -> DataF
     asked = queries.withColumn("query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")).withColumn("block", all_of(blocks))
 
     def best(vector_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+        schema = pa.schema([("query_key", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
         if not vector_rows.num_rows or not query_rows.num_rows:
             return schema.empty_table()
         width = max(len_ for t in (vector_rows, query_rows) for len_ in np.diff(t["v"].combine_chunks().offsets.to_numpy()).tolist())
         v, q = (filled(t["v"].combine_chunks(), width) for t in (vector_rows, query_rows))
         ids, query_ids = (t["vec_id"].to_numpy().astype(np.int64) for t in (vector_rows, query_rows))
-        index, found = segments(v), []
+        keys, index, found = query_rows["query_key"].to_numpy(), segments(v), []
         for a in range(0, len(q), QUERY_BATCH):
-            found += best_of_block(ids, v, index, query_ids[a : a + QUERY_BATCH], q[a : a + QUERY_BATCH], k)
+            best_here = best_of_block(ids, v, index, query_ids[a : a + QUERY_BATCH], q[a : a + QUERY_BATCH], k)
+            found += [(np.full(len(query), key), query, *rest) for key, (query, *rest) in zip(keys[a : a + QUERY_BATCH], best_here)]
         return pa.table([np.concatenate(x) for x in zip(*found)], schema=schema)
 
-    local = cells.groupBy("block", "query_block").cogroup(asked.groupBy("block", "query_block")).applyInArrow(best, "query_id long, vec_id long, score long")
-    ordered = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    local = cells.groupBy("block", "query_block").cogroup(asked.groupBy("block", "query_block")).applyInArrow(best, "query_key long, query_id long, vec_id long, score long")
+    ordered = Window.partitionBy("query_id", "query_key").orderBy(F.col("score").desc(), "vec_id")
     return local.withColumn("rank", F.row_number().over(ordered)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -126,6 +128,7 @@ def op9_exact_topk(spark, sf_dir: str) -> DataFrame:
 OP9_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(CAST(c AS DOUBLE) * 64) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+q AS (SELECT *, row_number() OVER () AS asked FROM (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 20 = 0) d),
+s AS (SELECT asked, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score FROM q JOIN v c ON c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20"""
