@@ -20,8 +20,11 @@ Scale: all counts are pre-aggregated for each task and summed by one shuffle.
 Contexts, states and effects are Spark tables and grow with the input; their
 counts nest (a longer context and next token occur at most as often as the
 shorter), so totals and shorter shares are joined from the tables of the length
-before. A bitmap of ``BITS`` bits of the candidates' names, broadcast, spares
-the shuffle what can't be one; what it lets through by chance is joined away.
+before. Bitmaps of at most ``BITS`` bits, broadcast, spare the shuffle what
+can't count: contexts that are no candidates, next tokens whose shorter pair
+came too seldom, and at length 1 pairs that come once, as their packed 32-bit
+prints tell. What they let through by chance is counted and joined away, so
+beyond some 10^8 names they cost shuffle but change no result.
 The ``HEAD`` most frequent words and ``EFFECTS`` effects are broadcast, all others reach
 the texts by a join. Neither vocabulary nor states nor scores pass through the
 driver.
@@ -42,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, most_frequent, table
+from tidemark.llm.common import materialise, most_frequent, release, table
 from tidemark.llm.tokens import Words, chunks, mix, signed
 
 ADD = 0.1
@@ -56,8 +59,10 @@ DEPTH = 4
 HEAD = 1 << 18
 #: Upper bound on the effects that are broadcast.
 EFFECTS = 1 << 20
-#: Bits of the broadcast bitmaps of names; a power of two.
-BITS = 1 << 26
+#: Upper bound on the bits of a broadcast bitmap of names, 16 for each name up to there; a power of two.
+BITS = 1 << 28
+#: Tokens for each bucket of the prints of pairs.
+BUCKET_TOKENS = 1 << 20
 FOLDS = 10
 #: Tokens counted together before their counts are handed on.
 COUNT_WINDOW = 2_000_000
@@ -127,16 +132,24 @@ def word_counts(training: DataFrame) -> DataFrame:
 
 
 class Bitmap:
-    """Names that may be in a column: all that are, and others by chance."""
+    """Names that may be in a column: all that are, and a few others by chance, by two bits for each name."""
 
     def __init__(self, names: DataFrame, column: str):
-        slot = F.col(column).bitwiseAND(F.lit(BITS - 1))
-        found = names.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST({column} & 63L AS INT))")).alias("bits")).toArrow()
-        self.bits = np.zeros(BITS >> 6, np.uint64)
+        size = min(max(16 * names.count(), 1 << 16), BITS)
+        self.mask = np.uint64((1 << (size - 1).bit_length()) - 1)
+        slots = F.array(F.col(column), F.shiftrightunsigned(column, 32)).alias("slots")
+        slot = names.select(F.explode(slots).alias("slot")).select(F.col("slot").bitwiseAND(F.lit(int(self.mask))).alias("slot"))
+        found = slot.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63L AS INT))")).alias("bits")).toArrow()
+        self.bits = np.zeros((int(self.mask) >> 6) + 1, np.uint64)
         self.bits[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
 
     def has(self, names: np.ndarray) -> np.ndarray:
-        slot = names & np.uint64(BITS - 1)
+        out = self._bit(names & self.mask)
+        at = np.flatnonzero(out)
+        out[at] = self._bit(names[at] >> np.uint64(32) & self.mask)
+        return out
+
+    def _bit(self, slot: np.ndarray) -> np.ndarray:
         return (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -152,19 +165,79 @@ def contexts_of(tokens: np.ndarray, place: np.ndarray, depth: int) -> tuple[np.n
     return at, name, short
 
 
-def next_counts(training: DataFrame, depth: int, candidates: DataFrame) -> DataFrame:
-    """pair, context, short and n: how often (MIN_FOLLOW or more) a token follows a context; pair and short name both together, short without the context's first word."""
-    shared = training.sparkSession.sparkContext.broadcast(Bitmap(candidates, "name"))
+def printed(pair: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """A pair's bucket, and the 32 bits that stand for it there."""
+    return (pair >> np.uint64(32)) % np.uint64(buckets), pair.astype(np.uint32)
+
+
+def named_print(bucket: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return mix(bucket.astype(np.uint64) << np.uint64(32) | bits.astype(np.uint64))
+
+
+def repeated_prints(training: DataFrame, candidates: Bitmap, total: int) -> tuple[DataFrame, int]:
+    """name: the prints of all pairs of a candidate word and its next token that come twice or more, and of others by chance; and the number of buckets.
+
+    Most pairs of a corpus come once. Four bytes of each, packed by bucket, tell
+    which may come again, so that only these are shuffled with their names. A
+    window sends a print at most twice, so no bucket has a hot member.
+    """
+    buckets = max(32, total // BUCKET_TOKENS)
+    shared = training.sparkSession.sparkContext.broadcast(candidates)
+
+    def packed(parts):
+        pair, n = np.unique(np.concatenate(parts), return_counts=True)
+        bucket, bits = printed(np.repeat(pair, np.minimum(n, 2)), buckets)
+        order = np.argsort(bucket, kind="stable")
+        bucket, bits = bucket[order], bits[order]
+        found, first = np.unique(bucket, return_index=True)
+        ends = np.append(first, len(bits)) * 4
+        binary = pa.Array.from_buffers(pa.large_binary(), len(found), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(bits.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), binary.cast(pa.binary())], names=["bucket", "prints"])
+
+    def sent(batches):
+        parts, size = [], 0
+        for batch in batches:
+            for _, _, data, offsets in chunks(batch.column("text")):
+                tokens, _, place = token_stream(data, offsets)
+                at, name, _ = contexts_of(tokens, place, 1)
+                may = shared.value.has(name)
+                parts.append(after(name[may], tokens[at[may]]))
+                size += len(parts[-1])
+                if size >= COUNT_WINDOW:
+                    yield packed(parts)
+                    parts, size = [], 0
+        if size:
+            yield packed(parts)
+
+    def again(group: pa.Table) -> pa.Table:
+        bits = np.sort(np.frombuffer(b"".join(group.column("prints").to_pylist()), np.uint32))
+        twice = np.unique(bits[1:][bits[1:] == bits[:-1]])
+        bucket = np.full(len(twice), group.column("bucket")[0].as_py(), np.uint64)
+        return pa.table({"name": signed(named_print(bucket, twice))})
+
+    rows = training.mapInArrow(sent, "bucket long, prints binary").groupBy("bucket").applyInArrow(again, "name long")
+    return materialise(rows, "repeated-prints"), buckets
+
+
+def next_counts(training: DataFrame, depth: int, candidates: Bitmap, shorter: Bitmap, buckets: int) -> DataFrame:
+    """pair, context, short and n: how often (MIN_FOLLOW or more) a token follows a context; pair and short name both together, short without the context's first word.
+
+    shorter holds what may come MIN_FOLLOW times: the shorts of the length before, for single words the prints of pairs.
+    """
+    shared = training.sparkSession.sparkContext.broadcast((candidates, shorter))
 
     def counted(batches):
+        contexts, repeated = shared.value
         pool = Pool("pair", "context", "short")
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column("text")):
                 tokens, _, place = token_stream(data, offsets)
                 at, name, short = contexts_of(tokens, place, depth)
-                may = shared.value.has(name)
-                name = name[may]
-                if pool.add(after(name, tokens[at[may]]), name, short[may]):
+                may = np.flatnonzero(contexts.has(name))
+                pair = after(name[may], tokens[at[may]])
+                again = repeated.has(named_print(*printed(pair, buckets)) if depth == 1 else short[may])
+                may, pair = may[again], pair[again]
+                if pool.add(pair, name[may], short[may]):
                     yield pool.flush()
         if pool.size:
             yield pool.flush()
@@ -179,12 +252,19 @@ def lengths(training: DataFrame, counts: DataFrame, total: int, types: int, dept
     end = int(signed(np.array([END]))[0])
     candidates = counts.filter((F.col("c") >= MIN_COUNT) & (F.col("word") != end)).select(F.col("word").alias("name"), F.col("c").alias("of"))
     shorter = counts.select(F.col("word").alias("short"), root.alias("parent"), *[root.alias("root")][: int(with_root)])
-    out = []
+    out, buckets = [], 1
     for d in range(1, depth + 1):
         if candidates.isEmpty():
             break
+        contexts = Bitmap(candidates, "name")
+        if d == 1:
+            prints, buckets = repeated_prints(training, contexts, total)
+            repeated = Bitmap(prints, "name")
+            release(prints)
+        else:
+            repeated = Bitmap(out[-1], "pair")
         # contexts last: their join and the sums over each share one shuffle
-        rows = next_counts(training, d, candidates).join(shorter, "short").drop("short").join(candidates.withColumnRenamed("name", "context"), "context")
+        rows = next_counts(training, d, contexts, repeated, buckets).join(shorter, "short").drop("short").join(candidates.withColumnRenamed("name", "context"), "context")
         rows = rows.withColumn("share", (F.col("n") + SMOOTH * F.col("parent")) / (F.col("of") + SMOOTH)).drop("of")
         whole = Window.partitionBy("context")
         left = F.log10(F.greatest(1 - F.sum("share").over(whole), F.lit(1e-9)) / F.greatest(1 - F.sum("parent").over(whole), F.lit(1e-9)))
@@ -275,10 +355,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     training = docs.filter("NOT held_out").select("text")
     counts = materialise(word_counts(training), "word-counts")
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    model = effects(lengths(training, counts, total, types, DEPTH))
+    tables = lengths(training, counts, total, types, DEPTH)
+    model = effects(tables)
     if model is None:
         model = docs.sparkSession.createDataFrame([], "name long, n long, effect double")
     model = materialise(model, "effects")
+    release(*tables)
     by_name = lambda found, *names: [found[x].to_numpy()[np.argsort(found[names[0]].to_numpy().view(np.uint64))] for x in names]
     words = by_name(most_frequent(counts, "word", "c", HEAD), "word", "c")
     frequent = by_name(most_frequent(model, "name", "n", EFFECTS, "effect"), "name", "effect")
