@@ -329,6 +329,23 @@ def test_suffix_tree_states_sum_to_one(spark):
         assert (root * 10**gain).sum() + unseen * 10**left == pytest.approx(1)
 
 
+def test_suffix_tree_bitmaps_and_prints_lose_nothing(spark):
+    """Bitmaps hold all names and few others; the prints hold every pair that comes twice, in one task or in two."""
+    rng = np.random.default_rng(5)
+    names = rng.integers(-(2**63), 2**63 - 1, 5000, dtype=np.int64)
+    bitmap = suffix_tree.Bitmap(spark.createDataFrame([(int(x),) for x in names], "name long"), "name")
+    assert bitmap.has(names.view(np.uint64)).all()
+    assert bitmap.has(rng.integers(0, 2**63, 100_000, dtype=np.int64).view(np.uint64)).mean() < 0.05
+    assert not suffix_tree.Bitmap(spark.createDataFrame([], "name long"), "name").has(names.view(np.uint64)).any()
+    rows = [(0, "a b c"), (1, "a b d e d e"), (2, None), (3, ""), (4, "f g")]
+    docs = frame(spark, rows).select("text").repartition(3)
+    words = suffix_tree.Bitmap(suffix_tree.word_counts(docs), "word")
+    prints, buckets = suffix_tree.repeated_prints(docs, words, 20)
+    name = lambda pair: suffix_tree.token_stream(np.frombuffer(pair.encode(), np.uint8).copy(), np.array([0, len(pair)]))[0][:2]
+    want = {int(suffix_tree.named_print(*suffix_tree.printed(suffix_tree.after(t[:1], t[1:]), buckets)).view(np.int64)[0]) for t in map(name, ["a b", "d e"])}
+    assert {r.name for r in prints.collect()} == want
+
+
 def test_suffix_tree_equals_the_rule_by_hand(spark, monkeypatch):
     rng = random.Random(8)
     filler = [f"w{i}" for i in range(9000)]
