@@ -40,11 +40,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Spark deletes the shuffle files of a query that has ended, where this is set.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The table replaces the shuffle files of its making, which go as soon as it is written.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
