@@ -37,6 +37,7 @@ N = V = 0; an empty table gives no rows; other columns are not used.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -153,16 +154,14 @@ class Bitmap:
         return (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
 
 
-def contexts_of(tokens: np.ndarray, place: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For tokens that have depth words before them: their place in the stream, the context's name, and that of the context without its first word with the token (the token alone at depth 1)."""
-    at = np.flatnonzero(place >= depth)
-    name, short = tokens[at - depth], None
-    for k in range(depth - 1, -1, -1):
-        token = tokens[at - k]
-        short = token if short is None else after(short, token)
-        if k:
-            name = after(name, token)
-    return at, name, short
+def contexts_of(tokens: np.ndarray, place: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length up to depth: which tokens have so many words before them, and at every place the context's name and that of the context without its first word (undefined where there are fewer words)."""
+    name, rest = tokens[:0], np.zeros(len(tokens), np.uint64)
+    for d in range(1, depth + 1):
+        longer = np.zeros(len(tokens), np.uint64)
+        longer[1:] = after(name[:-1], tokens[:-1]) if d > 1 else tokens[:-1]
+        rest, name = name if d > 1 else rest, longer
+        yield place >= d, name, rest
 
 
 def printed(pair: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +173,12 @@ def named_print(bucket: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return mix(bucket.astype(np.uint64) << np.uint64(32) | bits.astype(np.uint64))
 
 
+def _slices(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of the values between each two ends."""
+    binary = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int64)), pa.py_buffer(values.tobytes())])
+    return binary.cast(pa.binary())
+
+
 def repeated_prints(training: DataFrame, candidates: Bitmap, total: int) -> tuple[DataFrame, int]:
     """name: the prints of all pairs of a candidate word and its next token that come twice or more, and of others by chance; and the number of buckets.
 
@@ -190,18 +195,16 @@ def repeated_prints(training: DataFrame, candidates: Bitmap, total: int) -> tupl
         order = np.argsort(bucket, kind="stable")
         bucket, bits = bucket[order], bits[order]
         found, first = np.unique(bucket, return_index=True)
-        ends = np.append(first, len(bits)) * 4
-        binary = pa.Array.from_buffers(pa.large_binary(), len(found), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(bits.tobytes())])
-        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), binary.cast(pa.binary())], names=["bucket", "prints"])
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), _slices(bits, np.append(first, len(bits)))], names=["bucket", "prints"])
 
     def sent(batches):
         parts, size = [], 0
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column("text")):
                 tokens, _, place = token_stream(data, offsets)
-                at, name, _ = contexts_of(tokens, place, 1)
-                may = shared.value.has(name)
-                parts.append(after(name[may], tokens[at[may]]))
+                at = np.flatnonzero(place >= 1)
+                may = at[shared.value.has(tokens[at - 1])]
+                parts.append(after(tokens[may - 1], tokens[may]))
                 size += len(parts[-1])
                 if size >= COUNT_WINDOW:
                     yield packed(parts)
@@ -223,27 +226,55 @@ def next_counts(training: DataFrame, depth: int, candidates: Bitmap, shorter: Bi
     """pair, context, short and n: how often (MIN_FOLLOW or more) a token follows a context; pair and short name both together, short without the context's first word.
 
     shorter holds what may come MIN_FOLLOW times: the shorts of the length before, for single words the prints of pairs.
+    A window's counts go packed, by bucket of the pair and sorted by context, so that runs of one context take little room.
     """
     shared = training.sparkSession.sparkContext.broadcast((candidates, shorter))
 
+    def packed(parts):
+        context, token, rest = (np.concatenate(c) for c in zip(*parts))
+        pair, at, n = np.unique(after(context, token), return_index=True, return_counts=True)
+        bucket = (pair >> np.uint64(32)) % np.uint64(buckets)
+        order = np.lexsort((context[at], bucket))
+        bucket, at, n = bucket[order], at[order], n[order]
+        found, first = np.unique(bucket, return_index=True)
+        ends = np.append(first, len(bucket))
+        columns = [_slices(x, ends) for x in (context[at], token[at], rest[at], n.astype(np.uint32))]
+        return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *columns], names=["bucket", "contexts", "tokens", "rests", "times"])
+
     def counted(batches):
         contexts, repeated = shared.value
-        pool = Pool("pair", "context", "short")
+        parts, size = [], 0
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column("text")):
                 tokens, _, place = token_stream(data, offsets)
-                at, name, short = contexts_of(tokens, place, depth)
-                may = np.flatnonzero(contexts.has(name))
-                pair = after(name[may], tokens[at[may]])
-                again = repeated.has(named_print(*printed(pair, buckets)) if depth == 1 else short[may])
-                may, pair = may[again], pair[again]
-                if pool.add(pair, name[may], short[may]):
-                    yield pool.flush()
-        if pool.size:
-            yield pool.flush()
+                *_, (deep, name, rest) = contexts_of(tokens, place, depth)
+                may = np.flatnonzero(deep)
+                may = may[contexts.has(name[may])]
+                if depth == 1:
+                    again = repeated.has(named_print(*printed(after(name[may], tokens[may]), buckets)))
+                else:
+                    again = repeated.has(after(rest[may], tokens[may]))
+                may = may[again]
+                parts.append((name[may], tokens[may], rest[may]))
+                size += len(may)
+                if size >= COUNT_WINDOW:
+                    yield packed(parts)
+                    parts, size = [], 0
+        if size:
+            yield packed(parts)
+
+    def summed(group: pa.Table) -> pa.Table:
+        context, token, rest, times = (np.frombuffer(b"".join(group.column(x).to_pylist()), t) for x, t in (("contexts", "u8"), ("tokens", "u8"), ("rests", "u8"), ("times", "u4")))
+        pair = after(context, token)
+        order = np.argsort(pair, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(pair[order]) != 0]))
+        n = np.add.reduceat(times[order].astype(np.int64), first)
+        at, n = order[first[n >= MIN_FOLLOW]], n[n >= MIN_FOLLOW]
+        short = after(rest[at], token[at]) if depth > 1 else token[at]
+        return pa.table({"pair": signed(pair[at]), "context": signed(context[at]), "short": signed(short), "n": n})
 
-    rows = training.mapInArrow(counted, "pair long, context long, short long, n long")
-    return rows.groupBy("pair", "context", "short").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_FOLLOW)
+    rows = training.mapInArrow(counted, "bucket long, contexts binary, tokens binary, rests binary, times binary")
+    return rows.groupBy("bucket").applyInArrow(summed, "pair long, context long, short long, n long")
 
 
 def lengths(training: DataFrame, counts: DataFrame, total: int, types: int, depth: int, with_root: bool = False) -> list[DataFrame]:
@@ -322,14 +353,17 @@ def grow(training: DataFrame, counts: DataFrame, total: int, types: int, depth:
 
 
 def names_of(tokens: np.ndarray, doc: np.ndarray, place: np.ndarray, model: Bitmap) -> tuple[np.ndarray, np.ndarray]:
-    """The names of effects that may apply to the tokens, and the document of each."""
+    """The names of effects that may apply to the tokens, and the document of each; a next token has one only where its state does."""
     names, owner = [tokens[:0]], [doc[:0]]
-    for depth in range(1, DEPTH + 1):
-        at, context, _ = contexts_of(tokens, place, depth)
-        for name in (own(context), after(context, tokens[at])):
-            may = model.has(name)
-            names.append(name[may])
-            owner.append(doc[at[may]])
+    for deep, context, _ in contexts_of(tokens, place, DEPTH):
+        at = np.flatnonzero(deep)
+        state = own(context[at])
+        may = model.has(state)
+        at, state = at[may], state[may]
+        pair = after(context[at], tokens[at])
+        follows = model.has(pair)
+        names += [state, pair[follows]]
+        owner += [doc[at], doc[at[follows]]]
     return np.concatenate(names), np.concatenate(owner)
 
 
