@@ -25,8 +25,10 @@ can't count: contexts that are no candidates, next tokens whose shorter pair
 came too seldom, and at length 1 pairs that come once, as their packed 32-bit
 prints tell. What they let through by chance is counted and joined away, so
 beyond some 10^8 names they cost shuffle but change no result.
-The ``HEAD`` most frequent words and ``EFFECTS`` effects are broadcast, all others reach
-the texts by a join. Neither vocabulary nor states nor scores pass through the
+The ``HEAD`` most frequent words and ``EFFECTS`` effects are broadcast. All others
+are asked for by window of a task and bucket of names: a cogroup answers with a
+sum for each text, and a second one by window adds these to what the texts
+know. Neither vocabulary nor states nor scores pass through the
 driver.
 
 Defined cases: a null text is empty and has its end as only token; a null
@@ -379,7 +381,7 @@ def tallied(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """The distinct keys of each owner, the owner, and how often each occurs."""
     sort = np.lexsort((keys, owner))
     keys, owner = keys[sort], owner[sort]
-    new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])]))
+    new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])[: len(keys)])
     return keys[new], owner[new], np.diff(np.append(new, len(keys)))
 
 
@@ -400,11 +402,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
     frequent = by_name(most_frequent(model, "name", "n", EFFECTS, "effect"), "name", "effect")
     shared = docs.sparkSession.sparkContext.broadcast((words[0].view(np.uint64), words[1], frequent[0].view(np.uint64), frequent[1], Bitmap(model, "name")))
     norm = total + ADD * (types + 1)
+    bits = (max(32, total // (2 * BUCKET_TOKENS)) - 1).bit_length()
 
     def scored(batches):
         words, c, names, effect, bitmap = shared.value
         log_share = np.log10((c + ADD) / norm)
         part, row = TaskContext.get().partitionId() << 40, 0
+        facts, asked, size = [], ([], []), 0
+
+        def window():
+            first = part + row - sum(len(f) for f in facts)
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - (first >> 40)]), pa.array([first]), pa.array([_sent(facts)]), *[pa.nulls(1, pa.binary())] * 3], names=ASKED)
+            for kind, parts in enumerate(asked):
+                key, owner = (np.concatenate(x) for x in zip(*parts))
+                owner, key, times = tallied(owner - (first - part), key)
+                buckets, columns = _by_bucket(key, bits, key, owner.astype(np.uint32), times.astype(np.uint32))
+                n = len(buckets)
+                yield pa.RecordBatch.from_arrays([pa.array(2 * buckets + kind), pa.array(np.full(n, first)), pa.nulls(n, pa.binary()), *columns], names=ASKED)
+
         for batch in batches:
             for at, to, data, offsets in chunks(batch.column("text")):
                 tokens, doc, place = token_stream(data, offsets)
@@ -414,28 +429,97 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 name, of = names_of(tokens, doc, place, bitmap)
                 met, is_frequent = looked_up(name, names)
                 gain = np.bincount(of[is_frequent], weights=effect[met[is_frequent]], minlength=n)
-                uid = part + row + np.arange(n, dtype=np.int64)
+                columns = [batch.column("doc_id")[at:to], batch.column("held_out")[at:to], pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_head], minlength=n)), pa.array(base), pa.array(gain)]
+                facts.append(pa.RecordBatch.from_arrays(columns, names=FACTS))
+                asked[0].append((tokens[~is_head], row + doc[~is_head]))
+                asked[1].append((name[~is_frequent], row + of[~is_frequent]))
                 row += n
-                facts = [pa.array(uid), batch.column("doc_id")[at:to], batch.column("held_out")[at:to], pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_head], minlength=n)), pa.array(base), pa.array(gain), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-                yield pa.RecordBatch.from_arrays(facts, names=NAMES)
-                for k, (tail, owner) in enumerate([(tokens[~is_head], doc[~is_head]), (name[~is_frequent], of[~is_frequent])]):
-                    if len(tail):
-                        tail, owner, times = tallied(tail, owner)
-                        none, no_sum, m = pa.nulls(len(tail), pa.int64()), pa.nulls(len(tail), pa.float64()), pa.array(signed(tail))
-                        yield pa.RecordBatch.from_arrays([pa.array(uid[owner]), none, pa.nulls(len(tail), pa.bool_()), none, none, no_sum, no_sum, *([none, m] if k else [m, none]), pa.array(times)], names=NAMES)
-
-    rows = materialise(docs.mapInArrow(scored, "uid long, doc_id long, held_out boolean, n_tokens long, n_head long, base double, gain double, word long, name long, times long"), "scored")
-    facts = rows.filter("times IS NULL")
-    looked = rows.filter("word IS NOT NULL").select("uid", "word", "times").join(counts, "word", "left").groupBy(F.col("uid").alias("_uid")).agg(
-        F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + ADD) / norm)).alias("_base"), F.sum(F.when(F.col("c").isNotNull(), F.col("times"))).alias("_known")
-    )
-    gained = rows.filter("name IS NOT NULL").select("uid", "name", "times").join(model.select("name", "effect"), "name").groupBy(F.col("uid").alias("_of")).agg(F.sum(F.col("times") * F.col("effect")).alias("_gain"))
-    whole = facts.join(looked, F.col("uid") == F.col("_uid"), "left").join(gained, F.col("uid") == F.col("_of"), "left")
-    base = F.col("base") + F.coalesce("_base", F.lit(0.0))
-    return whole.select("doc_id", "held_out", "n_tokens", (F.col("n_head") + F.coalesce("_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain") + F.coalesce("_gain", F.lit(0.0))).alias("score"))
-
-
-NAMES = ["uid", "doc_id", "held_out", "n_tokens", "n_head", "base", "gain", "word", "name", "times"]
+                size += len(asked[0][-1][0]) + len(asked[1][-1][0])
+                if size >= COUNT_WINDOW:
+                    yield from window()
+                    facts, asked, size = [], ([], []), 0
+        if facts:
+            yield from window()
+
+    def packed(kind):
+        def run(batches):
+            parts, size = [], 0
+
+            def window():
+                key, value = (np.concatenate(x) for x in zip(*parts))
+                order = np.argsort(key)
+                buckets, columns = _by_bucket(key[order], bits, key[order], value[order])
+                return pa.RecordBatch.from_arrays([pa.array(2 * buckets + kind), *columns], names=["bucket", "names", "worth"])
+
+            for batch in batches:
+                parts.append((batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()))
+                size += len(batch)
+                if size >= COUNT_WINDOW:
+                    yield window()
+                    parts, size = [], 0
+            if size:
+                yield window()
+
+        return run
+
+    def answered(asked: pa.Table, known: pa.Table) -> pa.Table:
+        name, worth = (np.frombuffer(b"".join(known.column(x).to_pylist()), t) for x, t in (("names", "u8"), ("worth", "f8")))
+        order = np.argsort(name)
+        name, worth = name[order], worth[order]
+        out = []
+        for bucket, first, facts, *columns in zip(*[asked.column(x).to_pylist() for x in ASKED]):
+            if facts is not None:
+                out.append((first, facts, None, None, None, None))
+                continue
+            key, owner, times = (np.frombuffer(x, t) for x, t in zip(columns, ("u8", "u4", "u4")))
+            at, hit = looked_up(key, name)
+            value = np.full(len(key), 0.0 if bucket & 1 else np.log10(ADD / norm))
+            value[hit] = worth[at[hit]]
+            docs, of = np.unique(owner, return_inverse=True)
+            sums = np.bincount(of, weights=times * value)
+            seen = np.zeros(len(docs)) if bucket & 1 else np.bincount(of, weights=times * hit)
+            out.append((first, None, bucket & 1, docs.tobytes(), sums.tobytes(), seen.astype(np.uint32).tobytes()))
+        columns = zip(*out) if out else [()] * 6
+        return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["first", "facts", "kind", "docs", "sums", "seen"])
+
+    def summed(group: pa.Table) -> pa.Table:
+        rows = list(zip(*[group.column(x).to_pylist() for x in ("facts", "kind", "docs", "sums", "seen")]))
+        facts = pa.ipc.open_stream(next(r[0] for r in rows if r[0] is not None)).read_all()
+        n_known, base, gain = (facts.column(x).to_numpy().copy() for x in ("n_head", "base", "gain"))
+        # in one order on every run, whatever the order of arrival
+        for _, kind, docs, sums, seen in sorted((r for r in rows if r[0] is None), key=lambda r: r[1:]):
+            docs = np.frombuffer(docs, "u4")
+            (gain if kind else base)[docs] += np.frombuffer(sums, "f8")
+            n_known[docs] += np.frombuffer(seen, "u4")
+        columns = [*facts.select(["doc_id", "held_out", "n_tokens"]).columns, pa.array(n_known), pa.array(np.full(len(n_known), total)), pa.array(base), pa.array(base + gain)]
+        return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    asked = docs.mapInArrow(scored, "bucket long, first long, facts binary, names binary, docs binary, times binary")
+    worth = F.log10((F.col("c") + ADD) / norm)
+    known = counts.select("word", worth.alias("worth")).mapInArrow(packed(0), PACKED).unionAll(model.select("name", "effect").mapInArrow(packed(1), PACKED))
+    sums = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answered, "first long, facts binary, kind long, docs binary, sums binary, seen binary")
+    return sums.groupBy("first").applyInArrow(summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _sent(batches: list[pa.RecordBatch]) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batches[0].schema) as out:
+        for batch in batches:
+            out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _by_bucket(key: np.ndarray, bits: int, *columns: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The buckets (first bits) of sorted keys, and the bytes of each column in each of them."""
+    bucket = (key >> np.uint64(64 - bits)).view(np.int64)
+    found, first = np.unique(bucket, return_index=True)
+    ends = np.append(first, len(bucket))
+    return found, [_slices(x, ends) for x in columns]
+
+
+ASKED = ["bucket", "first", "facts", "names", "docs", "times"]
+FACTS = ["doc_id", "held_out", "n_tokens", "n_head", "base", "gain"]
+PACKED = "bucket long, names binary, worth binary"
 
 
 def op7_suffix_tree(spark, sf_dir: str) -> DataFrame:
