@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,17 @@ def shared_dir(spark: SparkSession) -> str:
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession):
+    """Queries that are built and run inside leave no shuffle files behind; each must be run once only."""
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage, survives lost executors.
 
@@ -51,12 +63,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(DROP_SHUFFLES, "false")
-    spark.conf.set(DROP_SHUFFLES, "true")
-    try:
+    with dropping_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(DROP_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

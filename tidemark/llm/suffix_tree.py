@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, most_frequent, release, table
+from tidemark.llm.common import dropping_shuffles, materialise, most_frequent, release, table
 from tidemark.llm.tokens import Words, chunks, mix, signed
 
 ADD = 0.1
@@ -69,6 +69,8 @@ BUCKET_TOKENS = 1 << 20
 FOLDS = 10
 #: Tokens counted together before their counts are handed on.
 COUNT_WINDOW = 2_000_000
+#: Words and names that are asked for together.
+ASK_WINDOW = 1_000_000
 END = np.uint64(0x454E44)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -142,7 +144,8 @@ class Bitmap:
         self.mask = np.uint64((1 << (size - 1).bit_length()) - 1)
         slots = F.array(F.col(column), F.shiftrightunsigned(column, 32)).alias("slots")
         slot = names.select(F.explode(slots).alias("slot")).select(F.col("slot").bitwiseAND(F.lit(int(self.mask))).alias("slot"))
-        found = slot.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63L AS INT))")).alias("bits")).toArrow()
+        with dropping_shuffles(names.sparkSession):
+            found = slot.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63L AS INT))")).alias("bits")).toArrow()
         self.bits = np.zeros((int(self.mask) >> 6) + 1, np.uint64)
         self.bits[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
 
@@ -435,7 +438,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 asked[1].append((name[~is_frequent], row + of[~is_frequent]))
                 row += n
                 size += len(asked[0][-1][0]) + len(asked[1][-1][0])
-                if size >= COUNT_WINDOW:
+                if size >= ASK_WINDOW:
                     yield from window()
                     facts, asked, size = [], ([], []), 0
         if facts:
