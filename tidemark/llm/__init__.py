@@ -1,6 +1,6 @@
 """Operators for preparing text corpora at scale.
 
-Ten operators, each in a module of its own, plus ``registry`` with the
+Operators, each in a module of its own, plus ``registry`` with the
 queries that apply them to the driver's tables. Nothing else in the library
 imports this subpackage.
 """

@@ -1,6 +1,6 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
-from tidemark.llm import byte_bpe, chat, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_tree
+from tidemark.llm import byte_bpe, chat, decontamination, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_tree
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_exact_topk": exact_topk.op9_exact_topk,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
+    "op11_decontamination": decontamination.op11_decontamination,
 }
 
 ORACLE_SQL = {
@@ -22,4 +23,5 @@ ORACLE_SQL = {
     "op4_line_dedup_all_runs": line_dedup.OP4_ALL_RUNS_SQL,
     "op8_mixing": mixing.OP8_SQL,
     "op9_exact_topk": exact_topk.OP9_SQL,
+    "op11_decontamination": decontamination.OP11_SQL,
 }

@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 
 _BYTES = np.arange(256)
 IN_WORD = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
+#: Bytes of terms: ASCII letters and digits, and all of any other character.
+IN_TERM = (_BYTES >= 0x80) | ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES | 0x20 >= 0x61) & (_BYTES | 0x20 <= 0x7A) & (_BYTES >= 0x41))
 LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES).astype(np.uint8)
 #: Text is handled in pieces of about so many bytes, cut between documents.
 CHUNK_BYTES = 1 << 20
@@ -50,9 +52,9 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
 class Words:
     """Word spans of a piece of text: starts, lengths, and the document of each; first[d] is a document's first word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = IN_WORD):
         self.data, self.offsets, n = data, offsets, len(offsets) - 1
-        inside = IN_WORD[data]
+        inside = in_word[data]
         before = np.zeros(len(data), bool)
         before[1:] = inside[:-1]
         after = np.zeros(len(data), bool)
