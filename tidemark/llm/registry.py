@@ -1,6 +1,6 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
-from tidemark.llm import byte_bpe, chat, decontamination, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, sharding, suffix_tree
+from tidemark.llm import byte_bpe, chat, decontamination, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, ranked_search, sharding, suffix_tree
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_exact_topk": exact_topk.op9_exact_topk,
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     "op11_decontamination": decontamination.op11_decontamination,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op8_mixing": mixing.OP8_SQL,
     "op9_exact_topk": exact_topk.OP9_SQL,
     "op11_decontamination": decontamination.OP11_SQL,
+    "op12_ranked_search": ranked_search.OP12_SQL,
 }
