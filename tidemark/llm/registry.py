@@ -1,6 +1,6 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
-from tidemark.llm import byte_bpe, chat, decontamination, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, ranked_search, sharding, suffix_tree
+from tidemark.llm import byte_bpe, chat, decontamination, drift_kmeans, exact_topk, line_dedup, mixing, ngram_join, quality_classifier, quality_rules, ranked_search, sharding, suffix_tree
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_byte_bpe": byte_bpe.op10_byte_bpe,
     "op11_decontamination": decontamination.op11_decontamination,
     "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_centroid_clustering": drift_kmeans.op13_centroid_clustering,
 }
 
 ORACLE_SQL = {
@@ -26,4 +27,5 @@ ORACLE_SQL = {
     "op9_exact_topk": exact_topk.OP9_SQL,
     "op11_decontamination": decontamination.OP11_SQL,
     "op12_ranked_search": ranked_search.OP12_SQL,
+    "op13_centroid_clustering": drift_kmeans.OP13_SQL,
 }
