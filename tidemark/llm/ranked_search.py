@@ -55,9 +55,9 @@ SEED_STEP = 16
 #: Terms, with repeats, of the queries that are handled together.
 BATCH_TERMS = 1 << 19
 
-_INTS, _LONGS = pa.list_(pa.int32()), pa.list_(pa.int64())
-BLOCK_FIELDS = "doc_ids array<long>, n array<long>, term array<int>, size array<int>, doc array<int>, tf array<int>"
-INDEX_FIELDS = "seed boolean, doc_ids array<long>, term array<int>, size array<int>, doc array<int>, gain array<long>, pair array<int>, pair_size array<int>, pair_doc array<int>, pair_gain array<long>"
+#: The arrays of a block, packed as little-endian numbers; documents are places in doc_ids.
+BLOCK_ARRAYS = {"doc_ids": "<i8", "n": "<i8", "term": "<i4", "size": "<i4", "doc": "<i4", "tf": "<i4"}
+INDEX_ARRAYS = {"doc_ids": "<i8", "term": "<i4", "size": "<i4", "doc": "<i4", "gain": "<i8", "pair": "<i4", "pair_size": "<i4", "pair_doc": "<i4", "pair_gain": "<i8"}
 
 
 def query_terms(items: DataFrame) -> DataFrame:
@@ -78,6 +78,33 @@ def query_terms(items: DataFrame) -> DataFrame:
     return materialise(numbered.mapInArrow(found, schema).distinct(), "query-terms")
 
 
+def fields(arrays: dict[str, str]) -> str:
+    return ", ".join(f"{name} binary" for name in arrays)
+
+
+def packed(arrays: dict[str, str], values, **more: pa.Array) -> pa.RecordBatch:
+    """A batch of one row of packed arrays, and more columns."""
+    columns = [pa.array([np.asarray(x).astype(kind).tobytes()], pa.binary()) for kind, x in zip(arrays.values(), values)]
+    return pa.RecordBatch.from_arrays([*more.values(), *columns], names=[*more, *arrays])
+
+
+def unpacked(arrays: dict[str, str], batch: pa.RecordBatch, row: int) -> list[np.ndarray]:
+    return [np.frombuffer(batch.column(name)[row].as_buffer(), kind) for name, kind in arrays.items()]
+
+
+def by_row(stored: DataFrame) -> DataFrame:
+    """A stored table whose rows go to Python one at a time, as each is some megabytes; in a session of its own, for these settings."""
+    own = stored.sparkSession.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    own.conf.set("spark.sql.parquet.columnarReaderBatchSize", "1")
+    return own.read.schema(stored.schema).parquet(stored.stored_at)
+
+
+def reread(stored: DataFrame, spark) -> DataFrame:
+    """A stored table in another session."""
+    return spark.read.schema(stored.schema).parquet(stored.stored_at)
+
+
 def term_hashes(terms: list[str]) -> np.ndarray:
     """The hashes that ``Words`` gives to the terms."""
     raw = [t.encode() for t in terms]
@@ -87,9 +114,11 @@ def term_hashes(terms: list[str]) -> np.ndarray:
 
 
 def blocks(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
-    """Rows of BLOCK_FIELDS: documents by id, and for each term its number of postings and the postings, as a table.
+    """Blocks as rows of BLOCK_ARRAYS, n_docs, n_terms, terms and df, as a table.
 
-    vocabulary: the sorted hashes of the terms. n is a document's number of terms of any kind.
+    A block has documents by id, with the number of their terms of any kind, and
+    for each term of the vocabulary (sorted hashes) its number of postings and
+    the postings. terms and df say the numbers once more to Spark.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -102,8 +131,9 @@ def blocks(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
         doc = place[doc]
         by_term = np.lexsort((doc, term))
         terms, sizes = np.unique(term, return_counts=True)
-        columns = [(ids[order], _LONGS), (n[order], _LONGS), (terms, _INTS), (sizes, _INTS), (doc[by_term], _INTS), (tf[by_term], _INTS)]
-        return pa.RecordBatch.from_arrays([pa.array([x.astype(np.int64 if t is _LONGS else np.int32)], t) for x, t in columns], names=["doc_ids", "n", "term", "size", "doc", "tf"])
+        lists = {name: pa.array([x.astype(np.int32)], pa.list_(pa.int32())) for name, x in (("terms", terms), ("df", sizes))}
+        totals = {name: pa.array([int(x)], pa.int64()) for name, x in (("n_docs", (n > 0).sum()), ("n_terms", n.sum()), ("first", ids.min()))}
+        return packed(BLOCK_ARRAYS, (ids[order], n[order], terms, sizes, doc[by_term], tf[by_term]), **totals, **lists)
 
     def cut(batches):
         known = shared.value
@@ -125,7 +155,7 @@ def blocks(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
         if n_docs:
             yield row(ids, counts, postings)
 
-    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, BLOCK_FIELDS), "search-blocks")
+    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, "n_docs long, n_terms long, first long, terms array<int>, df array<int>, " + fields(BLOCK_ARRAYS)), "search-blocks")
 
 
 def paired(terms: np.ndarray, df: np.ndarray) -> np.ndarray:
@@ -174,26 +204,25 @@ def pair_lists(term: np.ndarray, at: np.ndarray, doc: np.ndarray, gain: np.ndarr
             yield p, doc[s][both], gain[first[both]] + gain[s][both]
 
 
-def build(table_of_blocks: DataFrame, pairs: np.ndarray, weight: np.ndarray, n_docs: int, n_terms: int) -> DataFrame:
-    """The index: rows of INDEX_FIELDS, term lists with what each posting adds, and pair lists, as a table."""
-    shared = table_of_blocks.sparkSession.sparkContext.broadcast((pairs, weight))
-    draw = F.xxhash64(F.element_at("doc_ids", 1), F.size("doc_ids"), F.size("doc"))
-    least = table_of_blocks.select(F.min(draw)).first()[0]
-    marked = table_of_blocks.withColumn("seed", (F.pmod(draw, F.lit(SEED_STEP)) == 0) | (draw == F.lit(least).cast("long")))
+def build(stored: DataFrame, pairs: np.ndarray, weight: np.ndarray, n_docs: int, n_terms: int) -> DataFrame:
+    """The index: rows of INDEX_ARRAYS, term lists with what each posting adds, and pair lists, as a table."""
+    shared = stored.sparkSession.sparkContext.broadcast((pairs, weight))
+    draw = F.xxhash64("first", "n_docs", "n_terms")
+    least = stored.select(F.min(draw)).first()[0]
+    marked = by_row(stored).select(((F.pmod(draw, F.lit(SEED_STEP)) == 0) | (draw == F.lit(least).cast("long"))).alias("seed"), *BLOCK_ARRAYS)
 
     def lists(batches):
         pairs, weight = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, n, term, size, doc, tf = (batch.column(c)[i].values.to_numpy() for c in ("doc_ids", "n", "term", "size", "doc", "tf"))
+                ids, n, term, size, doc, tf = unpacked(BLOCK_ARRAYS, batch, i)
                 at = starts(size)
                 gain = gains(tf.astype(np.int64), n[doc], np.repeat(weight[term], size), n_docs, n_terms)
-                found = list(pair_lists(term, at, doc, gain, pairs, len(ids)))
-                none = [np.zeros(0, np.int64)]
-                columns = [(ids, _LONGS), (term, _INTS), (size, _INTS), (doc, _INTS), (gain, _LONGS), (np.array([f[0] for f in found]), _INTS), (np.array([len(f[1]) for f in found]), _INTS), (np.concatenate([f[1] for f in found] or none), _INTS), (np.concatenate([f[2] for f in found] or none), _LONGS)]
-                yield pa.RecordBatch.from_arrays([batch.column("seed").slice(i, 1), *[pa.array([x.astype(np.int64 if t is _LONGS else np.int32)], t) for x, t in columns]], names=["seed", "doc_ids", "term", "size", "doc", "gain", "pair", "pair_size", "pair_doc", "pair_gain"])
+                found, none = list(pair_lists(term, at, doc, gain, pairs, len(ids))), [np.zeros(0, np.int64)]
+                of_pairs = [f[0] for f in found], [len(f[1]) for f in found], np.concatenate([f[1] for f in found] or none), np.concatenate([f[2] for f in found] or none)
+                yield packed(INDEX_ARRAYS, (ids, term, size, doc, gain, *of_pairs), seed=batch.column("seed").slice(i, 1))
 
-    return materialise(marked.mapInArrow(lists, INDEX_FIELDS), "search-index")
+    return materialise(marked.mapInArrow(lists, "seed boolean, " + fields(INDEX_ARRAYS)), "search-index")
 
 
 class Block:
@@ -271,7 +300,7 @@ def kth_best(scores: np.ndarray, k: int) -> int:
 
 
 def searched(index: DataFrame, queries: list[np.ndarray], pairs: np.ndarray, floors: np.ndarray, k: int) -> DataFrame:
-    """query (its place among queries), doc_id and score: the k best, at least, of what each task read."""
+    """query (its place among queries), doc_id and score: the k best, at least, of what each task read; as a table."""
     shared = index.sparkSession.sparkContext.broadcast((np.concatenate(queries), starts([len(q) for q in queries]), pairs, floors))
 
     def best(batches):
@@ -279,7 +308,7 @@ def searched(index: DataFrame, queries: list[np.ndarray], pairs: np.ndarray, flo
         floors, found = floors.copy(), [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in range(len(cuts) - 1)]
         for batch in batches:
             for i in range(batch.num_rows):
-                block = Block(*(batch.column(c)[i].values.to_numpy() for c in ("doc_ids", "term", "size", "doc", "gain", "pair", "pair_size", "pair_doc", "pair_gain")))
+                block = Block(*unpacked(INDEX_ARRAYS, batch, i))
                 a, b = places(pairs[:, 0], block.term)[numbers], places(pairs[:, 1], block.term)[numbers]
                 both = places(numbers, block.pair)
                 for q, (lo, hi) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
@@ -294,7 +323,7 @@ def searched(index: DataFrame, queries: list[np.ndarray], pairs: np.ndarray, flo
         if len(query):
             yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))], names=["query", "doc_id", "score"])
 
-    return index.drop("seed").mapInArrow(best, "query long, doc_id long, score long")
+    return materialise(index.drop("seed").mapInArrow(best, "query long, doc_id long, score long"), "search-best")
 
 
 def batch_search(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
@@ -305,22 +334,23 @@ def batch_search(docs: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     hashes = term_hashes(rows["term"].to_pylist())
     vocabulary, term = np.unique(hashes, return_inverse=True)
     found = blocks(docs, vocabulary)
-    n_docs, n_terms = found.select(F.sum(F.size(F.filter("n", lambda x: x > 0))), F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x))).first()
-    n_docs, n_terms = n_docs or 0, n_terms or 0
+    n_docs, n_terms = found.select(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("n_terms"), F.lit(0))).first()
     df = np.zeros(len(vocabulary), np.int64)
-    counted = found.select(F.explode(F.arrays_zip("term", "size")).alias("x")).groupBy("x.term").agg(F.sum("x.size").alias("df")).toArrow()
-    df[counted["term"].to_numpy()] = counted["df"].to_numpy()
+    counted = found.select(F.explode(F.arrays_zip("terms", "df")).alias("x")).groupBy("x.terms").agg(F.sum("x.df").alias("df")).toArrow()
+    df[counted["terms"].to_numpy()] = counted["df"].to_numpy()
     weight = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * x + 1))) if x else 0 for x in df.tolist()], np.int64)
     units = [paired(t, df) for t in np.split(term[np.argsort(query, kind="stable")], np.cumsum(np.bincount(query))[:-1])]
     pairs, number = np.unique(np.concatenate(units), axis=0, return_inverse=True)
     queries = np.split(number.reshape(-1), np.cumsum([len(u) for u in units])[:-1])
     index = build(found, pairs, weight, n_docs, n_terms)
     release(found)
-    first = materialise(searched(index.filter("seed"), queries, pairs, np.zeros(len(queries), np.int64), k), "search-seeds")
+    rows = by_row(index)
+    first = reread(searched(rows.filter("seed"), queries, pairs, np.zeros(len(queries), np.int64), k), spark)
     floors = np.zeros(len(queries), np.int64)
     kth = first.withColumn("at", F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc()))).filter(F.col("at") == k).toArrow()  # a row for each query
     floors[kth["query"].to_numpy()] = kth["score"].to_numpy()
-    out = first.unionByName(searched(index.filter("NOT seed"), queries, pairs, floors, k))
+    out = first.unionByName(reread(searched(rows.filter("NOT seed"), queries, pairs, floors, k), spark))
+    release(index)
     names = spark.createDataFrame(pa.table({"query": np.arange(len(numbers)), "number": numbers}))
     return out.join(names, "query").select(F.col("number").alias("query"), "doc_id", "score")
 
