@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
 from tidemark.functions.temporal import CALENDAR_DATE_INCLUSIVE, COMPLETED_DATE, SAME_DAY_WARNING, cutoff, parse_temporal, pit_visible, pit_warning
-from tidemark.operators import joins, ledger, quality, search, series
+from tidemark.operators import declared, joins, ledger, quality, search, series
 from tidemark.sources import export, readers
 from tidemark.streaming import ingest
 
@@ -232,3 +232,25 @@ def test_stream_of_batches_equals_one_batch(spark, tmp_path):
     got = sorted((r.k, r.t, r.sequence, r.supersedes) for r in spark.read.parquet(str(tmp_path / "ledger")).collect())
     want = sorted((r.k, r.t, r.sequence, r.supersedes) for r in ledger.append_changes(df, spec, ["t"]).collect())
     assert got == want
+
+
+def test_corrections_keep_null_keys_and_long_values(spark):
+    rows = [(None, 1, 9007199254740993, "a"), (None, 2, 9007199254740993, "a"), (None, 3, 9007199254740993, "a"), ("k", 1, None, "a"), ("k", 2, 9007199254740993, "b"), ("k", 3, 9007199254740995, "b"), ("k", 4, 9007199254740995, "c"), ("k", 5, 1, "d")]
+    df = spark.createDataFrame(rows, "k string, t int, value long, content string")
+    got = ledger.append_corrections(df, ["k"], ["t"], ["value", "content"]).collect()
+    assert sorted(((r.k, r.t, r.value, r.sequence) for r in got), key=str) == sorted([(None, 1, 9007199254740993, 1), ("k", 1, None, 1), ("k", 2, 9007199254740993, 2), ("k", 4, 9007199254740995, 3), ("k", 5, 1, 4)], key=str)
+
+
+def test_ols_passes_its_keys_untouched(spark):
+    rows = [(g, float(x), 2.0 * x + 1) for g in (None, 9007199254740993, 5) for x in range(4)]
+    out = series.ols(spark.createDataFrame(rows, "g long, x double, y double"), ["g"], "y", ["x"]).collect()
+    assert {r.g for r in out} == {None, 9007199254740993, 5} and all(abs(r.coefficients[1] - 2) < 1e-9 for r in out)
+    empty = series.ols(spark.createDataFrame([], "g long, x double, y double"), ["g"], "y", ["x"])
+    assert empty.collect() == []
+
+
+def test_curve_of_five_tenors(spark):
+    points = spark.createDataFrame([("d", t, r) for t, r in zip(declared.CURVE_TENORS, [5.0, 4.0, 3.5, 4.2, 4.6])] + [("e", "2y", 4.0), ("e", "10y", 4.5)], "day string, tenor string, rate double")
+    out = {r.day: r for r in declared.curve_spreads(points, ["day"]).collect()}
+    measures = lambda r: tuple(None if x is None else round(x, 9) for x in (r.slope_10y_2y, r.slope_10y_3m, r.slope_30y_5y, r.butterfly_2s5s10s, r.curvature_2s10s30s))
+    assert measures(out["d"]) == (0.2, -0.8, 1.1, -1.2, -0.2) and measures(out["e"]) == (0.5, None, None, None, None)

@@ -17,7 +17,7 @@ CALENDAR_DATE_INCLUSIVE = "calendar_date_inclusive"
 SAME_DAY_WARNING = "date_only_same_day_intraday_safety_not_established"
 
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
-_DATETIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})$"
+_DATETIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
 
 
 class Temporal(NamedTuple):

@@ -39,11 +39,20 @@ def exact_change(rows: DataFrame, key: Sequence[str], day: str, value: str, days
     return rows.join(before, [*key, day], "left").select(*key, day, value, (F.col(value) - F.col("_before")).alias("change"))
 
 
-def curve_spreads(points: DataFrame, key: Sequence[str], tenors: Sequence[str]) -> DataFrame:
-    """Slopes and curvature of a curve of four tenors, short to long; a missing point leaves its measures null."""
+#: Tenors of the measures of a curve.
+CURVE_TENORS = ("3m", "2y", "5y", "10y", "30y")
+
+
+def curve_spreads(points: DataFrame, key: Sequence[str], tenors: Sequence[str] = CURVE_TENORS) -> DataFrame:
+    """10y-2y, 10y-3m, 30y-5y, the 2s5s10s butterfly and the 2s10s30s curvature; tenors are the names of 3m, 2y, 5y, 10y and 30y.
+
+    A missing point leaves its measures null; nothing is interpolated.
+    """
     wide = points.groupBy(*key).agg(*[F.max(F.when(F.col("tenor") == t, F.col("rate"))).alias(f"_{i}") for i, t in enumerate(tenors)])
-    a, b, c, d = (F.col(f"_{i}") for i in range(4))
-    return wide.select(*key, (c - a).alias("slope_long_short"), (c - b).alias("slope_long_mid"), (d - c).alias("slope_end"), (2 * b - a - c).alias("butterfly"), (2 * c - b - d).alias("curvature"))
+    m3, y2, y5, y10, y30 = (F.col(f"_{i}") for i in range(5))
+    return wide.select(
+        *key, (y10 - y2).alias("slope_10y_2y"), (y10 - m3).alias("slope_10y_3m"), (y30 - y5).alias("slope_30y_5y"), (2 * y5 - y2 - y10).alias("butterfly_2s5s10s"), (2 * y10 - y2 - y30).alias("curvature_2s10s30s")
+    )
 
 
 def transforms(series: DataFrame, window: int = 5) -> DataFrame:

@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import fields_text
 from tidemark.functions.temporal import COMPLETED_DATE, Temporal, cutoff, effective_on, latest_written_date, pit_visible, pit_warning
 
 OMITTED = "source_omitted_from_complete_authoritative_snapshot"
@@ -137,24 +139,26 @@ def append_corrections(observed: DataFrame, key: Sequence[str], order: Sequence[
 
     Since such a likeness isn't transitive, each is compared with the version
     that is current then, not with the observation before it. A partition's
-    keys are read as a sorted stream; only the current version is held.
+    keys are read as a sorted stream of texts of keys and compared columns (nulls
+    are alike, and a key of their own); only the current version is held, and
+    the observation's own columns pass as they are.
     """
 
     def kept(batches):
         current = None
         for part in batches:
             flags = []
-            keys, values = part[list(key)].astype(object).values.tolist(), part[[f"_like_{i}" for i in range(len(alike))]].values.tolist()
-            for k, v in zip(keys, values):
+            for k, *v in zip(*[part.column(n).to_pylist() for n in compared]):
                 same = current is not None and current[0] == k and any(a == b for a, b in zip(current[1], v))
                 flags.append(not same)
                 if not same:
                     current = (k, v)
-            yield part[flags]
+            yield part.filter(pa.array(flags, pa.bool_())).select(observed_columns)
 
-    likes = {f"_like_{i}": F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null")) for i, c in enumerate(alike)}
-    rows = observed.withColumns(likes).repartition(*key).sortWithinPartitions(*key, *order)
-    return number_versions(rows.mapInPandas(kept, rows.schema).drop(*likes), key, order)
+    likes = {f"_like_{i}": fields_text(F.col(c)) for i, c in enumerate(alike)}
+    observed_columns, compared = observed.columns, ["_key", *likes]
+    rows = observed.withColumns({"_key": fields_text(*[F.col(k) for k in key]), **likes}).repartition("_key").sortWithinPartitions("_key", *order)
+    return number_versions(rows.mapInArrow(kept, observed.schema), key, order)
 
 
 def append_changes(observed: DataFrame, spec: LedgerSpec, order: Sequence[str]) -> DataFrame:

@@ -23,14 +23,14 @@ def tokens(text: Column) -> Column:
 
 
 def bm25(docs: DataFrame, key: Sequence[str], text: Column, query: str) -> DataFrame:
-    """Documents that hold every term, with their score.
+    """Documents that hold every term, with their score; rows without text are no documents.
 
     Only the query's terms are exploded; document frequencies and the mean
     length are taken over all documents. A hyphenated term is a phrase.
     """
     terms = [folded_text(t) for t in safe_terms(query)]
     phrases = [t.split("-") for t in terms]
-    words = docs.select(*key, tokens(text).alias("_tokens")).withColumn("_length", F.size("_tokens"))
+    words = docs.filter(text.isNotNull()).select(*key, tokens(text).alias("_tokens")).withColumn("_length", F.size("_tokens"))
     count = lambda p: F.size(F.filter(F.col("_tokens"), lambda t: t == p[0])) if len(p) == 1 else F.size(F.filter(F.sequence(F.lit(0), F.greatest(F.col("_length") - 1, F.lit(0))), lambda i: F.slice("_tokens", i + 1, len(p)) == F.array(*[F.lit(w) for w in p])))
     hits = words.select(*key, "_length", *[count(p).alias(f"_tf{i}") for i, p in enumerate(phrases)])
     stats = hits.agg(F.count(F.lit(1)).alias("_docs"), F.avg("_length").alias("_mean"), *[F.count_if(F.col(f"_tf{i}") > 0).alias(f"_df{i}") for i in range(len(terms))])

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.scalars import log_ratio, simple_ratio
 from tidemark.functions.temporal import bucket_end, bucket_start
@@ -140,7 +141,7 @@ def ols(rows: DataFrame, key: Sequence[str], y: str, xs: Sequence[str], intercep
     def solve(batches):
         for part in batches:
             out = []
-            for r in part.to_dict("records"):
+            for r in part.drop_columns(list(key)).to_pylist():
                 c = np.array([[r[f"c_{min(i, j)}_{max(i, j)}"] for j in range(p + 1)] for i in range(p + 1)], float)
                 m = np.array([r[f"m_{i}"] for i in range(p + 1)], float)
                 gram = c if intercept else c + np.outer(m, m)
@@ -155,11 +156,13 @@ def ols(rows: DataFrame, key: Sequence[str], y: str, xs: Sequence[str], intercep
                     tss = r["n"] * c[0, 0]
                     warning, r2 = ("constant_target", None) if tss == 0 else (None, 1 - rss / tss)
                     beta = [m[0] - float(beta @ m[1:])] * int(intercept) + beta.tolist()
-                out.append({**{k: r[k] for k in key}, "n": r["n"], "status": status, "warning": warning, "coefficients": beta, "rss": rss, "r_squared": r2})
-            yield pd.DataFrame(out, columns=[*key, "n", "status", "warning", "coefficients", "rss", "r_squared"])
+                out.append({"n": r["n"], "status": status, "warning": warning, "coefficients": beta, "rss": rss, "r_squared": r2})
+            solved = pa.Table.from_pylist(out, pa.schema([("n", pa.int64()), ("status", pa.string()), ("warning", pa.string()), ("coefficients", pa.list_(pa.float64())), ("rss", pa.float64()), ("r_squared", pa.float64())])).to_batches()
+            if solved:  # key columns go through untouched
+                yield pa.RecordBatch.from_arrays([*[part.column(k) for k in key], *solved[0].columns], names=[*key, *solved[0].schema.names])
 
-    schema = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in sums.select(*key).schema.fields], "n long", "status string", "warning string", "coefficients array<double>", "rss double", "r_squared double"])
-    return sums.mapInPandas(solve, schema)
+    schema = StructType([*sums.select(*key).schema.fields, *StructType.fromDDL("n long, status string, warning string, coefficients array<double>, rss double, r_squared double").fields])
+    return sums.mapInArrow(solve, schema)
 
 
 def forecast_errors(rows: DataFrame, key: Sequence[str], actual: str = "actual", prediction: str = "prediction") -> DataFrame:

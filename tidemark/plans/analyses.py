@@ -75,11 +75,11 @@ def impulse(spark, sf_dir):
     return rounded(D.exact_change(B.order_series(spark, sf_dir), ["series_id"], "period_start", "value", 7), "change", places=2)
 
 
-@query("D7_curve_analytics", "WITH p AS (SELECT o_orderpriority AS tenor, CAST(o_orderdate AS DATE) AS curve_date, max(o_totalprice) AS r FROM orders GROUP BY 1, 2), w AS (SELECT curve_date, max(r) FILTER (WHERE tenor = '1-URGENT') AS a, max(r) FILTER (WHERE tenor = '2-HIGH') AS b, max(r) FILTER (WHERE tenor = '3-MEDIUM') AS c, max(r) FILTER (WHERE tenor = '5-LOW') AS d FROM p GROUP BY 1) SELECT curve_date, round(c - a, 4) AS slope_long_short, round(c - b, 4) AS slope_long_mid, round(d - c, 4) AS slope_end, round(2 * b - a - c, 4) AS butterfly, round(2 * c - b - d, 4) AS curvature FROM w")
+@query("D7_curve_analytics", "WITH p AS (SELECT o_orderpriority AS tenor, CAST(o_orderdate AS DATE) AS curve_date, max(o_totalprice) AS r FROM orders GROUP BY 1, 2), w AS (SELECT curve_date, max(r) FILTER (WHERE tenor = '1-URGENT') AS m3, max(r) FILTER (WHERE tenor = '2-HIGH') AS y2, max(r) FILTER (WHERE tenor = '3-MEDIUM') AS y5, max(r) FILTER (WHERE tenor = '4-NOT SPECIFIED') AS y10, max(r) FILTER (WHERE tenor = '5-LOW') AS y30 FROM p GROUP BY 1) SELECT curve_date, round(y10 - y2, 4) AS slope_10y_2y, round(y10 - m3, 4) AS slope_10y_3m, round(y30 - y5, 4) AS slope_30y_5y, round(2 * y5 - y2 - y10, 4) AS butterfly_2s5s10s, round(2 * y10 - y2 - y30, 4) AS curvature_2s10s30s FROM w")
 def curve(spark, sf_dir):
     points = B.read(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("tenor"), F.col("o_orderdate").cast("date").alias("curve_date")).agg(F.max("o_totalprice").alias("rate"))
-    out = D.curve_spreads(points, ["curve_date"], ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"])
-    return rounded(out, "slope_long_short", "slope_long_mid", "slope_end", "butterfly", "curvature", places=4)
+    out = D.curve_spreads(points, ["curve_date"], ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"])
+    return rounded(out, "slope_10y_2y", "slope_10y_3m", "slope_30y_5y", "butterfly_2s5s10s", "curvature_2s10s30s", places=4)
 
 
 @query("D8_transform_suite", f"WITH {B.SERIES}, t AS (SELECT *, lag(value) OVER w AS back, first_value(value IGNORE NULLS) OVER g AS f, max(value) OVER g AS top, avg(value) OVER r AS ra, stddev_samp(value) OVER r AS rs, count(value) OVER r AS rn, avg(value) OVER g AS ga, stddev_samp(value) OVER g AS gs FROM series WINDOW w AS (PARTITION BY series_id ORDER BY period_start), r AS (PARTITION BY series_id ORDER BY period_start ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), g AS (PARTITION BY series_id ORDER BY period_start ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT series_id, period_start, round(value - back, 4) AS difference, round(value / back - 1, 4) AS percent_change, round(ln(value / back), 4) AS log_change, round(100 * value / f, 4) AS index_100, round(value / top - 1, 4) AS drawdown, CASE WHEN rn = 5 THEN round(ra, 4) END AS rolling_mean, CASE WHEN rn = 5 THEN round(rs, 4) END AS rolling_std, CASE WHEN rn = 5 THEN round((value - ra) / nullif(rs, 0), 4) END AS rolling_z, round((value - ga) / nullif(gs, 0), 4) AS expanding_z FROM t")

@@ -234,7 +234,7 @@ def _bm25_sql(terms, source="documents", key="doc_id", after=""):
     tf = ", ".join(f"CAST(len(list_filter(t, lambda w: w = '{x}')) AS DOUBLE) AS tf{i}" for i, x in enumerate(terms))
     df = ", ".join(f"count(*) FILTER (WHERE tf{i} > 0) AS df{i}" for i in range(len(terms)))
     score = " + ".join(f"ln((docs - df{i} + 0.5) / (df{i} + 0.5) + 1) * tf{i} * 2.2 / (tf{i} + 1.2 * (0.25 + 0.75 * n / mean))" for i in range(len(terms)))
-    return f"tok AS (SELECT {key}, list_filter(regexp_split_to_array({_FOLD}, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS t FROM {source}), hits AS (SELECT {key}, len(t) AS n, {tf} FROM tok), st AS (SELECT count(*) AS docs, avg(n) AS mean, {df} FROM hits) SELECT {key}, round({score}, 6) AS score FROM hits, st WHERE {' AND '.join(f'tf{i} > 0' for i in range(len(terms)))}{after}"
+    return f"tok AS (SELECT {key}, list_filter(regexp_split_to_array({_FOLD}, '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS t FROM {source} WHERE text IS NOT NULL), hits AS (SELECT {key}, len(t) AS n, {tf} FROM tok), st AS (SELECT count(*) AS docs, avg(n) AS mean, {df} FROM hits) SELECT {key}, round({score}, 6) AS score FROM hits, st WHERE {' AND '.join(f'tf{i} > 0' for i in range(len(terms)))}{after}"
 
 
 @query("H1_news_search_bm25", "WITH " + _bm25_sql(["the", "of"]))
