@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.plans import analyses, analytics, indexes, ledgers, services  # noqa: F401  they enter their queries
+from tidemark.plans import analyses, analytics, indexes, ledgers, options, services  # noqa: F401  they enter their queries
 from tidemark.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
