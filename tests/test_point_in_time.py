@@ -254,3 +254,42 @@ def test_curve_of_five_tenors(spark):
     out = {r.day: r for r in declared.curve_spreads(points, ["day"]).collect()}
     measures = lambda r: tuple(None if x is None else round(x, 9) for x in (r.slope_10y_2y, r.slope_10y_3m, r.slope_30y_5y, r.butterfly_2s5s10s, r.curvature_2s10s30s))
     assert measures(out["d"]) == (0.2, -0.8, 1.1, -1.2, -0.2) and measures(out["e"]) == (0.5, None, None, None, None)
+
+
+def test_a_micro_batch_reads_and_rewrites_the_buckets_of_its_keys(spark, tmp_path):
+    spec, path = ledger.LedgerSpec(key=("k",), rank=("t",), payload=("value",)), str(tmp_path / "ledger")
+    append = ingest.ledger_appender(spec, path, ["t"], buckets=16)
+    append(spark.createDataFrame([(f"k{i}", 1, 1.0) for i in range(100)], "k string, t int, value double"), 0)
+    before = ingest.state_of(spark, path)
+    assert len(before) == 16
+    one = spark.createDataFrame([("k7", 2, 5.0), ("k7", 3, 5.0)], "k string, t int, value double")
+    for _ in range(2):  # and its replay
+        append(one, 1)
+        after = ingest.state_of(spark, path)
+        moved = [b for b in after if after[b] != before[b]]
+        assert len(moved) == 1 and len(list((tmp_path / "ledger" / "_state" / "batch=1").glob("bucket=*"))) == 1
+        schema = "k string, t int, value double, sequence long"
+        read = ingest.read_state(spark, path, {b: after[b] for b in moved}, schema)
+        assert len(read.inputFiles()) == 1 and {(r.k, r.sequence) for r in read.filter("k = 'k7'").collect()} == {("k7", 2)}
+        assert spark.read.parquet(path).count() == 101
+    append(one.withColumn("t", F.col("t") + 5).withColumn("value", F.lit(9.0)), 2)
+    assert not list((tmp_path / "ledger" / "_state" / "batch=0").glob(f"bucket={moved[0]}")), "the state that batch 1 replaced"
+    assert {r.sequence for r in spark.read.parquet(path).filter("k = 'k7'").collect()} == {1, 2, 3}
+
+
+def test_late_vintages_append_without_becoming_current(spark, tmp_path):
+    spec, path = ledger.LedgerSpec(key=("series", "vintage"), rank=("release",), payload=("value",)), str(tmp_path / "ledger")
+    append, schema = ingest.ledger_appender(spec, path, ["release"]), "series string, vintage string, release int, value double"
+    append(spark.createDataFrame([("gdp", "second", 2, 1.5)], schema), 0)
+    append(spark.createDataFrame([("gdp", "advance", 1, 1.0), ("cpi", "advance", 1, 3.0)], schema), 1)
+    now = ingest.current_versions(spark, path, spec, schema + ", sequence long", ["series"]).collect()
+    assert {(r.series, r.vintage, r.value) for r in now} == {("gdp", "second", 1.5), ("cpi", "advance", 3.0)}
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_an_empty_first_batch_and_empty_batches(spark, tmp_path):
+    spec, path = ledger.LedgerSpec(key=("k",), rank=("t",), payload=("value",)), str(tmp_path / "ledger")
+    append, schema = ingest.ledger_appender(spec, path, ["t"]), "k string, t int, value double"
+    for number, rows in enumerate([[], [("a", 1, 1.0)], [], [("a", 2, 1.0), ("a", 3, 2.0), (None, 1, None), (None, 2, None)]]):
+        append(spark.createDataFrame(rows, schema), number)
+    assert sorted(((r.k, r.t, r.sequence) for r in spark.read.parquet(path).collect()), key=str) == sorted([("a", 1, 1), ("a", 3, 2), (None, 1, 1)], key=str)

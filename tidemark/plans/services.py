@@ -447,12 +447,11 @@ def stream_append(spark, sf_dir):
     """Observations year by year as micro-batches; the ledger that they leave is the batch twin's."""
     source, path, done = (shared_path(spark, n) for n in ("observed-stream", "stream-ledger", "stream-ledger-offsets"))
     rows = B.obs_ledger(spark, sf_dir).select(F.col("suppkey").alias("subject"), F.col("available_date").alias("known_on"), "key", "seq", F.round(F.col("quantity") / 25).cast("int").alias("band"))
-    cuts = ["1900-01-01", "1996-01-01", "1999-01-01", "9999-12-31"]
-    for a, b in zip(cuts, cuts[1:]):
-        part = rows.filter((F.col("known_on") >= F.lit(a).cast("date")) & (F.col("known_on") < F.lit(b).cast("date")))
-        part.coalesce(1).write.mode("append").parquet(source)
     spec = L.LedgerSpec(key=("subject",), rank=("known_on", "key", "seq"), payload=("band",))
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
-    ingest.run_ledger_stream(stream, spec, path, spec.rank, done).awaitTermination()
+    cuts = ["1900-01-01", "1996-01-01", "1999-01-01", "9999-12-31"]
+    for a, b in zip(cuts, cuts[1:]):  # what was written since is the next micro-batch
+        rows.filter((F.col("known_on") >= F.lit(a).cast("date")) & (F.col("known_on") < F.lit(b).cast("date"))).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        ingest.run_ledger_stream(stream, spec, path, spec.rank, done).awaitTermination()
     ledger = spark.read.parquet(path)
     return ledger.groupBy("subject").agg(F.count(F.lit(1)).alias("versions"), F.max_by("band", F.struct("known_on", "key", "seq")).alias("current_band"))
