@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.temporal import effective_on
-
 #: A dimension is broadcast only if it was counted and has at most so many rows.
 BROADCAST_ROWS = 100_000
 
@@ -19,25 +17,89 @@ def join_dimension(rows: DataFrame, dimension: DataFrame, on: Sequence[str], how
     return rows.join(F.broadcast(dimension) if small else dimension, list(on), how)
 
 
+#: Dates are cut into bins of 1, 8, 64, … days from the year 1 on.
+RADIX, LEVELS = 8, 8
+_FIRST_DAY, _DAYS = 719_162, RADIX**LEVELS
+#: Length of the slices, in days, in which the ends of a bin's intervals are counted.
+SLICE_DAYS = 366
+
+
+def day_number(day: Column) -> Column:
+    return (F.unix_date(day) + _FIRST_DAY).cast("long")
+
+
+def bins_of_interval(first: Column, last: Column) -> Column:
+    """Rows of (level, bin): the fewest bins that make up the days from first to last (null: open)."""
+    a, b = day_number(first), F.coalesce(day_number(last), F.lit(_DAYS - 1)) + 1
+
+    def at_level(k: int) -> Column:
+        width = RADIX**k
+        lo, hi = F.floor((a + width - 1) / width), F.floor(b / width)
+        # bins that a larger one doesn't take in
+        left = F.least(F.floor((lo + RADIX - 1) / RADIX) * RADIX, hi)
+        right = F.greatest(F.floor(hi / RADIX) * RADIX, left)
+        run = lambda x, y: F.when(x < y, F.sequence(x, F.greatest(y - 1, x))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(lo < hi, F.transform(F.concat(run(lo, left), run(right, hi)), lambda n: F.struct(F.lit(k).alias("level"), n.cast("long").alias("bin")))).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>"))
+
+    return F.flatten(F.array(*[at_level(k) for k in range(LEVELS)]))
+
+
+def bins_of_day(day: Column) -> Column:
+    """Rows of (level, bin): the one bin of each level that holds a day."""
+    return F.array(*[F.struct(F.lit(k).alias("level"), F.floor(day_number(day) / RADIX**k).cast("long").alias("bin")) for k in range(LEVELS)])
+
+
+def placed(rows: DataFrame, bins: Column, *columns: str) -> DataFrame:
+    return rows.select(*columns, F.explode(bins).alias("_b")).select(*columns, "_b.level", "_b.bin")
+
+
 def resolve(probes: DataFrame, intervals: DataFrame, symbol: str, day: str, probe_key: Sequence[str], target: str) -> DataFrame:
     """Each probe with the one target whose interval holds its symbol on its day.
 
-    status is resolved, ambiguous (several; the target is null) or unknown. The
-    join is on the symbol, with the interval as a condition of it.
+    status is resolved, ambiguous (several; the target is null) or unknown.
+    Intervals are spread to a few bins of days each, which are summed up (how
+    many, and which), and a probe looks up one bin of each level: an equi-join
+    with one row on a side, so that a symbol with many intervals and probes is
+    neither a product nor one hot key.
     """
-    held = intervals.select(F.col(symbol).alias("_symbol"), "valid_from", "valid_through", F.col(target).alias("_target"))
-    met = probes.join(held, (probes[symbol] == held["_symbol"]) & effective_on(held["valid_from"], held["valid_through"], probes[day]), "left")
-    found = met.groupBy(*probe_key).agg(F.count("_target").alias("n"), F.min("_target").alias("_target"))
+    held = intervals.filter(F.col("valid_through").isNull() | (F.col("valid_from") <= F.col("valid_through")))
+    nodes = placed(held, bins_of_interval(F.col("valid_from"), F.col("valid_through")), symbol, target).groupBy(F.col(symbol).alias("_symbol"), "level", "bin").agg(F.count(target).alias("_n"), F.min(target).alias("_target"))
+    asked = placed(probes, bins_of_day(F.col(day)), *dict.fromkeys([*probe_key, symbol]))
+    met = asked.join(nodes, (asked[symbol] == nodes["_symbol"]) & (asked["level"] == nodes["level"]) & (asked["bin"] == nodes["bin"]))
+    some = met.groupBy(*probe_key).agg(F.sum("_n").alias("n"), F.min("_target").alias("_target"))
+    found = probes.select(*probe_key).distinct().join(some, list(probe_key), "left").withColumn("n", F.coalesce("n", F.lit(0)))
     status = F.when(F.col("n") == 0, "unknown").when(F.col("n") == 1, "resolved").otherwise("ambiguous")
     return found.select(*probe_key, status.alias("status"), F.when(F.col("n") == 1, F.col("_target")).alias(target))
 
 
 def covering(inner: DataFrame, outer: DataFrame, symbol: str, inner_key: Sequence[str]) -> DataFrame:
-    """For each inner interval (valid_from, valid_through) how many outer intervals of its symbol contain it whole."""
-    far = F.lit("9999-12-31").cast("date")
-    held = outer.select(F.col(symbol).alias("_symbol"), F.col("valid_from").alias("_from"), F.coalesce("valid_through", far).alias("_through"))
-    inside = (inner[symbol] == held["_symbol"]) & (held["_from"] <= inner["valid_from"]) & (held["_through"] >= F.coalesce(inner["valid_through"], far))
-    return inner.join(held, inside, "left").groupBy(*inner_key).agg(F.count("_symbol").alias("covering"))
+    """For each inner interval (valid_from, valid_through) how many outer intervals of its symbol contain it whole.
+
+    The outer intervals that hold the inner one's first day are in its bins; of
+    a bin's, those that end no earlier are a running count along the ends. The
+    ends are cut into slices that start with the count of those after them, so
+    no symbol, and no bin, is one group.
+    """
+    ends = lambda c: F.coalesce(day_number(F.col(c)), day_number(F.lit("9999-12-31").cast("date")))
+    held = outer.filter(F.col("valid_through").isNull() | (F.col("valid_from") <= F.col("valid_through"))).select(F.col(symbol).alias("_symbol"), "valid_from", "valid_through", ends("valid_through").alias("_end"))
+    outs = placed(held, bins_of_interval(F.col("valid_from"), F.col("valid_through")), "_symbol", "_end")
+    rows = inner.select(*inner_key, F.col(symbol).alias("_symbol"), "valid_from", ends("valid_through").alias("_end"))
+    ins = placed(rows, bins_of_day(F.col("valid_from")), *inner_key, "_symbol", "_end")
+    node, piece = ["_symbol", "level", "bin"], F.floor(F.col("_end") / SLICE_DAYS).cast("long").alias("_slice")
+    outs, ins = outs.select("*", piece), ins.select("*", piece)
+    counts = outs.groupBy(*node, "_slice").agg(F.count(F.lit(1)).alias("_n")).unionByName(ins.select(*node, "_slice").distinct().withColumn("_n", F.lit(0).cast("long"))).groupBy(*node, "_slice").agg(F.sum("_n").alias("_n"))
+    later = Window.partitionBy(*node).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carried = counts.select(*node, "_slice", F.sum("_n").over(later).alias("_weight")).filter("_weight > 0")
+    key = F.struct(*inner_key)
+    none = F.lit(None).cast(ins.select(key.alias("k")).schema["k"].dataType).alias("_key")
+    stream = (
+        outs.select(*node, "_slice", "_end", F.lit(1).cast("long").alias("_weight"), none)
+        .unionByName(carried.select(*node, "_slice", F.lit(None).cast("long").alias("_end"), "_weight", none))
+        .unionByName(ins.select(*node, "_slice", "_end", F.lit(0).cast("long").alias("_weight"), key.alias("_key")))
+    )
+    down = Window.partitionBy(*node, "_slice").orderBy(F.col("_end").desc_nulls_first(), F.col("_weight").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    found = stream.withColumn("_n", F.sum("_weight").over(down)).filter("_key IS NOT NULL").groupBy("_key").agg(F.sum("_n").alias("_n")).select("_key.*", "_n")
+    return inner.select(*inner_key).distinct().join(found, list(inner_key), "left").select(*inner_key, F.coalesce("_n", F.lit(0)).alias("covering"))
 
 
 def overlaps(intervals: DataFrame, key: Sequence[str]) -> DataFrame:
