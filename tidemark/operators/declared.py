@@ -149,12 +149,6 @@ def windowed_indicators(bars: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def fold_array(values: Column, first: Column, step) -> Column:
-    """The running results of a fold over an array."""
-    out = F.aggregate(values, F.array().cast("array<double>"), lambda acc, v: F.concat(acc, F.array(F.when(F.size(acc) == 0, first).otherwise(step(F.element_at(acc, -1), v)))))
-    return out
-
-
 def recursive_indicators(bars: DataFrame, n: int = 14, fast: int = 12, slow: int = 26) -> DataFrame:
     """Last exponential averages, MACD and relative strength of every symbol, by folds over its bars in order."""
     rows = bars.groupBy("symbol").agg(F.array_sort(F.collect_list(F.struct("trade_date", F.col("close").cast("double").alias("close")))).alias("_bars"))
