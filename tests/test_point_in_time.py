@@ -1,6 +1,7 @@
 """Visibility, selection, building and streams of ledgers on hand-made rows."""
 
 import datetime
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,10 +203,29 @@ def test_canonical_texts(spark):
 
 def test_chunks_cover_every_row_once(spark):
     rows = spark.range(1000).select("id", F.concat(F.lit("r"), "id").alias("line"))
-    chunks = export.chunk_manifest(rows, ["id"], F.floor(F.col("id") / 300), F.col("line"), 250).orderBy("chunk_id").collect()
+    chunks = export.chunk_manifest(rows, ["id"], F.col("line"), 250).orderBy("chunk_id").collect()
     assert [(c.rows, c.first_key, c.last_key) for c in chunks] == [(250, "0", "249"), (250, "250", "499"), (250, "500", "749"), (250, "750", "999")]
 
 
+def test_positions_are_of_the_whole_order(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("one prefix").alias("p"))
+    placed = export.numbered(rows, ["p", "k"], 6)
+    assert placed.filter("position <> k").isEmpty() and placed.count() == 5000 and placed.columns == ["k", "p", "position"]
+    assert export.numbered(rows.limit(0), ["p", "k"]).collect() == []
+
+
+def test_a_digest_tree_tells_order_and_content(spark, monkeypatch):
+    monkeypatch.setattr(export, "FAN_OUT", 4)
+    leaves = lambda xs: spark.createDataFrame(list(enumerate(xs)), "i long, d string")
+    root = lambda xs: export.digest_tree(leaves(xs), "i", "d").first().digest
+    xs = [f"h{i}" for i in range(40)]
+    sha = lambda parts: hashlib.sha256(",".join(parts).encode()).hexdigest()
+    level = xs
+    for _ in range(3):
+        level = [sha(level[i : i + 4]) for i in range(0, len(level), 4)]
+    assert [root(xs)] == level and root(xs[::-1]) != level[0] and root(xs[:-1]) != level[0]
+
+
 def test_csv_rules_reject_and_keep(spark, tmp_path):
     head = "provider,provider_symbol,asset_type,trade_date,open,high,low,close,volume,currency,price_variant,available_at,available_precision\n"
     (tmp_path / "a.csv").write_text(head + "p,X,etf,2024-01-02,1,3,1,2,10,USD,raw,2024-01-02,date\n" + "p,Y,etf,2024-01-02,1,0.5,1,2,-1,USD,raw,2024-01-02T00:00:00Z,date\n" + "p,Z,etf,not-a-date,1,3,1,2,10,USD,raw,2024-01-02,date\n")

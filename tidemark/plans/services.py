@@ -134,7 +134,7 @@ _CHUNKED = "placed AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orde
 
 def _chunks(spark, sf_dir):
     rows = B.read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_orderkey", F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus").alias("line"))
-    return E.chunk_manifest(rows, ["day", "o_orderkey"], F.trunc("day", "month"), F.col("line"))
+    return E.chunk_manifest(rows, ["day", "o_orderkey"], F.col("line"))
 
 
 @query("S11_export_snapshot_chunks", f"WITH {_CHUNKED} SELECT *, bytes > 262144 AS over_bytes FROM chunks")
@@ -142,7 +142,7 @@ def export_chunks(spark, sf_dir):
     return _chunks(spark, sf_dir)
 
 
-@query("S12_export_manifest", f"WITH {_CHUNKED} SELECT count(*) AS chunks, sum(rows)::BIGINT AS rows, arg_min(first_key, chunk_id) AS first_key, arg_max(last_key, chunk_id) AS last_key, sha256(string_agg(sha256, ',' ORDER BY chunk_id)) AS revision FROM chunks")
+@query("S12_export_manifest", f"WITH {_CHUNKED}, t1 AS (SELECT chunk_id // 1000 AS n, sha256(string_agg(sha256, ',' ORDER BY chunk_id)) AS d FROM chunks GROUP BY 1), t2 AS (SELECT n // 1000 AS n, sha256(string_agg(d, ',' ORDER BY n)) AS d FROM t1 GROUP BY n // 1000), t3 AS (SELECT sha256(string_agg(d, ',' ORDER BY n)) AS d FROM t2) SELECT count(*) AS chunks, sum(rows)::BIGINT AS rows, arg_min(first_key, chunk_id) AS first_key, arg_max(last_key, chunk_id) AS last_key, (SELECT d FROM t3) AS revision FROM chunks")
 def export_manifest(spark, sf_dir):
     return E.export_manifest(_chunks(spark, sf_dir))
 
