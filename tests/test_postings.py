@@ -25,8 +25,8 @@ def scores(df):
     return {r.id: round(r.score, 9) for r in df.collect()}
 
 
-def scan_metric(df, name):
-    """A metric of the scan of postings of a plan that has run."""
+def scan_metric(df, name, column="token#"):
+    """A metric of the scan with a column, of a plan that is run."""
     df.collect()
     plan, found = df._jdf.queryExecution().executedPlan(), []
     stack = [plan]
@@ -38,7 +38,7 @@ def scan_metric(df, name):
         if node.getClass().getSimpleName().endswith("QueryStageExec"):
             stack.append(node.plan())
             continue
-        if node.nodeName().startswith("Scan") and "token" in node.output().toString():
+        if node.nodeName().startswith("Scan") and column in node.output().toString():
             found.append(node.metrics().get(name).get().value())
         children = node.children()
         stack += [children.apply(i) for i in range(children.size())]

@@ -9,11 +9,12 @@ from tidemark.plans import catalogue, ledgers
 def test_dimension_joins_every_line(spark, tiny):
     lines, part = B.read(spark, tiny, "lineitem"), B.read(spark, tiny, "part")
     want = lines.join(part, lines.l_partkey == part.p_partkey, "left_semi")
-    assert catalogue.QUERIES["C1_join_dimension_inner_all"](spark, tiny).count() == want.count() > lines.filter("l_quantity > 45").count()
+    for name in ("C1_join_dimension_inner", "C1_join_dimension_inner_all"):
+        assert catalogue.QUERIES[name](spark, tiny).count() == want.count() > 0
 
 
 def test_weekly_append_has_every_series_and_week(spark, tiny):
-    got = {(r.series_id, r.period): r.versions for r in catalogue.QUERIES["L9_weekly_fundamental_append_all"](spark, tiny).collect()}
+    got = {(r.series_id, r.period): r.versions for r in catalogue.QUERIES["L9_weekly_fundamental_append"](spark, tiny).collect()}
     by_hand, last = {}, {}
     for r in ledgers.observed(spark, tiny).withColumn("week", F.trunc("known_on", "week")).orderBy("known_on", "key", "seq").collect():
         key = (r.metric, r.week)

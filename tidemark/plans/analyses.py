@@ -62,12 +62,12 @@ def series_describe(spark, sf_dir):
 _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
-@query("D6_liquidity_snapshot", f"WITH {B.OBS} SELECT suppkey, arg_max(value, (available_at, key, seq)) FILTER (WHERE line = 1) AS l1, arg_max(value, (available_at, key, seq)) FILTER (WHERE line = 2) AS l2, arg_max(value, (available_at, key, seq)) FILTER (WHERE line = 3) AS l3 FROM obs WHERE {seen_sql(DAY)} AND line <= 3 GROUP BY 1")
+@query("D6_liquidity_snapshot", f"WITH {B.OBS}, last AS (SELECT suppkey, line, arg_max(value, (available_at, key, seq)) AS v, arg_max(state, (available_at, key, seq)) AS state FROM obs WHERE {seen_sql(DAY)} GROUP BY 1, 2) SELECT suppkey, " + ", ".join(f"max(v) FILTER (WHERE line = {k}) AS l{k}" for k in range(1, 8)) + " FROM last GROUP BY 1")
 def liquidity(spark, sf_dir):
     """Components known at the cutoff, a column each."""
     spec = L.LedgerSpec(key=("suppkey", "line"), rank=("available_at", "key", "seq"))
-    known = L.ledger_select(B.obs_ledger(spark, sf_dir).filter("line <= 3"), spec, DAY)
-    return known.groupBy("suppkey").agg(*[F.max(F.when(F.col("line") == k, F.col("value"))).alias(f"l{k}") for k in (1, 2, 3)])
+    known = L.ledger_select(B.obs_ledger(spark, sf_dir), spec, DAY)
+    return known.groupBy("suppkey").agg(*[F.max(F.when(F.col("line") == k, F.col("value"))).alias(f"l{k}") for k in range(1, 8)])
 
 
 @query("D6_liquidity_impulse", f"WITH {B.ORDER_SERIES} SELECT a.series_id, a.period_start, a.value, round(a.value - b.value, 2) AS change FROM orders_daily a LEFT JOIN orders_daily b ON b.series_id = a.series_id AND b.period_start + 7 = a.period_start")

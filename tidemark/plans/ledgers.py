@@ -396,13 +396,12 @@ def _weekly_versions(observations):
     return rows.withColumn("_same", same).filter("NOT _same").groupBy("series_id", "period").agg(F.count(F.lit(1)).alias("versions"))
 
 
-@query("L9_weekly_fundamental_append", f"WITH {OBSERVED}, w AS (SELECT metric AS series_id, date_trunc('week', known_on) AS period, band, state, known_on, key, seq FROM observed WHERE subject % 10 = 0), m AS (SELECT *, lag(band) OVER o IS NOT DISTINCT FROM band OR lag(state) OVER o IS NOT DISTINCT FROM state AS same, lag(seq) OVER o AS before FROM w WINDOW o AS (PARTITION BY series_id, period ORDER BY known_on, key, seq)) SELECT series_id, CAST(period AS DATE) AS period, count(*) AS versions FROM m WHERE NOT (same AND before IS NOT NULL) GROUP BY 1, 2")
+@query("L9_weekly_fundamental_append", f"WITH {OBSERVED}, w AS (SELECT metric AS series_id, date_trunc('week', known_on) AS period, band, state, known_on, key, seq FROM observed), m AS (SELECT *, lag(band) OVER o IS NOT DISTINCT FROM band OR lag(state) OVER o IS NOT DISTINCT FROM state AS same, lag(seq) OVER o AS before FROM w WINDOW o AS (PARTITION BY series_id, period ORDER BY known_on, key, seq)) SELECT series_id, CAST(period AS DATE) AS period, count(*) AS versions FROM m WHERE NOT (same AND before IS NOT NULL) GROUP BY 1, 2")
 def weekly_append(spark, sf_dir):
-    """A tenth of the subjects, as its SQL has it."""
-    return _weekly_versions(observed(spark, sf_dir).filter("subject % 10 = 0"))
+    return _weekly_versions(observed(spark, sf_dir))
 
 
-@query("L9_weekly_fundamental_append_all", ORACLE_SQL["L9_weekly_fundamental_append"].replace(" WHERE subject % 10 = 0", ""))
+@query("L9_weekly_fundamental_append_all", ORACLE_SQL["L9_weekly_fundamental_append"])
 def weekly_append_all(spark, sf_dir):
     return _weekly_versions(observed(spark, sf_dir))
 

@@ -94,7 +94,7 @@ def option_json(spark, sf_dir):
 def news_json(spark, sf_dir):
     path = shared_path(spark, "news-json")
     labels = F.struct(F.array(F.struct(F.col("lang").alias("topic"), F.lit(1.0).alias("confidence"))).alias("topics"))
-    item = F.struct(F.col("doc_id").cast("string").alias("source_item_id"), F.lit("active").alias("item_state"), F.struct(F.substring("text", 1, 40).alias("headline")).alias("content"), labels.alias("labels"))
+    item = F.struct(F.col("doc_id").cast("string").alias("source_item_id"), F.lit("active").alias("item_state"), F.struct(F.col("text").alias("headline")).alias("content"), labels.alias("labels"))
     docs = B.read(spark, sf_dir, "documents").withColumn("bundle", F.col("doc_id") % 50).groupBy("source", "bundle").agg(F.collect_list(item).alias("items"))
     docs.select(F.col("source").alias("source_name"), "items").write.json(path)
     return R.news_labels(R.read_document(spark, path, R.NEWS, lines=True)).select("source_item_id", "topic")
@@ -161,7 +161,7 @@ def identity(spark, sf_dir):
     return Q.semantic_identity(B.read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "batch"), ["batch"], [F.col("o_orderstatus"), F.col("o_orderpriority")])
 
 
-_SURFACE = f"quotes AS (SELECT l_partkey AS contract, arg_max(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS last_price FROM lineitem WHERE l_shipdate <= DATE '{DAY}' GROUP BY 1), interest AS (SELECT l_partkey AS contract, count(*) AS open_interest FROM lineitem WHERE l_returnflag = 'A' AND l_shipdate <= DATE '{DAY}' GROUP BY 1), closes AS (SELECT l_partkey AS contract, max(l_extendedprice) AS close FROM lineitem WHERE l_linestatus = 'F' AND l_quantity > 48 GROUP BY 1)"
+_SURFACE = f"quotes AS (SELECT l_partkey AS contract, arg_max(l_extendedprice, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice)) AS last_price FROM lineitem WHERE l_shipdate <= DATE '{DAY}' GROUP BY 1), interest AS (SELECT l_partkey AS contract, count(*) AS open_interest FROM lineitem WHERE l_returnflag = 'A' AND l_shipdate <= DATE '{DAY}' GROUP BY 1), closes AS (SELECT l_partkey AS contract, max(l_extendedprice) AS close FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1)"
 
 
 def _surface_parts(spark, sf_dir):
@@ -170,12 +170,12 @@ def _surface_parts(spark, sf_dir):
     contracts = B.read(spark, sf_dir, "part").select(F.col("p_partkey").alias("contract"), F.col("p_retailprice").alias("strike"), F.col("p_type").alias("kind"), "p_size")
     quotes = seen.groupBy("contract").agg(F.max_by("l_extendedprice", F.struct("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")).alias("last_price"))
     interest = seen.filter("l_returnflag = 'A'").groupBy("contract").agg(F.count(F.lit(1)).alias("open_interest"))
-    closes = lines.filter("l_linestatus = 'F' AND l_quantity > 48").groupBy("contract").agg(F.max("l_extendedprice").alias("close"))
-    bars = seen.filter("l_quantity > 40").select("contract", F.col("l_shipdate").cast("date").alias("bar_date"), F.col("l_extendedprice").alias("price"))
+    closes = lines.filter("l_linestatus = 'F'").groupBy("contract").agg(F.max("l_extendedprice").alias("close"))
+    bars = seen.select("contract", F.col("l_shipdate").cast("date").alias("bar_date"), F.col("l_extendedprice").alias("price"))
     return contracts, quotes, interest, closes, bars
 
 
-@query("C8_surface_left_joins", f"WITH {_SURFACE}, b AS (SELECT l_partkey AS contract, count(*) AS n, min(CAST(l_shipdate AS DATE)) AS first_bar FROM lineitem WHERE l_quantity > 40 AND l_shipdate <= DATE '{DAY}' GROUP BY 1) SELECT p_partkey AS contract, p_retailprice AS strike, last_price, open_interest, close, coalesce(b.n, 0)::INT AS bars, first_bar FROM part JOIN quotes q ON q.contract = p_partkey LEFT JOIN interest i ON i.contract = p_partkey LEFT JOIN closes c ON c.contract = p_partkey LEFT JOIN b ON b.contract = p_partkey")
+@query("C8_surface_left_joins", f"WITH {_SURFACE}, b AS (SELECT l_partkey AS contract, count(*) AS n, min(CAST(l_shipdate AS DATE)) AS first_bar FROM lineitem WHERE l_shipdate <= DATE '{DAY}' GROUP BY 1) SELECT p_partkey AS contract, p_retailprice AS strike, last_price, open_interest, close, coalesce(b.n, 0)::INT AS bars, first_bar FROM part JOIN quotes q ON q.contract = p_partkey LEFT JOIN interest i ON i.contract = p_partkey LEFT JOIN closes c ON c.contract = p_partkey LEFT JOIN b ON b.contract = p_partkey")
 def surface(spark, sf_dir):
     contracts, quotes, interest, closes, bars = _surface_parts(spark, sf_dir)
     out = N.surface(contracts, quotes, interest, closes, bars, ["contract"], ["bar_date", "price"])
@@ -331,11 +331,11 @@ def pages(spark, sf_dir):
     return Q.page_faults(rows, ["batch"])
 
 
-@query("J8_surface_coverage", "WITH s AS (SELECT l_partkey AS contract, count(*) AS n FROM lineitem WHERE l_quantity > 45 GROUP BY 1) SELECT coalesce(p_partkey, contract) AS contract, CASE WHEN n IS NULL THEN 'missing' WHEN p_partkey IS NULL THEN 'extra' ELSE 'duplicate' END AS status FROM (SELECT p_partkey FROM part WHERE p_size > 10) p FULL OUTER JOIN s ON contract = p_partkey WHERE n IS NULL OR p_partkey IS NULL OR n > 1")
+@query("J8_surface_coverage", "WITH s AS (SELECT l_partkey AS contract, count(*) AS n FROM lineitem GROUP BY 1) SELECT coalesce(p_partkey, contract) AS contract, CASE WHEN n IS NULL THEN 'missing' WHEN p_partkey IS NULL THEN 'extra' ELSE 'duplicate' END AS status FROM (SELECT p_partkey FROM part WHERE p_size > 10) p FULL OUTER JOIN s ON contract = p_partkey WHERE n IS NULL OR p_partkey IS NULL OR n > 1")
 def surface_coverage(spark, sf_dir):
     """Each declared contract has exactly one surface row."""
     contracts = B.read(spark, sf_dir, "part").filter("p_size > 10").select(F.col("p_partkey").alias("contract"))
-    rows = B.read(spark, sf_dir, "lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("contract"))
+    rows = B.read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("contract"))
     return Q.coverage(contracts, rows, ["contract"])
 
 

@@ -1,14 +1,18 @@
-"""Queries of rolling regressions and correlations (W3, D10) and of recursive indicators at every bar (D16)."""
+"""Queries of rolling regressions and correlations (W3, D10), recursive indicators at every bar (D16), all pairs (X1) and reconciliation (J3)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import reconcile as Q
 from tidemark.operators import rolling as R
 from tidemark.operators import scans
+from tidemark.operators.allpairs import all_correlations
 from tidemark.plans import bindings as B
 from tidemark.plans.analytics import _PAIRS, WIDE, pairs, rounded, wide
-from tidemark.plans.registry import query
+from tidemark.plans.ledgers import SPEC
+from tidemark.plans.registry import ORACLE_SQL, query
+from tidemark.sources.scratch import shared_path
 
 _N = 9
 _MASKED = f"WITH {WIDE}, v AS (SELECT period_start, click IS NOT NULL AND error IS NOT NULL AND view IS NOT NULL AS whole, click, error, view FROM wide), m AS (SELECT period_start, CASE WHEN whole THEN click END AS y, CASE WHEN whole THEN error END AS a, CASE WHEN whole THEN view END AS b FROM v), "
@@ -68,3 +72,39 @@ def indicators_every_bar(spark, sf_dir):
     """Averages, MACD with its signal, and relative strength at every bar."""
     out = scans.recursive_indicators(B.bars(spark, sf_dir), chunk_days=8)
     return rounded(out, "ema_fast", "ema_slow", "macd", "signal", "histogram", "rsi", places=5)
+
+
+@query("X1_correlation_all_pairs", ORACLE_SQL["X1_correlation"])
+def correlation_all_pairs(spark, sf_dir):
+    """Every two series, by a blocked product."""
+    return rounded(all_correlations(B.event_series(spark, sf_dir)), "correlation")
+
+
+_CHANGED = "changed AS (SELECT symbol, trade_date, volume, CASE WHEN volume % 5 = 0 THEN close + 1 ELSE close END AS close FROM bars WHERE volume % 7 <> 0 UNION ALL SELECT symbol, trade_date + 1000, volume, close FROM bars WHERE volume % 11 = 0 UNION ALL SELECT symbol, trade_date, volume, close FROM bars WHERE volume % 13 = 0 AND volume % 7 <> 0)"
+
+
+@query(
+    "J3_digest_reconcile",
+    f"WITH {B.BARS}, {_CHANGED}, a AS (SELECT symbol, trade_date, list_sort(list((volume, close))) AS x FROM bars GROUP BY 1, 2), b AS (SELECT symbol, trade_date, list_sort(list((volume, close))) AS y FROM changed GROUP BY 1, 2) "
+    "SELECT symbol, trade_date, CASE WHEN y IS NULL THEN 'missing' WHEN x IS NULL THEN 'extra' WHEN len(y) > len(x) THEN 'duplicate' ELSE 'changed' END AS status FROM a FULL OUTER JOIN b USING (symbol, trade_date) WHERE x IS DISTINCT FROM y",
+)
+def digest_reconcile(spark, sf_dir):
+    """Bars against a copy with changes, losses, additions and repeats; only unequal buckets are read."""
+    bars = B.bars(spark, sf_dir).select("symbol", "trade_date", "volume", "close")
+    changed = bars.filter("volume % 7 <> 0").withColumn("close", F.when(F.col("volume") % 5 == 0, F.col("close") + 1).otherwise(F.col("close")))
+    changed = changed.unionByName(bars.filter("volume % 11 = 0").withColumn("trade_date", F.date_add("trade_date", 1000))).unionByName(bars.filter("volume % 13 = 0 AND volume % 7 <> 0"))
+    path = shared_path(spark, "reconciled")
+    Q.store(bars, ["symbol", "trade_date"], ["volume", "close"], f"{path}/expected")
+    Q.store(changed, ["symbol", "trade_date"], ["volume", "close"], f"{path}/observed")
+    return Q.reconcile(spark, f"{path}/expected", f"{path}/observed", ["symbol", "trade_date"], ["volume", "close"])
+
+
+@query(
+    "J3_newest_version",
+    f"WITH {B.OBS}, newest AS (SELECT key, max(seq) AS seq FROM obs GROUP BY 1), pointed AS (SELECT key, max(seq) AS seq FROM obs WHERE NOT (partkey % 9 = 0 AND seq > 1) GROUP BY 1) SELECT key, CASE WHEN p.key IS NULL THEN 'missing' ELSE 'changed' END AS status FROM newest n LEFT JOIN pointed p USING (key) WHERE n.seq IS DISTINCT FROM p.seq",
+)
+def newest_version(spark, sf_dir):
+    """Pointers, some of which missed a late version, against the newest versions."""
+    versions = B.obs_ledger(spark, sf_dir)
+    pointed = versions.filter("NOT (partkey % 9 = 0 AND seq > 1)").groupBy("key").agg(F.max("seq").alias("seq"))
+    return Q.pointer_faults(spark, versions, pointed, SPEC, ["seq"], shared_path(spark, "pointers"))
