@@ -213,3 +213,55 @@ def slope_hac(pairs: DataFrame, key: Sequence[str], order: Sequence[str], lags:
     total = sum((2 * (1 - k / (lags + 1)) * F.coalesce(F.sum(F.col("_g") * F.col(f"_g{k}")), F.lit(0.0)) for k in range(1, lags + 1)), F.sum(F.col("_g") * F.col("_g")))
     out = lagged.groupBy(*key).agg(F.max("n").alias("n"), F.max("slope").alias("slope"), total.alias("_s"), F.max("_v").alias("_v"))
     return out.select(*key, "n", "slope", (F.sqrt(F.greatest(F.col("_s"), F.lit(0.0))) / (F.col("n") * F.col("_v"))).alias("standard_error"))
+
+
+def vix_fix(bars: DataFrame, n: int = 22, band: int = 20, deviations: float = 2.0, look_back: int = 50, high: float = 0.85, low: float = 1.01) -> DataFrame:
+    """The fix of volatility by the highest close, its bands and the limits of its range; null until their windows are full."""
+    w = Window.partitionBy("symbol").orderBy("trade_date")
+    over = lambda k: w.rowsBetween(-(k - 1), 0)
+    rows = F.row_number().over(w)
+    top = F.max("close").over(over(n))
+    fix = bars.select("symbol", "trade_date", rows.alias("_i"), F.when(rows >= n, 100 * F.try_divide(top - F.col("low"), top)).alias("vix_fix"))
+    full = lambda k, c: F.when(F.col("_i") >= n + k - 1, c)
+    mid, spread = F.avg("vix_fix").over(over(band)), deviations * F.stddev_pop("vix_fix").over(over(band))
+    return fix.select(
+        "symbol", "trade_date", "vix_fix", full(band, mid - spread).alias("lower_band"), full(band, mid + spread).alias("upper_band"),
+        full(look_back, F.max("vix_fix").over(over(look_back)) * high).alias("range_high"), full(look_back, F.min("vix_fix").over(over(look_back)) * low).alias("range_low"),
+    )
+
+
+def _bucketed(rows: DataFrame, day: str, signal: str, outcome: str, buckets: int, symbol: str) -> DataFrame:
+    full = rows.dropna(subset=[signal, outcome])
+    return full.withColumn("bucket", F.ntile(buckets).over(Window.partitionBy(day).orderBy(signal, symbol)))
+
+
+def signal_quantiles(rows: DataFrame, day: str, signal: str, outcome: str, buckets: int, symbol: str = "symbol") -> DataFrame:
+    """By date and bucket of the signal, from low to high: how many, and their mean outcome."""
+    return _bucketed(rows, day, signal, outcome, buckets, symbol).groupBy(day, "bucket").agg(F.count(F.lit(1)).alias("n"), F.avg(outcome).alias("mean_outcome"))
+
+
+def signal_turnover(rows: DataFrame, day: str, signal: str, outcome: str, buckets: int, symbol: str = "symbol") -> DataFrame:
+    """By date and bucket: the share of its members that weren't in it on the date before; null on the first date."""
+    marked = _bucketed(rows, day, signal, outcome, buckets, symbol).select(day, symbol, "bucket")
+    days = marked.select(day).distinct()
+    after = days.withColumn("_before", F.lag(day).over(Window.orderBy(day)))  # over dates, a row each
+    was = marked.select(F.col(day).alias("_before"), symbol, "bucket", F.lit(1).alias("_stayed"))
+    met = marked.join(after, day).join(was, ["_before", symbol, "bucket"], "left")
+    return met.groupBy(day, "bucket").agg(F.when(F.max("_before").isNotNull(), 1 - F.count("_stayed") / F.count(F.lit(1))).alias("turnover"))
+
+
+def surface_by_expiry(surface: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Of every capture and expiration: present rows, and the range and mean of their implied volatility."""
+    rows = surface.join(contracts.select("capture", "contract", "expiration").distinct(), ["capture", "contract"])
+    here = F.col("surface_state") == "present"
+    iv = F.when(here, F.col("implied_volatility"))
+    return rows.groupBy("capture", "expiration").agg(F.count_if(here).alias("present"), F.min(iv).alias("iv_low"), F.max(iv).alias("iv_high"), F.avg(iv).alias("iv_mean"))
+
+
+GREEKS = ("delta", "gamma", "theta", "vega", "rho")
+
+
+def aggregate_greeks(legs: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The greeks of each strategy: its legs' times quantity and multiplier, null where a leg lacks one."""
+    whole = lambda g: F.when(F.count(g) == F.count(F.lit(1)), F.sum(F.col("quantity") * F.col("multiplier") * F.col(g)))
+    return legs.groupBy(*key).agg(F.count(F.lit(1)).alias("legs"), *[whole(g).alias(g) for g in GREEKS])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import fields_text
@@ -77,3 +77,59 @@ def capture_diff(left: DataFrame, right: DataFrame, key: Sequence[str], values:
     """Keys whose values differ between two captures, or that one of them lacks."""
     a, b = left.select(*key, F.struct(*values).alias("_a")), right.select(*key, F.struct(*values).alias("_b"))
     return a.join(b, list(key), "full_outer").filter(~F.col("_a").eqNullSafe(F.col("_b"))).select(*key, F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").otherwise("changed").alias("change"))
+
+
+def ledger_audit(ledger: DataFrame, key: Sequence[str], scopes: DataFrame, scope: str, earlier: DataFrame | None = None, columns: Sequence[str] = ()) -> DataFrame:
+    """key, sequence and rule of what breaks an append-only ledger's rules.
+
+    The ledger has sequence, supersedes, version, value, reason, state,
+    state_reason and the scope that each row came with; scopes tells which are
+    complete. earlier is a copy of before: its rows, by columns, must all be there.
+    """
+    rows = ledger.join(scopes.groupBy(scope).agg(F.bool_and("complete").alias("_complete")), scope, "left")
+    tombstone = F.col("state") == "tombstone"
+    chain = Window.partitionBy(*key).orderBy("sequence", "version")
+    rows = rows.withColumns({"_starts": F.count(F.when(F.col("supersedes").isNull(), 1)).over(Window.partitionBy(*key)), "_before": F.lag("version").over(chain)})
+    own = rows.select(*key, F.col("version").alias("_theirs")).distinct()
+    named = rows.select(*key, "sequence", "version", "supersedes").filter("supersedes IS NOT NULL")
+    strange = named.join(own, [*[named[k].eqNullSafe(own[k]) for k in key], named["supersedes"] == own["_theirs"]], "left_anti").select(*key, "sequence", F.lit("supersedes_other_key").alias("rule"))
+    checked = check_rows(
+        rows,
+        {
+            "value_xor_reason": (F.col("value").isNull() == F.col("reason").isNotNull()) | tombstone,
+            "tombstone_has_reason": ~tombstone | F.col("state_reason").isNotNull(),
+            "tombstone_of_complete_scope": ~tombstone | F.coalesce("_complete", F.lit(False)),
+            "one_start": (F.col("_starts") == 1) | F.col("supersedes").isNotNull(),
+        },
+    )
+    out = rejects(checked, [*key, "sequence"]).unionByName(strange)
+    if earlier is not None:
+        text = lambda df: df.select(*key, "sequence", fields_text(*[F.col(c) for c in columns]).alias("_text"))
+        now = text(ledger).select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("sequence").alias("_s"), F.col("_text").alias("_t"))
+        before = text(earlier)
+        gone = before.join(now, [*[before[k].eqNullSafe(now[f"_k_{k}"]) for k in key], before["sequence"] == now["_s"], before["_text"] == now["_t"]], "left_anti")
+        out = out.unionByName(gone.select(*key, "sequence", F.lit("changed_or_deleted").alias("rule")))
+    return out
+
+
+def scope_faults(rows: DataFrame, scope: DataFrame, on: Sequence[str], key: Sequence[str], day: str) -> DataFrame:
+    """on and rule of files that aren't what was asked for.
+
+    scope has on, first_day, last_day, days (the expected ones, or null) and
+    expected_rows (or null). Rules: a file without scope, days out of scope,
+    keys twice, missing and unexpected days, another number of rows.
+    """
+    found = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.min(day).alias("_lo"), F.max(day).alias("_hi"), F.array_sort(F.collect_set(day)).alias("_days"))
+    twice = duplicates(rows, [*on, *key]).select(*on).distinct().withColumn("_twice", F.lit(True))
+    both = scope.withColumn("_asked", F.lit(True)).join(found, list(on), "full_outer").join(twice, list(on), "left")
+    asked = F.col("_asked").isNotNull()
+    wrong = {
+        "no_scope": ~asked,
+        "out_of_scope": asked & ((F.col("_lo") < F.col("first_day")) | (F.col("_hi") > F.col("last_day"))),
+        "duplicate_key": F.col("_twice").isNotNull(),
+        "missing_day": F.size(F.array_except("days", F.coalesce("_days", F.array().cast("array<date>")))) > 0,
+        "unexpected_day": F.size(F.array_except("_days", "days")) > 0,
+        "row_count": asked & (F.coalesce("_n", F.lit(0)) != F.col("expected_rows")),
+    }
+    names = F.array_compact(F.array(*[F.when(F.coalesce(w, F.lit(False)), F.lit(n)) for n, w in wrong.items()]))
+    return both.select(*on, F.explode(names).alias("rule"))

@@ -30,13 +30,22 @@ def describe(series: DataFrame, key: Sequence[str] = ("series_id",)) -> DataFram
     return out.withColumn("warning", F.when(F.col("nonmissing") == 0, "all_missing").when(F.col("nonmissing") < 2, "insufficient_observations"))
 
 
+#: From fine to coarse.
+FREQUENCIES = ("daily", "weekly", "monthly", "quarterly", "annual")
+
+
 def resample(series: DataFrame, source: str, target: str, how: str) -> DataFrame:
     """Daily, weekly, monthly or quarterly values as monthly, quarterly or annual ones.
 
+    A finer target is refused; the same frequency gives the series as it is.
     A bucket has a value only if its observations are proven to cover it and
     none is missing; the proof is an aggregate (valid rows, their number, their
     distinct starts), so no bucket's rows are collected.
     """
+    if FREQUENCIES.index(target) < FREQUENCIES.index(source):
+        raise ValueError(f"{source} values can't be made {target}: no value is known at the finer frequency")
+    if target == source:
+        return series.select("series_id", *PERIOD, "value", F.when(F.col("value").isNull(), "missing").alias("missing_reason"))
     start, end = bucket_start(F.col("period_start"), target), bucket_end(F.col("period_start"), target)
     placed = series.withColumns({"_start": start, "_end": end})
     days = F.datediff("_end", "_start") + 1
@@ -201,6 +210,12 @@ def derived_availability(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return out.select(*key, precision.alias("available_precision"), F.when(known, F.col("_d")).alias("available_date"), F.when(precision == "datetime", F.col("_t")).alias("available_at"))
 
 
+def lineage_with_flags(rows: DataFrame, key: Sequence[str], parts: Sequence[Column], flags: str, markers: Sequence[str]) -> DataFrame:
+    """lineage, with the union of the contributors' quality flags (arrays) and the markers of what was done to them."""
+    out = rows.groupBy(*key).agg(F.array_sort(F.collect_set(F.concat_ws("/", *parts))).alias("lineage"), F.array_sort(F.array_distinct(F.flatten(F.collect_set(flags)))).alias("quality_flags"))
+    return out.withColumn("transformations", F.array(*[F.lit(m) for m in markers]).cast("array<string>"))
+
+
 def lineage(rows: DataFrame, key: Sequence[str], parts: Sequence[Column]) -> DataFrame:
     """The distinct contributors of each derived point, sorted."""
     return rows.groupBy(*key).agg(F.array_sort(F.collect_set(F.concat_ws("/", *parts))).alias("lineage"))
