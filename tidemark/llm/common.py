@@ -77,6 +77,11 @@ def release(*tables: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def as_struct(df: DataFrame) -> Column:
+    """All columns of df as one struct, row, beside which new columns may have any name; ``row.*`` gives them back."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
+
+
 def word_count(text: Column) -> Column:
     """Words of a text as a long; null and blank texts have none."""
     parts = F.split(F.coalesce(text, F.lit("")), WORD_GAP)

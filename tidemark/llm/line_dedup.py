@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import MAX_LONG, WORD_GAP, materialise, table, word_count
+from tidemark.llm.common import MAX_LONG, WORD_GAP, as_struct, materialise, table, word_count
 
 MIN_LINES = 3
 MIN_WORDS = 50
@@ -52,9 +52,9 @@ def hash60(value: Column) -> Column:
     return F.conv(F.substring(F.md5(value.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def with_key(docs: DataFrame) -> DataFrame:
+def with_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the pair that names and orders a document."""
-    return docs.withColumns({"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_LONG)), "_text_id": hash60(F.coalesce(F.col("text"), F.lit("")))})
+    return docs.withColumns({"_ord": F.coalesce(F.col(doc_id).cast("long"), F.lit(MAX_LONG)), "_text_id": hash60(F.coalesce(F.col(text), F.lit("")))})
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
@@ -138,17 +138,12 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
 
 
 def rebuilt(docs: DataFrame, rule=repeated_lines, **options) -> DataFrame:
-    """docs with the lines that the rule finds out of text, and _n_lines, _n_removed."""
-    gone = rule(docs, **options).groupBy(*KEY).agg(F.collect_list("raw").alias("_gone"))
-    out = with_key(docs).join(gone, KEY, "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    return (
-        out.withColumn("_lines", lines)
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")))
-        .withColumns({"_n_lines": F.size("_lines").cast("long"), "_n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
-        .select(*docs.columns, "_n_lines", "_n_removed")
-    )
+    """row (docs' columns, whatever their names, as one struct, with the lines that the rule finds out of text), n_lines and n_removed."""
+    gone = rule(docs, **options).groupBy(*KEY).agg(F.collect_list("raw").alias("gone"))
+    out = with_key(docs.select(as_struct(docs)), "row.doc_id", "row.text").join(gone, KEY, "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n"))
+    return out.withColumn("lines", F.split(F.coalesce("row.text", F.lit("")), "\n")).select(F.col("row").withField("text", text).alias("row"), F.size("lines").cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
@@ -157,12 +152,12 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     A document whose lines all go keeps its row with an empty text. Columns of
     those two names in docs are replaced.
     """
-    return rebuilt(docs.drop("n_lines", "n_removed"), **options).withColumnsRenamed({"_n_lines": "n_lines", "_n_removed": "n_removed"})
+    return rebuilt(docs.drop("n_lines", "n_removed"), **options).select("row.*", "n_lines", "n_removed")
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
     """docs with the repeated lines out of text, without the documents of which nothing but blanks is left; columns as in docs."""
-    return rebuilt(docs, **options).filter(F.expr("_n_removed = 0") | (word_count(F.col("text")) > 0)).select(*docs.columns)
+    return rebuilt(docs, **options).filter((F.col("n_removed") == 0) | (word_count(F.col("row.text")) > 0)).select("row.*")
 
 
 def deduplicated(spark, sf_dir: str, rule) -> DataFrame:

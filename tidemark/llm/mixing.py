@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import hash52, materialise, table, word_count
+from tidemark.llm.common import as_struct, hash52, materialise, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
@@ -69,26 +69,25 @@ def copies(doc_id: Column, rate: Column, seed: str = SEED) -> Column:
 
 
 def rated(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share_percent: int = SHARE_PERCENT, max_repeat: int = MAX_REPEAT, seed: str = SEED) -> DataFrame:
-    """docs with _size, _source_size, _target, _rate and _copies."""
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    plan = source_plan(sized.select("source", F.col("_size").alias("size")), weights, share_percent, max_repeat)
-    plan = materialise(plan.select(F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("rate").alias("_rate")), "source-plan")
+    """row (docs' columns, whatever their names, as one struct), size, source_size, target, rate and n_copies."""
+    sized = docs.select(as_struct(docs)).withColumn("size", word_count(F.col("row.text")))
+    plan = source_plan(sized.select("row.source", "size"), weights, share_percent, max_repeat)
+    plan = materialise(plan.select("source", "source_size", "target", "rate"), "source-plan")
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    return sized.join(plan, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").withColumn("_copies", copies(F.col("doc_id"), F.col("_rate"), seed))
+    return sized.join(plan, F.col("row.source").eqNullSafe(F.col("source")), "left").drop("source").withColumn("n_copies", copies(F.col("row.doc_id"), F.col("rate"), seed))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """docs with size, source_size, target, rate and n_copies; a row with n_copies 0 is left out of the mix."""
-    new = ["size", "source_size", "target", "rate"]
-    out = rated(docs.drop(*new, "n_copies"), **options)
-    return out.withColumnsRenamed({f"_{x}": x for x in new} | {"_copies": "n_copies"})
+    new = ["size", "source_size", "target", "rate", "n_copies"]
+    return rated(docs.drop(*new), **options).select("row.*", *new)
 
 
 def emit(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: each row of docs as often as the mix takes it, with its own columns only."""
-    mixed = rated(docs, **options).filter("_copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    mixed = rated(docs, **options).filter("n_copies > 0")
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("n_copies").cast("int")))).select("row.*")
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

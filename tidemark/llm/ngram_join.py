@@ -403,7 +403,7 @@ def jaccard_components(docs: DataFrame, **options) -> DataFrame:
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """docs with the document of smallest doc_id of each component only; repeated rows once; columns as in docs."""
     first = jaccard_components(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("_first")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(first, docs["doc_id"].cast("long").eqNullSafe(first["_first"]), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def op1_ngram_join(spark, sf_dir: str) -> DataFrame:
