@@ -52,3 +52,18 @@ def assert_links(assertions: DataFrame, securities: DataFrame, symbol: str, day:
     marked = assertions.join(found, list(key))
     good = marked.filter("status = 'resolved'").drop("status")
     return append_changes(good, LedgerSpec(key=tuple(subject), rank=tuple(order), payload=(target,)), order), marked.filter("status <> 'resolved'").select(*key, "status")
+
+
+def setup_at(parts: dict[str, tuple[DataFrame, LedgerSpec, str]], key: Sequence[str], at: str, policy: str = COMPLETED_DATE) -> DataFrame:
+    """For each key (such as issuer and period) the value of every part that was known at one cutoff; null where none was.
+
+    parts: name to (ledger, its spec, value column); a spec's key may go beyond
+    key, then the last by rank of the keys' current versions counts. A visible
+    tombstone leaves nothing. One union and one aggregation join the parts.
+    """
+    tagged = None
+    for name, (ledger, spec, value) in parts.items():
+        chosen = ledger_select(ledger, spec, at, policy)
+        one = chosen.groupBy(*key).agg(F.max_by(F.col(value).cast("double"), F.struct(*spec.rank)).alias("_value")).select(*key, F.lit(name).alias("_part"), "_value")
+        tagged = one if tagged is None else tagged.unionByName(one)
+    return tagged.groupBy(*key).agg(*[F.max(F.when(F.col("_part") == name, F.col("_value"))).alias(name) for name in parts])

@@ -168,3 +168,24 @@ def signal_quantiles(spark, sf_dir):
 @query("D23_signal_turnover", f"{_SIGNAL}, d AS (SELECT trade_date, lag(trade_date) OVER (ORDER BY trade_date) AS before FROM (SELECT DISTINCT trade_date FROM m)) SELECT m.trade_date, CAST(m.bucket AS INTEGER) AS bucket, CASE WHEN max(d.before) IS NOT NULL THEN round(1 - count(o.symbol) / count(*), 6) END AS turnover FROM m JOIN d USING (trade_date) LEFT JOIN m o ON o.trade_date = d.before AND o.symbol = m.symbol AND o.bucket = m.bucket GROUP BY 1, 2")
 def signal_turnover(spark, sf_dir):
     return rounded(D.signal_turnover(_signal(spark, sf_dir), "trade_date", "signal", "outcome", 5), "turnover")
+
+
+_SETUP = {"event": "line = 1", "consensus": "line = 2", "guidance": "line = 3", "fundamental": "line >= 4"}
+
+
+@query(
+    "D19_setup_by_period",
+    f"WITH {B.OBS}, o AS (SELECT *, suppkey AS issuer, CAST(date_trunc('quarter', available_date) AS DATE) AS period FROM obs), "
+    + ", ".join(f"{n} AS (SELECT issuer, period, arg_max(value, (available_at, key, seq)) AS v FROM (SELECT *, row_number() OVER (PARTITION BY issuer, period, line ORDER BY available_at DESC, key DESC, seq DESC) AS rn FROM o WHERE {w} AND {seen_sql(MOMENT)}) t WHERE rn = 1 AND state = 'active' GROUP BY 1, 2)" for n, w in _SETUP.items())
+    + ", k AS ("
+    + " UNION ".join(f"SELECT issuer, period FROM {n}" for n in _SETUP)
+    + ") SELECT k.issuer, k.period, "
+    + ", ".join(f"{n}.v AS {n}" for n in _SETUP)
+    + " FROM k "
+    + " ".join(f"LEFT JOIN {n} ON {n}.issuer = k.issuer AND {n}.period = k.period" for n in _SETUP),
+)
+def setup_by_period(spark, sf_dir):
+    """Event, consensus, guidance and fundamentals of every issuer and quarter, all as known at one moment."""
+    obs = B.obs_ledger(spark, sf_dir).withColumns({"issuer": F.col("suppkey"), "period": F.trunc("available_date", "quarter")})
+    spec = L.LedgerSpec(key=("issuer", "period", "line"), rank=("available_at", "key", "seq"), state="state")
+    return K.setup_at({name: (obs.filter(where), spec, "value") for name, where in _SETUP.items()}, ["issuer", "period"], MOMENT)

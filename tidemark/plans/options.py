@@ -48,7 +48,10 @@ EXPIRY = {
 }
 POINT = {"capture": "l_orderkey", "tenor_days": "CAST(l_linenumber * 30 AS INT)", "point_state": "CASE WHEN l_suppkey % 6 = 0 THEN 'missing' ELSE 'present' END", "zero_rate": "l_tax", **_SEEN}
 DIVIDEND = {"capture": "l_orderkey", "ex_date": "CAST(l_shipdate AS DATE)", "line": "l_linenumber", "cash_amount": "l_discount", **_SEEN}
-INPUTS = {"capture": "o_orderkey", "dependencies_present": "o_orderstatus <> 'O'", "last_price": "CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END", "trade_price": "o_totalprice"}
+INPUTS = {
+    "capture": "o_orderkey", "dependencies_present": "o_orderstatus <> 'O'", "last_price": "CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END", "trade_price": "o_totalprice",
+    "available_precision": "CASE WHEN o_orderkey % 5 = 0 THEN 'datetime' ELSE 'date' END", "available_date": "CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INT)", "available_at": "CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INT) AS TIMESTAMP)",
+}
 
 #: Columns, and the lines that a table has; captures and inputs are of orders.
 TABLES = {
@@ -177,12 +180,12 @@ PROBE = {
     "cutoff_at": "CAST(CAST('1996-01-01' AS DATE) + CAST(c_custkey % 900 AS INT) AS TIMESTAMP) + CAST(c_custkey % 24 AS INT) * INTERVAL 1 HOUR",
 }
 _CUTOFF = ("cutoff_precision", "cutoff_date", "cutoff_at")
-_PARTS = {"curve": ("points", ["tenor_days", "point_state", "zero_rate"]), "dividends": ("dividends", ["ex_date", "line", "cash_amount"]), "expiry_inputs": ("expiry", ["expiration", "line", "state", "spot_price"]), "surface": ("surface", ["contract", "line", "surface_state", "last_price"])}
+_PARTS = {"curve": ("points", ["tenor_days", "point_state", "zero_rate"]), "dividends": ("dividends", ["ex_date", "line", "cash_amount"]), "expiry_inputs": ("expiry", ["expiration", "line", "state", "spot_price"]), "surface": ("surface", ["contract", "line", "surface_state", "last_price"]), "quote": ("inputs", ["last_price", "trade_price"])}
 
 
 @query(
     "N2_capture_nested_at_own_cutoffs",
-    f"{_sql('captures', 'points', 'dividends', 'expiry', 'surface')}, probes AS (SELECT {', '.join(f'{e} AS {c}' for c, e in PROBE.items())} FROM customer), "
+    f"{_sql('captures', 'points', 'dividends', 'expiry', 'surface', 'inputs')}, probes AS (SELECT {', '.join(f'{e} AS {c}' for c, e in PROBE.items())} FROM customer), "
     f"met AS (SELECT p.probe, k.capture, row_number() OVER (PARTITION BY p.probe ORDER BY k.available_date DESC, k.available_at DESC, k.capture DESC) AS rn FROM probes p JOIN captures k USING (underlying) WHERE {_visible('available', 'cutoff', COMPLETED_DATE)}), "
     "chosen AS (SELECT p.*, m.capture FROM probes p LEFT JOIN (SELECT * FROM met WHERE rn = 1) m USING (probe)), "
     + ", ".join(
