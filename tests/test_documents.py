@@ -77,3 +77,33 @@ def test_items_can_be_written_a_folder_for_each_family(spark, tmp_path):
     assert (member.instrument_key, member.effective_from, member.effective_through) == ("i", datetime.date(2024, 1, 1), None)
     assert D.rows_of(back, D.family(D.CATALOG, "universe")).first().completeness == "complete"
     assert D.rejects_of(back, D.CATALOG, ["file"]).count() == 0
+
+
+def test_arrays_of_bars_are_of_one_symbol_and_the_days_asked(spark):
+    bar = lambda day, **more: {"symbol": "S", "date": day, "open": 2, "high": 3.5, "low": 1, "close": 2.25, "volume": 10, "change": 0, "changePercent": -0.5, "vwap": 2} | more
+    days = ["2024-01-02", "2024-01-03"]
+    docs = {
+        "good": [bar(d) for d in days],
+        "shape": [bar(days[0]), bar(days[1], extra=1)],
+        "quoted": [bar(days[0], open="2"), bar(days[1])],
+        "prices": [bar(days[0], high=1.5), bar(days[1])],
+        "other": [bar(days[0], symbol="T"), bar(days[1])],
+        "twice": [bar(days[0]), bar(days[0])],
+        "late": [bar(days[0]), bar("2024-02-01")],
+        "broken": "[",
+    }
+    texts = spark.createDataFrame([(k, t if isinstance(t, str) else json.dumps(t)) for k, t in docs.items()], "file string, text string")
+    wanted = [datetime.date.fromisoformat(d) for d in days]
+    scope = spark.createDataFrame([(k, "S", wanted[0], wanted[1], wanted, 2) for k in docs], "file string, symbol string, first_day date, last_day date, days array<date>, expected_rows long")
+    got = {}
+    for r in D.bar_array_faults(texts, scope, ["file"]).collect():
+        got.setdefault(r.file, set()).add(r.rule)
+    assert got == {
+        "shape": {"extra:unknown", "missing_day", "row_count"},
+        "quoted": {"open:type", "missing_day", "row_count"},
+        "prices": {"prices"},
+        "other": {"other_symbol"},
+        "twice": {"duplicate_key", "missing_day"},
+        "late": {"out_of_scope", "missing_day", "unexpected_day"},
+        "broken": {"document:json", "missing_day", "row_count"},
+    }

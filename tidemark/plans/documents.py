@@ -180,3 +180,20 @@ for _number, _kind, _families, _made in ((5, "company", D.COMPANY, COMPANY), (6,
         path = shared_path(spark, "document-items")
         D.split(documents(spark, sf_dir, families, made), families).write.partitionBy("family").parquet(path)
         return D.rejects_of(spark.read.parquet(path), families, ["doc"]).select("doc", "family", "rule")
+
+
+_BAD_BARS = "CASE WHEN volume % 6 = 0 THEN 'prices' WHEN volume % 5 = 0 THEN 'extra:unknown' END"
+
+
+@query(
+    "S9_bar_array_faults",
+    f"WITH {B.BARS}, x AS (SELECT *, {_BAD_BARS} AS bad FROM bars), found AS (SELECT symbol, list(DISTINCT trade_date) FILTER (WHERE bad IS DISTINCT FROM 'extra:unknown') AS days, count(*) FILTER (WHERE bad IS DISTINCT FROM 'extra:unknown') AS n, list(DISTINCT trade_date) AS expected, count(*) AS asked FROM x GROUP BY 1) "
+    "SELECT symbol AS doc, bad AS rule FROM x WHERE bad IS NOT NULL GROUP BY 1, 2 UNION ALL SELECT symbol, 'missing_day' FROM found WHERE len(list_filter(expected, lambda d: NOT list_contains(coalesce(days, []), d))) > 0 UNION ALL SELECT symbol, 'row_count' FROM found WHERE n <> asked",
+)
+def bar_array_faults(spark, sf_dir):
+    """An array of bars for each symbol: some bars have a high below the low, some a key too many."""
+    bars = B.bars(spark, sf_dir).withColumn("bad", F.expr(_BAD_BARS))
+    item = F.struct(F.col("symbol").cast("string").alias("symbol"), F.col("trade_date").cast("string").alias("date"), "open", F.when(F.col("bad") == "prices", F.col("low") / 2).otherwise(F.col("high")).alias("high"), "low", "close", "volume", *[F.lit(0.0).alias(c) for c in ("change", "changePercent", "vwap")], F.when(F.col("bad") == "extra:unknown", F.lit(1)).alias("extra"))
+    arrays = bars.groupBy(F.col("symbol").alias("doc")).agg(F.to_json(F.collect_list(item)).alias("text"))
+    scope = bars.groupBy(F.col("symbol").alias("doc")).agg(F.first(F.col("symbol").cast("string")).alias("symbol"), F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"), F.collect_set("trade_date").alias("days"), F.count(F.lit(1)).alias("expected_rows"))
+    return D.bar_array_faults(arrays, scope, ["doc"])

@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import ohlc_consistent
 from tidemark.functions.temporal import parse_temporal
+from tidemark.operators.quality import scope_faults
 
 #: Family of the row that stands for a text which is no JSON document.
 NO_DOCUMENT = "not_a_document"
@@ -24,7 +26,7 @@ _NUMBER = r"^-?\d+(\.\d+)?$"
 
 @dataclass(frozen=True)
 class Field:
-    """A path of an item: string (not blank), text, date, datetime, temporal (either), decimal (quoted), integer, boolean or any.
+    """A path of an item: string (not blank), text, date, datetime, temporal (either), decimal (quoted), number (not quoted), integer, boolean or any.
 
     minimum bounds numbers; among lists the values of a string; precision names
     the field that must say what precision a temporal has.
@@ -99,7 +101,8 @@ def _fault(field: Field, item: Column) -> Column:
     out = F.when(raw.isNull(), "absent").when(kind == "VOID", F.lit(None if field.nullable else "null"))
     if field.kind == "any":
         return out
-    expected = {"integer": kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "boolean": kind == "BOOLEAN"}.get(field.kind, kind == "STRING")
+    whole = kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT")
+    expected = {"integer": whole, "boolean": kind == "BOOLEAN", "number": whole | kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")}.get(field.kind, kind == "STRING")
     out = out.when(~expected, "type")
     if field.kind == "string":
         out = out.when(F.trim(value) == "", "blank")
@@ -117,7 +120,7 @@ def _fault(field: Field, item: Column) -> Column:
     return out
 
 
-_TYPES = {"date": "date", "decimal": "decimal(28,10)", "integer": "long", "boolean": "boolean"}
+_TYPES = {"date": "date", "decimal": "decimal(28,10)", "number": "double", "integer": "long", "boolean": "boolean"}
 
 
 def typed(items: DataFrame, family: Family) -> DataFrame:
@@ -207,6 +210,24 @@ CATALOG = (
     Family("members", "$.universe.members", (Field("instrument_key"), *_EFFECTIVE)),
 )
 
+BARS = Family("bars", "$", (Field("symbol"), Field("date", "date"), *_f("open high low close", "number", minimum=0), Field("volume", "integer", minimum=0), *_f("change changePercent vwap", "number")), exact=True)
+
+
+def bar_array_faults(documents: DataFrame, scope: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """keep and rule of arrays of bars, each a document of one symbol: fields, other keys, prices that don't fit, several symbols, and days that weren't asked for.
+
+    scope has keep, symbol, first_day, last_day, days and expected_rows, as in ``scope_faults``.
+    """
+    items = split(documents, [BARS])
+    rows = typed(items, BARS)
+    fields = rejects_of(items, [BARS], keep).select(*keep, "rule")
+    whole = rows.filter(F.size("rejected") == 0)
+    prices = whole.filter(~(ohlc_consistent(F.col("open"), F.col("high"), F.col("low"), F.col("close")) & (F.least("open", "high", "low", "close") > 0))).select(*keep, F.lit("prices").alias("rule"))
+    asked = whole.join(scope.select(*keep, F.col("symbol").alias("_symbol")), list(keep), "left")
+    others = asked.filter(F.col("symbol") != F.col("_symbol")).select(*keep, F.lit("other_symbol").alias("rule"))
+    days = scope_faults(whole, scope, keep, ["date"], "date")
+    return fields.unionByName(prices).unionByName(others).unionByName(days).distinct()
+
 
 def family(families: Sequence[Family], name: str) -> Family:
     return next(f for f in families if f.name == name)
