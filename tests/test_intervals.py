@@ -25,8 +25,8 @@ def some(n, rng, span=900):
     return out
 
 
-@pytest.mark.parametrize("n", [3, 60])
-def test_resolve_and_covering_equal_every_pair(spark, n):
+@pytest.mark.parametrize(("n", "hot"), [(3, 0), (60, 0), (60, 18), (60, 256)])
+def test_resolve_and_covering_equal_every_pair(spark, n, hot):
     rng = random.Random(n)
     held = some(n, rng) + [("A", "old", DAY(1, 1, 1), DAY(2020, 1, 1)), ("B", "far", DAY(2020, 5, 1), DAY(9999, 12, 31))]
     probes = [(i, rng.choice("ABCD"), DAY(2019, 12, 1) + datetime.timedelta(rng.randrange(1000))) for i in range(150)]
@@ -35,11 +35,11 @@ def test_resolve_and_covering_equal_every_pair(spark, n):
     for i, s, d in probes:
         met = [h[1] for h in held if h[0] == s and inside(h, d)]
         want[i] = ("unknown" if not met else "resolved" if len(met) == 1 else "ambiguous", met[0] if len(met) == 1 else None)
-    got = joins.resolve(spark.createDataFrame(probes, "id int, symbol string, d date"), intervals(spark, held), "symbol", "d", ["id"], "target").collect()
+    got = joins.resolve(spark.createDataFrame(probes, "id int, symbol string, d date"), intervals(spark, held), "symbol", "d", ["id"], "target", hot).collect()
     assert {r.id: (r.status, r.target) for r in got} == want
     inner = [(i, s, d, rng.choice([None, d, d + datetime.timedelta(rng.randrange(300))])) for i, s, d in probes]
     whole = lambda h, a, b: inside(h, a) and (h[3] or DAY(9999, 12, 31)) >= (b or DAY(9999, 12, 31))
-    got = joins.covering(spark.createDataFrame(inner, "id int, symbol string, valid_from date, valid_through date"), intervals(spark, held), "symbol", ["id"]).collect()
+    got = joins.covering(spark.createDataFrame(inner, "id int, symbol string, valid_from date, valid_through date"), intervals(spark, held), "symbol", ["id"], hot).collect()
     assert {r.id: r.covering for r in got} == {i: sum(h[0] == s and whole(h, a, b) for h in held) for i, s, a, b in inner}
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.temporal import effective_on
+
 #: A dimension is broadcast only if it was counted and has at most so many rows.
 BROADCAST_ROWS = 100_000
 
@@ -20,6 +22,8 @@ def join_dimension(rows: DataFrame, dimension: DataFrame, on: Sequence[str], how
 #: Dates are cut into bins of 1, 8, 64, … days from the year 1 on.
 RADIX, LEVELS = 8, 8
 _FIRST_DAY, _DAYS = 719_162, RADIX**LEVELS
+#: A symbol with more intervals than this is looked up by bins; of others each interval is compared.
+HOT = 256
 #: Length of the slices, in days, in which the ends of a bin's intervals are counted.
 SLICE_DAYS = 366
 
@@ -53,37 +57,52 @@ def placed(rows: DataFrame, bins: Column, *columns: str) -> DataFrame:
     return rows.select(*columns, F.explode(bins).alias("_b")).select(*columns, "_b.level", "_b.bin")
 
 
-def resolve(probes: DataFrame, intervals: DataFrame, symbol: str, day: str, probe_key: Sequence[str], target: str) -> DataFrame:
+def by_heat(left: DataFrame, right: DataFrame, symbol: str, hot: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """left and right of symbols that right has at most hot rows of, and of the others."""
+    many = right.groupBy(F.col(symbol).alias("_many")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot).select("_many")
+    part = lambda df, how: df.join(many, df[symbol] == many["_many"], how)
+    return part(left, "left_anti"), part(right, "left_anti"), part(left, "left_semi"), part(right, "left_semi")
+
+
+def resolve(probes: DataFrame, intervals: DataFrame, symbol: str, day: str, probe_key: Sequence[str], target: str, hot: int = HOT) -> DataFrame:
     """Each probe with the one target whose interval holds its symbol on its day.
 
-    status is resolved, ambiguous (several; the target is null) or unknown.
-    Intervals are spread to a few bins of days each, which are summed up (how
-    many, and which), and a probe looks up one bin of each level: an equi-join
-    with one row on a side, so that a symbol with many intervals and probes is
-    neither a product nor one hot key.
+    status is resolved, ambiguous (several; the target is null) or unknown. A
+    symbol's few intervals are compared with its probes. Of a hot symbol they are
+    spread to a few bins of days each, which are summed up (how many, and
+    which), and a probe looks up one bin of each level: an equi-join with one row
+    on a side, so that many intervals and probes are neither a product nor one
+    hot key.
     """
-    held = intervals.filter(F.col("valid_through").isNull() | (F.col("valid_from") <= F.col("valid_through")))
+    proper = intervals.filter(F.col("valid_through").isNull() | (F.col("valid_from") <= F.col("valid_through")))
+    few_probes, few, probes_, held = by_heat(probes, proper, symbol, hot)
+    few = few.select(F.col(symbol).alias("_symbol"), "valid_from", "valid_through", F.col(target).alias("_target"))
+    compared = few_probes.join(few, (few_probes[symbol] == few["_symbol"]) & effective_on(few["valid_from"], few["valid_through"], few_probes[day]), "left").select(*probe_key, F.col("_target").isNotNull().cast("long").alias("_n"), "_target")
     nodes = placed(held, bins_of_interval(F.col("valid_from"), F.col("valid_through")), symbol, target).groupBy(F.col(symbol).alias("_symbol"), "level", "bin").agg(F.count(target).alias("_n"), F.min(target).alias("_target"))
-    asked = placed(probes, bins_of_day(F.col(day)), *dict.fromkeys([*probe_key, symbol]))
-    met = asked.join(nodes, (asked[symbol] == nodes["_symbol"]) & (asked["level"] == nodes["level"]) & (asked["bin"] == nodes["bin"]))
-    some = met.groupBy(*probe_key).agg(F.sum("_n").alias("n"), F.min("_target").alias("_target"))
-    found = probes.select(*probe_key).distinct().join(some, list(probe_key), "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    asked = placed(probes_, bins_of_day(F.col(day)), *dict.fromkeys([*probe_key, symbol]))
+    looked = asked.join(nodes, (asked[symbol] == nodes["_symbol"]) & (asked["level"] == nodes["level"]) & (asked["bin"] == nodes["bin"]), "left").select(*probe_key, F.coalesce("_n", F.lit(0)).alias("_n"), "_target")
+    found = compared.unionByName(looked).groupBy(*probe_key).agg(F.sum("_n").alias("n"), F.min("_target").alias("_target"))
     status = F.when(F.col("n") == 0, "unknown").when(F.col("n") == 1, "resolved").otherwise("ambiguous")
     return found.select(*probe_key, status.alias("status"), F.when(F.col("n") == 1, F.col("_target")).alias(target))
 
 
-def covering(inner: DataFrame, outer: DataFrame, symbol: str, inner_key: Sequence[str]) -> DataFrame:
+def covering(inner: DataFrame, outer: DataFrame, symbol: str, inner_key: Sequence[str], hot: int = HOT) -> DataFrame:
     """For each inner interval (valid_from, valid_through) how many outer intervals of its symbol contain it whole.
 
-    The outer intervals that hold the inner one's first day are in its bins; of
+    A symbol's few intervals are compared. Of a hot symbol, the outer intervals that hold the inner one's first day are in its bins; of
     a bin's, those that end no earlier are a running count along the ends. The
     ends are cut into slices that start with the count of those after them, so
     no symbol, and no bin, is one group.
     """
     ends = lambda c: F.coalesce(day_number(F.col(c)), day_number(F.lit("9999-12-31").cast("date")))
-    held = outer.filter(F.col("valid_through").isNull() | (F.col("valid_from") <= F.col("valid_through"))).select(F.col(symbol).alias("_symbol"), "valid_from", "valid_through", ends("valid_through").alias("_end"))
+    proper = outer.filter(F.col("valid_through").isNull() | (F.col("valid_from") <= F.col("valid_through"))).select(symbol, "valid_from", "valid_through")
+    few_inner, few, inner_, hot_outer = by_heat(inner, proper, symbol, hot)
+    few = few.select(F.col(symbol).alias("_symbol"), F.col("valid_from").alias("_from"), ends("valid_through").alias("_last"))
+    whole = (few_inner[symbol] == few["_symbol"]) & (few["_from"] <= few_inner["valid_from"]) & (few["_last"] >= ends("valid_through"))
+    compared = few_inner.join(few, whole, "left").select(*inner_key, F.col("_symbol").isNotNull().cast("long").alias("_n"))
+    held = hot_outer.select(F.col(symbol).alias("_symbol"), "valid_from", "valid_through", ends("valid_through").alias("_end"))
     outs = placed(held, bins_of_interval(F.col("valid_from"), F.col("valid_through")), "_symbol", "_end")
-    rows = inner.select(*inner_key, F.col(symbol).alias("_symbol"), "valid_from", ends("valid_through").alias("_end"))
+    rows = inner_.select(*inner_key, F.col(symbol).alias("_symbol"), "valid_from", ends("valid_through").alias("_end"))
     ins = placed(rows, bins_of_day(F.col("valid_from")), *inner_key, "_symbol", "_end")
     node, piece = ["_symbol", "level", "bin"], F.floor(F.col("_end") / SLICE_DAYS).cast("long").alias("_slice")
     outs, ins = outs.select("*", piece), ins.select("*", piece)
@@ -98,8 +117,8 @@ def covering(inner: DataFrame, outer: DataFrame, symbol: str, inner_key: Sequenc
         .unionByName(ins.select(*node, "_slice", "_end", F.lit(0).cast("long").alias("_weight"), key.alias("_key")))
     )
     down = Window.partitionBy(*node, "_slice").orderBy(F.col("_end").desc_nulls_first(), F.col("_weight").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    found = stream.withColumn("_n", F.sum("_weight").over(down)).filter("_key IS NOT NULL").groupBy("_key").agg(F.sum("_n").alias("_n")).select("_key.*", "_n")
-    return inner.select(*inner_key).distinct().join(found, list(inner_key), "left").select(*inner_key, F.coalesce("_n", F.lit(0)).alias("covering"))
+    found = stream.withColumn("_n", F.sum("_weight").over(down)).filter("_key IS NOT NULL").select("_key.*", F.coalesce("_n", F.lit(0)).alias("_n"))
+    return compared.unionByName(found).groupBy(*inner_key).agg(F.sum("_n").alias("covering"))
 
 
 def overlaps(intervals: DataFrame, key: Sequence[str]) -> DataFrame:
