@@ -182,7 +182,8 @@ def clean_lines(rows, min_lines=3, min_words=50):
     return out
 
 
-def test_line_dedup_deletes_later_runs_and_nothing_else(spark):
+@pytest.mark.parametrize("rule", [line_dedup.repeated_lines, line_dedup.winnowed_repeats])
+def test_line_dedup_deletes_later_runs_and_nothing_else(spark, rule):
     rng = random.Random(5)
     line = lambda: prose(rng, 8) + f" {rng.random()}"
     run, passage = [line() for _ in range(5)], "p " + prose(rng, 55)
@@ -199,13 +200,13 @@ def test_line_dedup_deletes_later_runs_and_nothing_else(spark):
         (10, "x y z\n" * 200 + line()),
     ]
     docs = frame(spark, rows)
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, rule=rule)
     assert set(out.columns) == set(docs.columns)
     got = {r.doc_id: r for r in out.collect()}
     removed = {k: r.n_removed for k, r in got.items()}
     assert removed == {1: 0, 2: 5, 3: 0, 4: 1, 5: 5, 6: 0, 7: 0, 8: 0, 9: 0, 10: 199}
     assert got[5].text == "" and got[7].text is None and passage not in got[4].text and "menu" in got[4].text
-    assert sorted(r.doc_id for r in line_dedup.without_repeats(docs).collect()) == [1, 2, 3, 4, 6, 7, 8, 9, 10]
+    assert sorted(r.doc_id for r in line_dedup.without_repeats(docs, rule=rule).collect()) == [1, 2, 3, 4, 6, 7, 8, 9, 10]
     may_go = clean_lines(rows)
     for doc_id, text in rows:
         if text is not None:
@@ -217,7 +218,8 @@ def test_line_dedup_deletes_later_runs_and_nothing_else(spark):
     assert {x.strip() for _, t in rows for x in (t or "").split("\n")} <= survivors | {""}
 
 
-def test_line_dedup_finds_every_run_of_the_least_size(spark):
+@pytest.mark.parametrize("rule", [line_dedup.repeated_lines, line_dedup.winnowed_repeats])
+def test_line_dedup_finds_every_run_of_the_least_size(spark, rule):
     rng = random.Random(9)
     line = lambda n: prose(rng, n) + f" {rng.random()}"
     shapes = [(5, 5, 5), (29, 29), (10, 48), (48, 10), (60,), (60, 5), (5, 60), (5, 60, 5), (24, 24), (5, 5)]
@@ -231,12 +233,31 @@ def test_line_dedup_finds_every_run_of_the_least_size(spark):
         rows += [(10 * i, "\n".join([line(6), longest, line(6)] if alone else [line(6)]))]
         rows += [(10 * i + k, "\n".join([line(6), line(6), *run, line(6), line(6)])) for k in (1, 2)]
         want |= {10 * i: 0, 10 * i + 1: int(alone), 10 * i + 2: len(run) if len(run) > 2 or words >= 50 else 0}
-    assert {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(frame(spark, rows)).collect()} == want
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(frame(spark, rows), rule=rule).collect()} == want
 
 
-def test_line_dedup_repeated_rows_get_one_result(spark):
+@pytest.mark.parametrize("min_lines", [2, 3, 4])
+def test_winnowing_deletes_what_all_grams_delete(spark, min_lines):
+    rng = random.Random(17 + min_lines)
+    # few lines, so that runs repeat, overlap and lie within one another; some hold 12 words or more alone or in twos
+    pool = [f"l{i} " + prose(rng, rng.choice([1, 4, 7, 11, 14])) for i in range(12)]
+    rows = [(i, "\n".join(rng.choice([*pool, f"own {i} {k}", ""]) for k in range(rng.randrange(14)))) for i in range(150)]
+    got, want = ({(r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_lines(frame(spark, rows), rule=rule, min_lines=min_lines, min_words=12).collect()} for rule in (line_dedup.winnowed_repeats, line_dedup.repeated_lines))
+    assert got == want and sum(r[2] for r in got) > 100
+
+
+def test_winnowing_is_linear_in_a_text_of_one_line(spark):
+    docs = frame(spark, [(1, "x y z\n" * 20_000 + "end"), (2, "a\nb\nc"), (3, "a\nb\nc")])
+    prints = line_dedup.fingerprints(line_dedup.line_rows(docs))
+    assert prints.count() <= 20_000 + 10
+    # the first line stays: it is in the first place of the run only
+    assert {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(docs, rule=line_dedup.winnowed_repeats).collect()} == {1: 19_999, 2: 0, 3: 3}
+
+
+@pytest.mark.parametrize("rule", [line_dedup.repeated_lines, line_dedup.winnowed_repeats])
+def test_line_dedup_repeated_rows_get_one_result(spark, rule):
     text = "\n".join(f"line {i} of it" for i in range(4))
-    got = line_dedup.dedup_lines(frame(spark, [(1, text), (2, text), (2, text), (None, text)])).collect()
+    got = line_dedup.dedup_lines(frame(spark, [(1, text), (2, text), (2, text), (None, text)]), rule=rule).collect()
     assert Counter((r.doc_id, r.n_removed) for r in got) == {(1, 0): 1, (2, 4): 2, (None, 4): 1}
 
 

@@ -10,22 +10,25 @@ also in the earlier one. So every gram but its first occurrence in the corpus
 is deleted, no gram is left out, and a deleted line's words stay at an earlier
 place.
 
-``op4_line_dedup`` alone follows its SQL, which winnows: there a gram starts
-at a position and runs until it has ``min_lines`` lines or ``min_words`` words.
-A gram of one line of that many words is always a fingerprint; of the others,
-the smallest hash of each window of ``window`` consecutive grams is one (the
-rightmost of equals). So a repeated line of ``min_words`` words, and a repeated
-run that holds ``window`` whole grams, always has a fingerprint; others may not.
-Every fingerprint is joined to its first position in the corpus. Each pair of documents and shift
-that meet so is compared line by line both ways, and each maximal run of equal
-lines with at least ``min_lines`` lines or ``min_words`` words is deleted from
-the later place.
-
-Scale: everything is keyed by hashes of lines; a gram is matched with its first
-position only, so a group of n copies gives n - 1 matches and never
-n squared. First positions come from a partial aggregation, and the equi-joins
-on them are ones whose large partitions adaptive execution splits. The text is
-shuffled once, to rebuild the changed documents.
+``winnowed_repeats`` finds the same lines by winnowing. The lines' hashes are put
+together to grams, one line shorter than ``min_lines``; of each window of two
+consecutive grams the smaller hash is a fingerprint (of equals the right one),
+and so is each gram, or run of fewer lines, that has ``min_words`` words. So any
+run that counts holds a fingerprint, which its content alone decides: equal
+runs hold the same at the same line. Fingerprints are joined with those that
+two places or more share; all others go. From these the text is compared both
+ways: a fingerprint is extended by the line before or after it where its window
+reaches, and of the places of an extended run that has ``min_lines`` lines all
+but the first are deleted, as are those of a fingerprint that counts itself.
+Longer runs are deleted as the runs of ``min_lines`` lines of which they consist.
+``repeated_lines`` looks at all grams instead.
+
+Scale: everything is keyed by hashes of lines; a run is matched with its first
+place only, so a group of n copies gives n - 1 matches and never n squared, and
+a long text of equal lines as many as it has lines. First places come from a
+partial aggregation, and the equi-joins on them are ones whose large partitions
+adaptive execution splits. The text is shuffled once, to rebuild the changed
+documents.
 
 Defined cases: a null or blank text has no lines and stays as it is; rows that
 repeat doc_id and text are one document and get one result each; blank lines
@@ -39,11 +42,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import MAX_LONG, WORD_GAP, as_struct, materialise, table, word_count
+from tidemark.llm.common import MAX_LONG, WORD_GAP, as_struct, materialise, release, table, word_count
 
 MIN_LINES = 3
 MIN_WORDS = 50
-WINDOW = 2
 
 KEY = ["_ord", "_text_id"]
 
@@ -66,53 +68,52 @@ def line_rows(docs: DataFrame) -> DataFrame:
     return worded.withColumn("pos", F.row_number().over(Window.partitionBy(*KEY).orderBy("raw")) - 1)
 
 
-def fingerprints(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
-    """Key, pos and gram hash of the selected grams."""
+def joined_hash(hashes: list[Column]) -> Column:
+    """The hash of a run of lines."""
+    return hash60(F.concat_ws(",", *[h.cast("string") for h in hashes]))
+
+
+def fingerprints(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """Key and gram of every fingerprint, raws (the raw numbers of the line before, its own, and the line after), size (its lines), counts (whether it is to be deleted by itself), before and after: the hash of the run with the line before or after, where a window reaches it."""
+    if min_lines < 2:
+        raise ValueError("min_lines must be 2 or more")
     doc = Window.partitionBy(*KEY).orderBy("raw")
-    ahead = [F.lead("words", i).over(doc) for i in range(1, min_lines)]
-    hashes = [F.col("line_hash"), *[F.lead("line_hash", i).over(doc) for i in range(1, min_lines)]]
-    # the number of lines of the gram: the first count whose words suffice, or min_lines if the document has them
-    total, length = F.col("words"), F.lit(None).cast("int")
-    sums = [total]
-    for a in ahead:
-        total = total + a
-        sums.append(total)
-    length = F.coalesce(*[F.when(s >= min_words, F.lit(i + 1)) for i, s in enumerate(sums[:-1])], F.when(sums[-1].isNotNull(), F.lit(min_lines)))
-    content = F.concat_ws(",", *[F.when(F.col("_len") > i, F.col(f"_h{i}").cast("string")) for i in range(min_lines)])
-    grams = lines.withColumns({"_len": length} | {f"_h{i}": h for i, h in enumerate(hashes)}).filter("_len IS NOT NULL").select(*KEY, "pos", "_len", "words", hash60(content).alias("gram"))
-    # a window of grams selects its smallest; position p is selected if some window that holds p has no smaller hash, nor an equal one to the right
-    by_pos = Window.partitionBy(*KEY).orderBy("pos")
-    chosen = F.lit(False)
-    for first in range(-(window - 1), 1):
-        whole = F.lit(True)
-        for i in range(first, first + window):
-            if i:
-                other = (F.lead if i > 0 else F.lag)("gram", abs(i)).over(by_pos)
-                whole = whole & other.isNotNull() & ((F.col("gram") <= other) if i < 0 else (F.col("gram") < other))
-        chosen = chosen | whole
-    alone = F.lead("gram", 1).over(by_pos).isNull() & F.lag("gram", 1).over(by_pos).isNull()
-    return grams.withColumn("_chosen", chosen | alone | (F.col("words") >= min_words)).filter("_chosen").select(*KEY, "pos", "gram")
-
-
-def winnowed_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
-    """Key and raw line number of the lines that the winnowing rule deletes."""
-    lines = materialise(line_rows(docs), "lines")
-    prints = fingerprints(lines, min_lines, min_words, window)
-    first = prints.groupBy("gram").agg(F.min(F.struct(*KEY, "pos")).alias("src"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", "src")
-    met = (
-        prints.join(first, "gram")
-        .filter(F.struct(*KEY, "pos") > F.col("src"))
-        .select(*KEY, F.col("src._ord").alias("src_ord"), F.col("src._text_id").alias("src_text_id"), (F.col("pos") - F.col("src.pos")).alias("shift"))
-        .distinct()
+    length = min_lines - 1
+    near = {f"_{name}{i}": (F.lead(name, i) if i >= 0 else F.lag(name, -i)).over(doc) for i in range(-1, min_lines) for name in ("words", "line_hash", "raw")}
+    take = lambda name, a, b: [F.col(f"_{name}{i}") for i in range(a, b)]
+    total = lambda a, b: sum(take("words", a, b), F.lit(0))
+    # a run is looked at unless it counts without its last line and also without its first
+    least = lambda a, b: (total(a, b - 1) < min_words) | (total(a + 1, b) < min_words)
+    there = F.col(f"_raw{length - 1}").isNotNull()
+    named = lines.withColumns(near).withColumn("_gram", F.when(there, joined_hash(take("line_hash", 0, length))))
+    named = named.withColumns({"_left": F.lag("_gram").over(doc), "_right": F.lead("_gram").over(doc)})
+    before = F.when((F.col("_gram") <= F.col("_left")) & least(-1, length), joined_hash(take("line_hash", -1, length)))
+    after = F.when((F.col("_gram") < F.col("_right")) & least(0, min_lines), joined_hash(take("line_hash", 0, min_lines)))
+    nothing, found = F.lit(None).cast("long"), []
+    for size in range(1, length + 1):
+        counts = F.coalesce((total(0, size) >= min_words) & least(0, size), F.lit(False))
+        whole = size == length
+        content = F.col("_gram") if whole else joined_hash(take("line_hash", 0, size))
+        print_ = F.struct(content.alias("gram"), F.lit(size).cast("byte").alias("size"), counts.alias("counts"), (F.col("_before") if whole else nothing).alias("before"), (F.col("_after") if whole else nothing).alias("after"))
+        found.append(F.when(counts | (F.col("_before").isNotNull() | F.col("_after").isNotNull() if whole else F.lit(False)), print_))
+    named = named.withColumns({"_before": before, "_after": after})
+    return named.select(*KEY, F.array(*take("raw", -1, min_lines)).alias("raws"), F.explode(F.array_compact(F.array(*found))).alias("_print")).select(*KEY, "raws", "_print.*")
+
+
+def winnowed_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """Key and raw line number of every line to delete, by fingerprints and their extension."""
+    prints = materialise(fingerprints(line_rows(docs), min_lines, min_words), "fingerprints")
+    shared = prints.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    run = lambda start, size, name: F.struct(F.slice("raws", start, size).alias("raws"), F.col(name).alias("gram"))
+    extended = F.array(
+        F.when(F.col("counts"), run(2, F.col("size"), "gram")),
+        F.when(F.col("before").isNotNull(), run(1, min_lines, "before")),
+        F.when(F.col("after").isNotNull(), run(2, min_lines, "after")),
     )
-    later = met.join(lines, KEY).withColumn("src_pos", F.col("pos") - F.col("shift"))
-    source = lines.select(F.col("_ord").alias("src_ord"), F.col("_text_id").alias("src_text_id"), F.col("pos").alias("src_pos"), F.col("line_hash").alias("src_hash"))
-    same = later.join(source, (later.src_ord == source.src_ord) & (later.src_text_id == source.src_text_id) & (later.src_pos == source.src_pos) & (later.line_hash == source.src_hash)).select(*KEY, later.src_ord, later.src_text_id, "shift", "pos", "raw", "words")
-    diagonal = [*KEY, "src_ord", "src_text_id", "shift"]
-    runs = same.withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy(*diagonal).orderBy("pos")))
-    whole = Window.partitionBy(*diagonal, "_run")
-    long_enough = (F.count(F.lit(1)).over(whole) >= min_lines) | (F.sum("words").over(whole) >= min_words)
-    return runs.withColumn("_long", long_enough).filter("_long").select(*KEY, "raw").distinct()
+    runs = prints.join(shared, "gram").select(*KEY, F.explode(F.array_compact(extended)).alias("_run"))
+    runs = materialise(runs.select(*KEY, F.get("_run.raws", F.lit(0)).alias("raw"), "_run.*"), "runs")
+    release(prints)
+    return later_places(runs)
 
 
 def grams(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
@@ -129,14 +130,18 @@ def grams(lines: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WOR
     return lines.withColumns(ahead).select(*KEY, "raw", F.explode(F.array_compact(F.array(*found))).alias("_run")).select(*KEY, "raw", "_run.raws", "_run.gram")
 
 
-def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
-    """Key and raw line number of every line to delete."""
-    found = materialise(grams(line_rows(docs), min_lines, min_words), "grams")
-    first = found.groupBy("gram").agg(F.min(F.struct(*KEY, "raw")).alias("src"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", "src")
-    later = found.join(first, "gram").filter(F.struct(*KEY, "raw") > F.col("src"))
+def later_places(runs: DataFrame) -> DataFrame:
+    """Key and raw line number of every line of a run (raws, first of them raw, and gram, its name) but at its first place."""
+    first = runs.groupBy("gram").agg(F.min(F.struct(*KEY, "raw")).alias("src"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", "src")
+    later = runs.join(first, "gram").filter(F.struct(*KEY, "raw") > F.col("src"))
     return later.select(*KEY, F.explode("raws").alias("raw")).distinct()
 
 
+def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """Key and raw line number of every line to delete, by all grams."""
+    return later_places(materialise(grams(line_rows(docs), min_lines, min_words), "grams"))
+
+
 def rebuilt(docs: DataFrame, rule=repeated_lines, **options) -> DataFrame:
     """row (docs' columns, whatever their names, as one struct, with the lines that the rule finds out of text), n_lines and n_removed."""
     gone = rule(docs, **options).groupBy(*KEY).agg(F.collect_list("raw").alias("gone"))
@@ -174,30 +179,17 @@ def op4_line_dedup_all_runs(spark, sf_dir: str) -> DataFrame:
 
 
 _GAP = r"[\x20\x09-\x0D]+"
-LINES_SQL = rf"""
+#: Every run of up to three lines that counts, no gram or fingerprint.
+ALL_RUNS_SQL = rf"""
 keyed AS (SELECT doc_id, text, coalesce(CAST(doc_id AS BIGINT), 9223372036854775807) AS ord, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS text_id FROM {{docs}}),
 raw_lines AS (SELECT ord, text_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS raw FROM (SELECT DISTINCT ord, text_id, text FROM keyed)),
 worded AS (SELECT ord, text_id, raw, regexp_replace(line, '^{_GAP}|{_GAP}$', '', 'g') AS line FROM raw_lines),
 lines AS (SELECT ord, text_id, raw, CAST('0x' || substr(md5(line), 1, 15) AS BIGINT) AS line_hash, len(regexp_split_to_array(line, '{_GAP}')) AS words, row_number() OVER (PARTITION BY ord, text_id ORDER BY raw) - 1 AS pos FROM worded WHERE line <> ''),
 looked AS (SELECT *, lead(words, 1) OVER d AS w1, lead(words, 2) OVER d AS w2, lead(line_hash, 1) OVER d AS h1, lead(line_hash, 2) OVER d AS h2 FROM lines WINDOW d AS (PARTITION BY ord, text_id ORDER BY raw)),
-measured AS (SELECT *, CASE WHEN words >= 50 THEN 1 WHEN words + w1 >= 50 THEN 2 WHEN w2 IS NOT NULL THEN 3 END AS size FROM looked),
-grams AS (SELECT ord, text_id, pos, words, CAST('0x' || substr(md5(CAST(line_hash AS VARCHAR) || CASE WHEN size > 1 THEN ',' || h1 ELSE '' END || CASE WHEN size > 2 THEN ',' || h2 ELSE '' END), 1, 15) AS BIGINT) AS gram FROM measured WHERE size IS NOT NULL),
-near AS (SELECT *, lag(gram) OVER d AS before, lead(gram) OVER d AS after FROM grams WINDOW d AS (PARTITION BY ord, text_id ORDER BY pos)),
-prints AS (SELECT ord, text_id, pos, gram FROM near WHERE words >= 50 OR gram <= before OR gram < after OR (before IS NULL AND after IS NULL)),
-firsts AS (SELECT gram, min((ord, text_id, pos)) AS src FROM prints GROUP BY gram HAVING count(*) > 1),
-met AS (SELECT DISTINCT p.ord, p.text_id, f.src[1] AS src_ord, f.src[2] AS src_text_id, p.pos - f.src[3] AS shift FROM prints p JOIN firsts f USING (gram) WHERE (p.ord, p.text_id, p.pos) > f.src),
-same AS (SELECT m.*, l.pos, l.raw, l.words FROM met m JOIN lines l ON l.ord = m.ord AND l.text_id = m.text_id JOIN lines s ON s.ord = m.src_ord AND s.text_id = m.src_text_id AND s.pos = l.pos - m.shift AND s.line_hash = l.line_hash),
-runs AS (SELECT *, pos - row_number() OVER (PARTITION BY ord, text_id, src_ord, src_text_id, shift ORDER BY pos) AS run FROM same),
-sized_runs AS (SELECT *, count(*) OVER r AS n, sum(words) OVER r AS total FROM runs WINDOW r AS (PARTITION BY ord, text_id, src_ord, src_text_id, shift, run)),
-gone AS (SELECT ord, text_id, list(DISTINCT raw) AS raws FROM sized_runs WHERE n >= 3 OR total >= 50 GROUP BY ord, text_id),
-cleaned AS (SELECT k.doc_id, len(string_split(coalesce(k.text, ''), chr(10))) AS n_lines, coalesce(len(g.raws), 0) AS n_removed,
-  CASE WHEN g.raws IS NULL THEN k.text ELSE array_to_string(list_filter(string_split(k.text, chr(10)), lambda x, i: NOT list_contains(g.raws, i - 1)), chr(10)) END AS text FROM keyed k LEFT JOIN gone g ON k.ord = g.ord AND k.text_id = g.text_id)"""
-OP4_SQL = "WITH " + LINES_SQL.format(docs="documents") + " SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, md5(coalesce(text, '')) AS text_md5 FROM cleaned"
-
-#: All runs of up to three lines that count, not only the grams.
-ALL_RUNS_SQL = LINES_SQL[: LINES_SQL.index("measured AS")] + """stretches AS (SELECT ord, text_id, pos, 1 AS size, [line_hash] AS content FROM looked WHERE words >= 50 UNION ALL SELECT ord, text_id, pos, 2, [line_hash, h1] FROM looked WHERE words + w1 >= 50 UNION ALL SELECT ord, text_id, pos, 3, [line_hash, h1, h2] FROM looked WHERE w2 IS NOT NULL),
+stretches AS (SELECT ord, text_id, pos, 1 AS size, [line_hash] AS content FROM looked WHERE words >= 50 UNION ALL SELECT ord, text_id, pos, 2, [line_hash, h1] FROM looked WHERE words + w1 >= 50 UNION ALL SELECT ord, text_id, pos, 3, [line_hash, h1, h2] FROM looked WHERE w2 IS NOT NULL),
 firsts AS (SELECT content, min((ord, text_id, pos)) AS src FROM stretches GROUP BY content HAVING count(*) > 1),
 later AS (SELECT r.ord, r.text_id, r.pos, r.size FROM stretches r JOIN firsts f USING (content) WHERE (r.ord, r.text_id, r.pos) > f.src),
 gone AS (SELECT l.ord, l.text_id, list(DISTINCT l.raw) AS raws FROM later x JOIN lines l ON l.ord = x.ord AND l.text_id = x.text_id AND l.pos >= x.pos AND l.pos < x.pos + x.size GROUP BY l.ord, l.text_id),
-""" + LINES_SQL[LINES_SQL.index("cleaned AS") :]
-OP4_ALL_RUNS_SQL = OP4_SQL.replace(LINES_SQL.format(docs="documents"), ALL_RUNS_SQL.format(docs="documents"))
+cleaned AS (SELECT k.doc_id, len(string_split(coalesce(k.text, ''), chr(10))) AS n_lines, coalesce(len(g.raws), 0) AS n_removed,
+  CASE WHEN g.raws IS NULL THEN k.text ELSE array_to_string(list_filter(string_split(k.text, chr(10)), lambda x, i: NOT list_contains(g.raws, i - 1)), chr(10)) END AS text FROM keyed k LEFT JOIN gone g ON k.ord = g.ord AND k.text_id = g.text_id)"""
+OP4_SQL = "WITH " + ALL_RUNS_SQL.format(docs="documents") + " SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, md5(coalesce(text, '')) AS text_md5 FROM cleaned"

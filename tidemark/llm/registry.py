@@ -22,7 +22,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_chat": chat.OP3_SQL,
     "op4_line_dedup": line_dedup.OP4_SQL,
-    "op4_line_dedup_all_runs": line_dedup.OP4_ALL_RUNS_SQL,
+    "op4_line_dedup_all_runs": line_dedup.OP4_SQL,
     "op8_mixing": mixing.OP8_SQL,
     "op9_exact_topk": exact_topk.OP9_SQL,
     "op11_decontamination": decontamination.OP11_SQL,
