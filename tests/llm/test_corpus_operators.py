@@ -138,6 +138,38 @@ def test_sharding_moves_rows_only_into_the_new_shard(spark):
     assert [(r.size, r.text_crc32) for r in got if r.doc_id is None] == [(16, 0)]
 
 
+def test_sharding_equals_the_draws_by_hand(spark):
+    topology = [sharding.Shard(0, "a", "a0", 1.0), sharding.Shard(1, "a", "a0", 3.0), sharding.Shard(2, "a", "a1", 0.5), sharding.Shard(3, "b", "b0", 2.0), sharding.Shard(4, "b", "b0", 0.0), sharding.Shard(5, "b", "b1", 1.5)]
+    rows = [(i, prose(random.Random(i), i % 7)) for i in range(300)] + [(None, None), (None, "x"), (7, "twice"), (7, "twice"), (-3, "\u00e4")]
+
+    def place(doc_id, shards):
+        live = [s for s in shards if s.weight > 0]
+        for level, name in (("region", lambda s: f"region {s.region}"), ("rack", lambda s: f"rack {s.rack}"), ("shard", lambda s: f"shard {s.shard}")):
+            weight = Counter()
+            for s in live:
+                weight[name(s)] += s.weight
+            u = {n: (int(hashlib.md5(f"{n}:{'null' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for n in weight}
+            best = max(weight, key=lambda n: (math.log(u[n]) / weight[n], n))
+            live = [s for s in live if name(s) == best]
+        return live[0].shard
+
+    grown = sharding.with_new_region(topology)
+    got = sharding.shard_documents(frame(spark, rows), topology, grown).collect()
+    want = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()), place(i, topology), place(i, grown)) for i, t in rows)
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.shard, r.grown_shard) for r in got) == want
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(of) == list(range(len(of))) for of in slots.values())
+
+
+def test_sharding_of_many_rows_of_one_id(spark):
+    topology = sharding.regular_topology(8)
+    got = sharding.shard_documents(frame(spark, [(None, "same")] * 500 + [(1, "one")] * 300), topology, topology).collect()
+    assert len({r.shard for r in got if r.doc_id is None}) == 1 and len({r.shard for r in got if r.doc_id == 1}) == 1
+    assert len({(r.shard, r.slot) for r in got}) == 800
+
+
 def test_sharding_confines_movement_to_the_changed_subtree(spark):
     docs = frame(spark, [(i, "") for i in range(3000)])
     before = sharding.regular_topology(16)
@@ -278,6 +310,46 @@ def test_quality_classifier_learns_and_scores_all(spark):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in got if r.predicted)
 
 
+def test_quality_classifier_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(4)
+    p = {"W": rng.normal(size=(6, 4)), "b": rng.normal(size=4), "V": rng.normal(size=(4, 3)), "U": rng.normal(size=(4, 3)), "w": rng.normal(size=3), "c": rng.normal(size=4), "d": rng.normal(size=1)}
+    inputs, first, y = rng.normal(size=(9, 6)), np.array([0, 1, 5, 9]), np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        total = 0.0
+        for a, b, label in zip(first[:-1], first[1:], y):
+            # the forward pass of one bag, passage by passage
+            h = [np.tanh(x @ p["W"] + p["b"]) for x in inputs[a:b]]
+            raw = [float(p["w"] @ (np.tanh(v @ p["V"]) / (1 + np.exp(-(v @ p["U"]))))) for v in h]
+            share = [math.exp(r) / sum(map(math.exp, raw)) for r in raw]
+            z = sum(s * v for s, v in zip(share, h))
+            score = 1 / (1 + math.exp(-float(z @ p["c"] + p["d"][0])))
+            total -= math.log(score if label else 1 - score)
+        return total / len(y)
+
+    got = quality_classifier.gradients(p, inputs, first, y)
+    assert set(got) == set(p)
+    for name, weights in p.items():
+        for at in np.ndindex(weights.shape):
+            kept, step = weights[at], 1e-6
+            weights[at] = kept + step
+            above = loss()
+            weights[at] = kept - step
+            below = loss()
+            weights[at] = kept
+            assert got[name][at] == pytest.approx((above - below) / (2 * step), abs=1e-7), (name, at)
+
+
+def test_quality_classifier_one_long_text_does_not_end_the_sample(spark):
+    rng = random.Random(6)
+    docs = frame(spark, [(i, prose(rng, 30) if i % 2 else "## " * 30) for i in range(60)] + [(i, prose(rng, 64 * 40)) for i in range(60, 80)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    model = quality_classifier.learn(docs, labels, fit_passages=60, text_passages=10)
+    assert isinstance(model, dict)
+    alone = quality_classifier.learn(docs.filter("doc_id < 60"), labels.filter("doc_id < 60"), fit_passages=60, text_passages=10)
+    assert all(np.array_equal(model[k], alone[k]) for k in alone)
+
+
 def test_quality_classifier_without_both_classes(spark):
     docs = frame(spark, [(1, "a"), (2, None)])
     for rows, want in ([(1, 0), (2, 0)], 0.0), ([], 1.0):

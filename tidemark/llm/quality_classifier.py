@@ -8,8 +8,9 @@ by logistic regression. All weights are learned together from document labels
 by Adam on the log loss.
 
 The fit uses a bounded sample: the ``FIT_ROWS`` labelled rows with the smallest
-hash of their id among those outside the held-out fold, and of these as many as
-have ``FIT_PASSAGES`` passages in all. Scoring covers every passage of every
+hash of their id among those outside the held-out fold, without texts of more
+than ``FIT_TEXT_PASSAGES`` passages, and of these as many as have
+``FIT_PASSAGES`` passages in all. Scoring covers every passage of every
 document in one pass in Arrow batches; only the weights, some thousand numbers,
 are broadcast, and nothing is shuffled.
 
@@ -36,6 +37,8 @@ from tidemark.llm.tokens import Words, chain, chunks
 PASSAGE_WORDS = 64
 FIT_ROWS = 6000
 FIT_PASSAGES = 150_000
+#: The longest texts to learn from, so that no single one uses the sample up; longer ones are scored like all.
+FIT_TEXT_PASSAGES = 5000
 FOLDS = 5
 THRESHOLD = 0.3
 ENCODING, ATTENTION = 16, 8
@@ -112,6 +115,24 @@ def attend(p: dict[str, np.ndarray], inputs: np.ndarray, first: np.ndarray) -> d
     return {"h": h, "t": gate_t, "s": gate_s, "a": a, "z": z, "score": 1 / (1 + np.exp(-np.clip(z @ p["c"] + p["d"], -30, 30)))}
 
 
+def gradients(p: dict[str, np.ndarray], inputs: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    """The derivative of the mean log loss by each weight."""
+    start, per_doc = first[:-1], np.diff(first)
+    f = attend(p, inputs, first)
+    dlogit = (f["score"] - y) / len(y)
+    g = {"c": f["z"].T @ dlogit, "d": np.array([dlogit.sum()])}
+    dz = np.repeat(dlogit[:, None] * p["c"], per_doc, axis=0)
+    da = (dz * f["h"]).sum(1)
+    draw_ = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, start), per_doc))
+    g["w"] = (f["t"] * f["s"]).T @ draw_
+    dgate = draw_[:, None] * p["w"]
+    dt, ds = dgate * f["s"] * (1 - f["t"] ** 2), dgate * f["t"] * f["s"] * (1 - f["s"])
+    g["V"], g["U"] = f["h"].T @ dt, f["h"].T @ ds
+    dh = (dz * f["a"][:, None] + dt @ p["V"].T + ds @ p["U"].T) * (1 - f["h"] ** 2)
+    g["W"], g["b"] = inputs.T @ dh, dh.sum(0)
+    return g
+
+
 def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray] | float:
     """Weights learned from bags of passages and document labels; a constant where there is one class only."""
     if not len(y) or y.min() == y.max():
@@ -124,20 +145,8 @@ def fit(x: np.ndarray, first: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray
     inputs /= fixed["scale"]
     p = {"W": draw(FEATURES, ENCODING), "b": np.zeros(ENCODING), "V": draw(ENCODING, ATTENTION), "U": draw(ENCODING, ATTENTION), "w": draw(ATTENTION), "c": draw(ENCODING), "d": np.zeros(1)}
     m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
-    start, per_doc = first[:-1], np.diff(first)
     for step in range(1, EPOCHS + 1):
-        f = attend(p, inputs, first)
-        dlogit = (f["score"] - y) / len(y)
-        g = {"c": f["z"].T @ dlogit, "d": np.array([dlogit.sum()])}
-        dz = np.repeat(dlogit[:, None] * p["c"], per_doc, axis=0)
-        da = (dz * f["h"]).sum(1)
-        draw_ = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, start), per_doc))
-        g["w"] = (f["t"] * f["s"]).T @ draw_
-        dgate = draw_[:, None] * p["w"]
-        dt, ds = dgate * f["s"] * (1 - f["t"] ** 2), dgate * f["t"] * f["s"] * (1 - f["s"])
-        g["V"], g["U"] = f["h"].T @ dt, f["h"].T @ ds
-        dh = (dz * f["a"][:, None] + dt @ p["V"].T + ds @ p["U"].T) * (1 - f["h"] ** 2)
-        g["W"], g["b"] = inputs.T @ dh, dh.sum(0)
+        g = gradients(p, inputs, first, y)
         for k in p:
             grad = g[k] + DECAY * p[k]
             m[k], v[k] = 0.9 * m[k] + 0.1 * grad, 0.999 * v[k] + 0.001 * grad**2
@@ -150,7 +159,7 @@ def held_out(doc_id=None, folds: int = FOLDS):
     return F.crc32(F.coalesce(F.col(doc_id or "doc_id").cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_passages: int = FIT_PASSAGES) -> dict[str, np.ndarray] | float:
+def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_passages: int = FIT_PASSAGES, text_passages: int = FIT_TEXT_PASSAGES) -> dict[str, np.ndarray] | float:
     """Fit on the bounded sample; labels has doc_id and quality."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"))
@@ -164,7 +173,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_pass
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[at:to], pa.array(y[at:to]), pa.array(rows, pa.binary()), pa.array(np.diff(first))], names=["doc_id", "y", "x", "n"])
 
     bags = materialise(chosen.mapInArrow(features, "doc_id long, y double, x binary, n long"), "bags")
-    within = bags.select("doc_id", "n").withColumn("_sum", F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))).filter(F.col("_sum") <= fit_passages).select("doc_id")
+    within = bags.select("doc_id", "n").filter(F.col("n") <= text_passages).withColumn("_sum", F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id"))).filter(F.col("_sum") <= fit_passages).select("doc_id")
     bags = bags.join(F.broadcast(within), "doc_id", "left_semi").orderBy("doc_id").toArrow()
     if not bags.num_rows:
         return 1.0
