@@ -502,7 +502,9 @@ def ratios(spark, sf_dir):
 
 @query("F8_accession_format", "SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 2 = 0) AS valid FROM orders")
 def accessions(spark, sf_dir):
-    text = F.when(F.col("o_orderkey") % 2 == 0, F.format_string("%010d-%02d-%06d", "o_custkey", F.lit(98), "o_orderkey")).otherwise(F.format_string("%010d-%d", "o_custkey", "o_orderkey"))
+    # the last six digits are the number, those before it the year, so that every even order's has its places
+    number, year = F.pmod("o_orderkey", F.lit(1000000)), F.expr("pmod(o_orderkey div 1000000, 100)")
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.format_string("%010d-%02d-%06d", "o_custkey", year, number)).otherwise(F.format_string("%010d-%d", "o_custkey", "o_orderkey"))
     return B.read(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"), F.count_if(scalars.is_accession(text)).alias("valid"))
 
 
