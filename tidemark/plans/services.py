@@ -84,7 +84,8 @@ def option_json(spark, sf_dir):
     bars = F.transform(F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), F.col("p_size") % 3), lambda i: F.struct(i.cast("string").alias("bar_start"), F.lit(1.0).alias("close")))
     quote = F.struct(F.lit(1.0).alias("bid_price"), F.lit(2.0).alias("ask_price"))
     entry = F.struct(F.col("p_partkey").cast("string").alias("provider_contract_id"), F.when(F.col("p_size") % 4 == 0, "missing").otherwise("present").alias("surface_state"), quote.alias("quote"), bars.alias("bars"))
-    docs = B.read(spark, sf_dir, "part").groupBy("p_brand").agg(F.collect_list(contract).alias("contracts"), F.collect_list(entry).alias("surface"))
+    # a brand's parts are documents of at most 2000, so that none grows with the table
+    docs = B.read(spark, sf_dir, "part").groupBy("p_brand", F.expr("p_partkey div 2000").alias("bundle")).agg(F.collect_list(contract).alias("contracts"), F.collect_list(entry).alias("surface"))
     docs.select(F.struct(F.col("p_brand").alias("capture_id"), F.lit("u").alias("underlying_key")).alias("capture"), "contracts", "surface").write.json(path)
     quotes = R.option_quotes(R.read_document(spark, path, R.OPTIONS, lines=True))
     return quotes.groupBy("capture_id", "surface_state").agg(F.count(F.lit(1)).alias("quotes"), F.round(F.sum("strike_price"), 2).alias("strikes"), F.sum("bars").alias("bars"))

@@ -98,7 +98,21 @@ def company_filings(documents: DataFrame) -> DataFrame:
 
 
 def option_quotes(documents: DataFrame) -> DataFrame:
-    """A row for each surface entry with its contract's terms."""
-    s = documents.select("capture", "contracts", F.explode("surface").alias("s"))
-    contract = F.get(F.filter("contracts", lambda c: c["provider_contract_id"] == F.col("s.provider_contract_id")), F.lit(0))
-    return s.select("capture.capture_id", "s.provider_contract_id", "s.surface_state", "s.quote.bid_price", "s.quote.ask_price", contract["strike_price"].alias("strike_price"), F.size("s.bars").alias("bars"))
+    """A row for each surface entry with the terms of its document's first contract of that id.
+
+    A document's contracts and entries meet by a grouping of both, so its size counts once; entries without an id are groups of their own.
+    """
+    fields = "struct<term:boolean,id:string,place:int,strike_price:double,surface_state:string,bid_price:double,ask_price:double,bars:int>"
+    nulls = lambda kinds: [F.lit(None).cast(k) for k in kinds.split()]
+    term = lambda c, i: F.struct(F.lit(True), c["provider_contract_id"], i, c["strike_price"], *nulls("string double double int")).cast(fields)
+    shown = lambda s, i: F.struct(F.lit(False), s["provider_contract_id"], i, *nulls("double"), s["surface_state"], s["quote"]["bid_price"], s["quote"]["ask_price"], F.size(s["bars"])).cast(fields)
+    none = F.array().cast(f"array<{fields}>")
+    each = documents.select(F.monotonically_increasing_id().alias("_doc"), "capture.capture_id", F.concat(F.coalesce(F.transform("contracts", term), none), F.coalesce(F.transform("surface", shown), none)).alias("both"))
+    both = each.select("_doc", "capture_id", F.explode("both").alias("x"))
+    alone = F.when(F.col("x.id").isNull(), F.col("x.place"))
+    met = both.groupBy("_doc", "capture_id", F.col("x.id").alias("provider_contract_id"), alone.alias("_alone")).agg(
+        F.min_by("x.strike_price", F.when(F.col("x.term"), F.col("x.place"))).alias("strike_price"),
+        F.collect_list(F.when(~F.col("x.term"), F.struct("x.surface_state", "x.bid_price", "x.ask_price", "x.bars"))).alias("_entries"),
+    )
+    out = met.select("capture_id", "provider_contract_id", F.when(F.col("provider_contract_id").isNotNull(), F.col("strike_price")).alias("strike_price"), F.explode("_entries").alias("s"))
+    return out.select("capture_id", "provider_contract_id", "s.surface_state", "s.bid_price", "s.ask_price", "strike_price", "s.bars")
