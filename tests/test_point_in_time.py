@@ -313,3 +313,11 @@ def test_an_empty_first_batch_and_empty_batches(spark, tmp_path):
     for number, rows in enumerate([[], [("a", 1, 1.0)], [], [("a", 2, 1.0), ("a", 3, 2.0), (None, 1, None), (None, 2, None)]]):
         append(spark.createDataFrame(rows, schema), number)
     assert sorted(((r.k, r.t, r.sequence) for r in spark.read.parquet(path).collect()), key=str) == sorted([("a", 1, 1), ("a", 3, 2), (None, 1, 1)], key=str)
+
+
+def test_harmonic_factor_of_by_is_summed_once_for_a_family(spark):
+    rows = [("f", i, (i + 1) / 8) for i in range(4)] + [("g", 0, 0.5), ("g", 1, None)]
+    out = series.adjusted_p(spark.createDataFrame(rows, "family string, test int, p double"), ["family"], tie=["test"], method="by")
+    assert "_harmonic" not in out.columns and "sequence(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    harmonic = 1 + 1 / 2 + 1 / 3 + 1 / 4
+    assert sorted((r.family, r.test, round(r.adjusted, 9)) for r in out.collect()) == [*[("f", i, round(min(1.0, 0.5 * harmonic), 9)) for i in range(4)], ("g", 0, 0.5)]

@@ -192,9 +192,11 @@ def adjusted_p(tests: DataFrame, family: Sequence[str], p: str = "p", tie: Seque
     if method == "holm":
         step = F.max(F.col(p) * (F.col("_n") - F.col("position") + 1)).over(up.rowsBetween(Window.unboundedPreceding, 0))
         return known.withColumn("adjusted", F.least(F.lit(1.0), step)).drop("_n")
-    harmonic = F.aggregate(F.sequence(F.lit(1), F.col("_n").cast("int")), F.lit(0.0), lambda a, i: a + 1.0 / i) if method == "by" else F.lit(1.0)
+    harmonic = F.lit(1.0)
+    if method == "by":  # the positions are 1 to _n
+        known, harmonic = known.withColumn("_harmonic", F.sum(F.lit(1.0) / F.col("position")).over(Window.partitionBy(*family))), F.col("_harmonic")
     down = Window.partitionBy(*family).orderBy(F.col("position").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return known.withColumn("adjusted", F.least(F.lit(1.0), F.min(F.col(p) * F.col("_n") * harmonic / F.col("position")).over(down))).drop("_n")
+    return known.withColumn("adjusted", F.least(F.lit(1.0), F.min(F.col(p) * F.col("_n") * harmonic / F.col("position")).over(down))).drop("_n", "_harmonic")
 
 
 def derived_availability(rows: DataFrame, key: Sequence[str]) -> DataFrame:
