@@ -88,3 +88,19 @@ def test_a_capture_without_surface_has_one_row(spark):
     rows = {r.capture: r for r in cohort.flat_surface(captures(spark), contracts, surface, ["strike"], ["surface_state", "missing_reason", "last_price"]).collect()}
     assert (rows[1].surface_state, rows[1].strike, rows[1].available_date, rows[1].capture_available_date) == ("present", 10.0, dt.date(2024, 3, 5), dt.date(2024, 3, 5))
     assert (rows[2].surface_state, rows[2].missing_reason, rows[2].contract, rows[2].available_date) == ("not_available", "no_selected_surface_rows", None, dt.date(2024, 3, 7))
+
+
+def test_cohort_tables_are_written_from_documents_made_once(spark, tiny, monkeypatch):
+    from tidemark.plans import catalogue, options
+    from tidemark.sources import cohorts
+
+    read, commit = [], cohorts.commit
+
+    def watched(tables, path, cohort):
+        read.extend(f for t in tables.values() for f in t.inputFiles())
+        return commit(tables, path, cohort)
+
+    monkeypatch.setattr(cohorts, "commit", watched)
+    monkeypatch.setattr(options, "_written", {})
+    assert catalogue.QUERIES["L19_cohort_captures"](spark, tiny).count() == spark.read.parquet(f"{tiny}/orders.parquet").count()
+    assert read and all("cohort-documents" in f for f in read)

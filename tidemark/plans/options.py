@@ -265,7 +265,9 @@ for _name, _text in _COHORT_SQL.items():
         known = (spark.sparkContext.applicationId, sf_dir)
         if known not in _written:
             path = shared_path(spark, "cohorts")
-            whole = documents(spark, sf_dir)
+            made = shared_path(spark, "cohort-documents")
+            documents(spark, sf_dir).write.parquet(made)  # once, not for each table of each feed
+            whole = spark.read.parquet(made)
             for feed in ("sip", "indicative"):
                 cohorts.commit(C.tables_of(whole.filter(F.col("feed") == feed)), path, feed)
             _written[known] = path
