@@ -107,3 +107,23 @@ def test_arrays_of_bars_are_of_one_symbol_and_the_days_asked(spark):
         "late": {"out_of_scope", "missing_day", "unexpected_day"},
         "broken": {"document:json", "missing_day", "row_count"},
     }
+
+
+def test_documents_read_a_source_once_for_all_its_families(spark, tiny):
+    from tidemark.plans import documents as P
+
+    whole = P.documents(spark, tiny, D.OPTIONS, P.OPTIONS)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1
+    one = json.loads(whole.filter("doc = 1").first().text)
+    lines = [r.l_linenumber for r in spark.read.parquet(f"{tiny}/lineitem.parquet").filter("l_orderkey = 1").collect()]
+    assert {len(a) for a in (one["contracts"], one["surface"], one["inputs"]["expiry_inputs"], one["inputs"]["rate_curve"]["points"])} == {len(lines)}
+    assert sorted(s["quote"]["volume"] for s in one["surface"]) == sorted(lines) and one["capture"]["underlying_key"] is not None
+
+
+def test_rejects_of_documents_are_those_of_their_items(spark):
+    docs = ["{", None, json.dumps({"payload": {"rows": [GOOD, GOOD | {"name": 5, "kind": None}, GOOD | {"more": 1}, {}]}})]
+    texts = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(docs)], "file string, text string")
+    key = lambda r: (r.file, r.family, tuple(r.place), r.rule)
+    got = sorted(map(key, D.document_rejects(texts, [ONE], ["file"]).collect()))
+    assert got == sorted(map(key, D.rejects_of(D.split(texts, [ONE]), [ONE], ["file"]).collect())) and len(got) > 5
