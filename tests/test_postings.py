@@ -104,3 +104,16 @@ def test_a_batch_again_replaces_itself_and_an_interrupted_one_is_not_there(spark
     assert scores(postings.search(spark, path, ["id"], "bank")) == want
     postings.append(late, ["id"], F.col("text"), path, "day9")
     assert len(scores(postings.search(spark, path, ["id"], "bank"))) == 2 * len(want)
+
+
+def test_a_text_is_tokenised_once_and_rows_of_a_key_are_one_document(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "b a b"), (1, "a c a a a"), (None, "a"), (2, ""), (3, None)], "id long, text string")
+    found = postings.postings_of(docs, ["id"], F.col("text"), 1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("split(") == 1
+    got = {r.token: (r.n, r.most, r.shortest, r.times, sorted(((p.id or 0, p.frequency, p.length, p.positions) for p in r.postings))) for r in found.collect()}
+    assert got == {"a": (2, 5, 1, 6, [(0, 1, 1, [0]), (1, 5, 5, [0, 1, 2, 3, 4])]), "b": (1, 2, 5, 2, [(1, 2, 5, [0, 2])]), "c": (1, 1, 5, 1, [(1, 1, 5, [1])])}
+    path = str(tmp_path / "index")
+    postings.append(docs, ["id"], F.col("text"), path, "one")
+    postings.append(docs.filter("id = 2"), ["id"], F.col("text"), path, "blank")
+    assert sorted((r.batch, r.documents, r.tokens) for r in postings.batches(spark, path).collect()) == [("blank", 1, 0), ("one", 4, 9)]

@@ -2,7 +2,7 @@
 
 ``postings/batch=…/bucket=…`` holds a row for each token and block of documents:
 how many documents of the block hold the token, its largest frequency there, the
-shortest of their texts, and the postings themselves (document, frequency,
+shortest of their texts, how often it occurs, and the postings themselves (document, frequency,
 length, positions). ``batches/batch=…`` holds a batch's number of documents and
 of tokens; it is written last, so a batch that was interrupted is not there for
 readers, and writing it again replaces what it left.
@@ -19,8 +19,12 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.scalars import safe_terms
 from tidemark.operators.search import B, K1, folded_text, tokens
@@ -30,6 +34,8 @@ from tidemark.sources.scratch import delete
 BUCKETS, BLOCK = 64, 4096
 #: Blocks that a limited search reads first.
 FIRST_BLOCKS = 4
+#: Tokens of a block that a task hands on together.
+ROWS = 4096
 
 
 def bucket_of(token: Column, buckets: int = BUCKETS) -> Column:
@@ -37,23 +43,64 @@ def bucket_of(token: Column, buckets: int = BUCKETS) -> Column:
 
 
 def postings_of(docs: DataFrame, key: Sequence[str], text: Column, n_blocks: int) -> DataFrame:
-    """A row for each token and block with its postings. One shuffle, of the occurrences; a frequent token is spread over the blocks."""
-    words = docs.filter(text.isNotNull()).select(*key, tokens(text).alias("tokens"))
-    placed = words.select(*key, F.size("tokens").alias("length"), F.pmod(F.xxhash64(*key), F.lit(n_blocks)).cast("int").alias("block"), F.posexplode("tokens").alias("position", "token"))
-    dealt = placed.withColumn("bucket", bucket_of(F.col("token"))).repartition("bucket", "block")
-    each = dealt.groupBy("bucket", "block", "token", *key).agg(F.max("length").alias("length"), F.array_sort(F.collect_list("position")).alias("positions"))
-    entry = F.struct(*key, F.size("positions").alias("frequency"), "length", "positions")
-    return each.groupBy("bucket", "block", "token").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("positions")).alias("most"), F.min("length").alias("shortest"), F.collect_list(entry).alias("postings"))
+    """A row for each token and block with its postings. One shuffle, of the texts by block; a block's tokens are sorted together."""
+    block = F.pmod(F.xxhash64(*key), F.lit(n_blocks)).cast("int")
+    placed = docs.filter(text.isNotNull()).select(*key, text.alias("_text"), block.alias("_block")).repartition("_block").sortWithinPartitions("_block")
+    words = placed.select("_block", *key, tokens(F.col("_text")).alias("_tokens"))
+    entry = T.StructType([docs.select(k).schema[0] for k in key] + [T.StructField("frequency", T.IntegerType()), T.StructField("length", T.IntegerType()), T.StructField("positions", T.ArrayType(T.IntegerType()))])
+    numbers = [T.StructField(n, T.LongType() if n in ("n", "times") else T.IntegerType()) for n in ("n", "most", "shortest", "times")]
+    schema = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("token", T.StringType()), *numbers, T.StructField("postings", T.ArrayType(entry))])
+    found = words.groupBy("_block").applyInArrow(lambda group: block_postings(group, list(key)), schema)
+    return found.withColumn("bucket", bucket_of(F.col("token")))
+
+
+def block_postings(group: pa.Table, key: list[str]) -> pa.Table:
+    """The postings of one block's documents; rows of one key are one document."""
+    lists = group.column("_tokens").combine_chunks()
+    size = pc.list_value_length(lists).to_numpy()
+    coded = lists.flatten().dictionary_encode()
+    row = np.zeros(len(size), np.int64)
+    for k in key:
+        own = group.column(k).combine_chunks().dictionary_encode(null_encoding="encode")
+        _, row = np.unique(row * len(own.dictionary) + own.indices.to_numpy(), return_inverse=True)
+    _, first, row = np.unique(row, return_index=True, return_inverse=True)
+    n = max(len(first), 1)
+    length = np.zeros(n, np.int32)
+    np.maximum.at(length, row, size)
+    at = coded.indices.to_numpy().astype(np.int64) * n + np.repeat(row, size)
+    position = (np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
+    order = np.argsort(at, kind="stable") if len(first) == len(size) else np.lexsort((position, at))
+    at, position = at[order], position[order]
+    start = np.flatnonzero(np.diff(at, prepend=-1))
+    frequency = np.diff(np.append(start, len(at))).astype(np.int32)
+    token, doc = at[start] // n, at[start] % n
+    head = np.flatnonzero(np.diff(token, prepend=-1))
+    lists_of = lambda starts, end, values: pa.ListArray.from_arrays(pa.array(np.append(starts, end), pa.int32()), values)
+    keys = [group.column(k).combine_chunks().take(pa.array(first[doc])) for k in key]
+    entries = pa.StructArray.from_arrays([*keys, pa.array(frequency), pa.array(length[doc]), lists_of(start, len(at), pa.array(position))], names=[*key, "frequency", "length", "positions"])
+    over = lambda ufunc, values: pa.array(ufunc.reduceat(values, head) if len(head) else values[:0])
+    columns = {
+        "block": pa.array(np.full(len(head), group.column("_block")[0].as_py(), np.int32)),
+        "token": coded.dictionary.take(pa.array(token[head])),
+        "n": pa.array(np.diff(np.append(head, len(token)))),
+        "most": over(np.maximum, frequency),
+        "shortest": over(np.minimum, length[doc]),
+        "times": over(np.add, frequency.astype(np.int64)),
+        "postings": lists_of(head, len(token), entries),
+    }
+    out = pa.table(columns)
+    return pa.Table.from_batches(out.to_batches(max_chunksize=ROWS), out.schema)
 
 
 def append(docs: DataFrame, key: Sequence[str], text: Column, path: str, batch: str) -> None:
     """Add documents as one batch; rows without text are none. The same batch again replaces itself."""
-    there = docs.filter(text.isNotNull())
-    sizes = there.select(F.size(tokens(text)).alias("length")).agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"))
-    n_blocks = max(1, -(-there.count() // BLOCK))
-    found = postings_of(docs, key, text, n_blocks)
-    delete(docs.sparkSession, f"{path}/batches/batch={batch}")
-    found.sortWithinPartitions("bucket", "token").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings/batch={batch}")
+    spark, at = docs.sparkSession, f"{path}/postings/batch={batch}"
+    n_documents = docs.filter(text.isNotNull()).count()
+    found = postings_of(docs, key, text, max(1, -(-n_documents // BLOCK)))
+    delete(spark, f"{path}/batches/batch={batch}")
+    found.sortWithinPartitions("bucket", "token").write.mode("overwrite").partitionBy("bucket").parquet(at)
+    # the tokens are summed up from the numbers in front of the postings, so that no text is read for it again
+    sizes = spark.read.schema(found.schema).parquet(at).agg(F.lit(n_documents).cast("long").alias("documents"), F.coalesce(F.sum("times"), F.lit(0)).alias("tokens"))
     sizes.write.mode("overwrite").parquet(f"{path}/batches/batch={batch}")
 
 
