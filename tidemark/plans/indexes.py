@@ -46,5 +46,4 @@ def posting_search_top(spark, sf_dir):
 def posting_terms(spark, sf_dir):
     """What the index says of every token, without its postings."""
     rows = spark.read.parquet(f"{_document_index(spark, sf_dir)}/postings")
-    occurrences = F.aggregate("postings", F.lit(0).cast("long"), lambda a, p: a + p["frequency"])
-    return rows.groupBy("token").agg(F.sum("n").alias("documents"), F.sum(occurrences).alias("occurrences"), F.max("most").alias("most"), F.min("shortest").alias("shortest"))
+    return rows.groupBy("token").agg(F.sum("n").alias("documents"), F.sum("times").alias("occurrences"), F.max("most").alias("most"), F.min("shortest").alias("shortest"))
