@@ -127,3 +127,20 @@ def test_rejects_of_documents_are_those_of_their_items(spark):
     key = lambda r: (r.file, r.family, tuple(r.place), r.rule)
     got = sorted(map(key, D.document_rejects(texts, [ONE], ["file"]).collect()))
     assert got == sorted(map(key, D.rejects_of(D.split(texts, [ONE]), [ONE], ["file"]).collect())) and len(got) > 5
+
+
+def test_a_source_makes_each_text_once_for_all_fields(spark, tiny):
+    from tidemark.plans import documents as P
+
+    whole = P.documents(spark, tiny, D.OPTIONS, P.OPTIONS)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cast(cast(l_extendedprice") == 1
+    one, line = json.loads(whole.filter("doc = 1").first().text), spark.read.parquet(f"{tiny}/lineitem.parquet").filter("l_orderkey = 1").orderBy("l_linenumber").first()
+    found = next(c for c in one["surface"] if c["provider_contract_id"] == f"1-{line.l_linenumber}")
+    assert {found["bars"][0][n] for n in ("open", "high", "low", "close")} == {found["quote"]["last_price"]} == {f"{line.l_extendedprice:.2f}"}
+
+
+def test_a_filter_of_rejected_rows_reads_each_path_once(spark):
+    found = D.rows_of(items(spark, [{"payload": {"rows": [GOOD]}}], [ONE]), ONE)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("$.price") == 1 and plan.count("schema_of_variant") <= len(ONE.fields) and "Generate explode(array(struct" in plan.replace("named_struct", "struct")
