@@ -482,6 +482,54 @@ def test_suffix_tree_equals_the_rule_by_hand(spark, monkeypatch):
         assert got == {i: pytest.approx(x, abs=1e-6) for i, x in want.items()}
 
 
+def test_suffix_tree_dealt_words_and_small_windows(spark, monkeypatch):
+    """Words whose places are dealt to several buckets, and counts that not every task knows, change no score."""
+    rng = random.Random(12)
+    words = [f"w{int(40 * rng.paretovariate(0.7))}" for _ in range(3000)]
+    phrases = [" ".join(rng.choices(words, k=7)) for _ in range(60)]
+    rows = [(i, " ".join([rng.choice(phrases), "the", *rng.choices(words, k=20), "the of the", rng.choice(phrases)])) for i in range(700)]
+    rows += [(1000, None), (1001, ""), (1002, "y " * 600), (1003, "y " * 300 + "the"), (None, phrases[0]), (3, rows[3][1])]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0
+    docs = frame(spark, [r for r in rows if not held(r[0])]).select("text")
+    counts = suffix_tree.word_counts(docs)
+    c = {r.word % 2**64: r.c for r in counts.collect()}
+    total, types = sum(c.values()), len(c)
+    tree = suffix_tree.grow(docs, counts, total, types, suffix_tree.DEPTH)
+    assert len(tree) == suffix_tree.DEPTH and all(len(t.names) for t in tree)
+    want = []
+    for i, text in rows:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        tokens, _, place = suffix_tree.token_stream(data.copy(), np.array([0, len(data)]))
+        gain = np.zeros(len(tokens))
+        for states, (deep, context, _) in zip(tree, suffix_tree.contexts_of(tokens, place, suffix_tree.DEPTH)):
+            gain[deep] = states.gains(context[deep], tokens[deep], gain[deep])
+        want.append((i or -1, len(tokens), sum(math.log10((c.get(int(w), 0) + 0.1) / (total + 0.1 * (types + 1))) for w in tokens) + gain.sum()))
+    for split, head, effects in ((1 << 19, 1 << 18, 1 << 20), (50, 1 << 18, 1 << 20), (50, 40, 3), (1 << 19, 0, 0)):
+        for name, value in (("SPLIT", split), ("HEAD", head), ("EFFECTS", effects), ("ASK_WINDOW", 2000)):
+            monkeypatch.setattr(suffix_tree, name, value)
+        got = [(r.doc_id or -1, r.n_tokens, r.score) for r in suffix_tree.score_documents(frame(spark, rows).repartition(3)).collect()]
+        assert [x[:2] for x in sorted(got)] == [x[:2] for x in sorted(want)]
+        assert [x[2] for x in sorted(got)] == pytest.approx([x[2] for x in sorted(want)], abs=1e-6)
+
+
+def test_suffix_tree_shuffles_a_token_once(spark, monkeypatch):
+    """Passages that come often have states and next tokens of all lengths; none of them is asked for by itself."""
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(3000)]
+    phrases = [" ".join(rng.choices(words, k=12)) for _ in range(500)]
+    rows = [(i, " ".join(rng.choices(phrases, k=20))) for i in range(1000)]
+    monkeypatch.setattr(suffix_tree, "EFFECTS", 50)
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = written()
+    assert len(suffix_tree.score_documents(frame(spark, rows)).collect()) == len(rows)
+    assert written() - before < 25 * sum(len(t.split()) + 1 for _, t in rows)
+
+
 def test_mixing_targets_and_copies(spark):
     rows = [(i, "w " * (i % 7), f"s{i % 3}") for i in range(900)] + [(1000 + i, "w w", "s9") for i in range(4)] + [(5000, None, "s0"), (5001, " ", None), (None, "a b c", None), (7, "w " * 4, "s1")]
     docs = frame(spark, rows)

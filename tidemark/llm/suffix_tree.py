@@ -11,25 +11,28 @@ its mass to that context's distribution, so that every state sums to one. A
 token is scored in the state of the longest suffix of its history that was kept.
 
 A score is a sum of effects: each state on the way to the longest multiplies
-the share of the token by what it leaves to the shorter context, and if the
-token is one of its own, by a further factor. So the model is a table with an
-effect for each state and for each of its next tokens, and a text's score is
-the sum of the effects that its names meet.
-
-Scale: all counts are pre-aggregated for each task and summed by one shuffle.
-Contexts, states and effects are Spark tables and grow with the input; their
-counts nest (a longer context and next token occur at most as often as the
-shorter), so totals and shorter shares are joined from the tables of the length
-before. Bitmaps of at most ``BITS`` bits, broadcast, spare the shuffle what
-can't count: contexts that are no candidates, next tokens whose shorter pair
-came too seldom, and at length 1 pairs that come once, as their packed 32-bit
-prints tell. What they let through by chance is counted and joined away, so
-beyond some 10^8 names they cost shuffle but change no result.
-The ``HEAD`` most frequent words and ``EFFECTS`` effects are broadcast. All others
-are asked for by window of a task and bucket of names: a cogroup answers with a
-sum for each text, and a second one by window adds these to what the texts
-know. Neither vocabulary nor states nor scores pass through the
-driver.
+the share of the token by what it leaves to the shorter context, or, if the
+token is one of its own, by the ratio of the two shares.
+
+Scale: words are counted for each task and summed by one shuffle. Then each
+place that follows a candidate word goes, with up to ``DEPTH`` words before it,
+once to the bucket of the word just before it: all contexts that end in that
+word, and their next tokens, are counted, tested and scored there, the shorter
+first, so neither contexts nor effects are written anywhere, and what is
+shuffled follows the number of tokens. A bucket answers with a sum for each
+text of a window, and a grouping by window adds these to what the texts know.
+Places go packed by window and bucket, a word as its number among the bucket's
+words, and these as ranks among the ``HEAD`` most frequent words, which are
+broadcast, or as hashes.
+The places after a word that occurs over ``SPLIT`` times in training are dealt to
+several buckets by the word before it, so that longer contexts stay whole. The
+next tokens of that word alone are counted by bucket of the next token, in a pass
+over the texts before, which asks for the counts of words that aren't broadcast, too.
+Bitmaps of at most ``BITS`` bits, broadcast, spare the shuffle rare words;
+what they let through by chance is counted exactly. Neither vocabulary nor
+states nor scores pass through the driver, only sums for each such frequent word.
+
+``grow`` makes the same states as tables, a pass and some joins for each length.
 
 Defined cases: a null text is empty and has its end as only token; a null
 doc_id counts as an empty text in the fold and is so held out; repeated rows
@@ -56,11 +59,13 @@ MIN_COUNT = 10
 MIN_FOLLOW = 2
 RATIO = 1.5
 SMOOTH = 5.0
-#: The longest contexts; further lengths cost a pass over the texts each.
+#: The longest contexts; each further length costs a column of the places.
 DEPTH = 4
 #: Upper bound on the words whose counts are broadcast.
 HEAD = 1 << 18
-#: Upper bound on the effects that are broadcast.
+#: Training occurrences of a word beyond which the places after it are dealt to several buckets.
+SPLIT = 1 << 19
+#: Upper bound on such words, whose effects are broadcast.
 EFFECTS = 1 << 20
 #: Upper bound on the bits of a broadcast bitmap of names, 16 for each name up to there; a power of two.
 BITS = 1 << 28
@@ -69,7 +74,7 @@ BUCKET_TOKENS = 1 << 20
 FOLDS = 10
 #: Tokens counted together before their counts are handed on.
 COUNT_WINDOW = 2_000_000
-#: Words and names that are asked for together.
+#: Tokens whose places are sent together.
 ASK_WINDOW = 1_000_000
 END = np.uint64(0x454E44)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -98,11 +103,6 @@ def after(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * np.uint64(3) + _STEP ^ word)
 
 
-def own(context: np.ndarray) -> np.ndarray:
-    """The name of a state's effect on all next tokens; a next token's own effect has the name of context and token."""
-    return mix(context ^ _STEP)
-
-
 class Pool:
     """Counts of rows whose first column names them, handed on when enough have come together."""
 
@@ -311,22 +311,6 @@ def lengths(training: DataFrame, counts: DataFrame, total: int, types: int, dept
     return out
 
 
-def effects(tables: list[DataFrame]) -> DataFrame | None:
-    """name, n and effect (log10 of a factor) of all kept states and of their own next tokens."""
-    if not tables:
-        return None
-    kept = reduce(DataFrame.unionAll, [t.filter("kept") for t in tables])
-
-    def named(batches):
-        for batch in batches:
-            context = batch.column("context").to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(own(context))), batch.column("n"), batch.column("effect")], names=["name", "n", "effect"])
-
-    states = kept.groupBy("context").agg(F.sum("n").alias("n"), F.first("left").alias("effect"))
-    tokens = kept.select(F.col("pair").alias("name"), "n", (F.log10(F.col("share") / F.col("parent")) - F.col("left")).alias("effect"))
-    return states.mapInArrow(named, "name long, n long, effect double").unionAll(tokens)
-
-
 class States:
     """The kept contexts of one length, and what they change."""
 
@@ -357,21 +341,6 @@ def grow(training: DataFrame, counts: DataFrame, total: int, types: int, depth:
     return out
 
 
-def names_of(tokens: np.ndarray, doc: np.ndarray, place: np.ndarray, model: Bitmap) -> tuple[np.ndarray, np.ndarray]:
-    """The names of effects that may apply to the tokens, and the document of each; a next token has one only where its state does."""
-    names, owner = [tokens[:0]], [doc[:0]]
-    for deep, context, _ in contexts_of(tokens, place, DEPTH):
-        at = np.flatnonzero(deep)
-        state = own(context[at])
-        may = model.has(state)
-        at, state = at[may], state[may]
-        pair = after(context[at], tokens[at])
-        follows = model.has(pair)
-        names += [state, pair[follows]]
-        owner += [doc[at], doc[at[follows]]]
-    return np.concatenate(names), np.concatenate(owner)
-
-
 def looked_up(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each key stands in sorted_keys, and whether it does."""
     if not len(sorted_keys):
@@ -380,135 +349,425 @@ def looked_up(keys: np.ndarray, sorted_keys: np.ndarray) -> tuple[np.ndarray, np
     return at, sorted_keys[at] == keys
 
 
-def tallied(keys: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys of each owner, the owner, and how often each occurs."""
-    sort = np.lexsort((keys, owner))
-    keys, owner = keys[sort], owner[sort]
-    new = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])[: len(keys)])
-    return keys[new], owner[new], np.diff(np.append(new, len(keys)))
+def coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number from 0 for each value, the same for equal ones, and the distinct values."""
+    found = pa.array(values).dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary.to_numpy()
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out"))
-    training = docs.filter("NOT held_out").select("text")
-    counts = materialise(word_counts(training), "word-counts")
-    total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    tables = lengths(training, counts, total, types, DEPTH)
-    model = effects(tables)
-    if model is None:
-        model = docs.sparkSession.createDataFrame([], "name long, n long, effect double")
-    model = materialise(model, "effects")
-    release(*tables)
-    by_name = lambda found, *names: [found[x].to_numpy()[np.argsort(found[names[0]].to_numpy().view(np.uint64))] for x in names]
-    words = by_name(most_frequent(counts, "word", "c", HEAD), "word", "c")
-    frequent = by_name(most_frequent(model, "name", "n", EFFECTS, "effect"), "name", "effect")
-    shared = docs.sparkSession.sparkContext.broadcast((words[0].view(np.uint64), words[1], frequent[0].view(np.uint64), frequent[1], Bitmap(model, "name")))
-    norm = total + ADD * (types + 1)
-    bits = (max(32, total // (2 * BUCKET_TOKENS)) - 1).bit_length()
+def pressed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers, none below zero, of one length: each by as many planes of bytes as it needs, compressed."""
+    n, widths, planes = len(columns[0]), [], []
+    for x in columns:
+        widths.append(max(1, (int(x.max(initial=0)).bit_length() + 7) // 8))
+        wide = np.ascontiguousarray(x.astype("<u4" if widths[-1] <= 4 else "<u8"))
+        planes.append(np.ascontiguousarray(wide.view(np.uint8).reshape(n, wide.itemsize)[:, : widths[-1]].T).tobytes())
+    return np.array([n, *widths], "<u4").tobytes() + pa.Codec("zstd", compression_level=1).compress(b"".join(planes), asbytes=True)
+
+
+def unpressed(data: bytes, columns: int) -> list[np.ndarray]:
+    n, *widths = np.frombuffer(data[: 4 * (columns + 1)], "<u4").tolist()
+    planes = np.frombuffer(pa.decompress(data[4 * (columns + 1) :], n * sum(widths), "zstd"), np.uint8).reshape(sum(widths), n)
+    out, at = [], 0
+    for width in widths:
+        wide = np.zeros((n, 4 if width <= 4 else 8), np.uint8)
+        wide[:, :width] = planes[at : at + width].T
+        out.append(wide.reshape(-1).view("<u4" if width <= 4 else "<u8"))
+        at += width
+    return out
 
-    def scored(batches):
-        words, c, names, effect, bitmap = shared.value
-        log_share = np.log10((c + ADD) / norm)
-        part, row = TaskContext.get().partitionId() << 40, 0
-        facts, asked, size = [], ([], []), 0
+
+class Vocabulary:
+    """What each task knows of the words: the counts of the most frequent ones, in how many parts the places after a very frequent one are dealt, and bitmaps of the others."""
+
+    def __init__(self, words: np.ndarray, c: np.ndarray, candidates: Bitmap, repeated: Bitmap):
+        self.words, self.c, self.candidates, self.repeated = words, c, candidates, repeated  # words sorted
+        order = np.argsort(-c, kind="stable")
+        self.ranked = words[order]  # the most frequent first
+        self.rank = np.empty(len(words), np.int64)
+        self.rank[order] = np.arange(len(words))
+        often = np.flatnonzero(c > SPLIT)
+        often = often[np.argsort(-c[often], kind="stable")[:EFFECTS]]
+        self.split = np.zeros(len(words) + 1, np.int64)  # a number from 1 for each such word, 0 for the others and at the end
+        self.split[often] = np.arange(1, len(often) + 1)
+        self.of = np.concatenate([[0], c[often]])
+        self.parts = np.maximum(1, -(-self.of // SPLIT))
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The rank of each word (-1: not known by its count), the count (else 0), and its number if its places are dealt in parts."""
+        at, known = looked_up(words, self.words)
+        if not len(self.words):
+            return np.full(len(words), -1), np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        return np.where(known, self.rank[at], -1), np.where(known, self.c[at], 0), np.where(known, self.split[at], 0)
+
+    def listed(self, ranks: np.ndarray, others: np.ndarray) -> bytes:
+        """Words as bytes: known ones by their sorted ranks, then others."""
+        steps = pressed(np.diff(ranks, prepend=0))
+        return np.array([len(steps)], "<u4").tobytes() + steps + others.tobytes()
+
+    def unlisted(self, data: bytes) -> np.ndarray:
+        end = 4 + int(np.frombuffer(data[:4], "<u4")[0])
+        return np.concatenate([self.ranked[np.cumsum(unpressed(data[4:end], 1)[0], dtype=np.int64)], np.frombuffer(data[end:], np.uint64)])
+
+
+class Places:
+    """The places of a window of texts that follow a candidate word: their bucket, the words before them from the nearest on (-1: none, or no candidate), their own word (-1: comes once in training), all as numbers of the window's distinct words."""
+
+    def __init__(self, tokens: np.ndarray, place: np.ndarray, known: Vocabulary, bits: int):
+        self.codes, self.words = coded(tokens)
+        self.rank, self.c, self.split = known.find(self.words)
+        self.known, self.is_known = known, self.rank >= 0
+        candidate = np.where(self.is_known, self.c >= MIN_COUNT, known.candidates.has(self.words))
+        repeated = np.where(self.is_known, self.c >= MIN_FOLLOW, known.repeated.has(self.words))
+        at = np.flatnonzero(place >= 1)
+        at = at[candidate[self.codes[at - 1]]]
+        self.at, self.history, deep = at, [self.codes[at - 1]], np.ones(len(at), bool)
+        for d in range(2, DEPTH + 1):
+            before = self.codes[np.maximum(at - d, 0)]
+            deep = deep & (place[at] >= d) & candidate[before]
+            self.history.append(np.where(deep, before, -1))
+        own = self.codes[at]
+        self.token = np.where(repeated[own], own, -1)
+        last = self.history[0]
+        home = self.words[last]
+        # longer contexts of a dealt word stay together; where there is none, any part will do
+        dealt = np.flatnonzero(self.split[last])
+        by = np.where(self.history[1][dealt] >= 0, self.history[1][dealt], own[dealt])
+        part = mix(self.words[by] ^ _STEP) % known.parts[self.split[last[dealt]]].astype(np.uint64)
+        home[dealt] = mix(home[dealt] + (part + np.uint64(1)) * _STEP)
+        self.bucket = (home >> np.uint64(64 - bits)).view(np.int64)
+
+    def packed(self, bucket: np.ndarray, named: list[np.ndarray], *columns: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+        """For each bucket its words and its rows: the named columns as numbers of these words from 1 on, 0 for -1, and the other columns."""
+        order = np.argsort(bucket.astype(np.int32), kind="stable")
+        named, columns = [x[order] + 1 for x in named], [x[order] for x in columns]
+        found, first = np.unique(bucket[order], return_index=True)
+        seen = np.zeros(len(self.words) + 1, np.int64)
+        place_of = np.where(self.is_known, self.rank, len(self.known.words))
+        for b, start, end in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]):
+            ids = np.concatenate([x[start:end] for x in named])
+            place = np.arange(len(ids))
+            seen[ids] = place
+            distinct = ids[(seen[ids] == place) & (ids > 0)]
+            distinct = distinct[np.argsort(place_of[distinct - 1], kind="stable")]
+            seen[distinct] = np.arange(1, len(distinct) + 1)
+            seen[0] = 0
+            known = int(self.is_known[distinct - 1].sum())
+            yield b, self.known.listed(self.rank[distinct[:known] - 1], self.words[distinct[known:] - 1]), pressed(*seen[ids].reshape(len(named), -1), *[x[start:end] for x in columns])
+
+
+def gathered(known: Vocabulary, rows: list[tuple[bytes, bytes]], named: int, columns: int) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
+    """The distinct words of packed rows, their columns one after another (named ones as numbers of these words from 1 on, 0: none), and each row's size."""
+    lists = [known.unlisted(x) for x, _ in rows]
+    codes, words = coded(np.concatenate(lists))
+    parts, at = [], 0
+    for own, (_, data) in zip(lists, rows):
+        to = at + len(own)
+        number = np.concatenate([[0], codes[at:to] + 1]).astype(np.int32)
+        got = unpressed(data, columns)
+        parts.append([*[number[x] for x in got[:named]], *got[named:]])
+        at = to
+    return words, [np.concatenate(x) for x in zip(*parts)], [len(x[0]) for x in parts]
+
+
+class Scores:
+    """What contexts add to the root's log10 share at each place of a group that holds all places of its contexts."""
+
+    def __init__(self, token: np.ndarray, trained: np.ndarray, root: np.ndarray):
+        self.token, self.trained, self.words = token, trained, len(root)
+        self.parent = root[token]  # the share after the context before, where the token is one of its own
+        self.gain = np.zeros(len(token))
+
+    def apply(self, at: np.ndarray, left: np.ndarray, kept: np.ndarray, follows: np.ndarray, share: np.ndarray) -> None:
+        """left, kept, follows and share for each place: of its context, whether the token is one of its own, and its share there."""
+        other, own = kept & ~follows, kept & follows
+        self.gain[at[other]] += left[other]
+        to = at[own]
+        self.gain[to] += np.log10(share[own] / self.parent[to])
+        self.parent[to] = share[own]
+
+    def step(self, at: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Takes the contexts of one length, numbered from 0, in; gives back the places of candidates, and their contexts."""
+        of = np.bincount(context, weights=self.trained[at])
+        candidate = of[context] >= MIN_COUNT
+        at, context = at[candidate], context[candidate]
+        if not len(at):
+            return at, context
+        may = np.flatnonzero(self.token[at])
+        pair, key = coded(context[may].astype(np.int64) * self.words + self.token[at[may]])
+        n = np.bincount(pair, weights=self.trained[at[may]], minlength=len(key))
+        parent = np.zeros(len(key))
+        parent[pair] = self.parent[at[may]]  # the same at each place of a pair that comes MIN_FOLLOW times
+        own = n >= MIN_FOLLOW
+        holder = key // self.words
+        share = (n + SMOOTH * parent) / (of[holder] + SMOOTH)
+        holder = holder[own]
+        left = left_of(*[np.bincount(holder, weights=x[own], minlength=len(of)) for x in (share, parent)])
+        ratio = np.zeros(len(of))
+        np.maximum.at(ratio, holder, np.abs(np.log(share[own] / parent[own])))
+        follows, shares = np.zeros(len(at), bool), np.zeros(len(at))
+        follows[may], shares[may] = own[pair], share[pair]
+        self.apply(at, left[context], ratio[context] >= np.log(RATIO), follows, shares)
+        return at, context
+
+
+def left_of(share: np.ndarray, parent: np.ndarray) -> np.ndarray:
+    """log10 of what contexts leave of the other tokens' shares, by the sums over their own."""
+    return np.log10(np.maximum(1 - share, 1e-9) / np.maximum(1 - parent, 1e-9))
+
+
+def packed_counts(counts: DataFrame, bits: int) -> DataFrame:
+    """The words and their counts, packed by bucket of the word."""
+
+    def run(batches):
+        parts, size = [], 0
 
         def window():
-            first = part + row - sum(len(f) for f in facts)
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - (first >> 40)]), pa.array([first]), pa.array([_sent(facts)]), *[pa.nulls(1, pa.binary())] * 3], names=ASKED)
-            for kind, parts in enumerate(asked):
-                key, owner = (np.concatenate(x) for x in zip(*parts))
-                owner, key, times = tallied(owner - (first - part), key)
-                buckets, columns = _by_bucket(key, bits, key, owner.astype(np.uint32), times.astype(np.uint32))
-                n = len(buckets)
-                yield pa.RecordBatch.from_arrays([pa.array(2 * buckets + kind), pa.array(np.full(n, first)), pa.nulls(n, pa.binary()), *columns], names=ASKED)
+            word, c = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(word)
+            bucket, columns = _by_bucket(word[order], bits, word[order], c[order])
+            return pa.RecordBatch.from_arrays([pa.array(bucket), *columns], names=["bucket", "names", "worth"])
 
         for batch in batches:
-            for at, to, data, offsets in chunks(batch.column("text")):
-                tokens, doc, place = token_stream(data, offsets)
-                n = to - at
-                found, is_head = looked_up(tokens, words)
-                base = np.bincount(doc[is_head], weights=log_share[found[is_head]], minlength=n)
-                name, of = names_of(tokens, doc, place, bitmap)
-                met, is_frequent = looked_up(name, names)
-                gain = np.bincount(of[is_frequent], weights=effect[met[is_frequent]], minlength=n)
-                columns = [batch.column("doc_id")[at:to], batch.column("held_out")[at:to], pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_head], minlength=n)), pa.array(base), pa.array(gain)]
-                facts.append(pa.RecordBatch.from_arrays(columns, names=FACTS))
-                asked[0].append((tokens[~is_head], row + doc[~is_head]))
-                asked[1].append((name[~is_frequent], row + of[~is_frequent]))
-                row += n
-                size += len(asked[0][-1][0]) + len(asked[1][-1][0])
-                if size >= ASK_WINDOW:
-                    yield from window()
-                    facts, asked, size = [], ([], []), 0
-        if facts:
-            yield from window()
-
-    def packed(kind):
-        def run(batches):
-            parts, size = [], 0
-
-            def window():
-                key, value = (np.concatenate(x) for x in zip(*parts))
-                order = np.argsort(key)
-                buckets, columns = _by_bucket(key[order], bits, key[order], value[order])
-                return pa.RecordBatch.from_arrays([pa.array(2 * buckets + kind), *columns], names=["bucket", "names", "worth"])
-
-            for batch in batches:
-                parts.append((batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()))
-                size += len(batch)
-                if size >= COUNT_WINDOW:
-                    yield window()
-                    parts, size = [], 0
-            if size:
+            parts.append((batch.column("word").to_numpy().view(np.uint64), batch.column("c").to_numpy()))
+            size += len(batch)
+            if size >= COUNT_WINDOW:
                 yield window()
+                parts, size = [], 0
+        if size:
+            yield window()
+
+    return counts.select("word", "c").mapInArrow(run, "bucket long, names binary, worth binary")
 
-        return run
+
+def sorted_counts(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    parts = [[b"" if x is None else x for x in known.column(c).to_pylist()] for c in ("names", "worth")]
+    word, c = np.frombuffer(b"".join(parts[0]), np.uint64), np.frombuffer(b"".join(parts[1]), np.int64)
+    order = np.argsort(word)
+    return word[order], c[order]
+
+
+def windows(batches, most: int, *more: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[pa.RecordBatch]]]:
+    """Tokens, their document, their place in it, and further columns of the documents, of texts until they have most tokens or more."""
+    parts, columns, size, row = [], [], 0, 0
+    for batch in batches:
+        for at, to, data, offsets in chunks(batch.column("text")):
+            tokens, doc, place = token_stream(data, offsets)
+            parts.append((tokens, row + doc, place))
+            columns.append(batch.select(more).slice(at, to - at))
+            row += to - at
+            size += len(tokens)
+            if size >= most:
+                whole, of, parts, columns, size, row = [np.concatenate(x) for x in zip(*parts)], columns, [], [], 0, 0
+                yield *whole, of
+                del whole, of
+    if parts:
+        yield *[np.concatenate(x) for x in zip(*parts)], columns
+
+
+def column(parts: list[pa.RecordBatch], name: str) -> pa.Array:
+    return pa.concat_arrays([x.column(name) for x in parts])
+
+
+def answers(docs: DataFrame, counts: DataFrame, shared, bits: int, norm: float) -> DataFrame:
+    """What buckets of places need to know of words whose count not every task knows, and of the next tokens of words whose places are dealt to several buckets.
+
+    A window asks once for each bucket and word; the counts of a dealt word's next tokens, and their shares, are summed
+    where the next token's bucket is, so that of such a word only sums of each bucket remain (number, share, parent, ratio).
+    """
+
+    def asked(batches):
+        known = shared.value
+        many = len(known.of)
+        for tokens, doc, place, parts in windows(batches, ASK_WINDOW, "held_out"):
+            trained = ~column(parts, "held_out").to_numpy(zero_copy_only=False)
+            places = Places(tokens, place, known, bits)
+            number = places.split[places.history[0]]
+            ask = np.flatnonzero((places.token >= 0) & ((number > 0) | ~places.is_known[places.token]))
+            code, key = coded((places.bucket[ask] * many + number[ask]) * len(places.words) + places.token[ask])
+            n = np.bincount(code, weights=trained[doc[places.at[ask]]], minlength=len(key)).astype(np.int64)
+            to, token = np.divmod(key, len(places.words))
+            to, number = np.divmod(to, many)
+            rows = list(places.packed((places.words[token] >> np.uint64(64 - bits)).view(np.int64), [token], to, number, n))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["bucket", "words", "rows"])
+
+    def answered(asked: pa.Table, counted: pa.Table) -> pa.Table:
+        known, out = shared.value, []
+        rows = sorted(zip(asked.column("words").to_pylist(), asked.column("rows").to_pylist()))
+        if rows:
+            words, (token, to, number, n), _ = gathered(known, rows, 1, 4)
+            word, count = sorted_counts(counted)
+            at, hit = looked_up(words, word)
+            c = np.zeros(len(words) + 1, np.int64)
+            c[1:][hit] = count[at[hit]]
+            code, key = coded(number.astype(np.int64) * len(c) + token)
+            times = np.bincount(code, weights=n, minlength=len(key)).astype(np.int64)
+            follows = (c[key % len(c)] >= MIN_FOLLOW) & ((key < len(c)) | (times >= MIN_FOLLOW))
+            for x in np.unique(key[follows] // len(c)):
+                if x:
+                    own = follows & (key // len(c) == x)
+                    parent = (c[key[own] % len(c)] + ADD) / norm
+                    share = (times[own] + SMOOTH * parent) / (known.of[x] + SMOOTH)
+                    out.append((-1, None, int(x), share.sum(), parent.sum(), np.abs(np.log(share / parent)).max()))
+            take = np.flatnonzero(follows[code])
+            once = np.unique(to[take].astype(np.int64) * len(key) + code[take])
+            to, code = np.divmod(once, len(key))
+            number, token = np.divmod(key[code], len(c))
+            found, first = np.unique(to, return_index=True)
+            for b, start, end in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(to)]):
+                own = slice(start, end)
+                out.append((b, pressed(words[token[own] - 1], number[own], c[token[own]], times[code[own]]), None, None, None, None))
+        columns = zip(*out) if out else [()] * 6
+        types = (pa.int64(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        return pa.table([pa.array(x, t) for x, t in zip(columns, types)], names=["bucket", "words", "number", "share", "parent", "ratio"])
+
+    rows = docs.mapInArrow(asked, "bucket long, words binary, rows binary").groupBy("bucket")
+    known = packed_counts(counts.filter(F.col("c") >= MIN_FOLLOW), bits).groupBy("bucket")
+    return materialise(rows.cogroup(known).applyInArrow(answered, "bucket long, words binary, number long, share double, parent double, ratio double"), "answers")
+
+
+def score_documents(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every document."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out"))
+    counts = materialise(word_counts(docs.filter("NOT held_out").select("text")), "word-counts")
+    total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    found = most_frequent(counts, "word", "c", HEAD)
+    words, c = found["word"].to_numpy().view(np.uint64), found["c"].to_numpy()
+    order = np.argsort(words)
+    others = counts.filter(F.col("c") < int(c.min(initial=total + 1)))
+    bitmaps = [Bitmap(others.filter(F.col("c") >= least), "word") for least in (MIN_COUNT, MIN_FOLLOW)]
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(Vocabulary(words[order], c[order], *bitmaps))
+    norm = total + ADD * (types + 1)
+    bits = (max(32, total // (2 * BUCKET_TOKENS)) - 1).bit_length()
+    known = answers(docs, counts, shared, bits, norm)
+    dealt = known.filter("number IS NOT NULL").groupBy("number").agg(F.sum("share").alias("share"), F.sum("parent").alias("parent"), F.max("ratio").alias("ratio")).toArrow()
+    of_dealt = np.zeros((2, len(shared.value.of)))  # what they leave, and whether they are kept
+    number, share, parent, ratio = (dealt[x].to_numpy() for x in ("number", "share", "parent", "ratio"))
+    of_dealt[0, number], of_dealt[1, number] = left_of(share, parent), ratio >= np.log(RATIO)
+
+    def asked(batches):
+        known = shared.value
+        log_share = lambda c: np.log10((c + ADD) / norm)
+        first = TaskContext.get().partitionId() << 40
+        for tokens, doc, place, parts in windows(batches, ASK_WINDOW, "doc_id", "held_out"):
+            held, n = column(parts, "held_out"), sum(len(x) for x in parts)
+            places = Places(tokens, place, known, bits)
+            is_known = places.is_known[places.codes]
+            base = np.bincount(doc[is_known], weights=log_share(places.c)[places.codes[is_known]], minlength=n).astype(float)  # whole numbers where none is known
+            facts = [column(parts, "doc_id"), held, pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_known], minlength=n)), pa.array(base)]
+            rows = [(-1 - (first >> 40), first, _sent(pa.RecordBatch.from_arrays(facts, names=FACTS)), None, None)]
+            # other words: for their counts, once for each text
+            order = np.argsort(places.words)
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            key, times = np.unique(rank[places.codes[~is_known]] * n + doc[~is_known], return_counts=True)
+            word, owner = places.words[order[key // n]], key % n
+            bucket = (word >> np.uint64(64 - bits)).view(np.int64)
+            found, start = np.unique(bucket, return_index=True)
+            for b, at, to in zip(found.tolist(), start.tolist(), [*start[1:].tolist(), len(word)]):
+                rows.append((2 * b, first, None, None, pressed(word[at:to], owner[at:to], times[at:to])))
+            owner = doc[places.at]
+            trained = ~held.to_numpy(zero_copy_only=False)
+            rows += [(2 * b + 1, first, None, *x) for b, *x in places.packed(places.bucket, [*places.history, places.token], owner, trained[owner])]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=ASKED)
+            first += n
+
+    def by_words(rows, counted):
+        """The base's sums of each window's texts, for words whose count not every task knows."""
+        word, c = sorted_counts(counted)
+        for first, _, _, data in rows:
+            key, owner, times = unpressed(data, 3)
+            at, hit = looked_up(key.astype(np.uint64), word)
+            value = np.full(len(key), np.log10(ADD / norm))
+            value[hit] = np.log10((c[at[hit]] + ADD) / norm)
+            docs, of = np.unique(owner, return_inverse=True)
+            yield first, 0, docs, np.bincount(of, weights=times * value), np.bincount(of, weights=times * hit).astype(np.int64)
+
+    def by_contexts(rows, replies):
+        """The sums of what contexts add, for each window's texts."""
+        known = shared.value
+        words, columns, sizes = gathered(known, [x[2:] for x in rows], DEPTH + 1, DEPTH + 3)
+        *history, token, owner, trained = columns
+        del columns
+        c, split = np.zeros(len(words) + 1, np.int64), np.zeros(len(words) + 1, np.int64)
+        _, c[1:], split[1:] = known.find(words)
+        replies = [unpressed(x, 4) for x in replies if x is not None]
+        pairs, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if replies:
+            word, number, count, times = (np.concatenate([x.astype(t) for x in y]) for y, t in zip(zip(*replies), ("u8", "i8", "i8", "i8")))
+            order = np.argsort(words)
+            at, hit = looked_up(word, words[order])
+            at, number, count, times = order[at[hit]] + 1, number[hit], count[hit], times[hit]
+            c[at] = count
+            order = np.argsort(number * len(c) + at)
+            pairs, times = (number * len(c) + at)[order], times[order]
+        token = np.where(c[token] >= MIN_FOLLOW, token, 0)
+        scores = Scores(token, trained.astype(float), (c + ADD) / norm)
+        last = history[0]
+        of = split[last]
+        at = np.flatnonzero(of)
+        if len(at):
+            number = of[at]
+            place, follows = looked_up(number * len(c) + token[at], pairs)
+            follows &= token[at] > 0
+            share = np.zeros(len(at))
+            share[follows] = (times[place[follows]] + SMOOTH * scores.parent[at[follows]]) / (known.of[number[follows]] + SMOOTH)
+            scores.apply(at, of_dealt[0][number], of_dealt[1][number] > 0, follows, share)
+        alone, context = scores.step(*(lambda x: (x, last[x]))(np.flatnonzero(of == 0)))
+        at, context = np.concatenate([at, alone]), np.concatenate([last[at], context])
+        for before in history[1:]:
+            deep = before[at] > 0
+            at = at[deep]
+            context, _ = coded(context[deep].astype(np.int64) * len(c) + before[at])
+            at, context = scores.step(at, context)
+        start = 0
+        for (first, *_), size in zip(rows, sizes):
+            sums = np.bincount(owner[start : start + size], weights=scores.gain[start : start + size])
+            docs = np.flatnonzero(sums)
+            yield first, 1, docs, sums[docs], np.zeros(0, np.int64)
+            start += size
 
     def answered(asked: pa.Table, known: pa.Table) -> pa.Table:
-        name, worth = (np.frombuffer(b"".join(known.column(x).to_pylist()), t) for x, t in (("names", "u8"), ("worth", "f8")))
-        order = np.argsort(name)
-        name, worth = name[order], worth[order]
-        out = []
-        for bucket, first, facts, *columns in zip(*[asked.column(x).to_pylist() for x in ASKED]):
+        out, kinds = [], ([], [])
+        for bucket, first, facts, *row in zip(*[asked.column(x).to_pylist() for x in ASKED]):
             if facts is not None:
                 out.append((first, facts, None, None, None, None))
-                continue
-            key, owner, times = (np.frombuffer(x, t) for x, t in zip(columns, ("u8", "u4", "u4")))
-            at, hit = looked_up(key, name)
-            value = np.full(len(key), 0.0 if bucket & 1 else np.log10(ADD / norm))
-            value[hit] = worth[at[hit]]
-            docs, of = np.unique(owner, return_inverse=True)
-            sums = np.bincount(of, weights=times * value)
-            seen = np.zeros(len(docs)) if bucket & 1 else np.bincount(of, weights=times * hit)
-            out.append((first, None, bucket & 1, docs.tobytes(), sums.tobytes(), seen.astype(np.uint32).tobytes()))
+            else:
+                kinds[bucket & 1].append((first, bucket, *row))
+        for rows, answer in zip(kinds, (lambda rows: by_words(rows, known), lambda rows: by_contexts(rows, sorted(known.column("names").to_pylist())))):
+            if rows:
+                for first, kind, docs, sums, seen in answer(sorted(rows)):
+                    out.append((first, None, kind, pressed(docs), sums.tobytes(), pressed(seen)))
         columns = zip(*out) if out else [()] * 6
         return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["first", "facts", "kind", "docs", "sums", "seen"])
 
     def summed(group: pa.Table) -> pa.Table:
         rows = list(zip(*[group.column(x).to_pylist() for x in ("facts", "kind", "docs", "sums", "seen")]))
         facts = pa.ipc.open_stream(next(r[0] for r in rows if r[0] is not None)).read_all()
-        n_known, base, gain = (facts.column(x).to_numpy().copy() for x in ("n_head", "base", "gain"))
+        n_known, base = (facts.column(x).to_numpy().copy() for x in ("n_head", "base"))
+        gain = np.zeros(len(base))
         # in one order on every run, whatever the order of arrival
         for _, kind, docs, sums, seen in sorted((r for r in rows if r[0] is None), key=lambda r: r[1:]):
-            docs = np.frombuffer(docs, "u4")
+            (docs,), (seen,) = unpressed(docs, 1), unpressed(seen, 1)
             (gain if kind else base)[docs] += np.frombuffer(sums, "f8")
-            n_known[docs] += np.frombuffer(seen, "u4")
+            if not kind:
+                n_known[docs] += seen
         columns = [*facts.select(["doc_id", "held_out", "n_tokens"]).columns, pa.array(n_known), pa.array(np.full(len(n_known), total)), pa.array(base), pa.array(base + gain)]
         return pa.table(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    asked = docs.mapInArrow(scored, "bucket long, first long, facts binary, names binary, docs binary, times binary")
-    worth = F.log10((F.col("c") + ADD) / norm)
-    known = counts.select("word", worth.alias("worth")).mapInArrow(packed(0), PACKED).unionAll(model.select("name", "effect").mapInArrow(packed(1), PACKED))
-    sums = asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(answered, "first long, facts binary, kind long, docs binary, sums binary, seen binary")
+    rows = docs.mapInArrow(asked, "bucket long, first long, facts binary, words binary, places binary")
+    counted = packed_counts(counts, bits).withColumn("bucket", 2 * F.col("bucket"))
+    replies = known.filter("words IS NOT NULL").select((2 * F.col("bucket") + 1).alias("bucket"), F.col("words").alias("names"), F.lit(None).cast("binary").alias("worth"))
+    sums = rows.groupBy("bucket").cogroup(counted.unionAll(replies).groupBy("bucket")).applyInArrow(answered, "first long, facts binary, kind long, docs binary, sums binary, seen binary")
     return sums.groupBy("first").applyInArrow(summed, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _sent(batches: list[pa.RecordBatch]) -> bytes:
+def _sent(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batches[0].schema) as out:
-        for batch in batches:
-            out.write_batch(batch)
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
@@ -520,9 +779,8 @@ def _by_bucket(key: np.ndarray, bits: int, *columns: np.ndarray) -> tuple[np.nda
     return found, [_slices(x, ends) for x in columns]
 
 
-ASKED = ["bucket", "first", "facts", "names", "docs", "times"]
-FACTS = ["doc_id", "held_out", "n_tokens", "n_head", "base", "gain"]
-PACKED = "bucket long, names binary, worth binary"
+ASKED = ["bucket", "first", "facts", "words", "places"]
+FACTS = ["doc_id", "held_out", "n_tokens", "n_head", "base"]
 
 
 def op7_suffix_tree(spark, sf_dir: str) -> DataFrame:
