@@ -505,13 +505,32 @@ def test_suffix_tree_dealt_words_and_small_windows(spark, monkeypatch):
             gain[deep] = states.gains(context[deep], tokens[deep], gain[deep])
         want.append((i or -1, len(tokens), sum(math.log10((c.get(int(w), 0) + 0.1) / (total + 0.1 * (types + 1))) for w in tokens) + gain.sum()))
     for split, head, effects in ((1 << 19, 1 << 18, 1 << 20), (50, 1 << 18, 1 << 20), (50, 40, 3), (1 << 19, 0, 0)):
-        for name, value in (("SPLIT", split), ("HEAD", head), ("EFFECTS", effects), ("ASK_WINDOW", 2000)):
+        for name, value in (("SPLIT", split), ("HEAD", head), ("EFFECTS", effects), ("ASK_WINDOW", 2000), ("OFTEN", 30)):
             monkeypatch.setattr(suffix_tree, name, value)
         got = [(r.doc_id or -1, r.n_tokens, r.score) for r in suffix_tree.score_documents(frame(spark, rows).repartition(3)).collect()]
         assert [x[:2] for x in sorted(got)] == [x[:2] for x in sorted(want)]
         assert [x[2] for x in sorted(got)] == pytest.approx([x[2] for x in sorted(want)], abs=1e-6)
 
 
+def test_suffix_tree_sends_equal_places_of_a_text_once():
+    """A text of one word a thousand times is a few places, whose times add up; rare pairs stay as they are."""
+    texts = ["y " * 1000, "y " * 1000 + "z", "a b a b"]
+    data, ends = np.frombuffer("".join(texts).encode(), np.uint8).copy(), np.cumsum([0, *map(len, texts)])
+    tokens, doc, place = suffix_tree.token_stream(data, ends)
+    words, c = np.unique(tokens, return_counts=True)
+    known = suffix_tree.Vocabulary(words, np.maximum(c, 10), None, None)
+    known.candidates = known.repeated = type("None_", (), {"has": lambda self, names: np.zeros(len(names), bool)})()
+    places = suffix_tree.Places(tokens, place, known, 5)
+    once, times = places.distinct(doc[places.at], 100)
+    assert times.sum() == len(places.at) == 2005 and len(once) < 20
+    full = Counter(zip(doc[places.at].tolist(), *[x.tolist() for x in (*places.history, places.token)]))
+    merged = Counter()
+    for i, n in zip(once, times):
+        merged[int(doc[places.at[i]]), *[int(x[i]) for x in (*places.history, places.token)]] += int(n)
+    assert merged == full
+    assert len(places.distinct(doc[places.at], 5000)[0]) == 2005
+
+
 def test_suffix_tree_shuffles_a_token_once(spark, monkeypatch):
     """Passages that come often have states and next tokens of all lengths; none of them is asked for by itself."""
     rng = random.Random(13)

@@ -23,7 +23,7 @@ shuffled follows the number of tokens. A bucket answers with a sum for each
 text of a window, and a grouping by window adds these to what the texts know.
 Places go packed by window and bucket, a word as its number among the bucket's
 words, and these as ranks among the ``HEAD`` most frequent words, which are
-broadcast, or as hashes.
+broadcast, or as hashes; equal places of a text with a frequent pair of words go as one.
 The places after a word that occurs over ``SPLIT`` times in training are dealt to
 several buckets by the word before it, so that longer contexts stay whole. The
 next tokens of that word alone are counted by bucket of the next token, in a pass
@@ -43,7 +43,6 @@ N = V = 0; an empty table gives no rows; other columns are not used.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +75,8 @@ FOLDS = 10
 COUNT_WINDOW = 2_000_000
 #: Tokens whose places are sent together.
 ASK_WINDOW = 1_000_000
+#: Places of a window with one pair of words beyond which equal ones of a text are sent as one.
+OFTEN = 2000
 END = np.uint64(0x454E44)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -437,6 +438,20 @@ class Places:
         home[dealt] = mix(home[dealt] + (part + np.uint64(1)) * _STEP)
         self.bucket = (home >> np.uint64(64 - bits)).view(np.int64)
 
+    def distinct(self, owner: np.ndarray, often: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which places stand for all equal ones of a text, and how often each occurs; of pairs of words that come often times or less, each stands for itself."""
+        many = len(self.words) + 1
+        slot = (self.history[0] * np.int32(40503) + self.token).astype(np.uint16)  # rarer pairs may share a slot with others, which costs time only
+        some = np.flatnonzero((np.bincount(slot) > often)[slot])
+        code, keep, times = owner[some], np.ones(len(slot), bool), np.ones(len(slot), np.int64)
+        for x in (*self.history, self.token):
+            code, _ = coded(code.astype(np.int64) * many + x[some] + 1)
+        _, first, n = np.unique(code, return_index=True, return_counts=True)
+        keep[some] = False
+        keep[some[first]] = True
+        times[some[first]] = n
+        return np.flatnonzero(keep), times[keep]
+
     def packed(self, bucket: np.ndarray, named: list[np.ndarray], *columns: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
         """For each bucket its words and its rows: the named columns as numbers of these words from 1 on, 0 for -1, and the other columns."""
         order = np.argsort(bucket.astype(np.int32), kind="stable")
@@ -471,7 +486,7 @@ def gathered(known: Vocabulary, rows: list[tuple[bytes, bytes]], named: int, col
 
 
 class Scores:
-    """What contexts add to the root's log10 share at each place of a group that holds all places of its contexts."""
+    """What contexts add to the root's log10 share at each place of a group that holds all places of its contexts; trained: how often a place counts."""
 
     def __init__(self, token: np.ndarray, trained: np.ndarray, root: np.ndarray):
         self.token, self.trained, self.words = token, trained, len(root)
@@ -668,9 +683,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
             found, start = np.unique(bucket, return_index=True)
             for b, at, to in zip(found.tolist(), start.tolist(), [*start[1:].tolist(), len(word)]):
                 rows.append((2 * b, first, None, None, pressed(word[at:to], owner[at:to], times[at:to])))
-            owner = doc[places.at]
+            once, times = places.distinct(doc[places.at], OFTEN)
+            owner = doc[places.at[once]]
             trained = ~held.to_numpy(zero_copy_only=False)
-            rows += [(2 * b + 1, first, None, *x) for b, *x in places.packed(places.bucket, [*places.history, places.token], owner, trained[owner])]
+            named = [x[once] for x in (*places.history, places.token)]
+            rows += [(2 * b + 1, first, None, *x) for b, *x in places.packed(places.bucket[once], named, owner, trained[owner], times)]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=ASKED)
             first += n
 
@@ -688,8 +705,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def by_contexts(rows, replies):
         """The sums of what contexts add, for each window's texts."""
         known = shared.value
-        words, columns, sizes = gathered(known, [x[2:] for x in rows], DEPTH + 1, DEPTH + 3)
-        *history, token, owner, trained = columns
+        words, columns, sizes = gathered(known, [x[2:] for x in rows], DEPTH + 1, DEPTH + 4)
+        *history, token, owner, trained, often = columns
         del columns
         c, split = np.zeros(len(words) + 1, np.int64), np.zeros(len(words) + 1, np.int64)
         _, c[1:], split[1:] = known.find(words)
@@ -704,7 +721,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             order = np.argsort(number * len(c) + at)
             pairs, times = (number * len(c) + at)[order], times[order]
         token = np.where(c[token] >= MIN_FOLLOW, token, 0)
-        scores = Scores(token, trained.astype(float), (c + ADD) / norm)
+        scores = Scores(token, np.multiply(trained, often, dtype=float), (c + ADD) / norm)
         last = history[0]
         of = split[last]
         at = np.flatnonzero(of)
@@ -724,7 +741,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             at, context = scores.step(at, context)
         start = 0
         for (first, *_), size in zip(rows, sizes):
-            sums = np.bincount(owner[start : start + size], weights=scores.gain[start : start + size])
+            sums = np.bincount(owner[start : start + size], weights=scores.gain[start : start + size] * often[start : start + size])
             docs = np.flatnonzero(sums)
             yield first, 1, docs, sums[docs], np.zeros(0, np.int64)
             start += size
