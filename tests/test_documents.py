@@ -144,3 +144,58 @@ def test_a_filter_of_rejected_rows_reads_each_path_once(spark):
     found = D.rows_of(items(spark, [{"payload": {"rows": [GOOD]}}], [ONE]), ONE)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("$.price") == 1 and plan.count("schema_of_variant") <= len(ONE.fields) and "Generate explode(array(struct" in plan.replace("named_struct", "struct")
+
+
+def test_items_whose_text_is_right_are_not_read_field_by_field(spark, tiny):
+    from tidemark.plans import documents as P
+
+    certain = {f.name: D._certain(f, [g for g in D.OPTIONS if g.inner and g.path == f.path]) for f in D.OPTIONS if not f.inner}
+    assert all(certain.values())
+    texts = P.documents(spark, tiny, D.OPTIONS, P.OPTIONS)
+    plan = D.document_rejects(texts, D.OPTIONS, ["doc"])._jdf.queryExecution().optimizedPlan().toString()
+    assert all(c.replace("\\", "") in plan.replace("\\", "") for c in certain.values())
+    item = json.dumps(json.loads(texts.filter("doc = 1").first().text)["contracts"][0], separators=(",", ":"))
+    found = spark.createDataFrame([(item,), (item.replace('"p"', '" "'),), (item.replace('"p"', "5"),), (item.replace('"p"', '"Infinity"'),)], "t string")
+    assert [r.y for r in found.selectExpr("t").withColumn("y", found.t.rlike(f"^{certain['contracts']}$")).collect()] == [True, False, False, False]
+
+
+LIST = (
+    Family("rows", "$.a.rows", (Field("x"), Field("d", "date", nullable=True), Field("t", "temporal", precision="w"), Field("w", among=("date", "datetime")), Field("q", "decimal", path="$.in.q"), Field("m", "decimal", minimum=0, nullable=True, path="$.in.m"), Field("n", "integer", minimum=19), Field("s", "text"), Field("any", "any"))),
+    Family("one", "$.a.rows", (Field("x"), Field("v", "integer", minimum=0)), inner="$.one", single=True),
+    Family("many", "$.a.rows", (Field("y", "datetime"), Field("c", among=("u", "v"), nullable=True)), inner="$.many.of", outer=("x",)),
+    Family("whole", "$.s", (Field("x"), Field("d", "date")), single=True),
+)
+RIGHT = {"x": "k", "d": "2024-03-31", "t": "2024-01-01", "w": "date", "in": {"q": "-1.5", "m": "0"}, "n": 19, "s": "", "any": "t", "one": {"x": "k", "v": 0}, "many": {"of": [{"y": "2024-01-01T00:00:00+01:30", "c": None}]}}
+
+
+def test_rejects_by_patterns_are_those_of_the_items_read_field_by_field(spark):
+    values = [None, " ", " k", "Infinity", 5, 2.0, 18, 20, 1900, 19.0, -1, "2024-02-29", "2024-02-30", "2024-04-31", "2024-01-01T00:00:00Z", "2024-01-01T24:00:00Z", "datetime", "-0", "1e5", "1.12345678901", "{}", [], {}, {"x": "k", "v": 2.0}, {"of": [None, 3]}, 10**18, 10**19]
+    docs = [{"a": {"rows": [RIGHT, RIGHT | {k: v}, {n: x for n, x in RIGHT.items() if n != k}]}, "s": v} for k in RIGHT for v in values]
+    docs += [{"a": v, "s": {"x": "k", "d": "2024-01-01"}} for v in ([], {"rows": {}}, {"rows": "r"}, {"rows": [RIGHT, 5, None, "t"]}, {"rows": [RIGHT | {"more": 1}, dict(sorted(RIGHT.items()))]})]
+    compact = [json.dumps(d, separators=(",", ":")) for d in docs]
+    right = json.dumps(RIGHT, separators=(",", ":"))
+    odd = [json.dumps({"a": {"rows": [right]}}), f'{{"a":{{"rows":[{right}]}},"a":1}}', f'[{{"a":{{"rows":[{right}]}}}}]', f'{{"a":{{"rows":[{right}]', f' {{"a":{{"rows":[{right}]}}}} x', f'{{"a":{{"rows":[{right}]}}}}'.replace("19", "1.9e1")]
+    odd += [f'{{"a":{{"rows":[{right.replace(a, b)}]}}}}' for a, b in (('"x":"k"', '"x":1E400'), ('"s":""', '"s":-1e999'), ('"n":19', '"n":19,"n":19'), ('"n":19', '"n":1900000000000000000000'))]
+    texts = spark.createDataFrame(list(enumerate(compact + odd)), "file int, text string").repartition(4)
+    key = lambda r: (r.file, r.family, tuple(r.place), r.rule)
+    assert D._parts_type(LIST) and D._certain(LIST[0], LIST[1:3]) and D._certain(LIST[3], [])
+    for families in (LIST, LIST[2:0:-1] + LIST[:1], (Family("rows", "$.a.rows", LIST[0].fields, exact=True), *LIST[1:])):
+        got = sorted(map(key, D.document_rejects(texts, families, ["file"]).collect()))
+        assert got == sorted(map(key, D.rejects_of(D.split(texts, families), families, ["file"]).collect())) and len(got) > 500
+
+
+def test_rejects_of_inner_single_and_odd_paths_are_those_of_their_items(spark):
+    families = [
+        ONE,
+        Family("ins", "$.payload.rows", (Field("x", "any"), Field("deep", "number", nullable=True, path="$.a.b[0].c"), Field("d"), Field("upper", nullable=True, path="$.D")), inner="$.more.ins", exact=True, outer=("name",)),
+        Family("one", "$.payload.rows", (Field("x", "datetime"), Field("y", "text", path="$.x.y")), inner="$.more", single=True),
+        Family("top", "$.payload", (Field("z", "integer", minimum=2), Field("q", "any", path="$['a b']"), Field("rows", "any")), single=True),
+    ]
+    inner = [{"x": 1, "d": "k", "D": 5, "a": {"b": [{"c": "2"}]}}, None, 3, {"x": {"y": "v"}, "e": 0}]
+    rows = [GOOD, None, 7, GOOD | {"more": {"ins": inner}}, {"more": {"x": "2024-01-01T00:00:00Z", "ins": {}}}, {"more": {"x": {"y": "t"}}}, {"more": 4}]
+    docs = [{"payload": {"rows": rows, "z": 2.0, "a b": []}}, {"payload": {"z": 3, "rows": {}}}, {"payload": 4}, [{"payload": {"rows": rows}}], {}]
+    texts = spark.createDataFrame([(f"d{i}", json.dumps(d)) for i, d in enumerate(docs)] + [("twice", '{"payload": {"z": 1, "z": 2}}')], "file string, text string")
+    key = lambda r: (r.file, r.family, tuple(r.place), r.rule)
+    got = sorted(map(key, D.document_rejects(texts, families, ["file"]).collect()))
+    assert got == sorted(map(key, D.rejects_of(D.split(texts, families), families, ["file"]).collect()))
+    assert {("d0", "ins", (3, 0), "deep:type"), ("d0", "top", (0,), "z:type"), ("d2", "top", (0,), "z:absent"), ("twice", D.NO_DOCUMENT, (0,), "document:json")} <= set(got)
