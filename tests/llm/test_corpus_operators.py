@@ -665,3 +665,15 @@ def test_empty_table(spark, operator):
         "bpe": lambda: byte_bpe.encode(docs, *byte_bpe.public_vocabulary()),
     }
     assert run[operator]().collect() == []
+
+
+def test_suffix_tree_scores_a_bucket_in_groups_of_words(spark, monkeypatch):
+    last = np.array([3, 1, 3, 2, 1, 3, 5])
+    groups = [g.tolist() for g in suffix_tree.word_groups(last, 6, 2)]
+    assert sorted(sum(groups, [])) == list(range(7)) and all(g == sorted(g) for g in groups)
+    assert len(groups) > 1 and all(len({i for i, g in enumerate(groups) if set(g) & set(np.flatnonzero(last == w).tolist())}) == 1 for w in set(last.tolist()))
+    rng = random.Random(3)
+    rows = frame(spark, [(i, " ".join(rng.choices([f"w{k}" for k in range(30)], k=40))) for i in range(300)])
+    whole = {r.doc_id: r.score for r in suffix_tree.score_documents(rows).collect()}
+    monkeypatch.setattr(suffix_tree, "SCORE_PLACES", 5)
+    assert {r.doc_id: r.score for r in suffix_tree.score_documents(rows).collect()} == whole

@@ -75,6 +75,8 @@ FOLDS = 10
 COUNT_WINDOW = 2_000_000
 #: Tokens whose places are sent together.
 ASK_WINDOW = 1_000_000
+#: Places of a bucket that are scored together.
+SCORE_PLACES = 1 << 17
 #: Places of a window with one pair of words beyond which equal ones of a text are sent as one.
 OFTEN = 2000
 END = np.uint64(0x454E44)
@@ -482,7 +484,21 @@ def gathered(known: Vocabulary, rows: list[tuple[bytes, bytes]], named: int, col
         got = unpressed(data, columns)
         parts.append([*[number[x] for x in got[:named]], *got[named:]])
         at = to
-    return words, [np.concatenate(x) for x in zip(*parts)], [len(x[0]) for x in parts]
+    sizes, whole = [len(x[0]) for x in parts], []
+    for k in range(columns):
+        whole.append(np.concatenate([x[k] for x in parts]))
+        for x in parts:
+            x[k] = None  # no two copies of all columns at a time
+    return words, whole, sizes
+
+
+def word_groups(last: np.ndarray, words: int, most: int) -> Iterator[np.ndarray]:
+    """The places of a bucket in groups of some most places, in their order there; all places after one word are in one group."""
+    n = np.bincount(last, minlength=words)
+    group = ((np.cumsum(n) - n) // most).astype(np.int16)[last]
+    order = np.argsort(group, kind="stable")
+    ends = np.cumsum(np.bincount(group))
+    yield from (x for x in np.split(order, ends[:-1]) if len(x))
 
 
 class Scores:
@@ -591,21 +607,29 @@ def answers(docs: DataFrame, counts: DataFrame, shared, bits: int, norm: float)
     where the next token's bucket is, so that of such a word only sums of each bucket remain (number, share, parent, ratio).
     """
 
-    def asked(batches):
+    def window(tokens, doc, place, parts):
         known = shared.value
         many = len(known.of)
-        for tokens, doc, place, parts in windows(batches, ASK_WINDOW, "held_out"):
-            trained = ~column(parts, "held_out").to_numpy(zero_copy_only=False)
-            places = Places(tokens, place, known, bits)
-            number = places.split[places.history[0]]
-            ask = np.flatnonzero((places.token >= 0) & ((number > 0) | ~places.is_known[places.token]))
-            code, key = coded((places.bucket[ask] * many + number[ask]) * len(places.words) + places.token[ask])
-            n = np.bincount(code, weights=trained[doc[places.at[ask]]], minlength=len(key)).astype(np.int64)
-            to, token = np.divmod(key, len(places.words))
-            to, number = np.divmod(to, many)
-            rows = list(places.packed((places.words[token] >> np.uint64(64 - bits)).view(np.int64), [token], to, number, n))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["bucket", "words", "rows"])
+        trained = ~column(parts, "held_out").to_numpy(zero_copy_only=False)
+        places = Places(tokens, place, known, bits)
+        number = places.split[places.history[0]]
+        ask = np.flatnonzero((places.token >= 0) & ((number > 0) | ~places.is_known[places.token]))
+        code, key = coded((places.bucket[ask] * many + number[ask]) * len(places.words) + places.token[ask])
+        n = np.bincount(code, weights=trained[doc[places.at[ask]]], minlength=len(key)).astype(np.int64)
+        to, token = np.divmod(key, len(places.words))
+        to, number = np.divmod(to, many)
+        rows = list(places.packed((places.words[token] >> np.uint64(64 - bits)).view(np.int64), [token], to, number, n))
+        if rows:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["bucket", "words", "rows"])
+        return None
+
+    def asked(batches):
+        for whole in windows(batches, ASK_WINDOW, "held_out"):
+            out = window(*whole)
+            del whole  # not kept while the next window is read
+            if out is not None:
+                yield out
+            del out
 
     def answered(asked: pa.Table, counted: pa.Table) -> pa.Table:
         known, out = shared.value, []
@@ -662,33 +686,39 @@ def score_documents(docs: DataFrame) -> DataFrame:
     number, share, parent, ratio = (dealt[x].to_numpy() for x in ("number", "share", "parent", "ratio"))
     of_dealt[0, number], of_dealt[1, number] = left_of(share, parent), ratio >= np.log(RATIO)
 
-    def asked(batches):
+    def window(first, tokens, doc, place, parts):
         known = shared.value
         log_share = lambda c: np.log10((c + ADD) / norm)
+        held, n = column(parts, "held_out"), sum(len(x) for x in parts)
+        places = Places(tokens, place, known, bits)
+        is_known = places.is_known[places.codes]
+        base = np.bincount(doc[is_known], weights=log_share(places.c)[places.codes[is_known]], minlength=n).astype(float)  # whole numbers where none is known
+        facts = [column(parts, "doc_id"), held, pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_known], minlength=n)), pa.array(base)]
+        rows = [(-1 - (first >> 40), first, _sent(pa.RecordBatch.from_arrays(facts, names=FACTS)), None, None)]
+        # other words: for their counts, once for each text
+        order = np.argsort(places.words)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        key, times = np.unique(rank[places.codes[~is_known]] * n + doc[~is_known], return_counts=True)
+        word, owner = places.words[order[key // n]], key % n
+        bucket = (word >> np.uint64(64 - bits)).view(np.int64)
+        found, start = np.unique(bucket, return_index=True)
+        for b, at, to in zip(found.tolist(), start.tolist(), [*start[1:].tolist(), len(word)]):
+            rows.append((2 * b, first, None, None, pressed(word[at:to], owner[at:to], times[at:to])))
+        once, times = places.distinct(doc[places.at], OFTEN)
+        owner = doc[places.at[once]]
+        trained = ~held.to_numpy(zero_copy_only=False)
+        named = [x[once] for x in (*places.history, places.token)]
+        rows += [(2 * b + 1, first, None, *x) for b, *x in places.packed(places.bucket[once], named, owner, trained[owner], times)]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=ASKED)
+
+    def asked(batches):
         first = TaskContext.get().partitionId() << 40
-        for tokens, doc, place, parts in windows(batches, ASK_WINDOW, "doc_id", "held_out"):
-            held, n = column(parts, "held_out"), sum(len(x) for x in parts)
-            places = Places(tokens, place, known, bits)
-            is_known = places.is_known[places.codes]
-            base = np.bincount(doc[is_known], weights=log_share(places.c)[places.codes[is_known]], minlength=n).astype(float)  # whole numbers where none is known
-            facts = [column(parts, "doc_id"), held, pa.array(np.bincount(doc, minlength=n)), pa.array(np.bincount(doc[is_known], minlength=n)), pa.array(base)]
-            rows = [(-1 - (first >> 40), first, _sent(pa.RecordBatch.from_arrays(facts, names=FACTS)), None, None)]
-            # other words: for their counts, once for each text
-            order = np.argsort(places.words)
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            key, times = np.unique(rank[places.codes[~is_known]] * n + doc[~is_known], return_counts=True)
-            word, owner = places.words[order[key // n]], key % n
-            bucket = (word >> np.uint64(64 - bits)).view(np.int64)
-            found, start = np.unique(bucket, return_index=True)
-            for b, at, to in zip(found.tolist(), start.tolist(), [*start[1:].tolist(), len(word)]):
-                rows.append((2 * b, first, None, None, pressed(word[at:to], owner[at:to], times[at:to])))
-            once, times = places.distinct(doc[places.at], OFTEN)
-            owner = doc[places.at[once]]
-            trained = ~held.to_numpy(zero_copy_only=False)
-            named = [x[once] for x in (*places.history, places.token)]
-            rows += [(2 * b + 1, first, None, *x) for b, *x in places.packed(places.bucket[once], named, owner, trained[owner], times)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=ASKED)
+        for whole in windows(batches, ASK_WINDOW, "doc_id", "held_out"):
+            n, out = sum(len(x) for x in whole[-1]), window(first, *whole)
+            del whole  # not kept while the next window is read
+            yield out
+            del out
             first += n
 
     def by_words(rows, counted):
@@ -707,7 +737,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
         known = shared.value
         words, columns, sizes = gathered(known, [x[2:] for x in rows], DEPTH + 1, DEPTH + 4)
         *history, token, owner, trained, often = columns
+        firsts = [x[0] for x in rows]
         del columns
+        rows.clear()  # the packed bytes, which the caller's list would keep
         c, split = np.zeros(len(words) + 1, np.int64), np.zeros(len(words) + 1, np.int64)
         _, c[1:], split[1:] = known.find(words)
         replies = [unpressed(x, 4) for x in replies if x is not None]
@@ -720,28 +752,34 @@ def score_documents(docs: DataFrame) -> DataFrame:
             c[at] = count
             order = np.argsort(number * len(c) + at)
             pairs, times = (number * len(c) + at)[order], times[order]
-        token = np.where(c[token] >= MIN_FOLLOW, token, 0)
-        scores = Scores(token, np.multiply(trained, often, dtype=float), (c + ADD) / norm)
-        last = history[0]
-        of = split[last]
-        at = np.flatnonzero(of)
-        if len(at):
-            number = of[at]
-            place, follows = looked_up(number * len(c) + token[at], pairs)
-            follows &= token[at] > 0
-            share = np.zeros(len(at))
-            share[follows] = (times[place[follows]] + SMOOTH * scores.parent[at[follows]]) / (known.of[number[follows]] + SMOOTH)
-            scores.apply(at, of_dealt[0][number], of_dealt[1][number] > 0, follows, share)
-        alone, context = scores.step(*(lambda x: (x, last[x]))(np.flatnonzero(of == 0)))
-        at, context = np.concatenate([at, alone]), np.concatenate([last[at], context])
-        for before in history[1:]:
-            deep = before[at] > 0
-            at = at[deep]
-            context, _ = coded(context[deep].astype(np.int64) * len(c) + before[at])
-            at, context = scores.step(at, context)
+        token, root, gain = np.where(c[token] >= MIN_FOLLOW, token, 0), (c + ADD) / norm, np.zeros(len(token))
+
+        def gained(places):
+            token_of, (last, *before) = token[places], (x[places] for x in history)
+            scores = Scores(token_of, np.multiply(trained[places], often[places], dtype=float), root)
+            of = split[last]
+            at = np.flatnonzero(of)
+            if len(at):
+                number = of[at]
+                place, follows = looked_up(number * len(c) + token_of[at], pairs)
+                follows &= token_of[at] > 0
+                share = np.zeros(len(at))
+                share[follows] = (times[place[follows]] + SMOOTH * scores.parent[at[follows]]) / (known.of[number[follows]] + SMOOTH)
+                scores.apply(at, of_dealt[0][number], of_dealt[1][number] > 0, follows, share)
+            alone, context = scores.step(*(lambda x: (x, last[x]))(np.flatnonzero(of == 0)))
+            at, context = np.concatenate([at, alone]), np.concatenate([last[at], context])
+            for word in before:
+                deep = word[at] > 0
+                at = at[deep]
+                context, _ = coded(context[deep].astype(np.int64) * len(c) + word[at])
+                at, context = scores.step(at, context)
+            return scores.gain
+
+        for places in word_groups(history[0], len(c), SCORE_PLACES):  # contexts end in the last word, so a group holds theirs whole
+            gain[places] = gained(places)
         start = 0
-        for (first, *_), size in zip(rows, sizes):
-            sums = np.bincount(owner[start : start + size], weights=scores.gain[start : start + size] * often[start : start + size])
+        for first, size in zip(firsts, sizes):
+            sums = np.bincount(owner[start : start + size], weights=gain[start : start + size] * often[start : start + size])
             docs = np.flatnonzero(sums)
             yield first, 1, docs, sums[docs], np.zeros(0, np.int64)
             start += size
@@ -753,9 +791,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 out.append((first, facts, None, None, None, None))
             else:
                 kinds[bucket & 1].append((first, bucket, *row))
-        for rows, answer in zip(kinds, (lambda rows: by_words(rows, known), lambda rows: by_contexts(rows, sorted(known.column("names").to_pylist())))):
+        facts = row = None
+        for found, answer in zip(kinds, (lambda rows: by_words(rows, known), lambda rows: by_contexts(rows, sorted(known.column("names").to_pylist())))):
+            rows = sorted(found)
+            found.clear()
             if rows:
-                for first, kind, docs, sums, seen in answer(sorted(rows)):
+                for first, kind, docs, sums, seen in answer(rows):
                     out.append((first, None, kind, pressed(docs), sums.tobytes(), pressed(seen)))
         columns = zip(*out) if out else [()] * 6
         return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["first", "facts", "kind", "docs", "sums", "seen"])
